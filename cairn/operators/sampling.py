@@ -51,7 +51,18 @@ def _range_buckets(df: DataFrame, order_col: str, buckets: int) -> Column:
         return F.lit(0)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = df.select(F.percentile_approx(order_col, probs, 10_000)).scalar()
-    return F.size(F.filter(cuts, lambda c: c <= F.col(order_col)))
+    key = F.col(order_col)
+
+    # Binary search over the (ascending) cut points: depth log2(buckets) per row.  The
+    # repeated scalar subquery is planned once (subquery reuse).
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(F.element_at(cuts, mid) <= key, search(mid, hi)).otherwise(
+            search(lo, mid - 1))
+
+    return search(0, buckets - 1)
 
 
 def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",

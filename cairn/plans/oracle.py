@@ -229,7 +229,7 @@ def oracle_sql() -> dict[str, str]:
         "avg_distinct_word_length": f"""SELECT count(*)::BIGINT AS n_words,
             round(avg(length(word)), {DIGITS}) AS avg_len FROM (SELECT DISTINCT word FROM ({_WORDS}))""",
         "vector_parse": f"""SELECT id, generate_subscripts(v, 1)::INT AS pos, unnest(v) AS x FROM
-            (SELECT id, list_transform({_tokens('line')}, t -> CAST(t AS DOUBLE)) AS v FROM
+            (SELECT id, list_transform({_tokens('line')}, lambda t: CAST(t AS DOUBLE)) AS v FROM
               (SELECT o_orderkey AS id, CAST(o_custkey AS VARCHAR) || ' ' ||
                       CAST(o_orderkey AS VARCHAR) ||
                       CASE WHEN o_orderkey % 2 = 0 THEN ' ' ELSE '' END AS line FROM orders))""",
