@@ -20,20 +20,19 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.vectors import euclidean
+from cairn.operators import kernels
+from cairn.operators.kernels import (POS_COUNT, POS_WDIST, POS_WEIGHT, objective_kernel,
+                                     pairs_kernel, race_kernel, rows_kernel, stats_kernel)
+
+# Ship the kernels with the task closures instead of requiring the package on executors.
+cloudpickle.register_pickle_by_value(kernels)
 
 # Default ceiling for one broadcast centre table; beyond it parts are processed in chunks.
 DEFAULT_MAX_CENTRE_BYTES = 256 << 20
-# Elements of the (rows x centres x dim) difference block computed at once in a task.
-_BLOCK_ELEMS = 1 << 21
-
-# Pseudo positions of the per-cluster scalars in the long-form partial sums.
-POS_COUNT, POS_WEIGHT, POS_WDIST = -3, -2, -1
-
 STATS_SCHEMA = "part int, cid int, pos int, val double"
 RACE_SCHEMA = "part int, key double, id bigint, v array<double>"
 ROWS_SCHEMA = "id bigint, part int, cid int, d double"
@@ -111,212 +110,6 @@ class Centres:
         return out
 
 
-# --------------------------------------------------------------------------- numpy helpers
-
-def vector_matrix(col) -> np.ndarray:
-    """An Arrow list<double> column as an (n, d) float64 matrix; ragged input is an error."""
-    if isinstance(col, pa.ChunkedArray):
-        col = col.combine_chunks()
-    n = len(col)
-    if n == 0:
-        return np.empty((0, 0), dtype=np.float64)
-    if col.null_count:
-        raise ValueError("NULL vector in point set")
-    lens = pc.list_value_length(col).to_numpy(zero_copy_only=False)
-    d = int(lens[0])
-    if (lens != d).any():
-        raise ValueError("vectors of unequal length in point set")
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
-    return flat.reshape(n, d)
-
-
-def list_array(mat: np.ndarray) -> pa.Array:
-    n, d = mat.shape if mat.ndim == 2 else (0, 0)
-    offsets = pa.array(np.arange(n + 1, dtype=np.int32) * d, type=pa.int32())
-    return pa.ListArray.from_arrays(offsets, pa.array(mat.reshape(-1), type=pa.float64()))
-
-
-def _block_distances(X: np.ndarray, M: np.ndarray):
-    """Yield (start, end, dist[r, m]) blocks of Euclidean distances."""
-    m, dim = M.shape
-    step = max(1, _BLOCK_ELEMS // max(1, m * max(dim, 1)))
-    for s in range(0, X.shape[0], step):
-        diff = X[s:s + step, None, :] - M[None, :, :]
-        yield s, min(s + step, X.shape[0]), np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-
-
-def _part_groups(parts: np.ndarray):
-    """Yield (part, row indices) for each part present in the batch."""
-    order = np.argsort(parts, kind="stable")
-    sp = parts[order]
-    cuts = np.flatnonzero(np.diff(sp)) + 1
-    starts = np.concatenate(([0], cuts))
-    ends = np.concatenate((cuts, [len(sp)]))
-    for s, e in zip(starts, ends):
-        yield int(sp[s]), order[s:e]
-
-
-def nearest(X: np.ndarray, parts: np.ndarray, table: Centres):
-    """Distance to and id of the closest centre of each row's part (lowest id on ties).
-    Rows of a part without centres get (inf, -1)."""
-    n = X.shape[0]
-    dist = np.full(n, np.inf)
-    cid = np.full(n, -1, dtype=np.int32)
-    for part, idx in _part_groups(parts):
-        entry = table.by_part.get(part)
-        if entry is None:
-            continue
-        cids, M = entry
-        if M.shape[1] != X.shape[1]:
-            raise ValueError("point and centre dimensions differ")
-        Xp = X[idx]
-        for s, e, D in _block_distances(Xp, M):
-            j = D.argmin(axis=1)
-            dist[idx[s:e]] = D[np.arange(e - s), j]
-            cid[idx[s:e]] = cids[j]
-    return dist, cid
-
-
-def _batch_parts(batch: pa.RecordBatch, use_part: bool) -> np.ndarray:
-    if use_part:
-        return batch.column("part").to_numpy(zero_copy_only=False).astype(np.int64)
-    return np.zeros(batch.num_rows, dtype=np.int64)
-
-
-# --------------------------------------------------------------------------- kernels
-
-def stats_kernel(bc, use_part: bool = True):
-    """Per (part, cid) partial sums of count, w, w*d and w*v as long-form rows."""
-
-    def run(batches):
-        table = bc.value
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            X = vector_matrix(batch.column("v"))
-            parts = _batch_parts(batch, use_part)
-            w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
-            d, cid = nearest(X, parts, table)
-            ok = cid >= 0
-            if not ok.all():
-                X, parts, w, d, cid = X[ok], parts[ok], w[ok], d[ok], cid[ok]
-            if len(cid) == 0:
-                continue
-            order = np.lexsort((cid, parts))
-            gp, gc = parts[order], cid[order]
-            new = np.concatenate(([True], (np.diff(gp) != 0) | (np.diff(gc) != 0)))
-            starts = np.flatnonzero(new)
-            cnt = np.diff(np.concatenate((starts, [len(order)])))
-            sw = np.add.reduceat(w[order], starts)
-            swd = np.add.reduceat((w * d)[order], starts)
-            swv = np.add.reduceat(X[order] * w[order, None], starts, axis=0)
-            g, dim = len(starts), X.shape[1]
-            pos = np.concatenate([np.full(g, POS_COUNT), np.full(g, POS_WEIGHT),
-                                  np.full(g, POS_WDIST), np.repeat(np.arange(dim), g)])
-            val = np.concatenate([cnt.astype(np.float64), sw, swd, swv.T.reshape(-1)])
-            reps = 3 + dim
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.tile(gp[starts], reps).astype(np.int32)),
-                 pa.array(np.tile(gc[starts], reps).astype(np.int32)),
-                 pa.array(pos.astype(np.int32)), pa.array(val)],
-                names=["part", "cid", "pos", "val"])
-
-    return run
-
-
-def race_kernel(bc, use_part: bool = True):
-    """Per part, the batch's best candidate of the weighted race ``-ln(u)/(w*d)``; points at
-    distance 0 from a chosen centre (or of weight 0) are not candidates."""
-
-    def run(batches):
-        table = bc.value
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            X = vector_matrix(batch.column("v"))
-            parts = _batch_parts(batch, use_part)
-            ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
-            u = batch.column("u").to_numpy(zero_copy_only=False)
-            d, _ = nearest(X, parts, table)
-            wd = w * d
-            ok = (wd > 0) & np.isfinite(wd)
-            if not ok.any():
-                continue
-            key = -np.log(u[ok]) / wd[ok]
-            p, i, Xo = parts[ok], ids[ok], X[ok]
-            order = np.lexsort((i, key, p))
-            first = np.concatenate(([True], np.diff(p[order]) != 0))
-            sel = order[first]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(p[sel].astype(np.int32)), pa.array(key[sel]),
-                 pa.array(i[sel]), list_array(Xo[sel])],
-                names=["part", "key", "id", "v"])
-
-    return run
-
-
-def rows_kernel(bc, use_part: bool = True):
-    """Per point: ``(id, part, cid, d)`` of its closest centre."""
-
-    def run(batches):
-        table = bc.value
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            X = vector_matrix(batch.column("v"))
-            parts = _batch_parts(batch, use_part)
-            d, cid = nearest(X, parts, table)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(parts.astype(np.int32)), pa.array(cid),
-                 pa.array(d)], names=["id", "part", "cid", "d"])
-
-    return run
-
-
-def pairs_kernel(bc):
-    """Per point and centre: ``(id, cid, d)``; k is bounded by the centre table."""
-
-    def run(batches):
-        cids, M = bc.value.by_part[0]
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            X = vector_matrix(batch.column("v"))
-            ids = batch.column("id").to_numpy(zero_copy_only=False)
-            for s, e, D in _block_distances(X, M):
-                r = e - s
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids[s:e], len(cids))),
-                     pa.array(np.tile(cids, r)), pa.array(D.reshape(-1))],
-                    names=["id", "cid", "d"])
-
-    return run
-
-
-def objective_kernel(bc, use_part: bool = False):
-    """Per batch: number of points, sum of closest distances and of w * distance."""
-
-    def run(batches):
-        table = bc.value
-        n, sd, swd = 0, 0.0, 0.0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            X = vector_matrix(batch.column("v"))
-            parts = _batch_parts(batch, use_part)
-            w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
-            d, _ = nearest(X, parts, table)
-            n += batch.num_rows
-            sd += float(d.sum())
-            swd += float((w * d).sum())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([n], pa.int64()), pa.array([sd]), pa.array([swd])],
-            names=["n", "sum_d", "sum_wd"])
-
-    return run
-
-
 # --------------------------------------------------------------------------- Spark side
 
 def _with_part(points: DataFrame, use_part: bool) -> DataFrame:
@@ -344,7 +137,7 @@ def apply_kernel(points: DataFrame, centres: Centres, factory, schema: str,
         raise ValueError("centre set exceeds cairn.maxCentreBytes; use fewer centres")
     outs = []
     for chunk in chunks:
-        bc = sc.broadcast(chunk)
+        bc = sc.broadcast(chunk.by_part)  # plain dict of numpy arrays
         src = pts if len(chunks) == 1 else pts.where(F.col("part").isin(chunk.parts()))
         outs.append(src.mapInArrow(factory(bc), schema))
     out = outs[0]

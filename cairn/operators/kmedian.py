@@ -28,9 +28,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.random import hashed_bucket, hashed_uniform
+from cairn.operators import local
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
                                     kmedian_objective, race_kernel)
-from cairn.operators.sampling import grouped_race_draw
 
 
 def check_params(k: int, parts: int = 1, iters: int = 0) -> None:
@@ -52,6 +52,12 @@ def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
     w = F.col("w").cast("bigint") if "w" in points.columns else F.lit(1).cast("bigint")
     part = F.lit(0) if parts == 1 else hashed_bucket(seed, F.col("id"), parts)
     pts = points.select("id", "v", w.alias("w"), part.cast("int").alias("part"))
+    # Every round re-reads the points: an input with fewer partitions than task slots (one
+    # big row group, a coalesced source) is spread once by id hash.  A large input already
+    # has more partitions than slots and is left where it is (no shuffle).
+    slots = points.sparkSession.sparkContext.defaultParallelism
+    if pts.rdd.getNumPartitions() < slots:
+        pts = pts.repartition(slots, "id")
     if parts > 1:
         pts = pts.sortWithinPartitions("part")
     if persist:
@@ -70,16 +76,19 @@ def seed_centres(pts: DataFrame, k: int, seed: int, tag: str = "s",
     """Weighted D-seeding of every part at once (KM1): k jobs, each returning <= L rows."""
     check_params(k)
     src = pts if use_part else pts.withColumn("part", F.lit(0))
-    first = grouped_race_draw(src, "part", None, seed, f"{tag}0", carry=["v"]).collect()
-    rows = [(r.part, 0, r.v) for r in first]
-    chosen = [(r.part, 0, r.id) for r in first]
-    for i in range(1, k):
+    rows: list = []
+    chosen: list = []
+    for i in range(k):
         table = Centres.from_rows(rows)
         u = hashed_uniform(seed, f"{tag}{i}", F.col("id"))
-        partial = apply_kernel(src, table, lambda bc: race_kernel(bc, True), RACE_SCHEMA,
-                               use_part=True, extra={"u": u})
-        best = (partial.groupBy("part").agg(F.min(F.struct("key", "id", "v")).alias("b"))
-                .select("part", "b.id", "b.v").collect())
+        first = i == 0  # uniform draw of the first centre of each part
+        partial = apply_kernel(src, table, lambda bc: race_kernel(bc, True, uniform=first),
+                               RACE_SCHEMA, use_part=True, extra={"u": u})
+        if use_part:  # one winner per part: partial aggregation, <= L rows per task
+            best = (partial.groupBy("part").agg(F.min(F.struct("key", "id", "v")).alias("b"))
+                    .select("part", "b.id", "b.v").collect())
+        else:  # one winner: TakeOrderedAndProject, no shuffle stage
+            best = partial.orderBy("key", "id").limit(1).select("part", "id", "v").collect()
         if not best:
             break  # every remaining point coincides with a centre (C16)
         rows += [(r.part, i, r.v) for r in best]
@@ -162,8 +171,28 @@ def coreset_frame(spark: SparkSession, rows: list, k: int) -> DataFrame:
     return spark.createDataFrame(data, "id bigint, v array<double>, w bigint, part int, cid int")
 
 
-def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int) -> Centres:
-    """Round 2 (KM5): cluster the <= k*L weighted coreset centres into k (tags ``m<i>``)."""
+# Largest coreset (rows x dimension) merged on the driver; beyond it round 2 runs on Spark.
+LOCAL_MERGE_MAX_VALUES = 50_000_000
+
+
+def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int,
+                  engine: str | None = None) -> Centres:
+    """Round 2 (KM5): cluster the <= k*L weighted coreset centres into k (tags ``m<i>``).
+
+    ``engine='local'`` runs the Arrow kernels on the driver over the bounded coreset (the
+    default when it holds at most ``LOCAL_MERGE_MAX_VALUES`` numbers); ``'spark'`` runs the
+    same rounds as Spark jobs.  Both give the same centres."""
+    if not rows:
+        return Centres({})
+    size = len(rows) * len(rows[0][2])
+    if engine is None:
+        engine = "local" if size <= LOCAL_MERGE_MAX_VALUES else "spark"
+    if engine == "local":
+        ids = [int(p) * k + int(c) for p, c, _, _ in rows]
+        return local.weighted_kmedian(ids, [v for *_, v, _ in rows], [w for *_, w in rows],
+                                      k, iters, seed, "m")
+    if engine != "spark":
+        raise ValueError("engine must be 'local' or 'spark'")
     cs = coreset_frame(spark, rows, k).select("id", "v", "w")
     return weighted_kmedian(cs, k, iters, seed, tag="m")
 

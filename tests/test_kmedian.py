@@ -118,3 +118,42 @@ def test_objective_zero_when_every_point_is_a_centre(spark):
     pts = points_df(spark, [[float(i), 0.0] for i in range(6)])
     c = kmedian.weighted_kmedian(pts, 6, 0, seed=5)
     assert assign.kmedian_objective(pts, c).collect()[0].objective == 0.0
+
+
+def test_local_and_spark_merge_agree(spark):
+    pts = kmedian.prepare_points(tables.embedding_points(spark, SF01), 4, 42)
+    try:
+        rows = kmedian.coreset(pts, 5, 2, 42)
+    finally:
+        pts.unpersist()
+    a = kmedian.coreset_merge(spark, rows, 5, 2, 42, engine="local")
+    b = kmedian.coreset_merge(spark, rows, 5, 2, 42, engine="spark")
+    ra, rb = list(a.rows()), list(b.rows())
+    assert [(p, c) for p, c, _ in ra] == [(p, c) for p, c, _ in rb] and len(ra) == 5
+    for (_, _, va), (_, _, vb) in zip(ra, rb):
+        assert np.allclose(va, vb, rtol=1e-12, atol=1e-12)
+    with pytest.raises(ValueError):
+        kmedian.coreset_merge(spark, rows, 5, 2, 42, engine="gpu")
+
+
+def test_kernels_ship_without_the_package(tmp_path):
+    """Task closures are pickled by value: a process without the package can run them."""
+    import subprocess
+    import sys
+    from pyspark import cloudpickle
+    from cairn.operators import assign  # noqa: F401  (registers the kernels by value)
+    from cairn.operators.kernels import stats_kernel
+
+    class BC:
+        value = {0: (np.array([0], dtype=np.int32), np.zeros((1, 2)))}
+
+    blob = tmp_path / "k.pkl"
+    blob.write_bytes(cloudpickle.dumps(stats_kernel(BC(), True)))
+    code = ("import pickle, pyarrow as pa, sys; f = pickle.loads(open(sys.argv[1], 'rb').read());"
+            "b = pa.RecordBatch.from_pydict({'id': [1], 'v': [[3.0, 4.0]], 'w': [1], 'part': [0]});"
+            "print(sum(x.num_rows for x in f([b])))")
+    out = subprocess.run([sys.executable, "-c", code, str(blob)], cwd=str(tmp_path),
+                         capture_output=True, text=True, timeout=60,
+                         env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
+    assert out.returncode == 0, out.stderr
+    assert out.stdout.strip() == "5"
