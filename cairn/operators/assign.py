@@ -35,7 +35,7 @@ cloudpickle.register_pickle_by_value(kernels)
 DEFAULT_MAX_CENTRE_BYTES = 256 << 20
 STATS_SCHEMA = "part int, cid int, pos int, val double"
 RACE_SCHEMA = "part int, key double, id bigint, v array<double>"
-ROWS_SCHEMA = "id bigint, part int, cid int, d double"
+ROWS_SCHEMA = "id bigint, part int, cid int, d double, w bigint"
 PAIRS_SCHEMA = "id bigint, cid int, d double"
 OBJECTIVE_SCHEMA = "n bigint, sum_d double, sum_wd double"
 
@@ -172,11 +172,13 @@ def pairwise_distance(points: DataFrame, centres_df: DataFrame) -> DataFrame:
     return apply_kernel(points, c, lambda bc: pairs_kernel(bc), PAIRS_SCHEMA, use_part=False)
 
 
-def closest_center(points: DataFrame, centres_df: DataFrame) -> DataFrame:
-    """``(id, cid, d)``: the closest centre of every point, lowest cid on ties (JN1, TOP3)."""
+def closest_center(points: DataFrame, centres_df: DataFrame, keep_weight: bool = False) -> DataFrame:
+    """``(id, cid, d[, w])``: the closest centre of every point, lowest cid on ties (JN1, TOP3).
+    ``keep_weight`` passes the point's weight through, so no join back is needed."""
     c = centres_of(centres_df)
+    cols = ["id", "cid", "d"] + (["w"] if keep_weight else [])
     return (apply_kernel(points, c, lambda bc: rows_kernel(bc, False), ROWS_SCHEMA,
-                         use_part=False).select("id", "cid", "d"))
+                         use_part=False).select(*cols))
 
 
 def closest_center_sql(points: DataFrame, centres_df: DataFrame) -> DataFrame:

@@ -204,7 +204,7 @@ def race_kernel(bc, use_part: bool = True, uniform: bool = False):
 
 
 def rows_kernel(bc, use_part: bool = True):
-    """Per point: ``(id, part, cid, d)`` of its closest centre."""
+    """Per point: ``(id, part, cid, d, w)`` of its closest centre (w passed through)."""
 
     def run(batches):
         table = bc.value
@@ -216,7 +216,7 @@ def rows_kernel(bc, use_part: bool = True):
             d, cid = nearest(X, parts, table)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), pa.array(parts.astype(np.int32)), pa.array(cid),
-                 pa.array(d)], names=["id", "part", "cid", "d"])
+                 pa.array(d), batch.column("w")], names=["id", "part", "cid", "d", "w"])
 
     return run
 

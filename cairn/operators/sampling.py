@@ -66,18 +66,24 @@ def _range_buckets(df: DataFrame, order_col: str, buckets: int) -> Column:
 
 
 def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",
-                     buckets: int | None = None) -> DataFrame:
+                     buckets: int | None = None, key_source: DataFrame | None = None) -> DataFrame:
     """``(order_col, p, cum)``: each row's share ``value / total`` and the running share in
-    ``order_col`` order (WIN1, PRJ10).  ``order_col`` must be unique."""
+    ``order_col`` order (WIN1, PRJ10).  ``order_col`` must be unique.
+
+    The range cut points are approximate quantiles of ``order_col`` taken from
+    ``key_source`` (default ``df``): pass a cheap frame with the same keys, e.g. the base
+    table, when ``df`` is expensive to compute.  Bucket totals are read off the windowed
+    frame, so the input is shuffled once."""
     spark = df.sparkSession
     if buckets is None:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     rows = df.select(F.col(order_col), value.cast("double").alias("val"))
-    rows = rows.withColumn("bucket", _range_buckets(rows, order_col, buckets))
+    keys = (key_source if key_source is not None else rows).select(order_col)
+    rows = rows.withColumn("bucket", _range_buckets(keys, order_col, buckets))
     within = Window.partitionBy("bucket").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     run = rows.withColumn("run", F.sum("val").over(within))
-    totals = rows.groupBy("bucket").agg(F.sum("val").alias("btotal"))
+    totals = run.groupBy("bucket").agg(F.sum("val").alias("btotal"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "bucket", F.coalesce(F.sum("btotal").over(before), F.lit(0.0)).alias("offset"),
@@ -89,8 +95,8 @@ def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",
 
 
 def cdf_draw(df: DataFrame, value: Column, x: float, order_col: str = "id",
-             buckets: int | None = None) -> DataFrame:
+             buckets: int | None = None, key_source: DataFrame | None = None) -> DataFrame:
     """Inverse-CDF draw for a given ``x`` in [0, 1]: the first row in ``order_col`` order
     whose running share reaches ``x`` (WIN1 + FLT1)."""
-    cum = cumulative_share(df, value, order_col, buckets)
+    cum = cumulative_share(df, value, order_col, buckets, key_source)
     return cum.where(F.col("cum") >= F.lit(x)).agg(F.min(order_col).alias(order_col))

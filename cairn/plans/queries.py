@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cairn.functions.random import hashed_bucket, hashed_uniform
+from cairn.functions.random import hashed_bucket
 from cairn.functions.vectors import as_vector, parse_vector
 from cairn.operators import assign, kmedian, sampling, stats, wordcount
 from cairn.operators.assign import Centres
@@ -187,9 +187,12 @@ def q_weights_lookup(spark, sf):
 def _wd_frame(spark, sf):
     """Weighted points with ``wd = w * d`` to the first centres (for the draws)."""
     pts = _weighted_points(spark, sf)
-    d = assign.closest_center(pts, _first_centres(pts))
-    return pts.select("id", "w").join(d.select("id", "d"), "id").withColumn(
-        "wd", F.col("w") * F.col("d"))
+    d = assign.closest_center(pts, _first_centres(pts), keep_weight=True)
+    return d.select("id", "w", (F.col("w") * F.col("d")).alias("wd"))
+
+
+def _ids(spark, sf):
+    return tables.table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"))
 
 
 def q_weighted_distance_total(spark, sf):
@@ -199,12 +202,14 @@ def q_weighted_distance_total(spark, sf):
 
 
 def q_cumulative_probability(spark, sf):
-    c = sampling.cumulative_share(_wd_frame(spark, sf), F.col("wd"), "id")
+    c = sampling.cumulative_share(_wd_frame(spark, sf), F.col("wd"), "id",
+                                  key_source=_ids(spark, sf))
     return c.select("id", _r("p", NORM_DIGITS).alias("p"), _r("cum", NORM_DIGITS).alias("cum"))
 
 
 def q_weighted_draw_cdf(spark, sf):
-    return sampling.cdf_draw(_wd_frame(spark, sf), F.col("wd"), CDF_X, "id")
+    return sampling.cdf_draw(_wd_frame(spark, sf), F.col("wd"), CDF_X, "id",
+                             key_source=_ids(spark, sf))
 
 
 def q_uniform_draw(spark, sf):
@@ -345,6 +350,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coreset_merge": q_coreset_merge,
     "coreset_kmedian": q_coreset_kmedian,
 }
-
-# Unused import guard for linters: hashed_uniform is part of the public recipe.
-_ = hashed_uniform
