@@ -1,0 +1,10 @@
+"""Structured Streaming form of the word count.
+
+The reference processes bounded inputs only; this package adds no new operator.  It runs the
+same word count (AGG9, Java-split tokens) incrementally over a file stream, with its state and
+progress in a checkpoint under the shared ``spark.checkpoint.dir``.
+"""
+
+from cairn.streaming.wordcount import start_word_count, word_count_stream
+
+__all__ = ["start_word_count", "word_count_stream"]

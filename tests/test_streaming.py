@@ -1,0 +1,22 @@
+"""The streaming word count equals the batch one."""
+
+import os
+
+from cairn.operators import wordcount
+from cairn.streaming import start_word_count
+
+
+def test_stream_equals_batch(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    texts = ["a b a", "", "b  c ", "Cat cat"]
+    for i, t in enumerate(texts):
+        (src / f"f{i}.txt").write_text(t + "\n")
+    q = start_word_count(spark, str(src), query_name="wc_test", output_mode="complete",
+                         checkpoint=os.path.join(str(tmp_path), "ckpt"), available_now=True,
+                         max_files_per_trigger=1)
+    q.awaitTermination(120)
+    got = {r.word: r.n for r in spark.sql("SELECT * FROM wc_test").collect()}
+    q.stop()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert got == {r.word: r.n for r in wordcount.word_count(docs).collect()}
