@@ -120,10 +120,10 @@ def centre_weights(pts: DataFrame, centres: Centres, use_part: bool = True) -> d
 
 
 def weighted_kmedian(points: DataFrame, k: int, iters: int, seed: int = 0, tag: str = "s",
-                     prepared: bool = False) -> Centres:
+                     prepared: bool = False, persist: bool = True) -> Centres:
     """Seeding + Lloyd over one weighted table (KM3, KM7); returns the centres (part 0)."""
     check_params(k, 1, iters)
-    pts = points if prepared else prepare_points(points, 1, seed)
+    pts = points if prepared else prepare_points(points, 1, seed, persist)
     try:
         seeded = seed_centres(pts, k, seed, tag, use_part=False)
         return lloyd(pts, seeded.centres, iters, use_part=False)
@@ -197,17 +197,20 @@ def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int
     return weighted_kmedian(cs, k, iters, seed, tag="m")
 
 
-def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int,
-                    seed: int = 0) -> KMedianResult:
-    """3-round k-median (KM6): coreset of each part, merge, objective over all points."""
+def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
+                    persist: bool = True, merge_engine: str | None = None) -> KMedianResult:
+    """3-round k-median (KM6): coreset of each part, merge, objective over all points.
+
+    ``persist=False`` re-reads the source in each of the k + iter + 2 passes instead of
+    caching the points (for inputs larger than the cluster's memory and disk)."""
     check_params(k, parts, iters)
     spark = points.sparkSession
-    pts = prepare_points(points, parts, seed)
+    pts = prepare_points(points, parts, seed, persist)
     try:
         t0 = time.perf_counter()
         rows = coreset(pts, k, iters, seed)
         t1 = time.perf_counter()
-        centres = coreset_merge(spark, rows, k, iters, seed)
+        centres = coreset_merge(spark, rows, k, iters, seed, merge_engine)
         t2 = time.perf_counter()
         res = kmedian_objective(pts, centres).collect()[0]
         t3 = time.perf_counter()
