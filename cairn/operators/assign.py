@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cairn.functions.vectors import euclidean
 from cairn.operators import kernels
@@ -226,9 +226,10 @@ def weighted_centroids(points: DataFrame, centres_df: DataFrame) -> DataFrame:
                            use_part=False)
     sums = partial.where((F.col("pos") >= 0) | (F.col("pos") == POS_WEIGHT)) \
         .groupBy("cid", "pos").agg(F.sum("val").alias("val"))
-    sw = sums.where(F.col("pos") == POS_WEIGHT).select("cid", F.col("val").alias("sw"))
-    coords = sums.where(F.col("pos") >= 0)
-    return (coords.join(sw.where(F.col("sw") > 0), "cid")
+    # the cluster weight is a row of the same (k * (d + 1)-row) aggregate: one scan
+    sw = F.max(F.when(F.col("pos") == POS_WEIGHT, F.col("val"))).over(Window.partitionBy("cid"))
+    return (sums.withColumn("sw", sw)
+            .where((F.col("pos") >= 0) & (F.col("sw") > 0))
             .select("cid", "pos", (F.col("val") / F.col("sw")).alias("x")))
 
 
