@@ -121,11 +121,14 @@ def _with_part(points: DataFrame, use_part: bool) -> DataFrame:
 
 
 def apply_kernel(points: DataFrame, centres: Centres, factory, schema: str,
-                 use_part: bool = True, extra: dict | None = None) -> DataFrame:
+                 use_part: bool = True, extra: dict | None = None,
+                 broadcasts: list | None = None) -> DataFrame:
     """Run ``factory(broadcast)`` over the points with the centres broadcast.
 
     The centre table is broadcast whole when it fits ``cairn.maxCentreBytes``; otherwise
     the parts are processed in chunks (each a filtered scan) and the outputs unioned.
+    Callers that execute the result eagerly pass ``broadcasts`` to collect the broadcast
+    handles and release them afterwards (``release``).
     """
     spark = points.sparkSession
     sc = spark.sparkContext
@@ -138,6 +141,8 @@ def apply_kernel(points: DataFrame, centres: Centres, factory, schema: str,
     outs = []
     for chunk in chunks:
         bc = sc.broadcast(chunk.by_part)  # plain dict of numpy arrays
+        if broadcasts is not None:
+            broadcasts.append(bc)
         src = pts if len(chunks) == 1 else pts.where(F.col("part").isin(chunk.parts()))
         outs.append(src.mapInArrow(factory(bc), schema))
     out = outs[0]
@@ -146,11 +151,23 @@ def apply_kernel(points: DataFrame, centres: Centres, factory, schema: str,
     return out
 
 
+def release(broadcasts: list) -> None:
+    """Drop the executors' copies of finished broadcasts (they are re-sent if needed)."""
+    for bc in broadcasts:
+        bc.unpersist()
+    broadcasts.clear()
+
+
 def cluster_stats(points: DataFrame, centres: Centres, use_part: bool = True) -> dict:
     """``{(part, cid): (count, sum_w, sum_wd, sum_wv[d])}`` after assignment (one job)."""
-    partial = apply_kernel(points, centres, stats_kernel, STATS_SCHEMA, use_part)
-    rows = (partial.groupBy("part", "cid", "pos").agg(F.sum("val").alias("val"))
-            .collect())
+    held: list = []
+    partial = apply_kernel(points, centres, stats_kernel, STATS_SCHEMA, use_part,
+                           broadcasts=held)
+    try:
+        rows = (partial.groupBy("part", "cid", "pos").agg(F.sum("val").alias("val"))
+                .collect())
+    finally:
+        release(held)
     acc: dict = {}
     for r in rows:
         acc.setdefault((r.part, r.cid), {})[r.pos] = r.val

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cairn.functions.random import hashed_bucket, hashed_uniform
 from cairn.operators import local
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
-                                    kmedian_objective, race_kernel)
+                                    kmedian_objective, race_kernel, release)
 
 
 def check_params(k: int, parts: int = 1, iters: int = 0) -> None:
@@ -82,13 +82,19 @@ def seed_centres(pts: DataFrame, k: int, seed: int, tag: str = "s",
         table = Centres.from_rows(rows)
         u = hashed_uniform(seed, f"{tag}{i}", F.col("id"))
         first = i == 0  # uniform draw of the first centre of each part
+        held: list = []
         partial = apply_kernel(src, table, lambda bc: race_kernel(bc, True, uniform=first),
-                               RACE_SCHEMA, use_part=True, extra={"u": u})
-        if use_part:  # one winner per part: partial aggregation, <= L rows per task
-            best = (partial.groupBy("part").agg(F.min(F.struct("key", "id", "v")).alias("b"))
-                    .select("part", "b.id", "b.v").collect())
-        else:  # one winner: TakeOrderedAndProject, no shuffle stage
-            best = partial.orderBy("key", "id").limit(1).select("part", "id", "v").collect()
+                               RACE_SCHEMA, use_part=True, extra={"u": u}, broadcasts=held)
+        try:
+            if use_part:  # one winner per part: partial aggregation, <= L rows per task
+                best = (partial.groupBy("part")
+                        .agg(F.min(F.struct("key", "id", "v")).alias("b"))
+                        .select("part", "b.id", "b.v").collect())
+            else:  # one winner: TakeOrderedAndProject, no shuffle stage
+                best = (partial.orderBy("key", "id").limit(1).select("part", "id", "v")
+                        .collect())
+        finally:
+            release(held)
         if not best:
             break  # every remaining point coincides with a centre (C16)
         rows += [(r.part, i, r.v) for r in best]
