@@ -255,8 +255,8 @@ def kmedian_objective(points: DataFrame, centres_df: DataFrame | Centres) -> Dat
     c = centres_df if isinstance(centres_df, Centres) else centres_of(centres_df)
     part = apply_kernel(points, c, lambda bc: objective_kernel(bc, False), OBJECTIVE_SCHEMA,
                         use_part=False)
-    return part.agg(F.sum("n").alias("n"),
-                    (F.sum("sum_d") / F.sum("n")).alias("objective"))
+    return part.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+                    F.try_divide(F.sum("sum_d"), F.sum("n")).alias("objective"))
 
 
 def weighted_distance_total(points: DataFrame, centres_df: DataFrame) -> DataFrame:

@@ -143,7 +143,7 @@ class KMedianResult:
     centres: Centres
     coreset: list            # (part, cid, v, w)
     n: int
-    objective: float
+    objective: float | None  # None (NULL) for an empty input (C8)
     timings: dict            # seconds of rounds 1, 2, 3 (MET2)
     k: int
     parts: int
@@ -223,7 +223,7 @@ def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int
     finally:
         pts.unpersist()
     return KMedianResult(centres, rows, int(res.n or 0),
-                         float(res.objective) if res.objective is not None else float("nan"),
+                         float(res.objective) if res.objective is not None else None,
                          {"round1": t1 - t0, "round2": t2 - t1, "round3": t3 - t2},
                          k, parts, iters)
 

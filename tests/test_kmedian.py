@@ -157,3 +157,11 @@ def test_kernels_ship_without_the_package(tmp_path):
                          env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
     assert out.returncode == 0, out.stderr
     assert out.stdout.strip() == "5"
+
+
+def test_empty_input_gives_null_objective(spark):
+    empty = spark.createDataFrame([], "id bigint, v array<double>, w bigint")
+    res = kmedian.coreset_kmedian(empty, 3, 2, 1, seed=1)
+    assert (res.n, res.objective, res.coreset) == (0, None, [])
+    row = res.summary(spark).collect()[0]
+    assert row.n == 0 and row.objective is None
