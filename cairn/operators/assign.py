@@ -159,23 +159,36 @@ def release(broadcasts: list) -> None:
 
 
 def cluster_stats(points: DataFrame, centres: Centres, use_part: bool = True) -> dict:
-    """``{(part, cid): (count, sum_w, sum_wd, sum_wv[d])}`` after assignment (one job)."""
+    """``{(part, cid): (count, sum_w, sum_wd, sum_wv[d])}`` after assignment (one job).
+
+    The merged partial sums (at most L*k*(d+3) numbers, set by the parameters) come back as
+    one Arrow table, not as Python rows."""
     held: list = []
     partial = apply_kernel(points, centres, stats_kernel, STATS_SCHEMA, use_part,
                            broadcasts=held)
     try:
-        rows = (partial.groupBy("part", "cid", "pos").agg(F.sum("val").alias("val"))
-                .collect())
+        table = (partial.groupBy("part", "cid", "pos").agg(F.sum("val").alias("val"))
+                 .toArrow())
     finally:
         release(held)
-    acc: dict = {}
-    for r in rows:
-        acc.setdefault((r.part, r.cid), {})[r.pos] = r.val
+    if table.num_rows == 0:
+        return {}
+    part = table.column("part").to_numpy()
+    cid = table.column("cid").to_numpy()
+    pos = table.column("pos").to_numpy()
+    val = table.column("val").to_numpy()
+    order = np.lexsort((pos, cid, part))
+    part, cid, pos, val = part[order], cid[order], pos[order], val[order]
+    starts = np.flatnonzero(np.concatenate(
+        ([True], (np.diff(part) != 0) | (np.diff(cid) != 0))))
+    ends = np.concatenate((starts[1:], [len(part)]))
     out = {}
-    for key, m in acc.items():
-        dim = max(m) + 1 if max(m) >= 0 else 0
-        out[key] = (int(round(m[POS_COUNT])), m[POS_WEIGHT], m[POS_WDIST],
-                    np.array([m[i] for i in range(dim)], dtype=np.float64))
+    for s_, e_ in zip(starts, ends):
+        m = dict(zip(pos[s_:e_].tolist(), val[s_:e_]))
+        dim = int(pos[e_ - 1]) + 1 if pos[e_ - 1] >= 0 else 0
+        vec = val[e_ - dim:e_] if dim else np.zeros(0)
+        out[(int(part[s_]), int(cid[s_]))] = (int(round(m[POS_COUNT])), float(m[POS_WEIGHT]),
+                                              float(m[POS_WDIST]), np.array(vec))
     return out
 
 

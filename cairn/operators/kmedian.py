@@ -43,6 +43,20 @@ def check_params(k: int, parts: int = 1, iters: int = 0) -> None:
         raise ValueError("iter must be >= 0")
 
 
+# Ceiling for the centre table the driver holds between rounds (k * parts * d doubles).
+DEFAULT_MAX_DRIVER_CENTRE_BYTES = 2 << 30
+
+
+def check_centre_budget(spark: SparkSession, k: int, parts: int, dim: int) -> None:
+    """Refuse parameters whose centre table could not be held on the driver."""
+    limit = int(spark.conf.get("cairn.maxDriverCentreBytes",
+                               str(DEFAULT_MAX_DRIVER_CENTRE_BYTES)))
+    need = 8 * k * parts * dim
+    if need > limit:
+        raise ValueError(f"k * parts * dim = {k} * {parts} * {dim} needs {need} bytes of "
+                         f"centres on the driver (> cairn.maxDriverCentreBytes = {limit})")
+
+
 def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
                    persist: bool = True) -> DataFrame:
     """``(id, v, w, part)``: ``part`` is a hash of (seed, id) in [0, parts), balanced
@@ -99,6 +113,8 @@ def seed_centres(pts: DataFrame, k: int, seed: int, tag: str = "s",
             break  # every remaining point coincides with a centre (C16)
         rows += [(r.part, i, r.v) for r in best]
         chosen += [(r.part, i, r.id) for r in best]
+        if i == 0:
+            check_centre_budget(pts.sparkSession, k, len(best), len(best[0].v))
     return Seeding(Centres.from_rows(rows), chosen)
 
 

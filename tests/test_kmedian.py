@@ -165,3 +165,13 @@ def test_empty_input_gives_null_objective(spark):
     assert (res.n, res.objective, res.coreset) == (0, None, [])
     row = res.summary(spark).collect()[0]
     assert row.n == 0 and row.objective is None
+
+
+def test_driver_centre_budget(spark):
+    pts = points_df(spark, [[float(i), 0.0] for i in range(10)])
+    spark.conf.set("cairn.maxDriverCentreBytes", "100")
+    try:
+        with pytest.raises(ValueError):
+            kmedian.coreset_kmedian(pts, 5, 2, 1, seed=1)
+    finally:
+        spark.conf.unset("cairn.maxDriverCentreBytes")
