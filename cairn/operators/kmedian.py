@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.random import hashed_bucket, hashed_uniform
 from cairn.operators import local
+from cairn.session import checkpoint_dir
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
                                     kmedian_objective, race_kernel, release)
 
@@ -58,7 +59,7 @@ def check_centre_budget(spark: SparkSession, k: int, parts: int, dim: int) -> No
 
 
 def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
-                   persist: bool = True) -> DataFrame:
+                   persist: bool | str = True) -> DataFrame:
     """``(id, v, w, part)``: ``part`` is a hash of (seed, id) in [0, parts), balanced
     whatever the ids look like and independent of the physical layout (PHY2 as a column).
     Rows are sorted by part inside each partition (no shuffle) so an Arrow batch holds few
@@ -74,9 +75,25 @@ def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
         pts = pts.repartition(slots, "id")
     if parts > 1:
         pts = pts.sortWithinPartitions("part")
-    if persist:
-        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
-    return pts
+    return _store(pts, persist)
+
+
+def _store(pts: DataFrame, persist: bool | str) -> DataFrame:
+    """Keep the prepared points for the k + iter + 2 passes.
+
+    ``True``/``'memory'``: ``persist(MEMORY_AND_DISK)`` (lost blocks are recomputed from the
+    source).  ``'checkpoint'``: a reliable checkpoint in the shared ``spark.checkpoint.dir``;
+    lineage is cut, so a lost executor never forces a re-read or re-shuffle of the source.
+    ``False``/``'none'``: every pass re-reads the source with column pruning."""
+    mode = {True: "memory", False: "none"}.get(persist, persist)
+    if mode == "memory":
+        return pts.persist(StorageLevel.MEMORY_AND_DISK)
+    if mode == "checkpoint":
+        checkpoint_dir(pts.sparkSession)
+        return pts.checkpoint(eager=True)
+    if mode == "none":
+        return pts
+    raise ValueError("persist must be True, False, 'memory', 'checkpoint' or 'none'")
 
 
 @dataclass
@@ -142,7 +159,7 @@ def centre_weights(pts: DataFrame, centres: Centres, use_part: bool = True) -> d
 
 
 def weighted_kmedian(points: DataFrame, k: int, iters: int, seed: int = 0, tag: str = "s",
-                     prepared: bool = False, persist: bool = True) -> Centres:
+                     prepared: bool = False, persist: bool | str = True) -> Centres:
     """Seeding + Lloyd over one weighted table (KM3, KM7); returns the centres (part 0)."""
     check_params(k, 1, iters)
     pts = points if prepared else prepare_points(points, 1, seed, persist)
@@ -220,11 +237,12 @@ def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int
 
 
 def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
-                    persist: bool = True, merge_engine: str | None = None) -> KMedianResult:
+                    persist: bool | str = True, merge_engine: str | None = None) -> KMedianResult:
     """3-round k-median (KM6): coreset of each part, merge, objective over all points.
 
-    ``persist=False`` re-reads the source in each of the k + iter + 2 passes instead of
-    caching the points (for inputs larger than the cluster's memory and disk)."""
+    ``persist`` chooses how the prepared points are kept for the k + iter + 2 passes
+    (``True``/``'memory'``, ``'checkpoint'`` into the shared checkpoint dir, or
+    ``False``/``'none'`` to re-read the source each pass)."""
     check_params(k, parts, iters)
     spark = points.sparkSession
     pts = prepare_points(points, parts, seed, persist)

@@ -78,7 +78,8 @@ def main():
     names = sys.argv[2:]
     from cairn.session import get_spark
     import __spark_entry__ as E
-    spark = get_spark("local[8]", 8)
+    spark = get_spark(os.environ.get("CHECK_MASTER", "local[8]"),
+                      int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")))
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     results = []

@@ -175,3 +175,13 @@ def test_driver_centre_budget(spark):
             kmedian.coreset_kmedian(pts, 5, 2, 1, seed=1)
     finally:
         spark.conf.unset("cairn.maxDriverCentreBytes")
+
+
+@pytest.mark.parametrize("mode", ["memory", "checkpoint", "none"])
+def test_storage_modes_agree(spark, mode):
+    pts = tables.embedding_points(spark, SF001)
+    res = kmedian.coreset_kmedian(pts, 3, 2, 1, seed=5, persist=mode)
+    base = kmedian.coreset_kmedian(pts, 3, 2, 1, seed=5)
+    assert res.objective == pytest.approx(base.objective, rel=1e-12)
+    with pytest.raises(ValueError):
+        kmedian.prepare_points(pts, 1, 0, persist="disk")
