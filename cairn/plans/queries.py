@@ -51,8 +51,12 @@ def _weights(spark, sf):
 
 
 def _first_centres(points: DataFrame, n: int = N_CENTRES) -> DataFrame:
-    """The ``n`` lowest-id points as centres ``(cid, v)`` (TakeOrderedAndProject, n rows)."""
-    first = points.select("id", "v").orderBy("id").limit(n)
+    """The ``n`` lowest-id points as centres ``(cid, id, v)``.
+
+    The ids come from a scan of the id column only (TakeOrderedAndProject keeps n per task);
+    the vectors are then fetched with an ``IN`` filter that Parquet can push down."""
+    ids = [r.id for r in points.select("id").orderBy("id").limit(n).collect()]
+    first = points.where(F.col("id").isin(ids)).select("id", "v")
     return first.select(
         (F.row_number().over(Window.orderBy("id")) - 1).cast("int").alias("cid"), "id", "v")
 
