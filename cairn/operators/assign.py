@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from cairn.functions.vectors import euclidean
 from cairn.operators import kernels
 from cairn.operators.kernels import (POS_COUNT, POS_WDIST, POS_WEIGHT, objective_kernel,
-                                     pairs_kernel, race_kernel, rows_kernel, stats_kernel)
+                                     pairs_kernel, rows_kernel, stats_kernel)
 
 # Ship the kernels with the task closures instead of requiring the package on executors.
 cloudpickle.register_pickle_by_value(kernels)

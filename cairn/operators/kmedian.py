@@ -2,7 +2,7 @@
 
 All L parts of a coreset are clustered *in lock-step*: every seeding or Lloyd round is one
 Spark job over all points (scan -> Arrow kernel -> aggregate keyed by part), so a part is
-never gathered into one task, whatever its size, and the points are never shuffled.  What
+never gathered into one task, whatever its size, and the points are never shuffled by part.  What
 stays on the driver between rounds is only the centre table: at most k centres of d doubles
 for each of L parts, a size fixed by the parameters.  Each job's lineage is the scan of the
 points plus that table, so a lost executor costs a re-run of its tasks, never a replay of
@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.random import hashed_bucket, hashed_uniform
 from cairn.operators import local
-from cairn.session import checkpoint_dir
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
-                                    kmedian_objective, race_kernel, release)
+                                    kmedian_objective, release)
+from cairn.operators.kernels import race_kernel
+from cairn.session import checkpoint_dir
 
 
 def check_params(k: int, parts: int = 1, iters: int = 0) -> None:
