@@ -274,4 +274,10 @@ def oracle_sql() -> dict[str, str]:
         "coreset": _coreset(),
         "coreset_merge": _coreset_merge(),
         "coreset_kmedian": _coreset_kmedian(),
+        "numeric_statistics": f"""WITH {_PRICES}
+            SELECT count(*)::BIGINT AS n, max(x) AS max_reduce, max(x) AS max_ordered,
+                   min(x) AS min_ordered, round(avg(z), {NORM_DIGITS}) AS mean_norm,
+                   round(var_pop(z), {NORM_DIGITS}) AS var_norm FROM z""",
+        "word_count_summary": f"""SELECT sum(n)::BIGINT AS n_tokens, count(*)::BIGINT AS n_words,
+            round(avg(length(word)), {DIGITS}) AS avg_len FROM ({wc})""",
     }

@@ -13,6 +13,7 @@ from cairn.functions.random import hashed_bucket
 from cairn.functions.vectors import as_vector, parse_vector
 from cairn.operators import assign, kmedian, sampling, stats, wordcount
 from cairn.operators.assign import Centres
+from cairn.plans import programs
 from cairn.plans.params import (CDF_X, DIGITS, ITER, K, L, N_CENTRES, NORM_DIGITS, SALT_K,
                                 SEED, SEQ_ITER, SEQ_K, WC_PARTS)
 from cairn.sources import tables
@@ -314,6 +315,22 @@ def q_coreset_kmedian(spark, sf):
     return res.summary(spark).withColumn("objective", _r("objective"))
 
 
+# ----------------------------------------------------------------------------- programs
+
+def q_numeric_statistics(spark, sf):
+    """The statistics program's whole output in one row."""
+    r = programs.numeric_report(_prices(spark, sf))
+    return r.select("n", "max_reduce", "max_ordered", "min_ordered",
+                    _r("mean_norm", NORM_DIGITS).alias("mean_norm"),
+                    _r("var_norm", NORM_DIGITS).alias("var_norm"))
+
+
+def q_word_count_summary(spark, sf):
+    """The word-count program's counts: tokens, distinct words, their average length."""
+    r = programs.word_count_summary(_docs(spark, sf))
+    return r.select("n_tokens", "n_words", _r("avg_len").alias("avg_len"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "num_parse": q_num_parse,
     "max_reduce": q_max_reduce,
@@ -353,4 +370,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coreset": q_coreset,
     "coreset_merge": q_coreset_merge,
     "coreset_kmedian": q_coreset_kmedian,
+    "numeric_statistics": q_numeric_statistics,
+    "word_count_summary": q_word_count_summary,
 }

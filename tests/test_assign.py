@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from cairn.operators import assign
 from cairn.operators.assign import Centres
@@ -54,8 +54,7 @@ def test_ragged_vectors_fail(spark):
 def test_kernels_agree_on_embeddings(spark):
     pts = tables.embedding_points(spark, SF01)
     c = pts.orderBy("id").limit(7).select(
-        (F.row_number().over(__import__("pyspark.sql").sql.Window.orderBy("id")) - 1)
-        .cast("int").alias("cid"), "v")
+        (F.row_number().over(Window.orderBy("id")) - 1).cast("int").alias("cid"), "v")
     a = {r.id: (r.cid, r.d) for r in assign.closest_center(pts, c).collect()}
     b = {r.id: (r.cid, r.d) for r in assign.closest_center_sql(pts, c).collect()}
     assert a.keys() == b.keys() and len(a) == 500
