@@ -262,3 +262,112 @@ def objective_kernel(bc, use_part: bool = False):
             names=["n", "sum_d", "sum_wd"])
 
     return run
+
+
+# ------------------------------------------------------------------ one weighted set in memory
+# Used for the merge round on the driver and for one coreset part inside a grouped task.  The
+# arithmetic is that of the kernels above, fed with one batch, so both engines agree.
+
+# Fixed values, as in the Spark/SQL uniform: 13 hex digits (52 bits) and 2**52.
+_HEX_DIGITS = 13
+_SCALE = 4503599627370496.0
+
+
+class _Value:
+    """Stands in for a broadcast variable."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def md5_uniform(seed: int, tag: str, ids) -> np.ndarray:
+    """The hashed uniform of ``(seed, tag, id)`` computed with hashlib."""
+    import hashlib
+    return np.array([(int(hashlib.md5(f"{seed}:{tag}:{int(i)}".encode()).hexdigest()[:_HEX_DIGITS],
+                          16) + 0.5) / _SCALE for i in ids])
+
+
+def table_of(rows) -> dict:
+    """``{part: (cids ascending, matrix)}`` from ``(part, cid, vector)`` rows."""
+    acc: dict = {}
+    for part, cid, v in rows:
+        acc.setdefault(int(part), []).append((int(cid), np.asarray(v, dtype=np.float64)))
+    out = {}
+    for part, items in acc.items():
+        items.sort(key=lambda t: t[0])
+        out[part] = (np.array([c for c, _ in items], dtype=np.int32),
+                     np.vstack([v for _, v in items]))
+    return out
+
+
+def _one_batch(ids, X, w, u=None) -> pa.RecordBatch:
+    cols = [pa.array(ids, pa.int64()), list_array(X), pa.array(w, pa.int64()),
+            pa.array(np.zeros(len(ids), dtype=np.int32))]
+    names = ["id", "v", "w", "part"]
+    if u is not None:
+        cols.append(pa.array(u))
+        names.append("u")
+    return pa.RecordBatch.from_arrays(cols, names=names)
+
+
+def _sums_by_cid(ids, X, w, rows) -> dict:
+    """``{cid: {pos: sum}}`` of the stats kernel over one set (part 0)."""
+    acc: dict = {}
+    for b in stats_kernel(_Value(table_of(rows)), True)([_one_batch(ids, X, w)]):
+        for cid, pos, val in zip(b.column("cid").to_pylist(), b.column("pos").to_pylist(),
+                                 b.column("val").to_pylist()):
+            acc.setdefault(cid, {})[pos] = val
+    return acc
+
+
+def seed_in_memory(ids, X, w, k: int, seed: int, tag: str) -> list:
+    """Weighted D-seeding of one set; ``(0, cid, v)`` rows in draw order."""
+    rows: list = []
+    for i in range(k):
+        u = md5_uniform(seed, f"{tag}{i}", ids)
+        out = list(race_kernel(_Value(table_of(rows)), True, uniform=(i == 0))(
+            [_one_batch(ids, X, w, u)]))
+        if not out:
+            break
+        rows.append((0, i, np.asarray(out[0].column("v")[0].as_py(), dtype=np.float64)))
+    return rows
+
+
+def lloyd_in_memory(ids, X, w, rows: list, iters: int) -> list:
+    """Lloyd steps on one set; empty clusters dropped, ids renumbered."""
+    for _ in range(iters):
+        acc = _sums_by_cid(ids, X, w, rows)
+        rows = []
+        for cid in sorted(acc):
+            m = acc[cid]
+            if m[POS_WEIGHT] > 0:
+                dim = max(m) + 1
+                rows.append((0, len(rows), np.array([m[p] for p in range(dim)]) / m[POS_WEIGHT]))
+    return rows
+
+
+def coreset_part_fn(k: int, iters: int, seed: int, tag: str = "s"):
+    """``applyInArrow`` function: cluster one part, return its ``(part, cid, v, w)`` rows
+    with w > 0 (w = total weight of the part's points closest to each centre)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        names = ["part", "cid", "v", "w"]
+        if table.num_rows == 0:
+            return pa.table({"part": pa.array([], pa.int32()), "cid": pa.array([], pa.int32()),
+                             "v": pa.array([], pa.list_(pa.float64())),
+                             "w": pa.array([], pa.int64())})
+        part = int(table.column("part")[0].as_py())
+        order = np.argsort(table.column("id").to_numpy(), kind="stable")
+        ids = table.column("id").to_numpy()[order]
+        X = vector_matrix(table.column("v"))[order]
+        w = table.column("w").to_numpy().astype(np.int64)[order]
+        rows = lloyd_in_memory(ids, X, w, seed_in_memory(ids, X, w, k, seed, tag), iters)
+        acc = _sums_by_cid(ids, X, w, rows)
+        keep = [(cid, v, int(round(acc[cid][POS_WEIGHT]))) for _, cid, v in rows
+                if cid in acc and acc[cid][POS_WEIGHT] > 0]
+        mat = np.vstack([v for _, v, _ in keep]) if keep else np.zeros((0, X.shape[1]))
+        return pa.Table.from_arrays(
+            [pa.array([part] * len(keep), pa.int32()), pa.array([c for c, _, _ in keep], pa.int32()),
+             list_array(mat), pa.array([x for _, _, x in keep], pa.int64())], names=names)
+
+    return run

@@ -1,84 +1,25 @@
 """Round 2 of the coreset k-median on the driver.
 
 The merge step clusters the coreset: at most k centres from each of L parts, a size set by the
-parameters, never by the data.  As in the reference it runs on the driver, but through the very
-same Arrow kernels the Spark rounds use, fed with one in-memory batch, and the same hashed
-uniforms (computed here with hashlib), so both engines draw the same centres.  For a large
-k * L the Spark engine (``coreset_merge(..., engine='spark')``) runs the rounds as jobs.
+parameters, never by the data.  As in the reference it runs on the driver, through the same
+Arrow kernels the Spark rounds use, fed with one in-memory batch, and the same hashed uniforms
+(computed with hashlib), so both engines draw the same centres.  For a large k * L the Spark
+engine (``coreset_merge(..., engine='spark')``) runs the rounds as jobs.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
-import pyarrow as pa
 
 from cairn.operators.assign import Centres
-from cairn.operators.kernels import (POS_WEIGHT, list_array, race_kernel, stats_kernel)
-
-# Fixed values, as in cairn.functions.random: 13 hex digits, scale 2**52.
-_HEX_DIGITS = 13
-_SCALE = 4503599627370496.0
-
-
-class _Value:
-    """Stands in for a broadcast variable."""
-
-    def __init__(self, value):
-        self.value = value
-
-
-def hashed_uniform(seed: int, tag: str, ids) -> np.ndarray:
-    return np.array([(int(hashlib.md5(f"{seed}:{tag}:{int(i)}".encode()).hexdigest()[:_HEX_DIGITS],
-                          16) + 0.5) / _SCALE for i in ids])
-
-
-def _batch(ids: np.ndarray, X: np.ndarray, w: np.ndarray, u: np.ndarray | None = None):
-    cols = [pa.array(ids, pa.int64()), list_array(X), pa.array(w, pa.int64()),
-            pa.array(np.zeros(len(ids), dtype=np.int32))]
-    names = ["id", "v", "w", "part"]
-    if u is not None:
-        cols.append(pa.array(u))
-        names.append("u")
-    return pa.RecordBatch.from_arrays(cols, names=names)
-
-
-def seed(ids, X, w, k: int, seed_: int, tag: str) -> list:
-    """Weighted D-seeding of one weighted set; returns ``(0, cid, v)`` rows."""
-    rows: list = []
-    for i in range(k):
-        u = hashed_uniform(seed_, f"{tag}{i}", ids)
-        table = Centres.from_rows(rows).by_part
-        out = list(race_kernel(_Value(table), True, uniform=(i == 0))([_batch(ids, X, w, u)]))
-        if not out:
-            break
-        b = out[0]
-        rows.append((0, i, np.asarray(b.column("v")[0].as_py(), dtype=np.float64)))
-    return rows
-
+from cairn.operators.kernels import lloyd_in_memory, md5_uniform, seed_in_memory
 
-def lloyd(X, w, ids, rows: list, iters: int) -> list:
-    """Lloyd steps on one weighted set (empty clusters dropped, ids re-numbered)."""
-    for _ in range(iters):
-        table = Centres.from_rows(rows).by_part
-        acc: dict = {}
-        for b in stats_kernel(_Value(table), True)([_batch(ids, X, w)]):
-            for cid, pos, val in zip(b.column("cid").to_pylist(), b.column("pos").to_pylist(),
-                                     b.column("val").to_pylist()):
-                acc.setdefault(cid, {})[pos] = acc.get(cid, {}).get(pos, 0.0) + val
-        rows = []
-        for cid in sorted(acc):
-            m = acc[cid]
-            sw = m[POS_WEIGHT]
-            if sw > 0:
-                dim = max(m) + 1
-                rows.append((0, len(rows), np.array([m[p] for p in range(dim)]) / sw))
-    return rows
+hashed_uniform = md5_uniform
 
 
 def weighted_kmedian(ids, X, w, k: int, iters: int, seed_: int, tag: str) -> Centres:
     ids = np.asarray(ids, dtype=np.int64)
     X = np.asarray(X, dtype=np.float64)
     w = np.asarray(w, dtype=np.int64)
-    return Centres.from_rows(lloyd(X, w, ids, seed(ids, X, w, k, seed_, tag), iters))
+    rows = lloyd_in_memory(ids, X, w, seed_in_memory(ids, X, w, k, seed_, tag), iters)
+    return Centres.from_rows(rows)
