@@ -265,8 +265,8 @@ def objective_kernel(bc, use_part: bool = False):
 
 
 # ------------------------------------------------------------------ one weighted set in memory
-# Used for the merge round on the driver and for one coreset part inside a grouped task.  The
-# arithmetic is that of the kernels above, fed with one batch, so both engines agree.
+# Used for the merge round on the driver (at most k * L rows, a size set by the parameters).
+# The arithmetic is that of the kernels above, fed with one batch, so both engines agree.
 
 # Fixed values, as in the Spark/SQL uniform: 13 hex digits (52 bits) and 2**52.
 _HEX_DIGITS = 13
@@ -344,30 +344,3 @@ def lloyd_in_memory(ids, X, w, rows: list, iters: int) -> list:
                 dim = max(m) + 1
                 rows.append((0, len(rows), np.array([m[p] for p in range(dim)]) / m[POS_WEIGHT]))
     return rows
-
-
-def coreset_part_fn(k: int, iters: int, seed: int, tag: str = "s"):
-    """``applyInArrow`` function: cluster one part, return its ``(part, cid, v, w)`` rows
-    with w > 0 (w = total weight of the part's points closest to each centre)."""
-
-    def run(table: pa.Table) -> pa.Table:
-        names = ["part", "cid", "v", "w"]
-        if table.num_rows == 0:
-            return pa.table({"part": pa.array([], pa.int32()), "cid": pa.array([], pa.int32()),
-                             "v": pa.array([], pa.list_(pa.float64())),
-                             "w": pa.array([], pa.int64())})
-        part = int(table.column("part")[0].as_py())
-        order = np.argsort(table.column("id").to_numpy(), kind="stable")
-        ids = table.column("id").to_numpy()[order]
-        X = vector_matrix(table.column("v"))[order]
-        w = table.column("w").to_numpy().astype(np.int64)[order]
-        rows = lloyd_in_memory(ids, X, w, seed_in_memory(ids, X, w, k, seed, tag), iters)
-        acc = _sums_by_cid(ids, X, w, rows)
-        keep = [(cid, v, int(round(acc[cid][POS_WEIGHT]))) for _, cid, v in rows
-                if cid in acc and acc[cid][POS_WEIGHT] > 0]
-        mat = np.vstack([v for _, v, _ in keep]) if keep else np.zeros((0, X.shape[1]))
-        return pa.Table.from_arrays(
-            [pa.array([part] * len(keep), pa.int32()), pa.array([c for c, _, _ in keep], pa.int32()),
-             list_array(mat), pa.array([x for _, _, x in keep], pa.int64())], names=names)
-
-    return run

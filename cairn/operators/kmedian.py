@@ -31,7 +31,7 @@ from cairn.functions.random import hashed_bucket, hashed_uniform
 from cairn.operators import local
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
                                     kmedian_objective, release)
-from cairn.operators.kernels import coreset_part_fn, race_kernel
+from cairn.operators.kernels import race_kernel
 from cairn.session import checkpoint_dir
 
 
@@ -190,54 +190,15 @@ class KMedianResult:
             "n bigint, k int, parts int, iter int, objective double")
 
 
-# Largest part (rows x dimension x 8 bytes) clustered inside one grouped task.
-DEFAULT_MAX_PART_BYTES = 256 << 20
-
-
-def part_profile(pts: DataFrame) -> tuple[int, int, int]:
-    """``(parts, rows of the largest part, dimension)``: one aggregate over the points."""
-    r = (pts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d"))
-         .agg(F.count(F.lit(1)).alias("parts"), F.max("n").alias("n"), F.max("d").alias("d"))
-         .collect()[0])
-    return int(r.parts or 0), int(r.n or 0), int(r.d or 0)
-
-
-def largest_part(pts: DataFrame) -> tuple[int, int]:
-    """``(rows, dimension)`` of the largest part."""
-    return part_profile(pts)[1:]
-
-
-def coreset(pts: DataFrame, k: int, iters: int, seed: int, engine: str | None = None) -> list:
+def coreset(pts: DataFrame, k: int, iters: int, seed: int) -> list:
     """Round 1 (KM4): cluster each part on its own; returns ``(part, cid, v, w)`` rows with
     w > 0.  Sum of w equals the number of points (C19).
 
-    ``engine='grouped'`` shuffles the points once by part and clusters each part inside one
-    ``applyInArrow`` task (k + iter + 1 passes over memory, one over the data); it is chosen
-    only when the largest part is proven to fit ``cairn.maxPartBytes``.  Otherwise
-    ``'lockstep'`` runs every round as one Spark job over all parts, with no part ever held
-    by one task.  Both give the same coreset."""
-    n_parts, rows_, dim = part_profile(pts)
-    check_centre_budget(pts.sparkSession, k, n_parts, dim)  # k * L * d on the driver
-    if engine is None:
-        limit = int(pts.sparkSession.conf.get("cairn.maxPartBytes", str(DEFAULT_MAX_PART_BYTES)))
-        engine = "grouped" if rows_ * max(dim, 1) * 8 <= limit else "lockstep"
-    if engine == "grouped":
-        return _coreset_grouped(pts, k, iters, seed)
-    if engine != "lockstep":
-        raise ValueError("engine must be 'grouped' or 'lockstep'")
+    All parts run in lock-step: every seeding or Lloyd round is one Spark job over all
+    points, so no part is ever held by one task or one group, whatever its size."""
     return _coreset_lockstep(pts, k, iters, seed)
 
 
-def _coreset_grouped(pts: DataFrame, k: int, iters: int, seed: int) -> list:
-    out = (pts.select("part", "id", "v", "w").groupBy("part")
-           .applyInArrow(coreset_part_fn(k, iters, seed, "s"),
-                         "part int, cid int, v array<double>, w bigint")
-           .collect())
-    rows = sorted(((r.part, r.cid, np.asarray(r.v, dtype=np.float64), r.w) for r in out),
-                  key=lambda t: (t[0], t[1]))
-    return [(p, c, [float(x) for x in v], w) for p, c, v, w in rows]
-
-
 def _coreset_lockstep(pts: DataFrame, k: int, iters: int, seed: int) -> list:
     seeded = seed_centres(pts, k, seed, "s", use_part=True)
     centres = lloyd(pts, seeded.centres, iters, use_part=True)
@@ -284,8 +245,8 @@ def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int
 
 
 def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
-                    persist: bool | str = True, merge_engine: str | None = None,
-                    round1_engine: str | None = None) -> KMedianResult:
+                    persist: bool | str = True, merge_engine: str | None = None
+                    ) -> KMedianResult:
     """3-round k-median (KM6): coreset of each part, merge, objective over all points.
 
     ``persist`` chooses how the prepared points are kept for the k + iter + 2 passes
@@ -296,7 +257,7 @@ def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int
     pts = prepare_points(points, parts, seed, persist)
     try:
         t0 = time.perf_counter()
-        rows = coreset(pts, k, iters, seed, round1_engine)
+        rows = coreset(pts, k, iters, seed)
         t1 = time.perf_counter()
         centres = coreset_merge(spark, rows, k, iters, seed, merge_engine)
         t2 = time.perf_counter()

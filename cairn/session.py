@@ -31,20 +31,22 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is unset, as in
-    local tests, a private folder under the system temp dir is created and registered.
+    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is unset on a
+    ``local`` master, as in tests, a private folder under the system temp dir is created and
+    registered; on a cluster an unset setting is an error, never a machine-local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder to checkpoint")
         current = tempfile.mkdtemp(prefix="cairn-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:

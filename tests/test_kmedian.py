@@ -185,34 +185,3 @@ def test_storage_modes_agree(spark, mode):
     assert res.objective == pytest.approx(base.objective, rel=1e-12)
     with pytest.raises(ValueError):
         kmedian.prepare_points(pts, 1, 0, persist="disk")
-
-
-def test_round1_engines_agree(spark):
-    pts = kmedian.prepare_points(tables.embedding_points(spark, SF01), 4, 42)
-    try:
-        a = kmedian.coreset(pts, 5, 2, 42, engine="grouped")
-        b = kmedian.coreset(pts, 5, 2, 42, engine="lockstep")
-        with pytest.raises(ValueError):
-            kmedian.coreset(pts, 5, 2, 42, engine="gpu")
-    finally:
-        pts.unpersist()
-    assert [(p, c, w) for p, c, _, w in a] == [(p, c, w) for p, c, _, w in b]
-    for (_, _, va, _), (_, _, vb, _) in zip(a, b):
-        assert np.allclose(va, vb, rtol=1e-12, atol=1e-12)
-
-
-def test_round1_engine_choice_follows_part_size(spark, monkeypatch):
-    pts = kmedian.prepare_points(tables.embedding_points(spark, SF001), 2, 7)
-    calls = []
-    monkeypatch.setattr(kmedian, "_coreset_grouped", lambda *a: calls.append("grouped") or [])
-    monkeypatch.setattr(kmedian, "_coreset_lockstep", lambda *a: calls.append("lockstep") or [])
-    try:
-        kmedian.coreset(pts, 3, 1, 7)
-        spark.conf.set("cairn.maxPartBytes", "1000")  # no part fits: never one task per part
-        kmedian.coreset(pts, 3, 1, 7)
-    finally:
-        spark.conf.unset("cairn.maxPartBytes")
-        pts.unpersist()
-    assert calls == ["grouped", "lockstep"]
-    assert kmedian.largest_part(kmedian.prepare_points(
-        tables.embedding_points(spark, SF001), 1, 7, persist=False)) == (500, 64)
