@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.random import hashed_bucket
 from cairn.functions.vectors import as_vector, parse_vector
@@ -58,8 +58,9 @@ def _first_centres(points: DataFrame, n: int = N_CENTRES) -> DataFrame:
     the vectors are then fetched with an ``IN`` filter that Parquet can push down."""
     ids = [r.id for r in points.select("id").orderBy("id").limit(n).collect()]
     first = points.where(F.col("id").isin(ids)).select("id", "v")
-    return first.select(
-        (F.row_number().over(Window.orderBy("id")) - 1).cast("int").alias("cid"), "id", "v")
+    # cid = rank of the id among the n chosen ones, known on the driver: no global window
+    rank = F.array_position(F.array(*[F.lit(int(i)) for i in ids]), F.col("id")) - 1
+    return first.select(rank.cast("int").alias("cid"), "id", "v")
 
 
 # ----------------------------------------------------------------------------- statistics
