@@ -14,9 +14,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id bigint, text string)``: one row per document."""
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Minimum-partitions hint (C24, as ``textFile(path, n)``): an input read in fewer
+    partitions than ``min_partitions`` (default: the session's parallelism), e.g. a small
+    file in one row group, is hash-partitioned by ``key`` once, so every core gets a share.
+    A large input already has more splits than task slots and is left as it is (no shuffle).
+    """
+    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < n:
+        return df.repartition(n, key)
+    return df
+
+
+def documents(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
+    """``(doc_id bigint, text string)``: one row per document (spread as ``spread`` says)."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id",
+                  min_partitions)
 
 
 def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +50,8 @@ def lineitem_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     (l_orderkey, l_linenumber) is not unique in the driver data, so the id is a generated
     one, deterministic for a fixed file layout."""
-    return table(spark, sf_dir, "lineitem").select(
+    pts = table(spark, sf_dir, "lineitem").select(
         F.monotonically_increasing_id().alias("id"),
         F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax").alias("v"),
         F.lit(1).cast("bigint").alias("w"))
+    return spread(pts, "id")
