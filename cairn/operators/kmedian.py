@@ -219,7 +219,7 @@ def coreset_frame(spark: SparkSession, rows: list, k: int) -> DataFrame:
 
 
 # Largest coreset (rows x dimension) merged on the driver; beyond it round 2 runs on Spark.
-LOCAL_MERGE_MAX_VALUES = 50_000_000
+LOCAL_MERGE_MAX_VALUES = 4_000_000  # 32 MB of doubles
 
 
 def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int,

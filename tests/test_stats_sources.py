@@ -101,3 +101,23 @@ def test_read_lines_and_documents(spark, tmp_path):
     df = spark.createDataFrame([(1, "x\r\ny\rz\n")], "doc_id bigint, text string")
     lines = [(r.line_no, r.line) for r in src.text_lines(df).collect()]
     assert lines == [(1, "x"), (2, "y"), (3, "z"), (4, "")]
+
+
+def test_spread_only_splits_inputs_with_too_few_partitions(spark):
+    from cairn.sources import tables
+    from conftest import SF01, plan_text
+    from cairn.operators import wordcount
+    slots = spark.sparkContext.defaultParallelism
+    base = tables.table(spark, SF01, "documents").select("doc_id", "text")
+    few = base.coalesce(1)
+    spread = tables.spread(few, "doc_id")
+    assert spread.rdd.getNumPartitions() == slots
+    many = base.repartition(slots + 3, "doc_id")
+    assert tables.spread(many, "doc_id") is many  # enough splits: left as it is
+    # whole results either way
+    a = {r.word: r.n for r in wordcount.word_count(spread).collect()}
+    b = {r.word: r.n for r in wordcount.word_count(few).collect()}
+    assert a == b and sum(a.values()) > 0
+    docs = tables.documents(spark, SF01)
+    assert docs.rdd.getNumPartitions() >= slots
+    assert "hashpartitioning(doc_id" in plan_text(docs)
