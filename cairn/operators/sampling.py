@@ -8,8 +8,8 @@ per-group form is a ``min(struct(key, id, ...))`` aggregate with partial aggrega
 
 The inverse-CDF draw needs a running sum.  A global ``Window.orderBy`` would move every row
 into one task; instead the rows are cut into ranges of the order key at approximate quantiles
-(a scalar subquery), each range gets its own running sum, and a per-range offset computed on
-the tiny table of range totals is broadcast back.
+(binary-searched per row by ``Bucketizer``), each range gets its own running sum, and a
+per-range offset computed on the small table of range totals is broadcast back.
 """
 
 from __future__ import annotations
@@ -45,24 +45,37 @@ def grouped_race_draw(df: DataFrame, group: str, weight: Column | None, seed: in
     return src.groupBy(group).agg(best).select(group, "b.id", *[f"b.{c}" for c in carry])
 
 
-def _range_buckets(df: DataFrame, order_col: str, buckets: int) -> Column:
-    """Index of the key range of each row: the number of quantile cut points <= key."""
+def _with_range_bucket(rows: DataFrame, keys: DataFrame, order_col: str,
+                       buckets: int) -> DataFrame:
+    """``rows`` plus ``bucket``: the index of the key range holding each row.
+
+    The B - 1 cut points are approximate quantiles of the key (one aggregate over the key
+    column; B numbers reach the driver, a size set by the parameter).  Spark ML's
+    ``Bucketizer`` then finds each row's range by binary search inside the JVM, so the cost
+    per row is O(log B) and the plan does not grow with B.  Any increasing cuts give the
+    same result; the quantiles only balance the ranges."""
     if buckets <= 1:
-        return F.lit(0)
+        return rows.withColumn("bucket", F.lit(0))
+    from pyspark.ml.feature import Bucketizer
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.select(F.percentile_approx(order_col, probs, 10_000)).scalar()
-    key = F.col(order_col)
-
-    # Binary search over the (ascending) cut points: depth log2(buckets) per row.  The
-    # repeated scalar subquery is planned once (subquery reuse).
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(F.element_at(cuts, mid) <= key, search(mid, hi)).otherwise(
-            search(lo, mid - 1))
-
-    return search(0, buckets - 1)
+    accuracy = max(10_000, 4 * buckets)
+    cuts = keys.select(F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy)
+                       .alias("c")).first().c or []
+    inner = sorted({float(c) for c in cuts if c is not None})
+    if not inner:
+        return rows.withColumn("bucket", F.lit(0))
+    splits = [float("-inf")] + inner + [float("inf")]
+    tmp_key, tmp_bucket = "__cairn_key", "__cairn_bucket"
+    b = Bucketizer(splits=splits, inputCol=tmp_key, outputCol=tmp_bucket)
+    out = b.transform(rows.withColumn(tmp_key, F.col(order_col).cast("double")))
+    return out.withColumn("bucket", F.col(tmp_bucket).cast("int")).drop(tmp_key, tmp_bucket)
+
+
+def default_buckets(df: DataFrame) -> int:
+    """Ranges for a running share: the shuffle width, or more when the input has more
+    partitions (each range then holds about one input partition's rows)."""
+    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(shuffle, df.rdd.getNumPartitions())
 
 
 def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",
@@ -74,12 +87,11 @@ def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",
     ``key_source`` (default ``df``): pass a cheap frame with the same keys, e.g. the base
     table, when ``df`` is expensive to compute.  Bucket totals are read off the windowed
     frame, so the input is shuffled once."""
-    spark = df.sparkSession
+    keys = (key_source if key_source is not None else df).select(order_col)
     if buckets is None:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        buckets = default_buckets(keys)
     rows = df.select(F.col(order_col), value.cast("double").alias("val"))
-    keys = (key_source if key_source is not None else rows).select(order_col)
-    rows = rows.withColumn("bucket", _range_buckets(keys, order_col, buckets))
+    rows = _with_range_bucket(rows, keys, order_col, buckets)
     within = Window.partitionBy("bucket").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     run = rows.withColumn("run", F.sum("val").over(within))

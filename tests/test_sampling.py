@@ -81,3 +81,17 @@ def test_race_draw_distribution(spark):
 def test_weighted_draw_excludes_zero_weight(spark):
     df = weights(spark, [0, 0, 5])
     assert sampling.weighted_race_draw(df, F.col("w"), 3).collect()[0].id == 3
+
+
+def test_cumulative_share_with_many_ranges(spark):
+    """Thousands of key ranges (the width a large input needs): the bucket lookup is a
+    binary search in the JVM, so the plan stays small and the result stays exact."""
+    rng = np.random.default_rng(11)
+    ws = rng.random(6000)
+    df = weights(spark, ws).repartition(8)
+    out = sampling.cumulative_share(df, F.col("w"), "id", 4000)
+    got = {r.id: r.cum for r in out.collect()}
+    cum = np.cumsum(ws) / ws.sum()
+    assert len(got) == 6000
+    assert all(got[i + 1] == pytest.approx(cum[i], rel=1e-9) for i in range(6000))
+    assert len(plan_text(out)) < 20_000
