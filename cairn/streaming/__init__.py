@@ -5,6 +5,6 @@ same word count (AGG9, Java-split tokens) incrementally over a file stream, with
 progress in a checkpoint under the shared ``spark.checkpoint.dir``.
 """
 
-from cairn.streaming.wordcount import start_word_count, word_count_stream
+from cairn.streaming.wordcount import latest_counts, start_word_count, word_count_stream
 
-__all__ = ["start_word_count", "word_count_stream"]
+__all__ = ["latest_counts", "start_word_count", "word_count_stream"]

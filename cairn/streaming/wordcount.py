@@ -18,23 +18,49 @@ def word_count_stream(stream: DataFrame, text_col: str = "value") -> DataFrame:
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
-def start_word_count(spark: SparkSession, path: str, sink: str = "memory",
-                     query_name: str = "word_counts", checkpoint: str | None = None,
-                     output_mode: str = "update", available_now: bool = False,
+def latest_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``(word, n)`` from a parquet sink written by ``start_word_count``: the count of the
+    latest micro-batch that updated each word (one aggregate, nothing on the driver)."""
+    return (spark.read.parquet(path).groupBy("word")
+            .agg(F.max_by("n", "batch_id").alias("n")))
+
+
+def _parquet_batches(path: str):
+    """``foreachBatch`` writer: micro-batch ``b`` goes to ``path/batch_id=b`` with overwrite,
+    so a retried batch replaces its own output (idempotent)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={int(batch_id)}")
+
+    return write
+
+
+def start_word_count(spark: SparkSession, path: str, sink: str = "parquet",
+                     output_path: str | None = None, query_name: str = "word_counts",
+                     checkpoint: str | None = None, output_mode: str = "update",
+                     available_now: bool = False,
                      max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the word count over new text files under ``path`` (one document per line).
 
-    ``checkpoint`` defaults to a fresh folder under the shared checkpoint dir, so a restarted
-    driver resumes from the committed offsets and state."""
+    ``sink='parquet'`` (default) writes each micro-batch's updated counts under
+    ``output_path`` (read them with ``latest_counts``); ``sink='memory'`` keeps the table
+    on the driver and is meant for small tests only.  ``checkpoint`` defaults to a fresh
+    folder under the shared checkpoint dir, so a restarted driver resumes from the committed
+    offsets and state."""
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     counts = word_count_stream(reader.load(path))
     ckpt = checkpoint or tag_dir(spark, f"stream-{query_name}-{uuid.uuid4().hex}")
-    writer = (counts.writeStream.format(sink).outputMode(output_mode)
-              .option("checkpointLocation", ckpt))
-    if sink == "memory":
-        writer = writer.queryName(query_name)
+    writer = counts.writeStream.outputMode(output_mode).option("checkpointLocation", ckpt)
+    if sink == "parquet":
+        if not output_path:
+            raise ValueError("output_path is required for the parquet sink")
+        writer = writer.foreachBatch(_parquet_batches(output_path))
+    elif sink == "memory":
+        writer = writer.format("memory").queryName(query_name)
+    else:
+        raise ValueError("sink must be 'parquet' or 'memory'")
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -3,7 +3,7 @@
 import os
 
 from cairn.operators import wordcount
-from cairn.streaming import start_word_count
+from cairn.streaming import latest_counts, start_word_count
 
 
 def test_stream_equals_batch(spark, tmp_path):
@@ -12,7 +12,8 @@ def test_stream_equals_batch(spark, tmp_path):
     texts = ["a b a", "", "b  c ", "Cat cat"]
     for i, t in enumerate(texts):
         (src / f"f{i}.txt").write_text(t + "\n")
-    q = start_word_count(spark, str(src), query_name="wc_test", output_mode="complete",
+    q = start_word_count(spark, str(src), sink="memory", query_name="wc_test",
+                         output_mode="complete",
                          checkpoint=os.path.join(str(tmp_path), "ckpt"), available_now=True,
                          max_files_per_trigger=1)
     q.awaitTermination(120)
@@ -20,3 +21,20 @@ def test_stream_equals_batch(spark, tmp_path):
     q.stop()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert got == {r.word: r.n for r in wordcount.word_count(docs).collect()}
+
+
+def test_stream_parquet_sink_keeps_latest_counts(spark, tmp_path):
+    src = tmp_path / "in"
+    src.mkdir()
+    texts = ["a b a", "b c", "a", "c c c d"]
+    for i, t in enumerate(texts):
+        (src / f"f{i}.txt").write_text(t + "\n")
+    out = str(tmp_path / "out")
+    q = start_word_count(spark, str(src), output_path=out,
+                         checkpoint=os.path.join(str(tmp_path), "ckpt"), available_now=True,
+                         max_files_per_trigger=1)
+    q.awaitTermination(120)
+    q.stop()
+    got = {r.word: r.n for r in latest_counts(spark, out).collect()}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert got == {r.word: r.n for r in wordcount.word_count(docs).collect()}
