@@ -27,7 +27,7 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.functions.random import hashed_bucket, hashed_uniform
+from cairn.functions.random import hashed_bucket, hashed_uniform, race_key
 from cairn.operators import local
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
                                     kmedian_objective, release)
@@ -113,10 +113,12 @@ def seed_centres(pts: DataFrame, k: int, seed: int, tag: str = "s",
     for i in range(k):
         table = Centres.from_rows(rows)
         u = hashed_uniform(seed, f"{tag}{i}", F.col("id"))
-        first = i == 0  # uniform draw of the first centre of each part
         held: list = []
-        partial = apply_kernel(src, table, lambda bc: race_kernel(bc, True, uniform=first),
-                               RACE_SCHEMA, use_part=True, extra={"u": u}, broadcasts=held)
+        if i == 0:  # uniform draw of the first centre of each part: no distances, JVM only
+            partial = src.select("part", race_key(u).alias("key"), "id", "v")
+        else:
+            partial = apply_kernel(src, table, lambda bc: race_kernel(bc, True),
+                                   RACE_SCHEMA, use_part=True, extra={"u": u}, broadcasts=held)
         try:
             if use_part:  # one winner per part: partial aggregation, <= L rows per task
                 best = (partial.groupBy("part")
