@@ -45,6 +45,10 @@ def grouped_race_draw(df: DataFrame, group: str, weight: Column | None, seed: in
     return src.groupBy(group).agg(best).select(group, "b.id", *[f"b.{c}" for c in carry])
 
 
+# Largest per-range offsets table that is broadcast (rows; about 24 MB).
+MAX_BROADCAST_BUCKETS = 1_000_000
+
+
 def _with_range_bucket(rows: DataFrame, keys: DataFrame, order_col: str,
                        buckets: int) -> DataFrame:
     """``rows`` plus ``bucket``: the index of the key range holding each row.
@@ -100,8 +104,11 @@ def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",
     offsets = totals.select(
         "bucket", F.coalesce(F.sum("btotal").over(before), F.lit(0.0)).alias("offset"),
         F.sum("btotal").over(Window.partitionBy()).alias("total"))
-    # ``offsets`` has one row per bucket: bounded by the parameter, safe to broadcast.
-    return (run.join(F.broadcast(offsets), "bucket")
+    # ``offsets`` has one row per bucket (about 24 bytes each): broadcast up to
+    # MAX_BROADCAST_BUCKETS rows, joined by a shuffle beyond that.
+    if buckets <= MAX_BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
+    return (run.join(offsets, "bucket")
             .select(order_col, (F.col("val") / F.col("total")).alias("p"),
                     ((F.col("offset") + F.col("run")) / F.col("total")).alias("cum")))
 

@@ -95,3 +95,13 @@ def test_cumulative_share_with_many_ranges(spark):
     assert len(got) == 6000
     assert all(got[i + 1] == pytest.approx(cum[i], rel=1e-9) for i in range(6000))
     assert len(plan_text(out)) < 20_000
+
+
+def test_offsets_broadcast_only_below_the_bound(spark, monkeypatch):
+    df = weights(spark, list(range(1, 50)))
+    out = sampling.cumulative_share(df, F.col("w"), "id", 4)
+    out.collect()
+    assert "BroadcastExchange" in plan_text(out)
+    monkeypatch.setattr(sampling, "MAX_BROADCAST_BUCKETS", 2)
+    out2 = sampling.cumulative_share(df, F.col("w"), "id", 4)
+    assert sorted(out2.collect()) == sorted(out.collect())
