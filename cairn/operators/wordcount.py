@@ -7,7 +7,7 @@ reference are kept as distinct physical plans:
   combiner, so only (task, word) partial counts are shuffled.
 * ``word_count_salted``: two aggregation levels keyed by a salt, so that a word holding a
   third of all occurrences is summed by ``k`` tasks before its final merge.  The salt is a
-  hash of (seed, doc_id, word), not ``rand()``: a re-run task sends rows to the same place.
+  hash of (seed, doc_id), not ``rand()``: a re-run task sends rows to the same place.
 * ``word_count_partitioned``: sums inside each of ``parts`` parts of the corpus, then by word.
 """
 
@@ -43,11 +43,15 @@ def word_count(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def word_count_salted(docs: DataFrame, k: int, seed: int = 0, text_col: str = "text",
                       id_col: str = "doc_id") -> DataFrame:
-    """Two-round word count with ``k`` salt values (AGG10)."""
+    """Two-round word count with ``k`` salt values (AGG10).
+
+    Each document gets a salt in [0, k) (one hash per document, computed before the
+    tokens are generated); round one counts by (salt, word), round two by word, so a word
+    found in many documents is summed by up to k tasks before its final merge."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    salt = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("word")), F.lit(k))
-    return (_words(docs, text_col, id_col).withColumn("salt", salt)
+    salt = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(k))
+    return (docs.select(salt.alias("salt"), F.explode(space_tokens(text_col)).alias("word"))
             .groupBy("salt", "word").agg(F.count(F.lit(1)).alias("n"))
             .groupBy("word").agg(F.sum("n").alias("n")))
 
