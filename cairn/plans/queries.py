@@ -66,7 +66,7 @@ def _first_centres(points: DataFrame, n: int = N_CENTRES) -> DataFrame:
 # ----------------------------------------------------------------------------- statistics
 
 def q_num_parse(spark, sf):
-    li = tables.table(spark, sf, "lineitem")
+    li = tables.spread(tables.table(spark, sf, "lineitem"), "l_orderkey")
     line = F.concat(F.col("l_partkey").cast("string"), F.lit(" "),
                     F.col("l_suppkey").cast("string"), F.lit("\t"),
                     F.col("l_linenumber").cast("string"), F.lit("  "))
