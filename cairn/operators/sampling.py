@@ -47,6 +47,8 @@ def grouped_race_draw(df: DataFrame, group: str, weight: Column | None, seed: in
 
 # Largest per-range offsets table that is broadcast (rows; about 24 MB).
 MAX_BROADCAST_BUCKETS = 1_000_000
+# Ceiling of the percentile_approx accuracy used for the range cuts.
+MAX_QUANTILE_ACCURACY = 1_000_000
 
 
 def _with_range_bucket(rows: DataFrame, keys: DataFrame, order_col: str,
@@ -62,7 +64,9 @@ def _with_range_bucket(rows: DataFrame, keys: DataFrame, order_col: str,
         return rows.withColumn("bucket", F.lit(0))
     from pyspark.ml.feature import Bucketizer
     probs = [i / buckets for i in range(1, buckets)]
-    accuracy = max(10_000, 4 * buckets)
+    # Rank error about N / accuracy, i.e. a quarter of a range; capped so that the quantile
+    # sketch each task keeps stays a few tens of MB (coarser cuts only unbalance ranges).
+    accuracy = min(max(10_000, 4 * buckets), MAX_QUANTILE_ACCURACY)
     cuts = keys.select(F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy)
                        .alias("c")).first().c or []
     inner = sorted({float(c) for c in cuts if c is not None})
