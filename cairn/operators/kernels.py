@@ -344,3 +344,54 @@ def lloyd_in_memory(ids, X, w, rows: list, iters: int) -> list:
                 dim = max(m) + 1
                 rows.append((0, len(rows), np.array([m[p] for p in range(dim)]) / m[POS_WEIGHT]))
     return rows
+
+
+def lookahead_kernel(bc, rounds: int, keep: int):
+    """Race of the current seeding round plus lower bounds for the next ones, one pass.
+
+    Batch columns ``id, v, w, part, u0 .. u{rounds-1}`` with ``u_t`` the uniform of round
+    ``j + t`` and ``e_t = -ln(u_t)``.  With ``d`` the distance to the closest chosen centre, ``e_t / (w * d)`` is the
+    exact race key of round ``j`` (t = 0) and a lower bound of the key of round ``j + t``
+    (distances only shrink as centres are added).  Per (part, t) the task keeps the
+    ``keep`` rows with the smallest ``(bound, id)``; rows with w * d <= 0 are never
+    candidates.  Output rows: ``(part, t, lb, id, e, w, d, v)``."""
+
+    def run(batches):
+        table = bc.value
+        best = None  # (part, t, lb, id, e, w, d, X) of the kept rows
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            X = vector_matrix(batch.column("v"))
+            parts = _batch_parts(batch, True)
+            ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
+            w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
+            d, _ = nearest(X, parts, table)
+            wd = w * d
+            ok = (wd > 0) & np.isfinite(wd)
+            if not ok.any():
+                continue
+            p, i, Xo, wo, do, wdo = parts[ok], ids[ok], X[ok], w[ok], d[ok], wd[ok]
+            cols = [[], [], [], [], [], [], [], []]
+            for t in range(rounds):
+                e = -np.log(batch.column(f"u{t}").to_numpy(zero_copy_only=False)[ok])
+                for c, val in zip(cols, (p, np.full(len(p), t), e / wdo, i, e, wo, do, Xo)):
+                    c.append(val)
+            new = [np.concatenate(c) if k < 7 else np.vstack(c) for k, c in enumerate(cols)]
+            if best is not None:
+                new = [np.concatenate((a, b)) if k < 7 else np.vstack((a, b))
+                       for k, (a, b) in enumerate(zip(best, new))]
+            order = np.lexsort((new[3], new[2], new[1], new[0]))
+            gp, gt = new[0][order], new[1][order]
+            start = np.concatenate(([True], (np.diff(gp) != 0) | (np.diff(gt) != 0)))
+            first = np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))
+            sel = order[np.arange(len(order)) - first < keep]
+            best = [a[sel] for a in new]
+        if best is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(best[0].astype(np.int32)), pa.array(best[1].astype(np.int32)),
+                 pa.array(best[2]), pa.array(best[3]), pa.array(best[4]), pa.array(best[5]),
+                 pa.array(best[6]), list_array(best[7])],
+                names=["part", "t", "lb", "id", "e", "w", "d", "v"])
+
+    return run

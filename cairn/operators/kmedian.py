@@ -25,13 +25,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cairn.functions.random import hashed_bucket, hashed_uniform, race_key
 from cairn.operators import local
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
                                     kmedian_objective, release)
-from cairn.operators.kernels import race_kernel
+from cairn.operators.kernels import lookahead_kernel, nearest, race_kernel, vector_matrix
 from cairn.session import checkpoint_dir
 
 
@@ -103,11 +103,27 @@ class Seeding:
     chosen: list = field(default_factory=list)  # (part, cid, id) in draw order
 
 
+# Seeding rounds looked ahead per pass, and candidates kept per part and round.
+DEFAULT_LOOKAHEAD = 3
+DEFAULT_CANDIDATES = 2
+LOOKAHEAD_SCHEMA = ("part int, t int, lb double, id bigint, e double, w double, d double, "
+                    "v array<double>")
+
+
 def seed_centres(pts: DataFrame, k: int, seed: int, tag: str = "s",
-                 use_part: bool = True) -> Seeding:
-    """Weighted D-seeding of every part at once (KM1): k jobs, each returning <= L rows."""
+                 use_part: bool = True, lookahead: int = DEFAULT_LOOKAHEAD,
+                 candidates: int = DEFAULT_CANDIDATES) -> Seeding:
+    """Weighted D-seeding of every part at once (KM1).
+
+    ``lookahead=0``: one pass per round, each returning <= L rows.  Otherwise a pass at
+    round j also settles rounds j+1 .. j+lookahead when it can prove the draw (see
+    ``_seed_lookahead``); the centres are the same either way."""
     check_params(k)
+    if lookahead < 0 or candidates < 1:
+        raise ValueError("lookahead must be >= 0 and candidates >= 1")
     src = pts if use_part else pts.withColumn("part", F.lit(0))
+    if lookahead > 0:
+        return _seed_lookahead(pts, src, k, seed, tag, lookahead, candidates)
     rows: list = []
     chosen: list = []
     for i in range(k):
@@ -138,6 +154,114 @@ def seed_centres(pts: DataFrame, k: int, seed: int, tag: str = "s",
     return Seeding(Centres.from_rows(rows), chosen)
 
 
+def _first_draw(src: DataFrame, seed: int, tag: str) -> list:
+    """Round 0: the uniform draw of each part's first centre, a JVM aggregate."""
+    u = hashed_uniform(seed, f"{tag}0", F.col("id"))
+    return (src.select("part", race_key(u).alias("key"), "id", "v").groupBy("part")
+            .agg(F.min(F.struct("key", "id", "v")).alias("b"))
+            .select("part", "b.id", "b.v").collect())
+
+
+def _seed_lookahead(pts: DataFrame, src: DataFrame, k: int, seed: int, tag: str,
+                    lookahead: int, candidates: int) -> Seeding:
+    """Seeding with fewer passes, same centres.
+
+    A pass at round j computes every point's distance d to the chosen centres.  For round j
+    the race key ``-ln(u)/(w*d)`` is exact; for rounds j+t it is a lower bound, since d can
+    only shrink.  Per (part, round) the pass returns the ``candidates + 1`` rows with the
+    smallest bound (a group-limited window, so each task ships at most that many).  On the
+    driver, round j takes its exact winner; then each round j+t recomputes the candidates'
+    keys with the centres chosen since the pass and accepts the best one only if it is
+    strictly below the bound of the first row left out: every other point has a key at
+    least that large, so the draw (ties by id included) is exactly the one a full pass would
+    make.  The first round that cannot be proven starts the next pass."""
+    rows: list = []
+    chosen: list = []
+    best = _first_draw(src, seed, tag)
+    if not best:
+        return Seeding(Centres({}), [])
+    check_centre_budget(pts.sparkSession, k, len(best), len(best[0].v))
+    rows += [(r.part, 0, r.v) for r in best]
+    chosen += [(r.part, 0, r.id) for r in best]
+    keep = candidates + 1
+    i = 1
+    while i < k:
+        rounds = min(lookahead + 1, k - i)
+        table = Centres.from_rows(rows)
+        extra = {f"u{t}": hashed_uniform(seed, f"{tag}{i + t}", F.col("id"))
+                 for t in range(rounds)}
+        held: list = []
+        partial = apply_kernel(src, table, lambda bc: lookahead_kernel(bc, rounds, keep),
+                               LOOKAHEAD_SCHEMA, use_part=True, extra=extra, broadcasts=held)
+        rank = F.row_number().over(Window.partitionBy("part", "t").orderBy("lb", "id"))
+        try:
+            got = (partial.withColumn("r", rank).where(F.col("r") <= keep).drop("r")
+                   .toArrow())
+        finally:
+            release(held)
+        groups = _candidate_groups(got)
+        pass_start = len(rows)
+        for t in range(rounds):
+            winners = {}
+            proven = True
+            for part in sorted({p for p, tt in groups if tt == t}):
+                lb, ids, e, w, d, X = groups[(part, t)]
+                if t == 0:  # exact keys
+                    winners[part] = (ids[0], X[0])
+                    continue
+                threshold = lb[-1] if len(ids) == keep else np.inf
+                n = len(ids) if len(ids) < keep else keep - 1
+                new = Centres.from_rows([r for r in rows[pass_start:] if r[0] == part])
+                if new.size:
+                    dn, _ = nearest(X[:n], np.full(n, part, dtype=np.int64), new.by_part)
+                    dd = np.minimum(d[:n], dn)
+                else:
+                    dd = d[:n]
+                wd = w[:n] * dd
+                ok = (wd > 0) & np.isfinite(wd)
+                if ok.any():
+                    key = np.full(n, np.inf)
+                    key[ok] = e[:n][ok] / wd[ok]
+                    j = np.lexsort((ids[:n], key))[0]
+                    if key[j] < threshold:
+                        winners[part] = (ids[j], X[j])
+                        continue
+                elif threshold == np.inf:
+                    continue  # no candidate left in this part
+                proven = False
+                break
+            if not proven:
+                break
+            if not winners:
+                return Seeding(Centres.from_rows(rows), chosen)  # C16: nothing left to draw
+            rows += [(p, i, X_) for p, (_, X_) in sorted(winners.items())]
+            chosen += [(p, i, int(id_)) for p, (id_, _) in sorted(winners.items())]
+            i += 1
+            if i >= k:
+                break
+    return Seeding(Centres.from_rows(rows), chosen)
+
+
+def _candidate_groups(table) -> dict:
+    """``{(part, t): (lb, id, e, w, d, X)}`` sorted by (lb, id) from the collected rows."""
+    if table.num_rows == 0:
+        return {}
+    part = table.column("part").to_numpy()
+    t = table.column("t").to_numpy()
+    lb = table.column("lb").to_numpy()
+    ids = table.column("id").to_numpy()
+    e = table.column("e").to_numpy()
+    w = table.column("w").to_numpy()
+    d = table.column("d").to_numpy()
+    X = vector_matrix(table.column("v"))
+    order = np.lexsort((ids, lb, t, part))
+    out = {}
+    for key in sorted(set(zip(part.tolist(), t.tolist()))):
+        m = order[(part[order] == key[0]) & (t[order] == key[1])]
+        out[key] = (lb[m], ids[m], e[m], w[m], d[m], X[m])
+    return out
+
+
 def lloyd(pts: DataFrame, centres: Centres, iters: int, use_part: bool = True) -> Centres:
     """``iters`` Lloyd steps (KM2): one job each, O(L*k*d) rows collected."""
     check_params(1, 1, iters)

@@ -185,3 +185,56 @@ def test_storage_modes_agree(spark, mode):
     assert res.objective == pytest.approx(base.objective, rel=1e-12)
     with pytest.raises(ValueError):
         kmedian.prepare_points(pts, 1, 0, persist="disk")
+
+
+def _count_passes(monkeypatch):
+    calls = []
+    orig = kmedian.apply_kernel
+    monkeypatch.setattr(kmedian, "apply_kernel", lambda *a, **kw: calls.append(1) or orig(*a, **kw))
+    return calls
+
+
+@pytest.mark.parametrize("parts,k", [(4, 5), (1, 12)])
+def test_lookahead_seeding_draws_the_same_centres(spark, monkeypatch, parts, k):
+    pts = kmedian.prepare_points(tables.embedding_points(spark, SF01), parts, 42)
+    calls = _count_passes(monkeypatch)
+    try:
+        base = kmedian.seed_centres(pts, k, 42, use_part=parts > 1, lookahead=0)
+        n_base = len(calls)
+        for la, m in [(1, 1), (3, 2), (5, 6)]:
+            del calls[:]
+            got = kmedian.seed_centres(pts, k, 42, use_part=parts > 1, lookahead=la,
+                                       candidates=m)
+            assert got.chosen == base.chosen
+            assert _vecs(got.centres) == _vecs(base.centres)
+            assert len(calls) < n_base
+    finally:
+        pts.unpersist()
+
+
+def test_lookahead_falls_back_when_the_bound_fails(spark, monkeypatch):
+    """Two tight clusters far apart: once a centre lands in the second cluster, the
+    candidates kept for the next round (all from that cluster) lose their lead, the bound
+    cannot prove the draw and a new pass is made.  The centres stay the same."""
+    rng = np.random.default_rng(5)
+    X = np.vstack([rng.normal(0, 0.01, (60, 2)), rng.normal(100, 0.01, (60, 2))])
+    pts = kmedian.prepare_points(points_df(spark, X.tolist()), 1, 0)
+    calls = _count_passes(monkeypatch)
+    try:
+        base = kmedian.seed_centres(pts, 6, 3, use_part=False, lookahead=0)
+        del calls[:]
+        got = kmedian.seed_centres(pts, 6, 3, use_part=False, lookahead=4, candidates=1)
+    finally:
+        pts.unpersist()
+    assert got.chosen == base.chosen
+    assert len(calls) >= 2  # one pass could have settled all 5 rounds; the bound refused
+
+
+def test_lookahead_with_fewer_distinct_points_than_k(spark):
+    pts = kmedian.prepare_points(points_df(spark, [[0.0], [0.0], [1.0], [1.0], [5.0]]), 1, 0)
+    try:
+        a = kmedian.seed_centres(pts, 6, 9, use_part=False, lookahead=0)
+        b = kmedian.seed_centres(pts, 6, 9, use_part=False, lookahead=3)
+    finally:
+        pts.unpersist()
+    assert a.chosen == b.chosen and len(b.chosen) == 3
