@@ -104,8 +104,8 @@ class Seeding:
 
 
 # Seeding rounds looked ahead per pass, and candidates kept per part and round.
-DEFAULT_LOOKAHEAD = 3
-DEFAULT_CANDIDATES = 2
+DEFAULT_LOOKAHEAD = 7
+DEFAULT_CANDIDATES = 4
 LOOKAHEAD_SCHEMA = ("part int, t int, lb double, id bigint, e double, w double, d double, "
                     "v array<double>")
 
