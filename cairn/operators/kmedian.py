@@ -63,8 +63,8 @@ def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
                    persist: bool | str = True) -> DataFrame:
     """``(id, v, w, part)``: ``part`` is a hash of (seed, id) in [0, parts), balanced
     whatever the ids look like and independent of the physical layout (PHY2 as a column).
-    Rows are sorted by part inside each partition (no shuffle) so an Arrow batch holds few
-    parts."""
+    Rows stay where they are: the kernels group each Arrow batch by part themselves, so no
+    sort or shuffle by part is needed."""
     w = F.col("w").cast("bigint") if "w" in points.columns else F.lit(1).cast("bigint")
     part = F.lit(0) if parts == 1 else hashed_bucket(seed, F.col("id"), parts)
     pts = points.select("id", "v", w.alias("w"), part.cast("int").alias("part"))
@@ -74,8 +74,6 @@ def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
     slots = points.sparkSession.sparkContext.defaultParallelism
     if pts.rdd.getNumPartitions() < slots:
         pts = pts.repartition(slots, "id")
-    if parts > 1:
-        pts = pts.sortWithinPartitions("part")
     return _store(pts, persist)
 
 
