@@ -284,12 +284,15 @@ def centre_weights(pts: DataFrame, centres: Centres, use_part: bool = True) -> d
 
 
 def weighted_kmedian(points: DataFrame, k: int, iters: int, seed: int = 0, tag: str = "s",
-                     prepared: bool = False, persist: bool | str = True) -> Centres:
+                     prepared: bool = False, persist: bool | str = True,
+                     lookahead: int = DEFAULT_LOOKAHEAD,
+                     candidates: int = DEFAULT_CANDIDATES) -> Centres:
     """Seeding + Lloyd over one weighted table (KM3, KM7); returns the centres (part 0)."""
     check_params(k, 1, iters)
     pts = points if prepared else prepare_points(points, 1, seed, persist)
     try:
-        seeded = seed_centres(pts, k, seed, tag, use_part=False)
+        seeded = seed_centres(pts, k, seed, tag, use_part=False, lookahead=lookahead,
+                              candidates=candidates)
         return lloyd(pts, seeded.centres, iters, use_part=False)
     finally:
         if not prepared:
@@ -314,17 +317,20 @@ class KMedianResult:
             "n bigint, k int, parts int, iter int, objective double")
 
 
-def coreset(pts: DataFrame, k: int, iters: int, seed: int) -> list:
+def coreset(pts: DataFrame, k: int, iters: int, seed: int,
+            lookahead: int = DEFAULT_LOOKAHEAD, candidates: int = DEFAULT_CANDIDATES) -> list:
     """Round 1 (KM4): cluster each part on its own; returns ``(part, cid, v, w)`` rows with
     w > 0.  Sum of w equals the number of points (C19).
 
     All parts run in lock-step: every seeding or Lloyd round is one Spark job over all
     points, so no part is ever held by one task or one group, whatever its size."""
-    return _coreset_lockstep(pts, k, iters, seed)
+    return _coreset_lockstep(pts, k, iters, seed, lookahead, candidates)
 
 
-def _coreset_lockstep(pts: DataFrame, k: int, iters: int, seed: int) -> list:
-    seeded = seed_centres(pts, k, seed, "s", use_part=True)
+def _coreset_lockstep(pts: DataFrame, k: int, iters: int, seed: int, lookahead: int,
+                      candidates: int) -> list:
+    seeded = seed_centres(pts, k, seed, "s", use_part=True, lookahead=lookahead,
+                          candidates=candidates)
     centres = lloyd(pts, seeded.centres, iters, use_part=True)
     weights = centre_weights(pts, centres, use_part=True)
     out = []
@@ -369,19 +375,21 @@ def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int
 
 
 def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
-                    persist: bool | str = True, merge_engine: str | None = None
-                    ) -> KMedianResult:
+                    persist: bool | str = True, merge_engine: str | None = None,
+                    lookahead: int = DEFAULT_LOOKAHEAD,
+                    candidates: int = DEFAULT_CANDIDATES) -> KMedianResult:
     """3-round k-median (KM6): coreset of each part, merge, objective over all points.
 
-    ``persist`` chooses how the prepared points are kept for the k + iter + 2 passes
+    ``persist`` chooses how the prepared points are kept for their passes
     (``True``/``'memory'``, ``'checkpoint'`` into the shared checkpoint dir, or
-    ``False``/``'none'`` to re-read the source each pass)."""
+    ``False``/``'none'`` to re-read the source each pass); ``lookahead`` and
+    ``candidates`` tune the seeding passes of round 1 (``lookahead=0``: one per round)."""
     check_params(k, parts, iters)
     spark = points.sparkSession
     pts = prepare_points(points, parts, seed, persist)
     try:
         t0 = time.perf_counter()
-        rows = coreset(pts, k, iters, seed)
+        rows = coreset(pts, k, iters, seed, lookahead, candidates)
         t1 = time.perf_counter()
         centres = coreset_merge(spark, rows, k, iters, seed, merge_engine)
         t2 = time.perf_counter()

@@ -238,3 +238,11 @@ def test_lookahead_with_fewer_distinct_points_than_k(spark):
     finally:
         pts.unpersist()
     assert a.chosen == b.chosen and len(b.chosen) == 3
+
+
+def test_coreset_kmedian_same_with_and_without_lookahead(spark):
+    pts = tables.embedding_points(spark, SF001)
+    a = kmedian.coreset_kmedian(pts, 4, 3, 2, 11, lookahead=0)
+    b = kmedian.coreset_kmedian(pts, 4, 3, 2, 11)
+    assert [(p, c, w) for p, c, _, w in a.coreset] == [(p, c, w) for p, c, _, w in b.coreset]
+    assert a.objective == b.objective
