@@ -1,7 +1,8 @@
 """Weighted k-median clustering (KM1-KM7).
 
-All L parts of a coreset are clustered *in lock-step*: every seeding or Lloyd round is one
-Spark job over all points (scan -> Arrow kernel -> aggregate keyed by part), so a part is
+All L parts of a coreset are clustered *in lock-step*: every seeding pass (one or more
+rounds, see ``_seed_lookahead``) and every Lloyd step is one Spark job over all points
+(scan -> Arrow kernel -> aggregate keyed by part), so a part is
 never gathered into one task, whatever its size, and the points are never shuffled by part.  What
 stays on the driver between rounds is only the centre table: at most k centres of d doubles
 for each of L parts, a size fixed by the parameters.  Each job's lineage is the scan of the
@@ -78,7 +79,7 @@ def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
 
 
 def _store(pts: DataFrame, persist: bool | str) -> DataFrame:
-    """Keep the prepared points for the k + iter + 2 passes.
+    """Keep the prepared points for their passes (seeding, Lloyd, weights, objective).
 
     ``True``/``'memory'``: ``persist(MEMORY_AND_DISK)`` (lost blocks are recomputed from the
     source).  ``'checkpoint'``: a reliable checkpoint in the shared ``spark.checkpoint.dir``;
@@ -322,7 +323,7 @@ def coreset(pts: DataFrame, k: int, iters: int, seed: int,
     """Round 1 (KM4): cluster each part on its own; returns ``(part, cid, v, w)`` rows with
     w > 0.  Sum of w equals the number of points (C19).
 
-    All parts run in lock-step: every seeding or Lloyd round is one Spark job over all
+    All parts run in lock-step: every seeding pass or Lloyd step is one Spark job over all
     points, so no part is ever held by one task or one group, whatever its size."""
     return _coreset_lockstep(pts, k, iters, seed, lookahead, candidates)
 
