@@ -358,7 +358,7 @@ def lookahead_kernel(bc, rounds: int, keep: int):
 
     def run(batches):
         table = bc.value
-        best = None  # (part, t, lb, id, e, w, d, X) of the kept rows
+        best = None  # [part, t, lb, id, e, w, d, X] of the kept rows
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -368,24 +368,24 @@ def lookahead_kernel(bc, rounds: int, keep: int):
             w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
             d, _ = nearest(X, parts, table)
             wd = w * d
-            ok = (wd > 0) & np.isfinite(wd)
-            if not ok.any():
+            rows = np.flatnonzero((wd > 0) & np.isfinite(wd))
+            if len(rows) == 0:
                 continue
-            p, i, Xo, wo, do, wdo = parts[ok], ids[ok], X[ok], w[ok], d[ok], wd[ok]
-            cols = [[], [], [], [], [], [], [], []]
-            for t in range(rounds):
-                e = -np.log(batch.column(f"u{t}").to_numpy(zero_copy_only=False)[ok])
-                for c, val in zip(cols, (p, np.full(len(p), t), e / wdo, i, e, wo, do, Xo)):
-                    c.append(val)
-            new = [np.concatenate(c) if k < 7 else np.vstack(c) for k, c in enumerate(cols)]
+            p, i, wdo = parts[rows], ids[rows], wd[rows]
+            picked = []
+            for t in range(rounds):  # select on the small key arrays, gather vectors once
+                e = -np.log(batch.column(f"u{t}").to_numpy(zero_copy_only=False)[rows])
+                lb = e / wdo
+                sel = _smallest_per_group(p, lb, i, keep)
+                picked.append((np.full(len(sel), t), lb[sel], e[sel], rows[sel]))
+            r = np.concatenate([x[3] for x in picked])
+            new = [parts[r], np.concatenate([x[0] for x in picked]),
+                   np.concatenate([x[1] for x in picked]), ids[r],
+                   np.concatenate([x[2] for x in picked]), w[r], d[r], X[r]]
             if best is not None:
-                new = [np.concatenate((a, b)) if k < 7 else np.vstack((a, b))
-                       for k, (a, b) in enumerate(zip(best, new))]
-            order = np.lexsort((new[3], new[2], new[1], new[0]))
-            gp, gt = new[0][order], new[1][order]
-            start = np.concatenate(([True], (np.diff(gp) != 0) | (np.diff(gt) != 0)))
-            first = np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))
-            sel = order[np.arange(len(order)) - first < keep]
+                new = [np.concatenate((a, b)) for a, b in zip(best, new)]
+            group = new[0].astype(np.int64) * rounds + new[1]
+            sel = _smallest_per_group(group, new[2], new[3], keep)
             best = [a[sel] for a in new]
         if best is not None:
             yield pa.RecordBatch.from_arrays(
@@ -395,3 +395,13 @@ def lookahead_kernel(bc, rounds: int, keep: int):
                 names=["part", "t", "lb", "id", "e", "w", "d", "v"])
 
     return run
+
+
+def _smallest_per_group(group: np.ndarray, key: np.ndarray, ids: np.ndarray,
+                        keep: int) -> np.ndarray:
+    """Indices of the ``keep`` rows with the smallest ``(key, id)`` in each group."""
+    order = np.lexsort((ids, key, group))
+    g = group[order]
+    start = np.concatenate(([True], g[1:] != g[:-1]))
+    first = np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))
+    return order[np.arange(len(order)) - first < keep]
