@@ -246,3 +246,18 @@ def test_coreset_kmedian_same_with_and_without_lookahead(spark):
     b = kmedian.coreset_kmedian(pts, 4, 3, 2, 11)
     assert [(p, c, w) for p, c, _, w in a.coreset] == [(p, c, w) for p, c, _, w in b.coreset]
     assert a.objective == b.objective
+
+
+def test_lookahead_pass_ships_a_bounded_candidate_table(spark, monkeypatch):
+    """Per pass the driver receives at most L * rounds * (candidates + 1) rows, whatever
+    the number of points or tasks."""
+    sizes = []
+    orig = kmedian._candidate_groups
+    monkeypatch.setattr(kmedian, "_candidate_groups",
+                        lambda table: sizes.append(table.num_rows) or orig(table))
+    pts = kmedian.prepare_points(tables.embedding_points(spark, SF01).repartition(16), 3, 5)
+    try:
+        kmedian.seed_centres(pts, 9, 5, use_part=True, lookahead=3, candidates=2)
+    finally:
+        pts.unpersist()
+    assert sizes and all(n <= 3 * 4 * 3 for n in sizes)
