@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.llm import exact_dedup, mixing
+from cairn.llm import exact_dedup, mixing, secret_scan, superminhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +23,31 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superminhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(kind).alias("n_" + kind) for kind in secret_scan.BASE]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_source_mix": op3_source_mix,
+    "op8_near_dedup": op8_near_dedup,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 ORACLE_SQL = {
