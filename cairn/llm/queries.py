@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.llm import exact_dedup, mixing, secret_scan, superminhash
+from cairn.llm import exact_dedup, lang_bloom, mixing, secret_scan, superminhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,15 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", lang_bloom.is_held_out("doc_id", 5, 0).alias("held_out"))
+    model = lang_bloom.train(docs.where("not held_out"))
+    found = lang_bloom.predict(docs, model)
+    return found.select("doc_id", lang_bloom.is_held_out("doc_id", 5, 0).alias("held_out"),
+                        "lang_pred", "score")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_groups(table(spark, sf_dir, "documents"))
 
@@ -46,6 +55,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_source_mix": op3_source_mix,
+    "op5_language_id": op5_language_id,
     "op8_near_dedup": op8_near_dedup,
     "op10_secret_scan": op10_secret_scan,
 }

@@ -6,24 +6,40 @@ it keeps, which are written as Parquet and reread as the next stage's input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.llm import exact_dedup, mixing, storage
+from cairn.llm import exact_dedup, lang_bloom, mixing, storage, superminhash
 from cairn.llm.queries import table
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 5: a document goes if it has no letter or no n-gram of any learned language; a
+    null lang becomes the predicted one.  The filters are learned from the rows with a lang."""
+    found = lang_bloom.predict(docs, lang_bloom.train(docs), tuple(docs.columns),
+                               ("__lang", "__score"))
+    return (found.where("__score > 0").withColumn("lang", F.coalesce("lang", "__lang"))
+            .select(*docs.columns))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: one document of each group of equal texts stays."""
     return exact_dedup.exact_dedup(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: the document with the least doc_id of each near-duplicate group stays."""
+    return superminhash.near_dedup(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: the documents repeated so that the sources meet their target weights."""
     return mixing.mix_documents(docs)
 
 
 STAGES = [
+    ("language id", known_language),
     ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
     ("source mix", mix_sources),
 ]
 
