@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.llm import exact_dedup, lang_bloom, mixing, secret_scan, superminhash
+from cairn.llm import (exact_dedup, html_mincut, lang_bloom, mixing, secret_scan, superminhash,
+                       topk_nra)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,11 +19,21 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_mincut.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("id"), topk_nra.quantized("embedding").alias("x"))
+    return topk_nra.topk(rows.where("id % 100 = 0"), rows, 10)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", "lang", lang_bloom.is_held_out("doc_id", 5, 0).alias("held_out"))
@@ -54,7 +65,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_html_main_text": op2_html_main_text,
     "op3_source_mix": op3_source_mix,
+    "op4_exact_topk": op4_exact_topk,
     "op5_language_id": op5_language_id,
     "op8_near_dedup": op8_near_dedup,
     "op10_secret_scan": op10_secret_scan,
@@ -93,4 +106,15 @@ ORACLE_SQL = {
                    FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
         SELECT doc_id, size, source_size, target,
                (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT) * size AS taken FROM u""",
+    "op4_exact_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)) AS x
+                   FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                   AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+             p AS (SELECT DISTINCT q.vec_id AS query_id, c.vec_id,
+                          list_inner_product(q.x, c.x)::BIGINT AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+                   WHERE q.vec_id % 100 = 0),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id
+                                                ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
 }
