@@ -16,14 +16,14 @@ def _path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def write_table(df: DataFrame, name: str) -> str:
+def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> str:
     """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and return the path.
 
     A later stage that loses an executor rereads the files instead of recomputing the lineage.
     The folder goes when the session's file system closes, or earlier by ``drop_table``."""
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=partition_by)
     p, fs = _path(spark, path)
     fs.deleteOnExit(p)
     return path
