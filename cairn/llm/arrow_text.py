@@ -114,14 +114,24 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return start, end, np.searchsorted(offsets, start, "right") - 1
 
 
+class SpanHasher:
+    """64-bit hashes of byte spans of one buffer: a polynomial over random byte codes, from prefix
+    sums that are made once."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = _power_tables(len(data) + 1)
+        self.prefix = np.zeros(len(data) + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(_BYTE_CODE[data] * up[:len(data)], out=self.prefix[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            h = (self.prefix[end] - self.prefix[start]) * self.down[start]
+            return mix(h + (end - start).astype(np.uint64) * _GOLD)
+
+
 def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span: a polynomial over random byte codes, from prefix sums."""
-    up, down = _power_tables(len(data) + 1)
-    with np.errstate(over="ignore"):
-        prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE_CODE[data] * up[:len(data)], out=prefix[1:])
-        h = (prefix[end] - prefix[start]) * down[start]
-        return mix(h + (end - start).astype(np.uint64) * _GOLD)
+    return SpanHasher(data)(start, end)
 
 
 def ngram_hashes(word_hash: np.ndarray, doc: np.ndarray, n_docs: int,

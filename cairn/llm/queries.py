@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.llm import (exact_dedup, html_mincut, lang_bloom, mixing, pitman_yor, secret_scan,
-                       superminhash, topk_nra)
+from cairn.llm import (exact_dedup, html_mincut, lang_bloom, mixing, piece_sampling, pitman_yor,
+                       secret_scan, superminhash, topk_nra)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +43,12 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "lang_pred", "score")
 
 
+def op6_piece_sampling(spark: SparkSession, sf_dir: str,
+                       model_path: str = piece_sampling.MODEL_PATH) -> DataFrame:
+    return piece_sampling.sample_pieces(table(spark, sf_dir, "documents"),
+                                        piece_sampling.load_vocabulary(model_path))
+
+
 def op7_pitman_yor_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "text", lang_bloom.is_held_out("doc_id", 7, 2).alias("held_out"))
@@ -77,6 +83,7 @@ QUERIES = {
     "op3_source_mix": op3_source_mix,
     "op4_exact_topk": op4_exact_topk,
     "op5_language_id": op5_language_id,
+    "op6_piece_sampling": op6_piece_sampling,
     "op7_pitman_yor_lm": op7_pitman_yor_lm,
     "op8_near_dedup": op8_near_dedup,
     "op10_secret_scan": op10_secret_scan,

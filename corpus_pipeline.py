@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.llm import exact_dedup, lang_bloom, mixing, storage, superminhash
+from cairn.llm import (exact_dedup, lang_bloom, mixing, piece_sampling, storage,
+                       superminhash)
 from cairn.llm.queries import table
 
 
@@ -36,11 +37,18 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: sampled segmentations of every document, with its id, language and source."""
+    return piece_sampling.sample_pieces(docs, piece_sampling.load_vocabulary(),
+                                        keep=("doc_id", "lang", "source"))
+
+
 STAGES = [
     ("language id", known_language),
     ("exact dedup", drop_copies),
     ("near dedup", drop_near_copies),
     ("source mix", mix_sources),
+    ("piece sampling", encode),
 ]
 
 ORACLE_SQL = None  # SQL cannot express the stages; tests/llm checks them by brute force
