@@ -6,8 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.llm import (exact_dedup, html_mincut, lang_bloom, mixing, piece_sampling, pitman_yor,
-                       secret_scan, superminhash, topk_nra)
+from cairn.llm import (exact_dedup, html_mincut, lang_bloom, mixing, paragraph_dedup, piece_sampling,
+                       pitman_yor, secret_scan, superminhash, topk_nra)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
@@ -86,6 +90,7 @@ QUERIES = {
     "op6_piece_sampling": op6_piece_sampling,
     "op7_pitman_yor_lm": op7_pitman_yor_lm,
     "op8_near_dedup": op8_near_dedup,
+    "op9_passage_dedup": op9_passage_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 
