@@ -57,10 +57,10 @@ def _sequence_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
 
 
 class Paragraphs:
-    """Lines and pieces of a chunk: words [line_lo, line_hi) of every line with a word, words
-    [lo, hi) of every piece, in order."""
+    """Lines of a chunk and, after ``divide``, pieces: words [line_lo, line_hi) of every line with a
+    word, words [lo, hi) of every piece, in order."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, reach: int = REACH):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
         data = LOWER[data]
         self.start, self.end, self.doc = words(data, offsets)
         n = len(self.start)
@@ -72,7 +72,10 @@ class Paragraphs:
             head[1:] = (row[1:] != row[:-1]) | (self.doc[1:] != self.doc[:-1])
         self.line_lo = np.flatnonzero(head)
         self.line_hi = np.concatenate([self.line_lo[1:], [n]]) if n else self.line_lo
-        line = np.cumsum(head) - 1
+        self.head, self.line = head, np.cumsum(head) - 1
+
+    def divide(self, reach: int) -> None:
+        n, head, line = len(self.h), self.head, self.line
         top = np.uint64(0xFFFFFFFFFFFFFFFF)
         value = np.full(n, top)
         if n > 1:
@@ -88,7 +91,6 @@ class Paragraphs:
                 cut[:-s] &= ~same | (value[:-s] < value[s:])
         self.lo = np.flatnonzero(head | cut)
         self.hi = np.concatenate([self.lo[1:], [n]]) if len(self.lo) else self.lo
-        self.line = line
 
 
 def _lines(bands: int, k: int, reach: int):
@@ -98,10 +100,11 @@ def _lines(bands: int, k: int, reach: int):
 
     def run(batches):
         for rows, data, offsets in chunks(batches):
-            p = Paragraphs(data, offsets, reach)
+            p = Paragraphs(data, offsets)
             n_lines = len(p.line_lo)
             if not n_lines:
                 continue
+            p.divide(reach)
             flat, bounds = ngram_hashes(p.h, p.line, n_lines, k)
             long_ = p.line_hi - p.line_lo >= LINE_WORDS
             pick = np.repeat(long_, np.diff(bounds))
@@ -134,12 +137,14 @@ def _line_sets(k: int, wanted: np.ndarray | None):
             p = Paragraphs(data, offsets)
             if not len(p.line_lo):
                 continue
-            flat, bounds = ngram_hashes(p.h, p.line, len(p.line_lo), k)
             node = _sequence_hashes(p.h, p.line_lo, p.line_hi).view(np.int64)
             ok = p.line_hi - p.line_lo >= LINE_WORDS
-            if wanted is not None:
-                ok &= np.isin(node, wanted)
+            if wanted is not None and len(wanted):
+                ok &= wanted[np.minimum(np.searchsorted(wanted, node), len(wanted) - 1)] == node
             at = np.flatnonzero(ok)
+            if not len(at):
+                continue
+            flat, bounds = ngram_hashes(p.h, p.line, len(p.line_lo), k)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[at]), pa.array([np.unique(flat[bounds[i]:bounds[i + 1]]).tobytes()
                                                for i in at], pa.binary())], names=["node", "items"])
@@ -169,6 +174,7 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     units = storage.materialize(candidate_units(classes.select("node", "bands"), tile),
                                 "passage-units")
     ids = storage.materialize(units.select("node").distinct(), "passage-ids")
+    storage.release(spark)
     wanted = None
     if ids.count() <= MAX_BROADCAST_IDS:
         wanted = np.sort(ids.toPandas()["node"].to_numpy(np.int64))  # at most 8 MB
@@ -178,6 +184,7 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
              .select("unit", "node", "items")
              .mapInArrow(similarity.unit_links(percent), "a bigint, b bigint"))
     comps = connected_components(links)
+    storage.release(spark)
     per = classes.select("node", "lo", "hi").join(comps, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     groups = per.groupBy("component").agg(F.min("lo").alias("keep"), F.max("hi").alias("hi")).where(

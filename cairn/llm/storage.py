@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -42,6 +43,12 @@ def drop_table(spark: SparkSession, *paths: str) -> None:
         fs.delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished stages: Spark's cleaner follows the collectors."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
