@@ -72,3 +72,64 @@ def secrets(text):
 
 def secrets_digest(spans):
     return hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+
+
+def exact_groups(docs):
+    """docs: list of (doc_id, text) -> list of (doc_id, keep_id, group_size, kept, sha256)."""
+    groups = defaultdict(list)
+    for d, t in docs:
+        body = re.sub(r"[\x20\x09-\x0D]", "", t or "")
+        groups[hashlib.sha256(body.encode()).hexdigest()].append((d, len(t or "")))
+    out = []
+    for sha, members in groups.items():
+        keep = min(members, key=lambda m: (-m[1], m[0] is None, m[0] or 0))[0]
+        out += [(d, keep, len(members), d == keep, sha) for d, _ in members]
+    return out
+
+
+def mix_targets(sizes, weights=(5, 2, 1), cap=3):
+    """sizes: {source: words} -> {source: target}, by sharing out again until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    total, target, open_ = sum(sizes.values()), {}, set(names)
+    while open_:
+        rest = total - sum(target.values())
+        share = sum(weight[s] for s in open_)
+        above = {s for s in open_ if rest * weight[s] / share > cap * sizes[s]}
+        if not above:
+            target.update({s: rest * weight[s] / share for s in open_})
+            break
+        target.update({s: float(cap * sizes[s]) for s in above})
+        open_ -= above
+    return target
+
+
+def mix_copies(doc_id, rate, seed=17):
+    key = "null" if doc_id is None else str(doc_id)
+    u = (int(hashlib.md5(f"{seed}:mix:{key}".encode()).hexdigest()[:13], 16) + 0.5) / 2.0 ** 52
+    return int(rate) + (u < rate - int(rate))
+
+
+def topk(vectors, k, every=100):
+    """vectors: list of (id, list) -> {query: [(score, id), ...]}."""
+    ok = {}
+    for i, v in vectors:
+        if i is not None and v and all(x is not None and abs(x) < float("inf") for x in v):
+            ok[i] = [int(1024 * x // 1) for x in v]
+    out = {}
+    for q in ok:
+        if q % every == 0:
+            s = [(-sum(a * b for a, b in zip(ok[q], ok[c])), c) for c in ok
+                 if c != q and len(ok[c]) == len(ok[q])]
+            out[q] = [(-x, c) for x, c in sorted(s)[:k]]
+    return out
+
+
+def segmentations(text, pieces):
+    """All ways to write ``text`` (bytes) as pieces, as tuples of indices."""
+    if not text:
+        yield ()
+    for i, p in enumerate(pieces):
+        if p and text.startswith(p):
+            for rest in segmentations(text[len(p):], pieces):
+                yield (i, *rest)
