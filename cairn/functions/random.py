@@ -15,12 +15,15 @@ _HEX_DIGITS = 13
 _SCALE = 4503599627370496.0
 
 
-def _key(seed: int, tag: str, key: Column) -> Column:
-    return F.concat(F.lit(f"{seed}:{tag}:"), key.cast("string"))
+def _key(seed: int, tag: str | Column, key: Column) -> Column:
+    if isinstance(tag, str):
+        return F.concat(F.lit(f"{seed}:{tag}:"), key.cast("string"))
+    return F.concat(F.lit(f"{seed}:"), tag, F.lit(":"), key.cast("string"))
 
 
-def hashed_uniform(seed: int, tag: str, key: Column | str) -> Column:
-    """Uniform double in (0, 1) for the row ``key`` in round ``tag``."""
+def hashed_uniform(seed: int, tag: str | Column, key: Column | str) -> Column:
+    """Uniform double in (0, 1) for the row ``key`` in round ``tag`` (a column if rows are in
+    different rounds)."""
     k = F.col(key) if isinstance(key, str) else key
     digits = F.substring(F.md5(_key(seed, tag, k)), 1, _HEX_DIGITS)
     return (F.conv(digits, 16, 10).cast("double") + F.lit(0.5)) / F.lit(_SCALE)

@@ -40,5 +40,8 @@ def whitespace_tokens(text: Column | str) -> Column:
 
 
 def line_split(text: Column | str) -> Column:
-    """array<string> of the lines of a text value (CRLF, CR or LF)."""
-    return F.split(_col(text), LINE_BREAK_REGEX, -1)
+    """array<string> of the lines of a text value (CRLF, CR or LF), as a line reader gives
+    them: a final line break opens no further line, an empty text has no lines."""
+    parts = F.split(_col(text), LINE_BREAK_REGEX, -1)
+    return F.when(F.element_at(parts, -1) == F.lit(""),
+                  F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)

@@ -46,6 +46,3 @@ def euclidean(a: Column | str, b: Column | str) -> Column:
     sq = F.zip_with(_col(a), _col(b), lambda x, y: (x - y) * (x - y))
     return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, x: acc + x))
 
-
-def round_vector(v: Column | str, digits: int = 6) -> Column:
-    return F.transform(_col(v), lambda x: F.round(x, digits))

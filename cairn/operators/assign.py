@@ -3,9 +3,9 @@ AGG13-AGG17).
 
 Points are rows ``(id bigint, v array<double>, w bigint[, part int])``.  Centres are a small
 table ``(part, cid, v)``: at most k centres for each of L parts, a size fixed by the
-parameters and not by the data.  It is collected to the driver (size checked) and shipped to
-the tasks as a broadcast variable; if it is larger than the budget the parts are processed in
-chunks that each fit, so no single broadcast grows past the budget.
+parameters and not by the data.  It is collected to the driver and shipped to the tasks as
+broadcast variables of at most ``cairn.maxCentreBytes`` each: a larger table is cut by part and,
+inside a part, by centre id, and the kernels keep the smallest (distance, id) over the pieces.
 
 The hot loop is an Arrow kernel (``mapInArrow`` + numpy): one batch of points against the
 centres of their part, distances computed as ``sqrt(sum((x - c)^2))`` (no expansion, so the
@@ -23,7 +23,7 @@ import numpy as np
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cairn.functions.vectors import euclidean
+from cairn.functions.vectors import checked_vector, euclidean
 from cairn.operators import kernels
 from cairn.operators.kernels import (POS_COUNT, POS_WDIST, POS_WEIGHT, objective_kernel,
                                      pairs_kernel, rows_kernel, stats_kernel)
@@ -31,7 +31,7 @@ from cairn.operators.kernels import (POS_COUNT, POS_WDIST, POS_WEIGHT, objective
 # Ship the kernels with the task closures instead of requiring the package on executors.
 cloudpickle.register_pickle_by_value(kernels)
 
-# Default ceiling for one broadcast centre table; beyond it parts are processed in chunks.
+# Default size of one broadcast piece of the centre table.
 DEFAULT_MAX_CENTRE_BYTES = 256 << 20
 STATS_SCHEMA = "part int, cid int, pos int, val double"
 RACE_SCHEMA = "part int, key double, id bigint, v array<double>"
@@ -72,17 +72,17 @@ class Centres:
             items.sort(key=lambda t: t[0])
             out[part] = (np.array([c for c, _ in items], dtype=np.int32),
                          np.vstack([v for _, v in items]))
+            if not np.isfinite(out[part][1]).all():
+                raise ValueError("NULL, NaN or infinite element in a centre")
         return cls(out)
 
     @classmethod
-    def collect(cls, df: DataFrame, max_rows: int = 1_000_000, part_col: str | None = "part",
-                cid_col: str = "cid", v_col: str = "v") -> "Centres":
-        """Collect a small centre DataFrame; refuses more than ``max_rows`` rows."""
+    def collect(cls, df: DataFrame, part_col: str | None = "part", cid_col: str = "cid",
+                v_col: str = "v") -> "Centres":
+        """Collect a centre DataFrame (its size is the caller's parameter, not the data's)."""
         part = F.col(part_col) if part_col else F.lit(0)
         rows = df.select(part.alias("part"), F.col(cid_col).alias("cid"),
-                         F.col(v_col).alias("v")).limit(max_rows + 1).collect()
-        if len(rows) > max_rows:
-            raise ValueError(f"centre table has more than {max_rows} rows")
+                         F.col(v_col).alias("v")).collect()
         return cls.from_rows((r.part, r.cid, r.v) for r in rows)
 
     def rows(self):
@@ -91,20 +91,22 @@ class Centres:
             for c, v in zip(cids, mat):
                 yield int(part), int(c), [float(x) for x in v]
 
-    def to_frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows()), "part int, cid int, v array<double>")
-
     def chunks(self, max_bytes: int) -> list["Centres"]:
-        """Split by part into tables of at most ``max_bytes`` each (one part never splits)."""
+        """Pieces of at most ``max_bytes`` each (one centre at least), cut by part and, where a
+        part is larger, by centre id in ascending order."""
         out, cur, size = [], {}, 0
         for part in self.parts():
             c, m = self.by_part[part]
-            b = c.nbytes + m.nbytes
-            if cur and size + b > max_bytes:
-                out.append(Centres(cur))
-                cur, size = {}, 0
-            cur[part] = (c, m)
-            size += b
+            each = max(1, (c.nbytes + m.nbytes) // max(1, len(c)))
+            step = max(1, max_bytes // each)
+            for lo in range(0, len(c), step):
+                piece = (c[lo:lo + step], m[lo:lo + step])
+                b = piece[0].nbytes + piece[1].nbytes
+                if cur and (size + b > max_bytes or part in cur):
+                    out.append(Centres(cur))
+                    cur, size = {}, 0
+                cur[part] = piece
+                size += b
         if cur or not out:
             out.append(Centres(cur))
         return out
@@ -112,49 +114,35 @@ class Centres:
 
 # --------------------------------------------------------------------------- Spark side
 
-def _with_part(points: DataFrame, use_part: bool) -> DataFrame:
+def _with_part(points: DataFrame, use_part: bool, extra: dict) -> DataFrame:
     cols = ["id", "v", "w"] + (["part"] if use_part else [])
     pts = points
     if "w" not in points.columns:
         pts = pts.withColumn("w", F.lit(1).cast("bigint"))
-    return pts.select(*cols)
+    return pts.select(*cols, *[c.alias(name) for name, c in extra.items()])
 
 
 def apply_kernel(points: DataFrame, centres: Centres, factory, schema: str,
                  use_part: bool = True, extra: dict | None = None,
                  broadcasts: list | None = None) -> DataFrame:
-    """Run ``factory(broadcast)`` over the points with the centres broadcast.
+    """Run ``factory(broadcasts)`` over the points with the centres broadcast.
 
-    The centre table is broadcast whole when it fits ``cairn.maxCentreBytes``; otherwise
-    the parts are processed in chunks (each a filtered scan) and the outputs unioned.
-    Callers that execute the result eagerly pass ``broadcasts`` to collect the broadcast
-    handles and release them afterwards (``release``).
+    ``factory`` gets the list of broadcast pieces of the centre table.  Callers that execute the
+    result eagerly pass ``broadcasts`` to collect the handles and destroy them afterwards
+    (``release``); the pieces of a lazy result live as long as its plan.
     """
     spark = points.sparkSession
-    sc = spark.sparkContext
-    pts = _with_part(points, use_part)
-    if extra:
-        pts = pts.select("*", *[c.alias(name) for name, c in extra.items()])
-    chunks = centres.chunks(max_centre_bytes(spark)) if use_part else [centres]
-    if not use_part and centres.nbytes > max_centre_bytes(spark):
-        raise ValueError("centre set exceeds cairn.maxCentreBytes; use fewer centres")
-    outs = []
-    for chunk in chunks:
-        bc = sc.broadcast(chunk.by_part)  # plain dict of numpy arrays
-        if broadcasts is not None:
-            broadcasts.append(bc)
-        src = pts if len(chunks) == 1 else pts.where(F.col("part").isin(chunk.parts()))
-        outs.append(src.mapInArrow(factory(bc), schema))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+    pts = _with_part(points, use_part, extra or {})
+    bcs = [spark.sparkContext.broadcast(c.by_part) for c in centres.chunks(max_centre_bytes(spark))]
+    if broadcasts is not None:
+        broadcasts += bcs
+    return pts.mapInArrow(factory(bcs), schema)
 
 
 def release(broadcasts: list) -> None:
-    """Drop the executors' copies of finished broadcasts (they are re-sent if needed)."""
+    """Drop finished broadcasts on the executors and the driver."""
     for bc in broadcasts:
-        bc.unpersist()
+        bc.destroy()
     broadcasts.clear()
 
 
@@ -199,7 +187,7 @@ def centres_of(centres_df: DataFrame, part_col: str | None = None) -> Centres:
 def pairwise_distance(points: DataFrame, centres_df: DataFrame) -> DataFrame:
     """Distance of every point to each of the (few) centres: ``(id, cid, d)`` (PRJ6)."""
     c = centres_of(centres_df)
-    return apply_kernel(points, c, lambda bc: pairs_kernel(bc), PAIRS_SCHEMA, use_part=False)
+    return apply_kernel(points, c, pairs_kernel, PAIRS_SCHEMA, use_part=False)
 
 
 def closest_center(points: DataFrame, centres_df: DataFrame, keep_weight: bool = False) -> DataFrame:
@@ -207,7 +195,7 @@ def closest_center(points: DataFrame, centres_df: DataFrame, keep_weight: bool =
     ``keep_weight`` passes the point's weight through, so no join back is needed."""
     c = centres_of(centres_df)
     cols = ["id", "cid", "d"] + (["w"] if keep_weight else [])
-    return (apply_kernel(points, c, lambda bc: rows_kernel(bc, False), ROWS_SCHEMA,
+    return (apply_kernel(points, c, lambda b: rows_kernel(b, False), ROWS_SCHEMA,
                          use_part=False).select(*cols))
 
 
@@ -219,8 +207,9 @@ def closest_center_sql(points: DataFrame, centres_df: DataFrame) -> DataFrame:
     lit = F.array(*[F.struct(F.lit(int(i)).alias("cid"),
                              F.array(*[F.lit(float(x)) for x in row]).alias("cv"))
                     for i, row in zip(cids, M)])
+    v = checked_vector("v", M.shape[1])
     best = F.array_min(F.transform(lit, lambda s: F.struct(
-        euclidean(F.col("v"), s["cv"]).alias("d"), s["cid"].alias("cid"))))
+        euclidean(v, s["cv"]).alias("d"), s["cid"].alias("cid"))))
     return points.select("id", best.alias("b")).select(
         "id", F.col("b.cid").alias("cid"), F.col("b.d").alias("d"))
 
@@ -234,15 +223,15 @@ def cluster_members(points: DataFrame, centres_df: DataFrame) -> DataFrame:
 def cluster_weights(points: DataFrame, centres_df: DataFrame) -> DataFrame:
     """``(cid, w)``: total weight of the points closest to each centre, 0 for none (AGG14).
 
-    The per-batch partial sums are merged by a tiny aggregate and then right-joined to the
-    (broadcast, bounded) centre ids so that empty clusters appear with 0."""
+    The per-task partial sums are merged by a tiny aggregate and joined to the centre ids, which
+    are on the driver already, so that empty clusters appear with 0."""
     c = centres_of(centres_df)
-    partial = apply_kernel(points, c, lambda bc: stats_kernel(bc, False), STATS_SCHEMA,
+    partial = apply_kernel(points, c, lambda b: stats_kernel(b, False), STATS_SCHEMA,
                            use_part=False)
     sums = (partial.where(F.col("pos") == POS_WEIGHT).groupBy("cid")
             .agg(F.sum("val").alias("sw")))
-    ids = centres_df.select(F.col("cid").cast("int").alias("cid"))
-    return (F.broadcast(ids).join(sums, "cid", "left")
+    ids = points.sparkSession.createDataFrame([(cid,) for _, cid, _ in c.rows()], "cid int")
+    return (ids.join(sums, "cid", "left")
             .select("cid", F.coalesce(F.col("sw"), F.lit(0.0)).cast("bigint").alias("w")))
 
 
@@ -252,7 +241,7 @@ def weighted_centroids(points: DataFrame, centres_df: DataFrame) -> DataFrame:
     Partial sums of w*v per batch are exploded by coordinate and summed; empty clusters
     produce no rows."""
     c = centres_of(centres_df)
-    partial = apply_kernel(points, c, lambda bc: stats_kernel(bc, False), STATS_SCHEMA,
+    partial = apply_kernel(points, c, lambda b: stats_kernel(b, False), STATS_SCHEMA,
                            use_part=False)
     sums = partial.where((F.col("pos") >= 0) | (F.col("pos") == POS_WEIGHT)) \
         .groupBy("cid", "pos").agg(F.sum("val").alias("val"))
@@ -266,7 +255,7 @@ def weighted_centroids(points: DataFrame, centres_df: DataFrame) -> DataFrame:
 def kmedian_objective(points: DataFrame, centres_df: DataFrame | Centres) -> DataFrame:
     """``(n, objective)``: mean distance of the points to their closest centre (AGG16)."""
     c = centres_df if isinstance(centres_df, Centres) else centres_of(centres_df)
-    part = apply_kernel(points, c, lambda bc: objective_kernel(bc, False), OBJECTIVE_SCHEMA,
+    part = apply_kernel(points, c, lambda b: objective_kernel(b, False), OBJECTIVE_SCHEMA,
                         use_part=False)
     return part.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                     F.try_divide(F.sum("sum_d"), F.sum("n")).alias("objective"))
@@ -275,6 +264,6 @@ def kmedian_objective(points: DataFrame, centres_df: DataFrame | Centres) -> Dat
 def weighted_distance_total(points: DataFrame, centres_df: DataFrame) -> DataFrame:
     """``(total)``: sum of w * closest distance, the normaliser of a weighted draw (AGG17)."""
     c = centres_of(centres_df)
-    part = apply_kernel(points, c, lambda bc: objective_kernel(bc, False), OBJECTIVE_SCHEMA,
+    part = apply_kernel(points, c, lambda b: objective_kernel(b, False), OBJECTIVE_SCHEMA,
                         use_part=False)
     return part.agg(F.sum("sum_wd").alias("total"))

@@ -1,8 +1,9 @@
 """Arrow/numpy kernels run inside ``mapInArrow`` tasks.
 
 This module depends on numpy and pyarrow only.  It is serialised *by value* with the task
-closures, so executors need no copy of the package; the broadcast centre table is a plain
-``{part: (cids int32[m] ascending, mat float64[m, d])}`` dict.
+closures, so executors need no copy of the package.  The centres come as a list of broadcast
+pieces, each a plain ``{part: (cids int32[m] ascending, mat float64[m, d])}`` dict; a part may be
+spread over several pieces, in ascending order of the centre ids.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ _BLOCK_ELEMS = 1 << 21
 POS_COUNT, POS_WEIGHT, POS_WDIST = -3, -2, -1
 
 def vector_matrix(col) -> np.ndarray:
-    """An Arrow list<double> column as an (n, d) float64 matrix; ragged input is an error."""
+    """An Arrow list<float or double> column as an (n, d) float64 matrix.  NULL vectors, NULL, NaN
+    or infinite elements and vectors of unequal length are errors (C23)."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     n = len(col)
@@ -30,10 +32,30 @@ def vector_matrix(col) -> np.ndarray:
     d = int(lens[0])
     if (lens != d).any():
         raise ValueError("vectors of unequal length in point set")
-    flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    items = col.flatten()
+    if items.null_count:
+        raise ValueError("NULL element in a vector of the point set")
+    flat = items.to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    if not np.isfinite(flat).all():
+        raise ValueError("NaN or infinite element in a vector of the point set")
     return flat.reshape(n, d)
 
 
+def weights(batch: pa.RecordBatch) -> np.ndarray:
+    """The weight column as float64; NULL, NaN and negative weights are errors."""
+    col = batch.column("w")
+    if col.null_count:
+        raise ValueError("NULL weight in point set")
+    w = col.to_numpy(zero_copy_only=False).astype(np.float64)
+    if not (w >= 0).all():
+        raise ValueError("negative or NaN weight in point set")
+    return w
+
+
+def pieces(broadcasts) -> list:
+    return [b.value for b in broadcasts]
+
+
 def list_array(mat: np.ndarray) -> pa.Array:
     n, d = mat.shape if mat.ndim == 2 else (0, 0)
     offsets = pa.array(np.arange(n + 1, dtype=np.int32) * d, type=pa.int32())
@@ -43,6 +65,8 @@ def list_array(mat: np.ndarray) -> pa.Array:
 def _block_distances(X: np.ndarray, M: np.ndarray):
     """Yield (start, end, dist[r, m]) blocks of Euclidean distances."""
     m, dim = M.shape
+    if dim != X.shape[1]:
+        raise ValueError("point and centre dimensions differ")
     step = max(1, _BLOCK_ELEMS // max(1, m * max(dim, 1)))
     for s in range(0, X.shape[0], step):
         diff = X[s:s + step, None, :] - M[None, :, :]
@@ -60,24 +84,22 @@ def _part_groups(parts: np.ndarray):
         yield int(sp[s]), order[s:e]
 
 
-def nearest(X: np.ndarray, parts: np.ndarray, table: dict):
-    """Distance to and id of the closest centre of each row's part (lowest id on ties).
-    Rows of a part without centres get (inf, -1)."""
+def nearest(X: np.ndarray, parts: np.ndarray, tables: list):
+    """Distance to and id of the closest centre of each row's part (lowest id on ties) over all
+    pieces of the centre table.  Rows of a part without centres get (inf, -1)."""
     n = X.shape[0]
     dist = np.full(n, np.inf)
     cid = np.full(n, -1, dtype=np.int32)
     for part, idx in _part_groups(parts):
-        entry = table.get(part)
-        if entry is None:
-            continue
-        cids, M = entry
-        if M.shape[1] != X.shape[1]:
-            raise ValueError("point and centre dimensions differ")
-        Xp = X[idx]
-        for s, e, D in _block_distances(Xp, M):
-            j = D.argmin(axis=1)
-            dist[idx[s:e]] = D[np.arange(e - s), j]
-            cid[idx[s:e]] = cids[j]
+        entries = [t[part] for t in tables if part in t]
+        Xp = X[idx] if entries else None
+        for cids, M in entries:
+            for s, e, D in _block_distances(Xp, M):
+                j = D.argmin(axis=1)
+                d, rows = D[np.arange(e - s), j], idx[s:e]
+                closer = d < dist[rows]  # pieces hold ascending ids, so ties stay
+                dist[rows] = np.where(closer, d, dist[rows])
+                cid[rows] = np.where(closer, cids[j], cid[rows])
     return dist, cid
 
 
@@ -119,21 +141,21 @@ def _merge_sums(acc):
     return tuple(out)
 
 
-def stats_kernel(bc, use_part: bool = True):
+def stats_kernel(bcs, use_part: bool = True):
     """Per (part, cid) partial sums of count, w, w*d and w*v as long-form rows.
 
     Sums are kept across all batches of the task and emitted once, so a task sends at most
     (parts x k x (d + 3)) rows to the shuffle whatever its size."""
 
     def run(batches):
-        table = bc.value
+        table = pieces(bcs)
         acc = []
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = vector_matrix(batch.column("v"))
             parts = _batch_parts(batch, use_part)
-            w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
+            w = weights(batch)
             d, cid = nearest(X, parts, table)
             ok = cid >= 0
             if not ok.all():
@@ -160,13 +182,13 @@ def stats_kernel(bc, use_part: bool = True):
     return run
 
 
-def race_kernel(bc, use_part: bool = True, uniform: bool = False):
+def race_kernel(bcs, use_part: bool = True):
     """Per part, the task's best candidate of the weighted race ``-ln(u)/(w*d)`` (lowest id
     on equal keys); points at distance 0 from a chosen centre (or of weight 0) are not
-    candidates.  ``uniform`` draws the first centre: every row, key ``-ln(u)``."""
+    candidates."""
 
     def run(batches):
-        table = bc.value
+        table = pieces(bcs)
         best = None  # (parts, keys, ids, vectors) of the current best per part
         for batch in batches:
             if batch.num_rows == 0:
@@ -174,17 +196,14 @@ def race_kernel(bc, use_part: bool = True, uniform: bool = False):
             X = vector_matrix(batch.column("v"))
             parts = _batch_parts(batch, use_part)
             ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
+            w = weights(batch)
             u = batch.column("u").to_numpy(zero_copy_only=False)
-            if uniform:
-                wd = np.ones(len(ids))
-            else:
-                d, _ = nearest(X, parts, table)
-                wd = w * d
+            d, _ = nearest(X, parts, table)
+            wd = w * d
             ok = (wd > 0) & np.isfinite(wd)
             if not ok.any():
                 continue
-            key = -np.log(u[ok]) if uniform else -np.log(u[ok]) / wd[ok]
+            key = -np.log(u[ok]) / wd[ok]
             p, i, Xo = parts[ok], ids[ok], X[ok]
             if best is not None:
                 p = np.concatenate((best[0], p))
@@ -203,15 +222,16 @@ def race_kernel(bc, use_part: bool = True, uniform: bool = False):
     return run
 
 
-def rows_kernel(bc, use_part: bool = True):
+def rows_kernel(bcs, use_part: bool = True):
     """Per point: ``(id, part, cid, d, w)`` of its closest centre (w passed through)."""
 
     def run(batches):
-        table = bc.value
+        table = pieces(bcs)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = vector_matrix(batch.column("v"))
+            weights(batch)  # checked, then passed through
             parts = _batch_parts(batch, use_part)
             d, cid = nearest(X, parts, table)
             yield pa.RecordBatch.from_arrays(
@@ -221,38 +241,39 @@ def rows_kernel(bc, use_part: bool = True):
     return run
 
 
-def pairs_kernel(bc):
+def pairs_kernel(bcs):
     """Per point and centre: ``(id, cid, d)``; k is bounded by the centre table."""
 
     def run(batches):
-        cids, M = bc.value[0]
+        tables = pieces(bcs)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = vector_matrix(batch.column("v"))
             ids = batch.column("id").to_numpy(zero_copy_only=False)
-            for s, e, D in _block_distances(X, M):
-                r = e - s
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids[s:e], len(cids))),
-                     pa.array(np.tile(cids, r)), pa.array(D.reshape(-1))],
-                    names=["id", "cid", "d"])
+            for cids, M in (t[0] for t in tables if 0 in t):
+                for s, e, D in _block_distances(X, M):
+                    r = e - s
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.repeat(ids[s:e], len(cids))),
+                         pa.array(np.tile(cids, r)), pa.array(D.reshape(-1))],
+                        names=["id", "cid", "d"])
 
     return run
 
 
-def objective_kernel(bc, use_part: bool = False):
+def objective_kernel(bcs, use_part: bool = False):
     """Per batch: number of points, sum of closest distances and of w * distance."""
 
     def run(batches):
-        table = bc.value
+        table = pieces(bcs)
         n, sd, swd = 0, 0.0, 0.0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             X = vector_matrix(batch.column("v"))
             parts = _batch_parts(batch, use_part)
-            w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
+            w = weights(batch)
             d, _ = nearest(X, parts, table)
             n += batch.num_rows
             sd += float(d.sum())
@@ -264,89 +285,7 @@ def objective_kernel(bc, use_part: bool = False):
     return run
 
 
-# ------------------------------------------------------------------ one weighted set in memory
-# Used for the merge round on the driver (at most k * L rows, a size set by the parameters).
-# The arithmetic is that of the kernels above, fed with one batch, so both engines agree.
-
-# Fixed values, as in the Spark/SQL uniform: 13 hex digits (52 bits) and 2**52.
-_HEX_DIGITS = 13
-_SCALE = 4503599627370496.0
-
-
-class _Value:
-    """Stands in for a broadcast variable."""
-
-    def __init__(self, value):
-        self.value = value
-
-
-def md5_uniform(seed: int, tag: str, ids) -> np.ndarray:
-    """The hashed uniform of ``(seed, tag, id)`` computed with hashlib."""
-    import hashlib
-    return np.array([(int(hashlib.md5(f"{seed}:{tag}:{int(i)}".encode()).hexdigest()[:_HEX_DIGITS],
-                          16) + 0.5) / _SCALE for i in ids])
-
-
-def table_of(rows) -> dict:
-    """``{part: (cids ascending, matrix)}`` from ``(part, cid, vector)`` rows."""
-    acc: dict = {}
-    for part, cid, v in rows:
-        acc.setdefault(int(part), []).append((int(cid), np.asarray(v, dtype=np.float64)))
-    out = {}
-    for part, items in acc.items():
-        items.sort(key=lambda t: t[0])
-        out[part] = (np.array([c for c, _ in items], dtype=np.int32),
-                     np.vstack([v for _, v in items]))
-    return out
-
-
-def _one_batch(ids, X, w, u=None) -> pa.RecordBatch:
-    cols = [pa.array(ids, pa.int64()), list_array(X), pa.array(w, pa.int64()),
-            pa.array(np.zeros(len(ids), dtype=np.int32))]
-    names = ["id", "v", "w", "part"]
-    if u is not None:
-        cols.append(pa.array(u))
-        names.append("u")
-    return pa.RecordBatch.from_arrays(cols, names=names)
-
-
-def _sums_by_cid(ids, X, w, rows) -> dict:
-    """``{cid: {pos: sum}}`` of the stats kernel over one set (part 0)."""
-    acc: dict = {}
-    for b in stats_kernel(_Value(table_of(rows)), True)([_one_batch(ids, X, w)]):
-        for cid, pos, val in zip(b.column("cid").to_pylist(), b.column("pos").to_pylist(),
-                                 b.column("val").to_pylist()):
-            acc.setdefault(cid, {})[pos] = val
-    return acc
-
-
-def seed_in_memory(ids, X, w, k: int, seed: int, tag: str) -> list:
-    """Weighted D-seeding of one set; ``(0, cid, v)`` rows in draw order."""
-    rows: list = []
-    for i in range(k):
-        u = md5_uniform(seed, f"{tag}{i}", ids)
-        out = list(race_kernel(_Value(table_of(rows)), True, uniform=(i == 0))(
-            [_one_batch(ids, X, w, u)]))
-        if not out:
-            break
-        rows.append((0, i, np.asarray(out[0].column("v")[0].as_py(), dtype=np.float64)))
-    return rows
-
-
-def lloyd_in_memory(ids, X, w, rows: list, iters: int) -> list:
-    """Lloyd steps on one set; empty clusters dropped, ids renumbered."""
-    for _ in range(iters):
-        acc = _sums_by_cid(ids, X, w, rows)
-        rows = []
-        for cid in sorted(acc):
-            m = acc[cid]
-            if m[POS_WEIGHT] > 0:
-                dim = max(m) + 1
-                rows.append((0, len(rows), np.array([m[p] for p in range(dim)]) / m[POS_WEIGHT]))
-    return rows
-
-
-def lookahead_kernel(bc, rounds: int, keep: int):
+def lookahead_kernel(bcs, rounds: int, keep: int):
     """Race of the current seeding round plus lower bounds for the next ones, one pass.
 
     Batch columns ``id, v, w, part, u0 .. u{rounds-1}`` with ``u_t`` the uniform of round
@@ -357,7 +296,7 @@ def lookahead_kernel(bc, rounds: int, keep: int):
     candidates.  Output rows: ``(part, t, lb, id, e, w, d, v)``."""
 
     def run(batches):
-        table = bc.value
+        table = pieces(bcs)
         best = None  # [part, t, lb, id, e, w, d, X] of the kept rows
         for batch in batches:
             if batch.num_rows == 0:
@@ -365,7 +304,7 @@ def lookahead_kernel(bc, rounds: int, keep: int):
             X = vector_matrix(batch.column("v"))
             parts = _batch_parts(batch, True)
             ids = batch.column("id").to_numpy(zero_copy_only=False).astype(np.int64)
-            w = batch.column("w").to_numpy(zero_copy_only=False).astype(np.float64)
+            w = weights(batch)
             d, _ = nearest(X, parts, table)
             wd = w * d
             rows = np.flatnonzero((wd > 0) & np.isfinite(wd))

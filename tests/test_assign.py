@@ -94,10 +94,14 @@ def test_chunked_broadcast_gives_same_stats(spark):
     pts = prepare_points(tables.embedding_points(spark, SF01), 4, 42)
     seeded = seed_centres(pts, 3, 42)
     whole = centre_weights(pts, seeded.centres)
-    spark.conf.set("cairn.maxCentreBytes", "2000")  # one part's centres per chunk
+    objective = assign.kmedian_objective(pts, Centres({0: seeded.centres.by_part[0]})).collect()
     try:
-        chunked = centre_weights(pts, seeded.centres)
+        for size in ("2000", "600"):  # a part's centres per piece; one centre per piece
+            spark.conf.set("cairn.maxCentreBytes", size)
+            assert centre_weights(pts, seeded.centres) == whole
+            assert assign.kmedian_objective(
+                pts, Centres({0: seeded.centres.by_part[0]})).collect() == objective
     finally:
         spark.conf.unset("cairn.maxCentreBytes")
         pts.unpersist()
-    assert whole == chunked and sum(whole.values()) == 500
+    assert sum(whole.values()) == 500
