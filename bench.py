@@ -44,7 +44,7 @@ def main() -> None:
     wprices = tables.order_prices(spark, warm)
     for df in (stats.minmax_normalize(wprices), stats.normalized_variance(wprices),
                wordcount.word_count(wdocs), wordcount.word_count_salted(wdocs, 8, 42),
-               wordcount.word_count_partitioned(wdocs, 4),
+               wordcount.word_count_partitioned(wdocs),
                wordcount.avg_distinct_word_length(wdocs)):
         force(df)
     kmedian.coreset_kmedian(tables.embedding_points(spark, warm), 5, 4, 2, 1)
@@ -59,7 +59,7 @@ def main() -> None:
     times["word_count"] = timed(lambda: force(wordcount.word_count(docs)))
     times["word_count_salted"] = timed(lambda: force(wordcount.word_count_salted(docs, 8, 42)))
     times["word_count_partitioned"] = timed(
-        lambda: force(wordcount.word_count_partitioned(docs, 4)))
+        lambda: force(wordcount.word_count_partitioned(docs)))
     times["avg_distinct_word_length"] = timed(
         lambda: force(wordcount.avg_distinct_word_length(docs)))
 
@@ -81,7 +81,7 @@ def main() -> None:
     centres = assign.Centres.from_rows((0, i, v) for i, (_, _, v) in
                                        enumerate(res4.centres.rows()))
     times["lineitem_closest_center"] = timed(lambda: force(
-        assign.apply_kernel(line, centres, lambda bc: assign.rows_kernel(bc, False),
+        assign.apply_kernel(line, centres, lambda b: assign.rows_kernel(b, False),
                             assign.ROWS_SCHEMA, use_part=False)))
 
     headline = [k for k in times if not re.search(r"_round\d$", k)]

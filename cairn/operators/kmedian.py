@@ -4,10 +4,11 @@ All L parts of a coreset are clustered *in lock-step*: every seeding pass (one o
 rounds, see ``_seed_lookahead``) and every Lloyd step is one Spark job over all points
 (scan -> Arrow kernel -> aggregate keyed by part), so a part is
 never gathered into one task, whatever its size, and the points are never shuffled by part.  What
-stays on the driver between rounds is only the centre table: at most k centres of d doubles
-for each of L parts, a size fixed by the parameters.  Each job's lineage is the scan of the
-points plus that table, so a lost executor costs a re-run of its tasks, never a replay of
-earlier rounds.
+stays on the driver is only the centre table, at most k centres of d doubles for each of L
+parts, and during a seeding pass (lookahead + 1) * (candidates + 1) candidate rows per part:
+sizes fixed by the parameters, and driver work linear in them.  Each job's lineage is the scan
+of the points plus that table, so a lost executor costs a re-run of its tasks, never a replay
+of earlier rounds.
 
 Semantics (see README): seeding picks the first centre uniformly and each next one with
 probability proportional to w * (distance to the closest chosen centre), over a running
@@ -22,6 +23,7 @@ ends up with weight 0 represents no point and is left out of the coreset.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -29,11 +31,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cairn.functions.random import hashed_bucket, hashed_uniform, race_key
-from cairn.operators import local
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
                                     kmedian_objective, release)
 from cairn.operators.kernels import lookahead_kernel, nearest, race_kernel, vector_matrix
-from cairn.session import checkpoint_dir
+from cairn.session import delete_folder, tag_dir
 
 
 def check_params(k: int, parts: int = 1, iters: int = 0) -> None:
@@ -46,60 +47,57 @@ def check_params(k: int, parts: int = 1, iters: int = 0) -> None:
         raise ValueError("iter must be >= 0")
 
 
-# Ceiling for the centre table the driver holds between rounds (k * parts * d doubles).
-DEFAULT_MAX_DRIVER_CENTRE_BYTES = 2 << 30
-
-
-def check_centre_budget(spark: SparkSession, k: int, parts: int, dim: int) -> None:
-    """Refuse parameters whose centre table could not be held on the driver."""
-    limit = int(spark.conf.get("cairn.maxDriverCentreBytes",
-                               str(DEFAULT_MAX_DRIVER_CENTRE_BYTES)))
-    need = 8 * k * parts * dim
-    if need > limit:
-        raise ValueError(f"k * parts * dim = {k} * {parts} * {dim} needs {need} bytes of "
-                         f"centres on the driver (> cairn.maxDriverCentreBytes = {limit})")
-
-
 def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
-                   persist: bool | str = True) -> DataFrame:
+                   persist: bool | str = True, min_partitions: int | None = None) -> DataFrame:
     """``(id, v, w, part)``: ``part`` is a hash of (seed, id) in [0, parts), balanced
     whatever the ids look like and independent of the physical layout (PHY2 as a column).
     Rows stay where they are: the kernels group each Arrow batch by part themselves, so no
-    sort or shuffle by part is needed."""
+    sort or shuffle by part is needed.  ``min_partitions`` deals the points out to that many
+    partitions by id once, for inputs known to have too few (C24); nothing is probed."""
     w = F.col("w").cast("bigint") if "w" in points.columns else F.lit(1).cast("bigint")
     part = F.lit(0) if parts == 1 else hashed_bucket(seed, F.col("id"), parts)
     pts = points.select("id", "v", w.alias("w"), part.cast("int").alias("part"))
-    # Every round re-reads the points: an input with fewer partitions than task slots (one
-    # big row group, a coalesced source) is spread once by id hash.  A large input already
-    # has more partitions than slots and is left where it is (no shuffle).
-    slots = points.sparkSession.sparkContext.defaultParallelism
-    if pts.rdd.getNumPartitions() < slots:
-        pts = pts.repartition(slots, "id")
+    if min_partitions:
+        pts = pts.repartition(min_partitions, "id")
     return _store(pts, persist)
 
 
 def _store(pts: DataFrame, persist: bool | str) -> DataFrame:
     """Keep the prepared points for their passes (seeding, Lloyd, weights, objective).
 
-    ``True``/``'memory'``: ``persist(MEMORY_AND_DISK)`` (lost blocks are recomputed from the
-    source).  ``'checkpoint'``: a reliable checkpoint in the shared ``spark.checkpoint.dir``;
-    lineage is cut, so a lost executor never forces a re-read or re-shuffle of the source.
-    ``False``/``'none'``: every pass re-reads the source with column pruning."""
+    ``True``/``'memory'``: ``persist(MEMORY_AND_DISK)``, right while the points fit the
+    executors (lost blocks are recomputed from the source).  ``'checkpoint'``: one Parquet
+    table in the shared ``spark.checkpoint.dir``, removed by ``drop_points``; the choice when
+    the points are the costly result of a join.  ``False``/``'none'``: every pass re-reads the
+    source with column pruning, the choice for 100 TB of points in a columnar source."""
     mode = {True: "memory", False: "none"}.get(persist, persist)
     if mode == "memory":
         return pts.persist(StorageLevel.MEMORY_AND_DISK)
     if mode == "checkpoint":
-        checkpoint_dir(pts.sparkSession)
-        return pts.checkpoint(eager=True)
+        path = tag_dir(pts.sparkSession, f"points-{uuid.uuid4().hex}")
+        pts.write.parquet(path)
+        kept = pts.sparkSession.read.schema(pts.schema).parquet(path)
+        kept._cairn_path = path
+        return kept
     if mode == "none":
         return pts
     raise ValueError("persist must be True, False, 'memory', 'checkpoint' or 'none'")
 
 
+def drop_points(pts: DataFrame) -> None:
+    """Let go of what ``prepare_points`` kept."""
+    path = getattr(pts, "_cairn_path", None)
+    if path:
+        delete_folder(pts.sparkSession, path)
+    else:
+        pts.unpersist()
+
+
 @dataclass
 class Seeding:
     centres: Centres
     chosen: list = field(default_factory=list)  # (part, cid, id) in draw order
+    passes: int = 0  # jobs over the points
 
 
 # Seeding rounds looked ahead per pass, and candidates kept per part and round.
@@ -132,7 +130,7 @@ def seed_centres(pts: DataFrame, k: int, seed: int, tag: str = "s",
         if i == 0:  # uniform draw of the first centre of each part: no distances, JVM only
             partial = src.select("part", race_key(u).alias("key"), "id", "v")
         else:
-            partial = apply_kernel(src, table, lambda bc: race_kernel(bc, True),
+            partial = apply_kernel(src, table, lambda b: race_kernel(b, True),
                                    RACE_SCHEMA, use_part=True, extra={"u": u}, broadcasts=held)
         try:
             if use_part:  # one winner per part: partial aggregation, <= L rows per task
@@ -148,9 +146,7 @@ def seed_centres(pts: DataFrame, k: int, seed: int, tag: str = "s",
             break  # every remaining point coincides with a centre (C16)
         rows += [(r.part, i, r.v) for r in best]
         chosen += [(r.part, i, r.id) for r in best]
-        if i == 0:
-            check_centre_budget(pts.sparkSession, k, len(best), len(best[0].v))
-    return Seeding(Centres.from_rows(rows), chosen)
+    return Seeding(Centres.from_rows(rows), chosen, i + 1)
 
 
 def _first_draw(src: DataFrame, seed: int, tag: str) -> list:
@@ -165,32 +161,37 @@ def _seed_lookahead(pts: DataFrame, src: DataFrame, k: int, seed: int, tag: str,
                     lookahead: int, candidates: int) -> Seeding:
     """Seeding with fewer passes, same centres.
 
-    A pass at round j computes every point's distance d to the chosen centres.  For round j
-    the race key ``-ln(u)/(w*d)`` is exact; for rounds j+t it is a lower bound, since d can
-    only shrink.  Per (part, round) the pass returns the ``candidates + 1`` rows with the
-    smallest bound (a group-limited window, so each task ships at most that many).  On the
-    driver, round j takes its exact winner; then each round j+t recomputes the candidates'
-    keys with the centres chosen since the pass and accepts the best one only if it is
-    strictly below the bound of the first row left out: every other point has a key at
-    least that large, so the draw (ties by id included) is exactly the one a full pass would
-    make.  The first round that cannot be proven starts the next pass."""
-    rows: list = []
-    chosen: list = []
+    A pass computes every point's distance d to the chosen centres of its part.  With j the
+    part's next round, the race key ``-ln(u)/(w*d)`` of round j is exact; for rounds j+t it
+    is a lower bound, since d can only shrink.  Per (part, t) the pass returns the
+    ``candidates + 1`` rows with the smallest bound (a group-limited window, so each task
+    ships at most that many).  On the driver, round j takes its exact winner; then each round
+    j+t recomputes the candidates' keys with the centres chosen since the pass and accepts the
+    best one only if it is strictly below the bound of the first row left out: every other
+    point has a key at least that large, so the draw (ties by id included) is exactly the one
+    a full pass would make.
+
+    Parts advance on their own: a part goes on while its draws are proven, and the next pass
+    starts it at its own round, which is joined to the points as a table of one row per
+    unfinished part.  So the number of passes is that of the slowest part, and points of
+    finished parts are not read into the kernel again."""
     best = _first_draw(src, seed, tag)
-    if not best:
-        return Seeding(Centres({}), [])
-    check_centre_budget(pts.sparkSession, k, len(best), len(best[0].v))
-    rows += [(r.part, 0, r.v) for r in best]
-    chosen += [(r.part, 0, r.id) for r in best]
-    keep = candidates + 1
-    i = 1
-    while i < k:
-        rounds = min(lookahead + 1, k - i)
-        table = Centres.from_rows(rows)
-        extra = {f"u{t}": hashed_uniform(seed, f"{tag}{i + t}", F.col("id"))
-                 for t in range(rounds)}
+    rows = {r.part: [(0, r.v)] for r in best}
+    chosen = [(r.part, 0, r.id) for r in best]
+    keep, rounds = candidates + 1, lookahead + 1
+    todo = sorted(rows) if k > 1 else []
+    spark = pts.sparkSession
+    passes = 1
+    while todo:
+        passes += 1
+        table = Centres.from_rows((p, i, v) for p in todo for i, v in rows[p])
+        at = spark.createDataFrame([(p, len(rows[p])) for p in todo], "part int, rnd int")
+        src_at = src.join(F.broadcast(at), "part")  # one row per part
+        extra = {f"u{t}": hashed_uniform(
+            seed, F.concat(F.lit(tag), (F.col("rnd") + t).cast("string")), F.col("id"))
+            for t in range(rounds)}
         held: list = []
-        partial = apply_kernel(src, table, lambda bc: lookahead_kernel(bc, rounds, keep),
+        partial = apply_kernel(src_at, table, lambda b: lookahead_kernel(b, rounds, keep),
                                LOOKAHEAD_SCHEMA, use_part=True, extra=extra, broadcasts=held)
         rank = F.row_number().over(Window.partitionBy("part", "t").orderBy("lb", "id"))
         try:
@@ -199,65 +200,62 @@ def _seed_lookahead(pts: DataFrame, src: DataFrame, k: int, seed: int, tag: str,
         finally:
             release(held)
         groups = _candidate_groups(got)
-        pass_start = len(rows)
-        for t in range(rounds):
-            winners = {}
-            proven = True
-            for part in sorted({p for p, tt in groups if tt == t}):
-                lb, ids, e, w, d, X = groups[(part, t)]
-                if t == 0:  # exact keys
-                    winners[part] = (ids[0], X[0])
-                    continue
-                threshold = lb[-1] if len(ids) == keep else np.inf
-                n = len(ids) if len(ids) < keep else keep - 1
-                new = Centres.from_rows([r for r in rows[pass_start:] if r[0] == part])
-                if new.size:
-                    dn, _ = nearest(X[:n], np.full(n, part, dtype=np.int64), new.by_part)
-                    dd = np.minimum(d[:n], dn)
-                else:
-                    dd = d[:n]
-                wd = w[:n] * dd
-                ok = (wd > 0) & np.isfinite(wd)
-                if ok.any():
-                    key = np.full(n, np.inf)
-                    key[ok] = e[:n][ok] / wd[ok]
-                    j = np.lexsort((ids[:n], key))[0]
-                    if key[j] < threshold:
-                        winners[part] = (ids[j], X[j])
-                        continue
-                elif threshold == np.inf:
-                    continue  # no candidate left in this part
-                proven = False
-                break
-            if not proven:
-                break
-            if not winners:
-                return Seeding(Centres.from_rows(rows), chosen)  # C16: nothing left to draw
-            rows += [(p, i, X_) for p, (_, X_) in sorted(winners.items())]
-            chosen += [(p, i, int(id_)) for p, (id_, _) in sorted(winners.items())]
-            i += 1
-            if i >= k:
-                break
-    return Seeding(Centres.from_rows(rows), chosen)
+        left = []
+        for part in todo:
+            if _settle(part, rows[part], chosen, groups, k, rounds, keep):
+                left.append(part)
+        todo = left
+    flat = [(p, i, v) for p in sorted(rows) for i, v in rows[p]]
+    return Seeding(Centres.from_rows(flat), sorted(chosen, key=lambda c: (c[1], c[0])), passes)
+
+
+def _settle(part: int, rows: list, chosen: list, groups: dict, k: int, rounds: int,
+            keep: int) -> bool:
+    """Take a part's proven draws of one pass; True if it needs another pass."""
+    new: list = []
+    for t in range(rounds):
+        cid = len(rows)
+        if cid >= k:
+            return False
+        group = groups.get((part, t))
+        if group is None:  # no candidate: every point coincides with a centre (C16)
+            return False
+        lb, ids, e, w, d, X = group
+        if t == 0:  # exact keys
+            j = 0
+        else:
+            full = len(ids) == keep
+            threshold, n = (lb[-1], keep - 1) if full else (np.inf, len(ids))
+            dn, _ = nearest(X[:n], np.zeros(n, dtype=np.int64),
+                            [{0: (np.arange(len(new)), np.vstack(new))}])
+            wd = w[:n] * np.minimum(d[:n], dn)
+            ok = (wd > 0) & np.isfinite(wd)
+            if not ok.any():
+                return full
+            key = np.full(n, np.inf)
+            key[ok] = e[:n][ok] / wd[ok]
+            j = np.lexsort((ids[:n], key))[0]
+            if key[j] >= threshold:
+                return True
+        new.append(X[j])
+        rows.append((cid, X[j]))
+        chosen.append((part, cid, int(ids[j])))
+    return len(rows) < k
 
 
 def _candidate_groups(table) -> dict:
-    """``{(part, t): (lb, id, e, w, d, X)}`` sorted by (lb, id) from the collected rows."""
+    """``{(part, t): (lb, id, e, w, d, X)}`` sorted by (lb, id): one sort, then slices."""
     if table.num_rows == 0:
         return {}
-    part = table.column("part").to_numpy()
-    t = table.column("t").to_numpy()
-    lb = table.column("lb").to_numpy()
-    ids = table.column("id").to_numpy()
-    e = table.column("e").to_numpy()
-    w = table.column("w").to_numpy()
-    d = table.column("d").to_numpy()
+    part, t, lb, ids, e, w, d = (table.column(c).to_numpy()
+                                 for c in ("part", "t", "lb", "id", "e", "w", "d"))
     X = vector_matrix(table.column("v"))
     order = np.lexsort((ids, lb, t, part))
+    part, t, lb, ids, e, w, d, X = (a[order] for a in (part, t, lb, ids, e, w, d, X))
+    starts = np.flatnonzero(np.concatenate(([True], (np.diff(part) != 0) | (np.diff(t) != 0))))
     out = {}
-    for key in sorted(set(zip(part.tolist(), t.tolist()))):
-        m = order[(part[order] == key[0]) & (t[order] == key[1])]
-        out[key] = (lb[m], ids[m], e[m], w[m], d[m], X[m])
+    for a, b in zip(starts, np.concatenate((starts[1:], [len(part)]))):
+        out[(int(part[a]), int(t[a]))] = tuple(x[a:b] for x in (lb, ids, e, w, d, X))
     return out
 
 
@@ -266,17 +264,20 @@ def lloyd(pts: DataFrame, centres: Centres, iters: int, use_part: bool = True) -
     check_params(1, 1, iters)
     src = pts if use_part else pts.withColumn("part", F.lit(0))
     for _ in range(iters):
-        stats = cluster_stats(src, centres, use_part=True)
-        rows = []
-        for part in centres.parts():
-            live = sorted(c for (p, c), s in stats.items() if p == part and s[1] > 0)
-            for new_cid, c in enumerate(live):
-                _, sw, _, swv = stats[(part, c)]
-                rows.append((part, new_cid, swv / sw))
-        centres = Centres.from_rows(rows)
+        centres = _moved(cluster_stats(src, centres, use_part=True))
     return centres
 
 
+def _moved(stats: dict) -> Centres:
+    """The weighted means of the non-empty clusters, ids renumbered densely per part."""
+    rows, count = [], {}
+    for (part, _), (_, sw, _, swv) in sorted(stats.items()):
+        if sw > 0:
+            rows.append((part, count.get(part, 0), swv / sw))
+            count[part] = count.get(part, 0) + 1
+    return Centres.from_rows(rows)
+
+
 def centre_weights(pts: DataFrame, centres: Centres, use_part: bool = True) -> dict:
     """``{(part, cid): total weight}`` of the points closest to each centre (AGG14)."""
     src = pts if use_part else pts.withColumn("part", F.lit(0))
@@ -297,7 +298,7 @@ def weighted_kmedian(points: DataFrame, k: int, iters: int, seed: int = 0, tag:
         return lloyd(pts, seeded.centres, iters, use_part=False)
     finally:
         if not prepared:
-            pts.unpersist()
+            drop_points(pts)
 
 
 @dataclass
@@ -325,11 +326,6 @@ def coreset(pts: DataFrame, k: int, iters: int, seed: int,
 
     All parts run in lock-step: every seeding pass or Lloyd step is one Spark job over all
     points, so no part is ever held by one task or one group, whatever its size."""
-    return _coreset_lockstep(pts, k, iters, seed, lookahead, candidates)
-
-
-def _coreset_lockstep(pts: DataFrame, k: int, iters: int, seed: int, lookahead: int,
-                      candidates: int) -> list:
     seeded = seed_centres(pts, k, seed, "s", use_part=True, lookahead=lookahead,
                           candidates=candidates)
     centres = lloyd(pts, seeded.centres, iters, use_part=True)
@@ -349,36 +345,19 @@ def coreset_frame(spark: SparkSession, rows: list, k: int) -> DataFrame:
     return spark.createDataFrame(data, "id bigint, v array<double>, w bigint, part int, cid int")
 
 
-# Largest coreset (rows x dimension) merged on the driver; beyond it round 2 runs on Spark.
-LOCAL_MERGE_MAX_VALUES = 4_000_000  # 32 MB of doubles
-
-
-def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int,
-                  engine: str | None = None) -> Centres:
-    """Round 2 (KM5): cluster the <= k*L weighted coreset centres into k (tags ``m<i>``).
-
-    ``engine='local'`` runs the Arrow kernels on the driver over the bounded coreset (the
-    default when it holds at most ``LOCAL_MERGE_MAX_VALUES`` numbers); ``'spark'`` runs the
-    same rounds as Spark jobs.  Both give the same centres."""
+def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int) -> Centres:
+    """Round 2 (KM5): cluster the <= k*L weighted coreset centres into k (tags ``m<i>``), as
+    Spark jobs like every other round."""
     if not rows:
         return Centres({})
-    size = len(rows) * len(rows[0][2])
-    if engine is None:
-        engine = "local" if size <= LOCAL_MERGE_MAX_VALUES else "spark"
-    if engine == "local":
-        ids = [int(p) * k + int(c) for p, c, _, _ in rows]
-        return local.weighted_kmedian(ids, [v for *_, v, _ in rows], [w for *_, w in rows],
-                                      k, iters, seed, "m")
-    if engine != "spark":
-        raise ValueError("engine must be 'local' or 'spark'")
     cs = coreset_frame(spark, rows, k).select("id", "v", "w")
     return weighted_kmedian(cs, k, iters, seed, tag="m")
 
 
 def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
-                    persist: bool | str = True, merge_engine: str | None = None,
-                    lookahead: int = DEFAULT_LOOKAHEAD,
-                    candidates: int = DEFAULT_CANDIDATES) -> KMedianResult:
+                    persist: bool | str = True, lookahead: int = DEFAULT_LOOKAHEAD,
+                    candidates: int = DEFAULT_CANDIDATES,
+                    min_partitions: int | None = None) -> KMedianResult:
     """3-round k-median (KM6): coreset of each part, merge, objective over all points.
 
     ``persist`` chooses how the prepared points are kept for their passes
@@ -387,17 +366,17 @@ def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int
     ``candidates`` tune the seeding passes of round 1 (``lookahead=0``: one per round)."""
     check_params(k, parts, iters)
     spark = points.sparkSession
-    pts = prepare_points(points, parts, seed, persist)
+    pts = prepare_points(points, parts, seed, persist, min_partitions)
     try:
         t0 = time.perf_counter()
         rows = coreset(pts, k, iters, seed, lookahead, candidates)
         t1 = time.perf_counter()
-        centres = coreset_merge(spark, rows, k, iters, seed, merge_engine)
+        centres = coreset_merge(spark, rows, k, iters, seed)
         t2 = time.perf_counter()
         res = kmedian_objective(pts, centres).collect()[0]
         t3 = time.perf_counter()
     finally:
-        pts.unpersist()
+        drop_points(pts)
     return KMedianResult(centres, rows, int(res.n or 0),
                          float(res.objective) if res.objective is not None else None,
                          {"round1": t1 - t0, "round2": t2 - t1, "round3": t3 - t2},
@@ -413,6 +392,3 @@ def centres_long(spark: SparkSession, centres: Centres, with_part: bool = False)
     df = spark.createDataFrame(data, "part int, cid int, pos int, x double")
     return df if with_part else df.drop("part")
 
-
-def centres_array(centres: Centres) -> list:
-    return [(p, c, np.asarray(v)) for p, c, v in centres.rows()]

@@ -33,22 +33,9 @@ def weighted_race_draw(df: DataFrame, weight: Column, seed: int, tag: str = "r",
     return df.where(weight > 0).orderBy(key, F.col(id_col)).limit(1)
 
 
-def grouped_race_draw(df: DataFrame, group: str, weight: Column | None, seed: int, tag: str,
-                      carry: list[str], id_col: str = "id") -> DataFrame:
-    """One draw per group: ``(group, id, *carry)``; partial aggregation keeps one row per
-    group and task before the shuffle."""
-    u = hashed_uniform(seed, tag, F.col(id_col))
-    src = df if weight is None else df.where(weight > 0)
-    key = race_key(u, weight)
-    best = F.min(F.struct(key.alias("key"), F.col(id_col).alias("id"),
-                          *[F.col(c) for c in carry])).alias("b")
-    return src.groupBy(group).agg(best).select(group, "b.id", *[f"b.{c}" for c in carry])
-
-
-# Largest per-range offsets table that is broadcast (rows; about 24 MB).
-MAX_BROADCAST_BUCKETS = 1_000_000
-# Ceiling of the percentile_approx accuracy used for the range cuts.
-MAX_QUANTILE_ACCURACY = 1_000_000
+# Accuracy of the percentile_approx that finds the range cuts: a rank error of N / accuracy only
+# makes ranges a little uneven.
+QUANTILE_ACCURACY = 10_000
 
 
 def _with_range_bucket(rows: DataFrame, keys: DataFrame, order_col: str,
@@ -64,10 +51,8 @@ def _with_range_bucket(rows: DataFrame, keys: DataFrame, order_col: str,
         return rows.withColumn("bucket", F.lit(0))
     from pyspark.ml.feature import Bucketizer
     probs = [i / buckets for i in range(1, buckets)]
-    # Rank error about N / accuracy, i.e. a quarter of a range; capped so that the quantile
-    # sketch each task keeps stays a few tens of MB (coarser cuts only unbalance ranges).
-    accuracy = min(max(10_000, 4 * buckets), MAX_QUANTILE_ACCURACY)
-    cuts = keys.select(F.percentile_approx(F.col(order_col).cast("double"), probs, accuracy)
+    cuts = keys.select(F.percentile_approx(F.col(order_col).cast("double"), probs,
+                                           QUANTILE_ACCURACY)
                        .alias("c")).first().c or []
     inner = sorted({float(c) for c in cuts if c is not None})
     if not inner:
@@ -80,10 +65,8 @@ def _with_range_bucket(rows: DataFrame, keys: DataFrame, order_col: str,
 
 
 def default_buckets(df: DataFrame) -> int:
-    """Ranges for a running share: the shuffle width, or more when the input has more
-    partitions (each range then holds about one input partition's rows)."""
-    shuffle = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(shuffle, df.rdd.getNumPartitions())
+    """Ranges for a running share: the session's shuffle width, whatever the input's size."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
 def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",
@@ -93,8 +76,9 @@ def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",
 
     The range cut points are approximate quantiles of ``order_col`` taken from
     ``key_source`` (default ``df``): pass a cheap frame with the same keys, e.g. the base
-    table, when ``df`` is expensive to compute.  Bucket totals are read off the windowed
-    frame, so the input is shuffled once."""
+    table, when ``df`` is expensive to compute.  The rows are computed and exchanged once: a
+    range's total is the last running sum in it, so both branches of the plan stand on the
+    same exchange, which Spark reuses."""
     keys = (key_source if key_source is not None else df).select(order_col)
     if buckets is None:
         buckets = default_buckets(keys)
@@ -103,16 +87,14 @@ def cumulative_share(df: DataFrame, value: Column, order_col: str = "id",
     within = Window.partitionBy("bucket").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     run = rows.withColumn("run", F.sum("val").over(within))
-    totals = run.groupBy("bucket").agg(F.sum("val").alias("btotal"))
+    totals = run.groupBy("bucket").agg(F.max_by("run", order_col).alias("btotal"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "bucket", F.coalesce(F.sum("btotal").over(before), F.lit(0.0)).alias("offset"),
         F.sum("btotal").over(Window.partitionBy()).alias("total"))
-    # ``offsets`` has one row per bucket (about 24 bytes each): broadcast up to
-    # MAX_BROADCAST_BUCKETS rows, joined by a shuffle beyond that.
-    if buckets <= MAX_BROADCAST_BUCKETS:
-        offsets = F.broadcast(offsets)
-    return (run.join(offsets, "bucket")
+    # One row per range, a number set by the parameter: 24 bytes each.  Every bucket has its row; a
+    # left join adds no filter to one branch only, which would keep the exchange from being reused.
+    return (run.join(F.broadcast(offsets), "bucket", "left")
             .select(order_col, (F.col("val") / F.col("total")).alias("p"),
                     ((F.col("offset") + F.col("run")) / F.col("total")).alias("cum")))
 

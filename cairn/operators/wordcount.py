@@ -8,7 +8,8 @@ reference are kept as distinct physical plans:
 * ``word_count_salted``: two aggregation levels keyed by a salt, so that a word holding a
   third of all occurrences is summed by ``k`` tasks before its final merge.  The salt is a
   hash of (seed, doc_id), not ``rand()``: a re-run task sends rows to the same place.
-* ``word_count_partitioned``: sums inside each of ``parts`` parts of the corpus, then by word.
+* ``word_count_partitioned``: a count inside each physical partition of the input, then one
+  exchange by word.
 """
 
 from __future__ import annotations
@@ -56,20 +57,18 @@ def word_count_salted(docs: DataFrame, k: int, seed: int = 0, text_col: str = "t
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def word_count_partitioned(docs: DataFrame, parts: int | None = None, text_col: str = "text",
-                           id_col: str = "doc_id") -> DataFrame:
-    """Sum inside each part, then by word (AGG11).
+def word_count_partitioned(docs: DataFrame, parts: int | None = None,
+                           text_col: str = "text") -> DataFrame:
+    """Count inside each partition of the input, then by word: one exchange (AGG11, UDF3).
 
-    ``parts`` splits the corpus into that many parts by a hash of the document id (a column,
-    no shuffle of the documents); without it the physical partitions of the input are used.
-    """
+    The partial aggregate that Spark runs in every task is the per-partition count, its output
+    rows are (partition, word) pairs, and only they are exchanged, by word.  ``parts`` merges
+    the input's partitions into at most that many without a shuffle."""
     if parts is not None and parts < 1:
         raise ValueError("parts must be >= 1")
-    part = (F.pmod(F.xxhash64(F.col(id_col)), F.lit(parts)) if parts
-            else F.spark_partition_id())
-    return (_words(docs, text_col, id_col).withColumn("part", part)
-            .groupBy("part", "word").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("word").agg(F.sum("n").alias("n")))
+    if parts:
+        docs = docs.coalesce(parts)
+    return _words(docs, text_col).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def distinct_words(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -9,9 +9,9 @@ step, with the same hashed uniforms as the Spark side.
 from __future__ import annotations
 
 from cairn.plans.params import (CDF_X, DIGITS, ITER, K, L, N_CENTRES, NORM_DIGITS, SALT_K,
-                                SEED, SEQ_ITER, SEQ_K, WC_PARTS)
+                                SEED, SEQ_ITER, SEQ_K)
 
-del SALT_K, WC_PARTS  # the salted and partitioned counts equal the plain count
+del SALT_K  # the salted count equals the plain count
 
 # Fixed value: 2**52, the scale of the 13-hex-digit uniform.
 _SCALE = "4503599627370496"
@@ -206,7 +206,9 @@ def oracle_sql() -> dict[str, str]:
             GROUP BY 1""",
         "max_reduce": "SELECT max(o_totalprice) AS max_x FROM orders",
         "min_max_custom_order":
-            "SELECT max(o_totalprice) AS max_x, min(o_totalprice) AS min_x FROM orders",
+            """SELECT first(x ORDER BY x % 1000 DESC, x DESC) AS max_x,
+                first(x ORDER BY x % 1000, x) AS min_x
+                FROM (SELECT o_totalprice AS x FROM orders)""",
         "row_count_sum_mean": f"""WITH {_PRICES}
             SELECT count(*)::BIGINT AS n, round(sum(x), 2) AS sum_x, round(avg(x), 4) AS mean_x,
                    round(sum(z), {DIGITS}) AS sum_norm, round(avg(z), {NORM_DIGITS}) AS mean_norm
@@ -216,7 +218,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*)::BIGINT AS n, round(avg(z), {NORM_DIGITS}) AS mean_norm,
                    round(var_pop(z), {NORM_DIGITS}) AS var_norm FROM z""",
         "lines": r"""SELECT doc_id, generate_subscripts(l, 1)::INT AS line_no, unnest(l) AS line
-            FROM (SELECT doc_id, regexp_split_to_array(text, '\r\n|\r|\n') AS l FROM documents)""",
+            FROM (SELECT doc_id, CASE WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM (SELECT doc_id,
+                  regexp_split_to_array(text, '\r\n|\r|\n') AS l FROM documents))""",
         "tokenize": f"""SELECT doc_id, generate_subscripts(t, 1)::INT AS pos, unnest(t) AS word
             FROM (SELECT doc_id, {_tokens('text')} AS t FROM documents)""",
         "doc_word_count": f"""SELECT doc_id, word, count(*)::BIGINT AS n FROM

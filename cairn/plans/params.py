@@ -2,7 +2,6 @@
 
 SEED = 42          # every random step
 SALT_K = 8         # salt values of the salted word count
-WC_PARTS = 4       # parts of the partitioned word count
 N_CENTRES = 4      # the first N_CENTRES points (by id) serve as fixed centres
 K = 5              # clusters
 L = 4              # coreset parts

@@ -77,6 +77,6 @@ def sequential_kmedian_report(points: DataFrame, k: int = 25, iters: int = 3,
         centres = kmedian.weighted_kmedian(pts, k, iters, seed, prepared=True)
         o = assign.kmedian_objective(pts, centres).collect()[0]
     finally:
-        pts.unpersist()
+        kmedian.drop_points(pts)
     return points.sparkSession.createDataFrame(
         [(o.n, k, iters, o.objective)], "n bigint, k int, iter int, objective double")

@@ -10,12 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.random import hashed_bucket
-from cairn.functions.vectors import as_vector, parse_vector
+from cairn.functions.vectors import parse_vector
 from cairn.operators import assign, kmedian, sampling, stats, wordcount
 from cairn.operators.assign import Centres
 from cairn.plans import programs
 from cairn.plans.params import (CDF_X, DIGITS, ITER, K, L, N_CENTRES, NORM_DIGITS, SALT_K,
-                                SEED, SEQ_ITER, SEQ_K, WC_PARTS)
+                                SEED, SEQ_ITER, SEQ_K)
 from cairn.sources import tables
 from cairn.sources.text import parse_numbers, text_lines
 
@@ -41,7 +41,7 @@ def _points(spark, sf):
 def _weighted_points(spark, sf):
     """Points with a weight derived from the table: ``w = label + 1``."""
     return tables.table(spark, sf, "embeddings").select(
-        F.col("vec_id").alias("id"), as_vector("embedding").alias("v"),
+        F.col("vec_id").alias("id"), F.col("embedding").alias("v"),
         (F.col("label") + 1).cast("bigint").alias("w"))
 
 
@@ -79,7 +79,10 @@ def q_max_reduce(spark, sf):
 
 
 def q_min_max_custom_order(spark, sf):
-    return stats.extremes_by(_prices(spark, sf))
+    """Extremes under an order that is not the value's own: by the part below a thousand, then by
+    the value."""
+    x = F.col("x")
+    return stats.extremes_by(_prices(spark, sf), key=F.struct((x % 1000).alias("r"), x.alias("x")))
 
 
 def q_row_count_sum_mean(spark, sf):
@@ -123,7 +126,7 @@ def q_word_count_salted(spark, sf):
 
 
 def q_word_count_partitioned(spark, sf):
-    return wordcount.word_count_partitioned(_docs(spark, sf), WC_PARTS)
+    return wordcount.word_count_partitioned(_docs(spark, sf))
 
 
 def q_distinct_words(spark, sf):
@@ -260,7 +263,7 @@ def q_kmedian_seed(spark, sf):
     try:
         s = kmedian.seed_centres(pts, K, SEED, "s", use_part=False)
     finally:
-        pts.unpersist()
+        kmedian.drop_points(pts)
     return spark.createDataFrame([(c, i) for _, c, i in s.chosen], "cid int, id bigint")
 
 
@@ -271,7 +274,7 @@ def q_lloyd_refine(spark, sf):
     try:
         final = kmedian.lloyd(prep, start, ITER, use_part=False)
     finally:
-        prep.unpersist()
+        kmedian.drop_points(prep)
     return _long(spark, final)
 
 
@@ -286,7 +289,7 @@ def q_sequential_kmedian(spark, sf):
         centres = kmedian.weighted_kmedian(pts, SEQ_K, SEQ_ITER, SEED, prepared=True)
         o = assign.kmedian_objective(pts, centres).collect()[0]
     finally:
-        pts.unpersist()
+        kmedian.drop_points(pts)
     return spark.createDataFrame([(o.n, SEQ_K, SEQ_ITER, round(o.objective, DIGITS))],
                                  "n bigint, k int, iter int, objective double")
 
@@ -296,7 +299,7 @@ def q_coreset(spark, sf):
     try:
         rows = kmedian.coreset(pts, K, ITER, SEED)
     finally:
-        pts.unpersist()
+        kmedian.drop_points(pts)
     data = [(p, c, w, pos, round(float(x), DIGITS))
             for p, c, v, w in rows for pos, x in enumerate(v, start=1)]
     return spark.createDataFrame(data, "part int, cid int, w bigint, pos int, x double")
@@ -307,7 +310,7 @@ def q_coreset_merge(spark, sf):
     try:
         rows = kmedian.coreset(pts, K, ITER, SEED)
     finally:
-        pts.unpersist()
+        kmedian.drop_points(pts)
     return _long(spark, kmedian.coreset_merge(spark, rows, K, ITER, SEED))
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -38,16 +40,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised tables.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster).  Only when it is unset on a
-    ``local`` master, as in tests, a private folder under the system temp dir is created and
-    registered; on a cluster an unset setting is an error, never a machine-local folder.
+    ``local`` master, as in tests, a private folder under the system temp dir is created,
+    registered and removed at exit; on a cluster an unset setting is an error, never a machine-local folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not current:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a shared folder to checkpoint")
         current = tempfile.mkdtemp(prefix="cairn-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
@@ -57,3 +61,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def tag_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir for a named materialisation."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote, through the file system it is on."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -7,23 +7,29 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.functions.vectors import as_vector
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Minimum-partitions hint (C24, as ``textFile(path, n)``): an input read in fewer
+def spread(scan: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
+    """Minimum-partitions hint (C24, as ``textFile(path, n)``): a table scan read in fewer
     partitions than ``min_partitions`` (default: the session's parallelism), e.g. a small
     file in one row group, is hash-partitioned by ``key`` once, so every core gets a share.
-    A large input already has more splits than task slots and is left as it is (no shuffle).
-    """
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
-        return df.repartition(n, key)
-    return df
+    A large table already has more splits than task slots and is left as it is (no shuffle).
+
+    Only for scans with projections and filters, whose partitions are known from the files; any
+    other input is left as it is, since counting its partitions would run it."""
+    n = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
+    plan = scan._jdf.queryExecution().optimizedPlan().toString()
+    if any(op in plan for op in _NOT_A_SCAN):
+        return scan
+    return scan.repartition(n, key) if scan.rdd.getNumPartitions() < n else scan
+
+
+# Names of plan nodes under which counting partitions may start a job.
+_NOT_A_SCAN = ("Join", "Aggregate", "Repartition", "Sort", "Window", "Distinct", "Limit",
+               "InMemoryRelation", "Union", "Intersect", "Except")
 
 
 def documents(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:
@@ -39,9 +45,10 @@ def order_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embedding_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unit-weight points ``(id bigint, v array<double>, w bigint)`` from ``embeddings``."""
+    """Unit-weight points ``(id bigint, v array<float>, w bigint)`` from ``embeddings``: the
+    kernels widen the floats, so a pass keeps and sends half the bytes."""
     return table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"), as_vector("embedding").alias("v"),
+        F.col("vec_id").alias("id"), F.col("embedding").alias("v"),
         F.lit(1).cast("bigint").alias("w"))
 
 

@@ -24,32 +24,34 @@ def parse_numbers(lines: DataFrame, col: str = "value", on_error: str = "raise")
     return lines.select(tok).select(x.alias("x"))
 
 
-def read_numbers(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
-    return parse_numbers(spark.read.text(path), "value", on_error)
-
-
 def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """One row per text line (SRC3).  ``min_partitions`` is a hint, as for ``textFile``
-    (C24): the scan is only split finer when it has fewer partitions than asked."""
+    (C24): the scan is only split finer when it has fewer partitions than asked, which a file
+    scan tells without a job."""
     df = spark.read.text(path)
     if min_partitions and df.rdd.getNumPartitions() < min_partitions:
         df = df.repartition(min_partitions)
     return df
 
 
+def read_numbers(spark: SparkSession, path: str, on_error: str = "raise",
+                 min_partitions: int | None = None) -> DataFrame:
+    return parse_numbers(read_lines(spark, path, min_partitions), "value", on_error)
+
+
 def text_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Split a text column into ``(id, line_no, line)`` rows on CRLF, CR or LF (SRC3 on a
-    column).  ``line_no`` starts at 1."""
+    column), as a line reader does: a break at the very end opens no further line and an empty
+    text has none.  ``line_no`` starts at 1."""
     return df.select(id_col, F.posexplode(line_split(F.col(text_col))).alias("pos", "line")) \
              .select(id_col, (F.col("pos") + 1).cast("int").alias("line_no"), "line")
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     """A text file with one document per line as ``(doc_id, text)``.
 
-    ``doc_id`` is the line's byte offset order made unique per file split, stable for a given
-    file (monotonically increasing ids are deterministic for a fixed input layout)."""
-    return spark.read.text(path).select(
+    ``doc_id`` is a generated increasing id, the same for a fixed layout of the input."""
+    return read_lines(spark, path, min_partitions).select(
         F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text"))
 
 
@@ -60,6 +62,7 @@ def parse_vectors(lines: DataFrame, col: str = "value", on_error: str = "raise",
     return lines.select(ident.alias("id"), parse_vector(F.col(col), on_error).alias("v"))
 
 
-def read_vectors(spark: SparkSession, path: str, on_error: str = "raise") -> DataFrame:
+def read_vectors(spark: SparkSession, path: str, on_error: str = "raise",
+                 min_partitions: int | None = None) -> DataFrame:
     """Read a vector file (SRC5) as ``(id bigint, v array<double>)``; directories allowed."""
-    return parse_vectors(spark.read.text(path), "value", on_error)
+    return parse_vectors(read_lines(spark, path, min_partitions), "value", on_error)

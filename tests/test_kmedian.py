@@ -2,10 +2,11 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cairn.operators import assign, kmedian
 from cairn.sources import tables
-from conftest import SF001, SF01, centres_df, points_df
+from conftest import SF001, SF01, centres_df, plan_text, points_df
 
 
 def _vecs(centres):
@@ -120,20 +121,107 @@ def test_objective_zero_when_every_point_is_a_centre(spark):
     assert assign.kmedian_objective(pts, c).collect()[0].objective == 0.0
 
 
-def test_local_and_spark_merge_agree(spark):
+def test_merge_keeps_weight_and_k(spark):
     pts = kmedian.prepare_points(tables.embedding_points(spark, SF01), 4, 42)
     try:
         rows = kmedian.coreset(pts, 5, 2, 42)
     finally:
-        pts.unpersist()
-    a = kmedian.coreset_merge(spark, rows, 5, 2, 42, engine="local")
-    b = kmedian.coreset_merge(spark, rows, 5, 2, 42, engine="spark")
-    ra, rb = list(a.rows()), list(b.rows())
-    assert [(p, c) for p, c, _ in ra] == [(p, c) for p, c, _ in rb] and len(ra) == 5
-    for (_, _, va), (_, _, vb) in zip(ra, rb):
-        assert np.allclose(va, vb, rtol=1e-12, atol=1e-12)
-    with pytest.raises(ValueError):
-        kmedian.coreset_merge(spark, rows, 5, 2, 42, engine="gpu")
+        kmedian.drop_points(pts)
+    merged = kmedian.coreset_merge(spark, rows, 5, 2, 42)
+    assert [c for _, c, _ in merged.rows()] == [0, 1, 2, 3, 4]
+    same = kmedian.weighted_kmedian(
+        kmedian.coreset_frame(spark, rows, 5).repartition(3), 5, 2, 42, tag="m")
+    for (_, _, a), (_, _, b) in zip(merged.rows(), same.rows()):
+        assert np.allclose(a, b, rtol=1e-12, atol=1e-12)
+
+
+@pytest.mark.parametrize("bad", [[None, 1.0], [float("nan"), 1.0], [float("inf"), 1.0], [1.0], None])
+def test_bad_vectors_raise_everywhere(spark, bad):
+    rows = [(i, [float(i), 0.0], 1) for i in range(4)] + [(4, bad, 1)]
+    pts = spark.createDataFrame(rows, "id bigint, v array<double>, w bigint")
+    centres = centres_df(spark, [[0.0, 0.0], [3.0, 0.0]])
+    calls = [lambda: kmedian.weighted_kmedian(pts, 2, 1, seed=1),
+             lambda: kmedian.coreset_kmedian(pts, 2, 1, 1, seed=1),
+             lambda: assign.pairwise_distance(pts, centres).collect(),
+             lambda: assign.closest_center(pts, centres).collect(),
+             lambda: assign.weighted_centroids(pts, centres).collect()]
+    for call in calls:
+        with pytest.raises(Exception, match="NULL|NaN|unequal|dimensions"):
+            call()
+
+
+@pytest.mark.parametrize("bad", [None, -1])
+def test_bad_weights_raise_everywhere(spark, bad):
+    rows = [(i, [float(i), 0.0], 1) for i in range(4)] + [(4, [9.0, 9.0], bad)]
+    pts = spark.createDataFrame(rows, "id bigint, v array<double>, w bigint")
+    centres = centres_df(spark, [[0.0, 0.0], [3.0, 0.0]])
+    for call in (lambda: kmedian.weighted_kmedian(pts, 2, 1, seed=1),
+                 lambda: kmedian.coreset_kmedian(pts, 2, 1, 1, seed=1),
+                 lambda: assign.cluster_weights(pts, centres).collect(),
+                 lambda: assign.closest_center(pts, centres, keep_weight=True).collect()):
+        with pytest.raises(Exception, match="weight"):
+            call()
+
+
+def test_unequal_dimensions_raise(spark):
+    pts = points_df(spark, [[1.0, 1.0], [3.0, 4.0]])
+    one = centres_df(spark, [[0.0]])
+    for call in (lambda: assign.pairwise_distance(pts, one).collect(),
+                 lambda: assign.closest_center(pts, one).collect(),
+                 lambda: assign.closest_center_sql(pts, one).collect()):
+        with pytest.raises(Exception, match="dimension|length"):
+            call()
+
+
+def test_driver_steps_are_linear_in_the_parts():
+    import time
+
+    import pyarrow as pa
+    parts, rounds, keep = 2000, 8, 5
+    n = parts * rounds * keep
+    rng = np.random.default_rng(1)
+    table = pa.table({"part": np.repeat(np.arange(parts), rounds * keep).astype(np.int32),
+                      "t": np.tile(np.repeat(np.arange(rounds), keep), parts).astype(np.int32),
+                      "lb": rng.random(n), "id": np.arange(n), "e": rng.random(n),
+                      "w": np.ones(n), "d": rng.random(n),
+                      "v": pa.array(list(rng.random((n, 4))))})
+    t = time.perf_counter()
+    groups = kmedian._candidate_groups(table)
+    assert time.perf_counter() - t < 1.0 and len(groups) == parts * rounds
+    assert (np.diff(groups[7, 3][0]) >= 0).all()
+    stats = {(p, c): (1, 1.0, 0.0, np.ones(4)) for p in range(parts) for c in range(25)}
+    t = time.perf_counter()
+    moved = kmedian._moved(stats)
+    assert time.perf_counter() - t < 1.5 and moved.size == parts * 25
+
+
+def test_passes_do_not_grow_with_the_parts(spark):
+    line = tables.lineitem_points(spark, SF01)
+    passes = {}
+    for parts in (8, 256):
+        pts = kmedian.prepare_points(line, parts, 42)
+        passes[parts] = kmedian.seed_centres(pts, 16, 42).passes
+        kmedian.drop_points(pts)
+    assert passes[256] <= passes[8] + 1 < 9
+
+
+def test_preparing_a_joined_input_starts_no_job(spark):
+    from cairn.operators import sampling
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("no-jobs", "no-jobs")
+    try:
+        a = tables.table(spark, SF01, "orders")
+        joined = a.join(tables.table(spark, SF01, "customer").hint("shuffle_hash"),
+                        a["o_custkey"] == F.col("c_custkey")).select(
+            F.col("o_orderkey").alias("id"), F.array(F.col("o_totalprice")).alias("v"))
+        before = len(tracker.getJobIdsForGroup("no-jobs"))  # the footers of the two tables
+        pts = kmedian.prepare_points(joined, 4, 1, persist=False, min_partitions=5)
+        assert tables.spread(joined, "id") is joined
+        sampling.default_buckets(joined)
+        assert len(tracker.getJobIdsForGroup("no-jobs")) == before
+        assert "hashpartitioning(id" in plan_text(pts)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_kernels_ship_without_the_package(tmp_path):
@@ -148,7 +236,7 @@ def test_kernels_ship_without_the_package(tmp_path):
         value = {0: (np.array([0], dtype=np.int32), np.zeros((1, 2)))}
 
     blob = tmp_path / "k.pkl"
-    blob.write_bytes(cloudpickle.dumps(stats_kernel(BC(), True)))
+    blob.write_bytes(cloudpickle.dumps(stats_kernel([BC()], True)))
     code = ("import pickle, pyarrow as pa, sys; f = pickle.loads(open(sys.argv[1], 'rb').read());"
             "b = pa.RecordBatch.from_pydict({'id': [1], 'v': [[3.0, 4.0]], 'w': [1], 'part': [0]});"
             "print(sum(x.num_rows for x in f([b])))")
@@ -167,16 +255,6 @@ def test_empty_input_gives_null_objective(spark):
     assert row.n == 0 and row.objective is None
 
 
-def test_driver_centre_budget(spark):
-    pts = points_df(spark, [[float(i), 0.0] for i in range(10)])
-    spark.conf.set("cairn.maxDriverCentreBytes", "100")
-    try:
-        with pytest.raises(ValueError):
-            kmedian.coreset_kmedian(pts, 5, 2, 1, seed=1)
-    finally:
-        spark.conf.unset("cairn.maxDriverCentreBytes")
-
-
 @pytest.mark.parametrize("mode", ["memory", "checkpoint", "none"])
 def test_storage_modes_agree(spark, mode):
     pts = tables.embedding_points(spark, SF001)

@@ -97,11 +97,11 @@ def test_cumulative_share_with_many_ranges(spark):
     assert len(plan_text(out)) < 20_000
 
 
-def test_offsets_broadcast_only_below_the_bound(spark, monkeypatch):
-    df = weights(spark, list(range(1, 50)))
-    out = sampling.cumulative_share(df, F.col("w"), "id", 4)
-    out.collect()
-    assert "BroadcastExchange" in plan_text(out)
-    monkeypatch.setattr(sampling, "MAX_BROADCAST_BUCKETS", 2)
-    out2 = sampling.cumulative_share(df, F.col("w"), "id", 4)
-    assert sorted(out2.collect()) == sorted(out.collect())
+def test_running_share_computes_and_exchanges_rows_once(spark):
+    from cairn.plans import queries
+    from conftest import SF01
+    df = queries.QUERIES["cumulative_probability"](spark, SF01)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("MapInArrow") == 1 and plan.count("+- ReusedExchange") == 1
+    assert plan.count("+- Exchange hashpartitioning(bucket") == 1

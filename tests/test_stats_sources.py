@@ -4,6 +4,7 @@ import math
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from cairn.operators import stats
 from cairn.sources import text as src
@@ -100,7 +101,12 @@ def test_read_lines_and_documents(spark, tmp_path):
     assert [d.text for d in docs] == ["a b", "c"]
     df = spark.createDataFrame([(1, "x\r\ny\rz\n")], "doc_id bigint, text string")
     lines = [(r.line_no, r.line) for r in src.text_lines(df).collect()]
-    assert lines == [(1, "x"), (2, "y"), (3, "z"), (4, "")]
+    assert lines == [(1, "x"), (2, "y"), (3, "z")]
+    edge = spark.createDataFrame([(1, ""), (2, "\n"), (3, "a\n\n"), (4, None), (5, "a")],
+                                 "doc_id bigint, text string")
+    got = {(r.doc_id, r.line_no): r.line for r in src.text_lines(edge).collect()}
+    assert got == {(2, 1): "", (3, 1): "a", (3, 2): "", (5, 1): "a"}
+    assert src.read_documents(spark, p, min_partitions=3).count() == 2
 
 
 def test_spread_only_splits_inputs_with_too_few_partitions(spark):
@@ -109,11 +115,12 @@ def test_spread_only_splits_inputs_with_too_few_partitions(spark):
     from cairn.operators import wordcount
     slots = spark.sparkContext.defaultParallelism
     base = tables.table(spark, SF01, "documents").select("doc_id", "text")
-    few = base.coalesce(1)
+    few = base
     spread = tables.spread(few, "doc_id")
     assert spread.rdd.getNumPartitions() == slots
-    many = base.repartition(slots + 3, "doc_id")
-    assert tables.spread(many, "doc_id") is many  # enough splits: left as it is
+    assert tables.spread(few, "doc_id", 1) is few  # enough splits: left as it is
+    derived = base.repartition(2, "doc_id")
+    assert tables.spread(derived, "doc_id") is derived  # not a scan: never probed
     # whole results either way
     a = {r.word: r.n for r in wordcount.word_count(spread).collect()}
     b = {r.word: r.n for r in wordcount.word_count(few).collect()}
@@ -121,3 +128,12 @@ def test_spread_only_splits_inputs_with_too_few_partitions(spark):
     docs = tables.documents(spark, SF01)
     assert docs.rdd.getNumPartitions() >= slots
     assert "hashpartitioning(doc_id" in plan_text(docs)
+
+
+def test_extremes_follow_the_given_order(spark):
+    from cairn.operators import stats
+    df = spark.createDataFrame([(1999.0,), (1005.0,), (3.0,), (2005.0,)], "x double")
+    r = stats.extremes_by(df, key=F.struct((F.col("x") % 1000).alias("r"), F.col("x"))).first()
+    assert (r.max_x, r.min_x) == (1999.0, 3.0)
+    r = stats.extremes_by(df, key=-F.col("x")).first()
+    assert (r.max_x, r.min_x) == (3.0, 2005.0)

@@ -99,3 +99,12 @@ def test_bad_arguments(spark, docs):
         wordcount.word_count_salted(docs, 0)
     with pytest.raises(ValueError):
         wordcount.word_count_partitioned(docs, 0)
+
+
+def test_partitioned_count_has_one_exchange(spark):
+    from cairn.sources import tables
+    from conftest import SF01, plan_text
+    docs = tables.table(spark, SF01, "documents").select("doc_id", "text")
+    for parts in (None, 3):
+        plan = plan_text(wordcount.word_count_partitioned(docs, parts))
+        assert plan.count("Exchange") == 1 and "Exchange hashpartitioning(word" in plan
