@@ -34,7 +34,8 @@ from cairn.llm.arrow_text import SpanHasher, chunks, hash_spans, mix, uniform
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 RANK_OFFSET, ALPHA = 10.0, 1.0
 SAMPLES, SEED = 2, 11
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 18
+ROOM = 1 << 20  # byte positions of distinct units that a task keeps, about 50 MB with their edges
 _STEP, _ROUND = np.uint64(0x9E3779B97F4A7C15), 0xD6E8FEB86659FD93
 _ROOT, _WALK, _SPLIT, _TURN = 0, 1, 2, 3  # what a draw is for
 
@@ -127,25 +128,70 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 
 class Lattice:
-    """Units of a chunk of texts, and per byte position of a distinct unit its edges with the
-    probability of each given the position, summed over all ways to go on."""
-
-    def __init__(self, v: Vocabulary, text: np.ndarray, bounds: np.ndarray):
+    """The edges of distinct units, kept by a task from chunk to chunk.
+
+    Units are laid out one after the other; per byte position there are its first edge and their
+    number, per edge its target position, piece, log probability given the position (summed over all
+    ways to go on) and the running sum of probabilities.  Up to ``room`` positions are kept; beyond,
+    units last for one chunk, so a task's memory is bounded."""
+
+    def __init__(self, v: Vocabulary, room: int = ROOM):
+        self.v, self.room = v, room
+        self.hashes, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.n = {"unit": 0, "pos": 0, "edge": 0}
+        self.kept = dict(self.n)
+        self.kind = {"unit_start": "unit", "unit_end": "unit", "first": "pos", "degree": "pos",
+                     "target": "edge", "piece": "edge", "logq": "edge", "upto": "edge"}
+        types = {"degree": np.uint8, "logq": np.float64, "upto": np.float32}
+        for name in self.kind:
+            setattr(self, name, np.zeros(1 << 12, types.get(name, np.int32)))
+
+    def _append(self, kind: str, **arrays):
+        at = self.n[kind]
+        size = len(next(iter(arrays.values())))
+        for name, x in arrays.items():
+            have = getattr(self, name)
+            if at + size > len(have):
+                grown = np.zeros(max(at + size, 2 * len(have)), have.dtype)
+                grown[:at] = have[:at]
+                setattr(self, name, have := grown)
+            have[at:at + size] = x
+        self.n[kind] = at + size
+
+    def units(self, text: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(begin, unit number) of the units of the texts, new ones added."""
+        self.n = dict(self.kept)
         n = len(text)
         cut = np.zeros(n + 1, bool)
         space, feed = text == 32, text == 10
         cut[1:n] = (space[1:] & ~space[:-1]) | feed[1:] | feed[:-1]
-        cut[bounds[:-1][bounds[:-1] < n]] = True
-        self.begin = np.flatnonzero(cut[:n])
-        end = np.concatenate([self.begin[1:], [n]])
-        h = hash_spans(text, self.begin, end)
-        _, pick, self.unit = np.unique(h, return_index=True, return_inverse=True)
-        length = (end - self.begin)[pick]
-        data = text[_ranges(self.begin[pick], length)]
-        self.unit_end = np.cumsum(length)
-        self.unit_start = self.unit_end - length
-        m = len(data)
-        stop = np.repeat(self.unit_end, length)
+        cut[bounds[:-1]] = True
+        begin = np.flatnonzero(cut[:n])
+        end = np.concatenate([begin[1:], [n]])
+        h, pick, which = np.unique(hash_spans(text, begin, end), return_index=True,
+                                   return_inverse=True)
+        at = np.searchsorted(self.hashes, h)
+        known = np.zeros(len(h), bool)
+        if len(self.hashes):
+            known = self.hashes[np.minimum(at, len(self.hashes) - 1)] == h
+        number = np.empty(len(h), np.int64)
+        number[known] = self.ids[at[known]]
+        new = np.flatnonzero(~known)
+        if len(new):
+            number[new] = self.n["unit"] + np.arange(len(new))
+            length = (end - begin)[pick[new]]
+            self._build(text[_ranges(begin[pick[new]], length)], length)
+            if self.n["pos"] <= self.room:
+                self.kept = dict(self.n)
+                self.hashes = np.insert(self.hashes, at[new], h[new])
+                self.ids = np.insert(self.ids, at[new], number[new])
+        return begin, number[which]
+
+    def _build(self, data: np.ndarray, length: np.ndarray) -> None:
+        """Add the units whose bytes are laid end to end in ``data``."""
+        v, m = self.v, len(data)
+        unit_end = np.cumsum(length)
+        stop = np.repeat(unit_end, length)
         source, size, piece = [], [], []
         at = np.flatnonzero((data & 0xC0) != 0x80)
         lead = data[at]
@@ -159,7 +205,7 @@ class Lattice:
             found = v.find(hasher(at, at + k))
             hit = found >= 0
             source.append(at[hit])
-            size.append(np.full(int(hit.sum()), k))
+            size.append(k)
             piece.append(found[hit])
             whole[at[hit & (width[at] == k)]] = True
             at = at[found != -2]
@@ -172,70 +218,74 @@ class Lattice:
             inside[_ranges(np.flatnonzero(width), width[width > 0])] = True
             raw = np.concatenate([raw, np.flatnonzero(~inside)])
         source.append(raw)
-        size.append(np.ones(len(raw), np.int64))
+        size.append(1)
         piece.append(v.byte_id[data[raw]])
         # Edges by position, positions by their distance to the end of the unit.
         degree = np.zeros(m, np.int64)
         for s in source:
             degree[s] += 1
-        order = np.argsort(np.minimum(stop - np.arange(m), 65535).astype(np.uint16), kind="stable")
-        far = stop[order] - order
-        if len(far) and far[-1] >= 65535:
-            order = order[np.argsort(far, kind="stable")]
+        far = stop - np.arange(m)
+        order = np.argsort(np.minimum(far, 65535).astype(np.uint16), kind="stable")
+        if far.max() >= 65535:
+            order = order[np.argsort(far[order], kind="stable")]
         order = order[degree[order] > 0]
-        self.first = np.zeros(m, np.int64)
-        self.first[order] = np.concatenate([[0], np.cumsum(degree[order])])[:-1]
-        total = int(degree.sum())
-        self.source, self.target = np.empty(total, np.int64), np.empty(total, np.int64)
-        self.piece = np.empty(total, np.int64)
-        fill = self.first.copy()
-        for s, k, p in zip(source, size, piece):
+        deg = degree[order]
+        open_at = np.cumsum(deg) - deg
+        first = np.zeros(m, np.int64)
+        first[order] = open_at
+        total = int(deg.sum())
+        target, of_piece = np.empty(total, np.int64), np.empty(total, np.int64)
+        fill = first.copy()
+        for s, k, p in reversed(list(zip(source, size, piece))):  # long, likely pieces first
             e = fill[s]
-            self.source[e], self.target[e], self.piece[e] = s, s + k, p
+            target[e], of_piece[e] = s + k, p
             fill[s] += 1
         # Log of the summed probability of all ways from a position to the end of its unit.
-        score = v.logp[self.piece]
+        score = v.logp[of_piece]
         beta = np.zeros(m + 1)
-        distance = (stop - np.arange(m))[order]
+        distance = far[order]
+        final = target == np.repeat(stop[order], deg)
         step = np.flatnonzero(np.diff(distance, prepend=-1))
-        ends = np.concatenate([step[1:], [len(order)]])
-        inner = np.zeros(total)
-        deg, open_at = degree[order], self.first[order]
-        final = self.target == np.repeat(stop[order], deg)
-        for a, b in zip(step, ends):
+        for a, b in zip(step, np.concatenate([step[1:], [len(order)]])):
             lo, hi = open_at[a], open_at[b - 1] + deg[b - 1]
-            inner[lo:hi] = score[lo:hi] + np.where(final[lo:hi], 0.0, beta[self.target[lo:hi]])
-            beta[order[a:b]] = np.logaddexp.reduceat(inner[lo:hi], open_at[a:b] - lo)
-        self.logq = np.minimum(inner - np.repeat(beta[order], deg), 0.0)
-        self.q = np.exp(self.logq)
-        running = np.cumsum(self.q)
-        self.upto = running - np.repeat(running[open_at] - self.q[open_at], deg)
-        self.degree = degree
-        self.upto[open_at + deg - 1] = np.inf
+            score[lo:hi] += np.where(final[lo:hi], 0.0, beta[target[lo:hi]])
+            beta[order[a:b]] = np.logaddexp.reduceat(score[lo:hi], open_at[a:b] - lo)
+        logq = np.minimum(score - np.repeat(beta[order], deg), 0.0)
+        q = np.exp(logq)
+        running = np.cumsum(q)
+        upto = running - np.repeat(running[open_at] - q[open_at], deg)
+        upto[open_at + deg - 1] = np.inf
+        pos, edge = self.n["pos"], self.n["edge"]
+        self._append("edge", target=target + pos, piece=of_piece, logq=logq, upto=upto)
+        self._append("pos", first=first + edge, degree=degree)
+        self._append("unit", unit_start=unit_end - length + pos, unit_end=unit_end + pos)
 
     def walk(self, unit: np.ndarray, at: np.ndarray, key: np.ndarray, shift: np.ndarray):
-        """Ancestral samples from positions ``at`` to the ends of their units: (edges, bounds).
-        ``key`` seeds, ``shift`` + position is the byte position in the text."""
+        """Ancestral samples from positions ``at`` to the ends of their units: (edges, places,
+        bounds), a place being ``shift`` + position, the byte position in the text."""
         count = np.zeros(len(at), np.int64)
         live, steps = np.arange(len(at)), []
         end = self.unit_end[unit]
         while len(live):
-            u = _draw(key[live], shift[live] + at, _WALK)
+            place = shift[live] + at
+            u = _draw(key[live], place, _WALK).astype(np.float32)
             e = self.first[at]
             more = np.flatnonzero(u > self.upto[e])
             while len(more):
-                e[more] += 1
-                more = more[u[more] > self.upto[e[more]]]
-            steps.append((live, e))
+                beyond = e[more] + 1
+                e[more] = beyond
+                more = more[u[more] > self.upto[beyond]]
+            steps.append((live, e, place))
             count[live] += 1
             at = self.target[e]
             go = at < end[live]
             live, at = live[go], at[go]
         bounds = np.concatenate([[0], np.cumsum(count)])
-        out = np.empty(bounds[-1], np.int64)
-        for i, (rows, e) in enumerate(steps):
-            out[bounds[rows] + i] = e
-        return out, bounds
+        edges, places = np.empty(bounds[-1], np.int32), np.empty(bounds[-1], np.int64)
+        for i, (rows, e, place) in enumerate(steps):
+            to = bounds[rows] + i
+            edges[to], places[to] = e, place
+        return edges, places, bounds
 
 
 def _draw(key: np.ndarray, position: np.ndarray, purpose: int) -> np.ndarray:
@@ -256,16 +306,16 @@ def _log_rest(q: np.ndarray) -> np.ndarray:
         return np.where(q < 1 - 1e-12, np.log1p(-np.minimum(q, 1 - 1e-13)), -np.inf)
 
 
-def sample_chunk(v: Vocabulary, text: np.ndarray, bounds: np.ndarray, key: np.ndarray, k: int):
+def sample_chunk(lat: Lattice, text: np.ndarray, bounds: np.ndarray, key: np.ndarray, k: int):
     """``k`` segmentations without replacement of each text ``text[bounds[i]:bounds[i+1]]`` (none
     empty).  Returns per sample (texts, pieces, piece bounds, log probability, log inclusion);
     a text with fewer segmentations is missing from the later samples."""
-    lat = Lattice(v, text, bounds)
+    begin, unit_at = lat.units(text, bounds)
     docs = len(bounds) - 1
-    unit_doc = np.searchsorted(bounds, lat.begin, "right") - 1
-    lo = np.searchsorted(lat.begin, bounds[:-1])
-    hi = np.concatenate([lo[1:], [len(lat.begin)]])
-    shift = lat.begin - bounds[unit_doc] - lat.unit_start[lat.unit]
+    unit_doc = np.searchsorted(bounds, begin, "right") - 1
+    lo = np.searchsorted(begin, bounds[:-1])
+    hi = np.concatenate([lo[1:], [len(begin)]])
+    shift = begin - bounds[unit_doc] - lat.unit_start[unit_at]
 
     def keyed(i):
         return mix(key ^ np.uint64(i * _ROUND & 0xFFFFFFFFFFFFFFFF))
@@ -285,8 +335,8 @@ def sample_chunk(v: Vocabulary, text: np.ndarray, bounds: np.ndarray, key: np.nd
             break
         top, ki = value[here, 0], keyed(i)
         if i == 0:
-            units = np.arange(len(lat.begin))
-            edges, b = lat.walk(lat.unit, lat.unit_start[lat.unit], ki[unit_doc], shift)
+            units = np.arange(len(begin))
+            edges, places, b = lat.walk(unit_at, lat.unit_start[unit_at], ki[unit_doc], shift)
             of_unit = np.repeat(units, np.diff(b))
             cuts = b[np.concatenate([lo, [len(units)]])]
             turn, new = np.zeros(docs, np.int64), np.zeros((docs, k + 1), np.int64) - 1
@@ -294,50 +344,55 @@ def sample_chunk(v: Vocabulary, text: np.ndarray, bounds: np.ndarray, key: np.nd
         else:
             src, at = path_of[here, 0], node[here, 0]
             turn = at
-            old = np.array([paths[s][2][d] for s, d in zip(src, here)]) + at
-            e_old = np.array([paths[s][0][j] for s, j in zip(src, old)])
-            unit = np.array([paths[s][1][j] for s, j in zip(src, old)])
-            pos = lat.source[e_old]
+            old, unit, turn_place = (np.empty(len(here), np.int64) for _ in range(3))
+            for s in np.unique(src):
+                m = src == s
+                old[m] = paths[s][3][here[m]] + at[m]
+                unit[m], turn_place[m] = paths[s][1][old[m]], paths[s][2][old[m]]
             banned = out_edges[here, 0]
-            edge = _turn(lat, pos, banned, _draw(ki[here], shift[unit] + pos, _TURN))
+            edge = _turn(lat, turn_place - shift[unit], banned,
+                         _draw(ki[here], turn_place, _TURN))
             # What follows the turn: the rest of its unit, then the units behind it.
-            inside = lat.target[edge] < lat.unit_end[lat.unit[unit]]
+            inside = lat.target[edge] < lat.unit_end[unit_at[unit]]
             n_units = hi[here] - unit - 1
             seq = _ranges(unit + 1 - inside, n_units + inside)
-            starts = lat.unit_start[lat.unit[seq]]
+            starts = lat.unit_start[unit_at[seq]]
             head = np.concatenate([[0], np.cumsum(n_units + inside)])[:-1]
             starts[head[inside]] = lat.target[edge[inside]]
             of_doc = np.repeat(here, n_units + inside)
-            tail, tb = lat.walk(lat.unit[seq], starts, ki[of_doc], shift[seq])
+            tail, tail_places, tb = lat.walk(unit_at[seq], starts, ki[of_doc], shift[seq])
             tail_n = tb[np.concatenate([head, [len(seq)]])]
             tail_len = np.diff(tail_n)
             cuts = np.concatenate([[0], np.cumsum(at + 1 + tail_len)])
-            edges, of_unit = np.empty(cuts[-1], np.int64), np.empty(cuts[-1], np.int64)
+            edges = np.empty(cuts[-1], np.int32)
+            of_unit, places = np.empty(cuts[-1], np.int64), np.empty(cuts[-1], np.int64)
             for s in np.unique(src):  # prefixes from the path they share
                 m = src == s
                 get = _ranges((old - at)[m], at[m])
                 put = _ranges(cuts[:-1][m], at[m])
-                edges[put], of_unit[put] = paths[s][0][get], paths[s][1][get]
-            edges[cuts[:-1] + at], of_unit[cuts[:-1] + at] = edge, unit
-            put = _ranges(cuts[:-1] + at + 1, tail_len)
-            edges[put], of_unit[put] = tail, np.repeat(seq, np.diff(tb))
+                for whole, part in zip((edges, of_unit, places), paths[s]):
+                    whole[put] = part[get]
+            put = cuts[:-1] + at
+            edges[put], of_unit[put], places[put] = edge, unit, turn_place
+            put = _ranges(put + 1, tail_len)
+            edges[put], of_unit[put], places[put] = tail, np.repeat(seq, np.diff(tb)), tail_places
         lead = np.zeros(docs, np.int64)
         lead[here] = cuts[:-1]
-        paths.append((edges, of_unit, lead))
+        paths.append((edges, of_unit, places, lead))
         # Split the rest of the popped subset at the nodes from the turn on.
         logq = lat.logq[edges]
         size = np.diff(cuts)
         before = np.cumsum(logq) - logq
         before -= np.repeat(before[cuts[:-1]], size)
         phi = np.add.reduceat(logq, cuts[:-1])
-        gone = lat.q[edges]
+        gone = np.exp(logq)
         if banned is not None:
             t = cuts[:-1] + turn
-            gone[t] += np.where(banned >= 0, lat.q[banned], 0.0).sum(axis=1)
+            gone[t] += np.where(banned >= 0, np.exp(lat.logq[banned]), 0.0).sum(axis=1)
         mass = before + _log_rest(gone)
         doc = np.repeat(here, size)
         g = _truncated(mass, np.repeat(top, size),
-                       _draw(ki[doc], shift[of_unit] + lat.source[edges], _SPLIT))
+                       _draw(ki[doc], places, _SPLIT))
         g[np.arange(len(g)) < np.repeat(cuts[:-1] + turn, size)] = -np.inf
         # The best k + 1 - i - 1 of them join the agenda in place of the popped one.
         value[here, 0] = -np.inf
@@ -374,7 +429,7 @@ def sample_chunk(v: Vocabulary, text: np.ndarray, bounds: np.ndarray, key: np.nd
 
 def _turn(lat: Lattice, pos: np.ndarray, banned: np.ndarray, u: np.ndarray) -> np.ndarray:
     """An edge out of each position that is not banned there, in proportion to the rest."""
-    left = 1.0 - np.where(banned >= 0, lat.q[banned], 0.0).sum(axis=1)
+    left = 1.0 - np.where(banned >= 0, np.exp(lat.logq[banned]), 0.0).sum(axis=1)
     goal, total = u * left, np.zeros(len(pos))
     edge, done = np.full(len(pos), -1), np.zeros(len(pos), bool)
     for j in range(int(lat.degree[pos].max())):
@@ -382,7 +437,7 @@ def _turn(lat: Lattice, pos: np.ndarray, banned: np.ndarray, u: np.ndarray) -> n
         ok = (j < lat.degree[pos]) & ~done
         e = np.where(ok, e, 0)
         ok &= ~(banned == e[:, None]).any(axis=1)
-        total += np.where(ok, lat.q[e], 0.0)
+        total += np.where(ok, np.exp(lat.logq[e]), 0.0)
         edge = np.where(ok, e, edge)  # the last allowed one if rounding leaves the goal open
         done |= ok & (total >= goal)
     return edge
@@ -432,11 +487,12 @@ def sample_pieces(docs: DataFrame, vocabulary: Vocabulary, k: int = SAMPLES, see
 
     def run(batches):
         v = shared.value
+        lattice = Lattice(v)
         for part, data, offsets in chunks(batches, "__text", CHUNK_BYTES):
             text, bounds, which = with_space(data, offsets)
             key = part.column("__key").to_numpy().view(np.uint64)[which]
             empty = np.flatnonzero(np.diff(offsets) == 0)
-            found = sample_chunk(v, text, bounds, key, k) if len(which) else []
+            found = sample_chunk(lattice, text, bounds, key, k) if len(which) else []
             if len(empty):
                 yield _rows(part, keep, schema, empty, 1, np.zeros(0, np.int64),
                             np.zeros(len(empty) + 1, np.int64), np.zeros(len(empty)),
