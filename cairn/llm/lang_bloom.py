@@ -30,6 +30,7 @@ MAX_GRAMS = 1 << 22  # documented bound of the collected filter entries, 64 MB
 _FOLD = LOWER.copy()
 _FOLD[IS_SPACE] = 32
 _FOLD[48:58] = 48
+_HELD = 500_000  # counts a task holds per language before it merges them
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -72,7 +73,7 @@ def _document_frequencies(batches):
         g = np.concatenate([p[0] for p in parts])
         c = np.concatenate([p[1] for p in parts])
         keys, inverse = np.unique(g, return_inverse=True)
-        return keys, np.bincount(inverse, weights=c).astype(np.int64)
+        return keys, np.bincount(inverse, weights=c).astype(np.uint32)
 
     for rows, data, offsets in chunks(batches):
         gram, doc = grams(data, offsets)
@@ -82,10 +83,10 @@ def _document_frequencies(batches):
         code = np.array([names.index(x) for x in langs])
         of = code[(pair >> np.uint64(32)).astype(np.int64)]
         for i, lang in enumerate(names):
-            keys, n = np.unique((pair[of == i] & np.uint64(0xFFFFFFFF)), return_counts=True)
-            held.setdefault(lang, []).append((keys, n))
+            keys, n = np.unique(pair[of == i].astype(np.uint32), return_counts=True)
+            held.setdefault(lang, []).append((keys, n.astype(np.uint32)))
             size[lang] = size.get(lang, 0) + len(keys)
-            if size[lang] > 4_000_000:
+            if size[lang] > _HELD + len(held[lang][0][0]):
                 held[lang] = [merged(held[lang])]
                 size[lang] = len(held[lang][0][0])
     for lang, parts in held.items():
@@ -94,7 +95,7 @@ def _document_frequencies(batches):
             k = keys[lo:lo + 100_000]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(k)), pa.array(k.astype(np.int64)),
-                 pa.array(n[lo:lo + 100_000])], names=["lang", "gram", "docs"])
+                 pa.array(n[lo:lo + 100_000].astype(np.int64))], names=["lang", "gram", "docs"])
 
 
 class LanguageFilter:

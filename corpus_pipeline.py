@@ -14,11 +14,11 @@ from cairn.llm.queries import table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 5: a document goes if it has no letter or no n-gram of any learned language; a
+    """Operator 5: a document whose language it cannot tell (``und``: no text or no letter) goes; a
     null lang becomes the predicted one.  The filters are learned from the rows with a lang."""
     found = lang_bloom.predict(docs, lang_bloom.train(docs), tuple(docs.columns),
                                ("__lang", "__score"))
-    return (found.where("__score > 0").withColumn("lang", F.coalesce("lang", "__lang"))
+    return (found.where("__lang <> 'und'").withColumn("lang", F.coalesce("lang", "__lang"))
             .select(*docs.columns))
 
 
