@@ -189,15 +189,17 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
         "component", F.coalesce("component", "node"))
     groups = per.groupBy("component").agg(F.min("lo").alias("keep"), F.max("hi").alias("hi")).where(
         "keep < hi").select("component", "keep")
-    line_keep = per.select("node", "component").join(groups, "component").select(
-        F.col("node").alias("line"), F.col("keep").alias("line_keep"))
+    line_keep = storage.materialize(per.select("node", "component").join(groups, "component").select(
+        F.col("node").alias("line"), F.col("keep").alias("line_keep")), "passage-line-keep")
 
     # Piece classes in at least two documents.
     piece = lines.select("doc_id", F.explode(F.arrays_zip("sizes", "classes")).alias("p")).where(
         F.col("p.sizes") >= PIECE_WORDS)
-    piece_keep = (piece.groupBy(F.col("p.classes").alias("class"))
-                  .agg(F.min("doc_id").alias("piece_keep"), F.max("doc_id").alias("hi"))
-                  .where("piece_keep < hi").select("class", "piece_keep"))
+    piece_keep = storage.materialize(
+        piece.groupBy(F.col("p.classes").alias("class"))
+        .agg(F.min("doc_id").alias("piece_keep"), F.max("doc_id").alias("hi"))
+        .where("piece_keep < hi").select("class", "piece_keep"), "passage-piece-keep")
+    storage.release(spark)
 
     rows = (lines.join(line_keep, "line", "left")
             .select("doc_id", "line_keep", "piece",
