@@ -16,6 +16,7 @@ from cairn.llm import storage
 WEIGHTS = (5, 2, 1)
 CAP = 3
 SEED = 17
+MAX_BROADCAST_SOURCES = 100_000  # some 10 MB of names and rates
 
 
 def word_count(text: Column | str) -> Column:
@@ -81,15 +82,17 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int
                   seed: int = SEED) -> DataFrame:
     """The mixed corpus: every document row as often as its copies say, all columns kept.
 
-    The rates are joined to the documents by source, so no text is shuffled on the hot source when
-    the rates fit a broadcast."""
+    The rates, one row per source, are computed first; up to MAX_BROADCAST_SOURCES of them are sent
+    to every task, so no text is shuffled, and more are joined by source."""
     sizes = docs.select("source", word_count("text").alias("size"))
-    rate = (source_targets(sizes, weights, cap)
-            .where(F.col("source_size") > 0)
-            .select(F.col("source").alias("__mix_source"),
-                    (F.col("target") / F.col("source_size")).alias("__mix_rate")))
+    rate = storage.materialize(
+        source_targets(sizes, weights, cap).where(F.col("source_size") > 0)
+        .select(F.col("source").alias("__mix_source"),
+                (F.col("target") / F.col("source_size")).alias("__mix_rate")), "mix-rates")
+    if rate.count() <= MAX_BROADCAST_SOURCES:
+        rate = F.broadcast(rate)
     drawn = hashed_uniform(seed, "mix", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    rows = docs.join(rate, docs["source"].eqNullSafe(rate["__mix_source"]))
+    rows = docs.join(rate, docs["source"].eqNullSafe(F.col("__mix_source")))
     copies = (F.floor("__mix_rate")
               + (drawn < F.col("__mix_rate") - F.floor("__mix_rate")).cast("bigint"))
     return (rows.withColumn("__mix_copies", copies.cast("int")).where("__mix_copies > 0")
