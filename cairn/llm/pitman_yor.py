@@ -4,12 +4,12 @@ Every context (the word before) is a Chinese restaurant whose customers are the
 it; each of its tables sends one customer to the parent restaurant, which all contexts share and
 whose own tables are drawn from the uniform distribution over the vocabulary and one unknown word.
 A Gibbs sweep seats the customers of every dish anew given the state of everything else: first the
-parent's dishes, then those of all contexts.  With c customers of a dish in a restaurant of discount
-d and strength s the next one opens a table in proportion to (s + d T) P, with T the restaurant's
-tables and P the dish's probability under the parent, and sits down elsewhere in proportion to
-j - d t, with j customers of the dish seated at t tables.  Sitting in turn weighs an arrangement by
-the product of these totals, so two arrangements are drawn and one is kept in proportion to its
-weight.  A text's predictive probabilities are averaged over the sweeps after the burn-in.
+parent's dishes, then those of all contexts.  Only the number t of a dish's tables matters: of c
+customers in a restaurant of discount d, strength s and T tables of other dishes, with the dish's
+probability P under the parent, it has weight S(c, t) P**t (s + d T)(s + d (T + 1))...(s + d (T + t -
+1)), S a generalised Stirling number.  Dishes of up to 64 customers are drawn
+from exactly that, larger ones from its limit for many customers (see ``_seat_many``).  A text's
+predictive probabilities are averaged over the sweeps after the burn-in.
 
 Dishes are reseated in parallel within a sweep, as if each saw the others' tables of the sweep
 before.  Draws are hashes of (context, word, sweep, step): any task that knows a dish's count and
@@ -17,30 +17,33 @@ its restaurant's state gets the same seating, so seatings are recomputed where t
 never shipped.
 
 Scale.  Words are 64-bit hashes.  Texts are cut into chunks; a chunk sends its distinct bigrams once
-to their owners ("parts", by hash of the bigram, so a frequent context spreads over all parts) as
-packed compressed arrays, and gets their counts back in the order it sent them.  Bigrams seen once
-have one table whatever the draw, so only their numbers per word matter; those seen more often are
-rows that the sweeps join with the words' state.  Nothing of the model is collected but sums.
+to their owners ("parts", by hash of the bigram, so a frequent context spreads over all parts) and
+gets their counts back in the order it sent them.  Bigrams seen once have one table whatever the
+draw, so only their numbers per word matter; those seen more often stay with their part.  Words have
+owners too (by hash of the word): in a sweep the parts send them the tables of their dishes summed by
+word, the owners seat the parent's dishes and answer with each word's state, and the parts seat
+theirs.  All of this travels as rows of packed, compressed arrays, a row per pair of sender and
+receiver, dealt out by Spark; every step's output is a table in the shared folder.  Nothing of the
+model is collected but a handful of sums per step.
 """
 
 from __future__ import annotations
 
-import gc
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from cairn.llm import storage
-from cairn.llm.arrow_text import LOWER, chunks, hash_spans, mix, uniform, words
+from cairn.llm.arrow_text import LOWER, buffers, chunks, hash_spans, mix, uniform, words
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES, PIECE_BYTES = 8 << 20, 1 << 18
 # Two values no word hash is expected to take: the context before the first word, and the end.
 START, END = np.uint64(0x5354415254000001), np.uint64(0x454E44454E440001)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
-_DIRECT = 64  # customers seated one by one; later tables are found by their waiting time
+_EXACT = 64  # up to so many customers a dish's tables are drawn from their exact distribution
 
 
 @dataclass(frozen=True)
@@ -59,71 +62,102 @@ def _nth(j: int) -> np.uint64:
     return np.uint64(j * int(_GOLD) & 0xFFFFFFFFFFFFFFFF)
 
 
-def _log_gamma_ratio(x, y):
-    """log(gamma(x + y) / gamma(x)) for x > 0, y >= 0: Stirling's series, shifted upwards."""
-    out = np.zeros(np.broadcast(x, y).shape)
-    x, z = x + 0.0, x + y
-    for _ in range(8):
-        out += np.log(x / z)
-        x, z = x + 1, z + 1
-
-    def series(v):
-        return (v - 0.5) * np.log(v) - v + 1 / (12 * v) - 1 / (360 * v ** 3)
-    return out + series(z) - series(x)
-
-
-def _seat_once(c, key, base, p, strength, d):
-    """(tables, log weight) of one arrangement per dish; ``base`` = the restaurant's tables
-    without the dish.  Arrays are sorted by falling ``c`` >= 1."""
-    n = len(c)
-    t, weight = np.ones(n), np.zeros(n)
-    live = n
-    top = int(c[0]) if n else 0
-    for j in range(1, min(top, _DIRECT)):
-        live = int(np.searchsorted(-c[:live], -j, "left"))
-        open_ = (strength + d * (base[:live] + t[:live])) * p[:live]
-        total = j - d * t[:live] + open_
-        u = uniform(mix(key[:live] + _nth(j)))
-        weight[:live] += np.log(total)
-        t[:live] += u * total < open_
-    at = np.flatnonzero(c > _DIRECT)
-    pos, step = np.full(len(at), float(_DIRECT)), _DIRECT
+_STIRLING: dict[float, np.ndarray] = {}
+
+
+def _log_stirling(d: float) -> np.ndarray:
+    """[c, t]: log of the generalised Stirling number, the summed weight of all ways to seat c
+    customers at t tables where a table of n customers weighs (1 - d)(2 - d)...(n - 1 - d)."""
+    if d not in _STIRLING:
+        s = np.full((_EXACT + 1, _EXACT + 2), -np.inf)
+        s[1, 1] = 0.0
+        t = np.arange(1, _EXACT + 1)
+        for c in range(1, _EXACT):
+            with np.errstate(divide="ignore"):
+                stay = np.where(t <= c, np.log(np.maximum(c - d * t, 1e-300)), -np.inf)
+            s[c + 1, 1:-1] = np.logaddexp(s[c, :-2], s[c, 1:-1] + stay)
+        _STIRLING[d] = s
+    return _STIRLING[d]
+
+
+def _seat_few(c, u, base, p, strength, d):
+    """Tables of dishes with up to _EXACT customers, from their conditional distribution
+    S(c, t) * p**t * (strength + d base)(strength + d (base + 1))...; all ``c`` are equal."""
+    t = np.arange(1, c + 1)
+    log_s = _log_stirling(d)[c, 1:c + 1]
+    out = np.empty(len(u), np.int64)
+    step = max(1, (1 << 17) // c)
+    for lo in range(0, len(u), step):
+        at = slice(lo, lo + step)
+        opens = (strength + d * (base[at, None] + t - 1)) * p[at, None]
+        if c <= 16:  # products of so few factors stay in range
+            opens[:, 1:] *= np.exp(np.diff(log_s))
+            opens[:, 0] = 1.0
+            w = np.cumprod(opens, axis=1)
+        else:
+            w = np.cumsum(np.log(opens), axis=1) + log_s
+            w = np.exp(w - w.max(axis=1, keepdims=True))
+        w = np.cumsum(w, axis=1)
+        out[at] = np.minimum((w < u[at, None] * w[:, -1:]).sum(axis=1) + 1, c)
+    return out
+
+
+def _poisson(mean: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """Poisson draws by the distribution function, for means up to about ten."""
+    out, at = np.zeros(len(mean)), np.arange(len(mean))
+    term = np.exp(-mean)
+    total, k = term.copy(), 0
     while len(at):
-        open_ = (strength + d * (base[at] + t[at])) * p[at]
-        x = pos - d * t[at]
-        u = np.log(uniform(mix(key[at] + _nth(step))))
-        # The first customer number >= pos that opens a table, or c: log survival crosses log u.
-        lo, hi = pos.copy(), c[at].astype(float)
-        while True:
-            go = hi - lo > 0.5
-            if not go.any():
-                break
-            mid = np.floor((lo + hi) / 2)
-            k = mid + 1 - pos
-            alive = _log_gamma_ratio(x, k) - _log_gamma_ratio(x + open_, k) >= u
-            lo = np.where(go & alive, mid + 1, lo)
-            hi = np.where(go & ~alive, mid, hi)
-        opens = lo < c[at]
-        last = np.where(opens, lo + 1, c[at])  # customers seated so far
-        weight[at] += _log_gamma_ratio(x + open_, last - pos)
-        t[at] += opens
-        keep = opens & (last < c[at])
-        at, pos, step = at[keep], last[keep], step + 1
-    return t, weight
+        go = (u[at] > total) & (k < 200)
+        at, term, total, mean = at[go], term[go], total[go], mean[go]
+        k += 1
+        term = term * mean / k
+        total = total + term
+        out[at] = k
+    return out
+
+
+def _seat_many(c, key, base, p, strength, d):
+    """Tables of dishes with more customers, from the large-number limit of the same distribution.
+
+    Given the final count, customer j opens a table with odds a g / x, a = (strength + d T) p, x = j
+    - d t, where g is the effect on the totals of all later places and solves dg/dj = d g / (a g +
+    x), g = 1 at the end.  Then x + a g grows as g ** (1 / d), and g goes from
+    g0 = (a / (x_c + a)) ** (d / (1 - d)), x_c = c - d t, to 1 while a / d * (1 - g0) tables are
+    opened besides the first; the sum of the openings' variances has a closed form too."""
+    n = np.zeros(len(c))
+    for _ in range(30):
+        a = (strength + d * (base + 1 + n)) * p
+        x = np.maximum(c - d * (1 + n), 1e-9)
+        g = (a / (x + a)) ** (d / (1 - d))
+        n = (n + np.minimum(a / d * (1 - g), c - 1)) / 2
+    e = 2 - 1 / d
+    part = -np.log(g) if abs(e) < 1e-6 else (1 - g ** e) / e
+    var = np.maximum(a / d * ((1 - g) - a / (x + a) * part), 0) / (1 - p)
+    u, u2 = uniform(mix(key)), uniform(mix(key + _GOLD))
+    out = np.rint(n + np.sqrt(var) * np.sqrt(-2 * np.log(u)) * np.cos(2 * np.pi * u2))
+    few = n < 9
+    out[few] = _poisson(n[few], u[few])
+    return (1 + np.clip(out, 0, c - 1)).astype(np.int64)
 
 
 def seat(c: np.ndarray, key: np.ndarray, base: np.ndarray, p: np.ndarray, strength: float,
          d: float, sweep: int) -> np.ndarray:
-    """Tables of each dish after its ``c`` customers sat down anew; ``key`` seeds the draws."""
+    """Tables of each dish after its ``c`` >= 1 customers sat down anew, given ``base`` tables of
+    other dishes and the parent's probability ``p``; ``key`` seeds the draws."""
+    c, p, base = c.astype(np.int64), p.astype(float), base.astype(float)
+    key = mix(key + _nth(sweep))
+    out = np.ones(len(c), np.int64)
     order = np.argsort(-c, kind="stable")
-    c, key, base, p = c[order], key[order], base[order].astype(float), p[order].astype(float)
-    drawn = [_seat_once(c, mix(key + np.uint64(4 * sweep + i)), base, p, strength, d)
-             for i in (0, 1)]
-    u = uniform(mix(key + np.uint64(4 * sweep + 2)))
-    gap = np.clip(drawn[1][1] - drawn[0][1], -700, 700)
-    second = u * (1 + np.exp(-gap)) < 1
-    out = np.empty(len(c), np.int64)
-    out[order] = np.where(second, drawn[1][0], drawn[0][0]).astype(np.int64)
+    sizes, starts = np.unique(-c[order], return_index=True)
+    many = int((c > _EXACT).sum())
+    if many:
+        i = order[:many]
+        out[i] = _seat_many(c[i], key[i], base[i], p[i], strength, d)
+    for size, a, b in zip(-sizes, starts, [*starts[1:], len(c)]):
+        if 1 < size <= _EXACT:
+            i = order[a:b]
+            out[i] = _seat_few(int(size), uniform(key[i]), base[i], p[i], strength, d)
     return out
 
 
@@ -167,14 +201,28 @@ def small(x: np.ndarray) -> np.ndarray:
 
 # ---- a chunk of texts ---------------------------------------------------------------------
 
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, document) of every word, A-Z lower-cased; hashed piece by piece, with small tables and
+    arrays that fit the cache."""
+    n_docs, lo = len(offsets) - 1, 0
+    hashes, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    while lo < n_docs:
+        hi = int(np.searchsorted(offsets, offsets[lo] + PIECE_BYTES, "right")) - 1
+        hi = min(max(hi, lo + 1), n_docs)
+        part = LOWER[data[offsets[lo]:offsets[hi]]]
+        start, end, doc = words(part, offsets[lo:hi + 1] - offsets[lo])
+        hashes.append(hash_spans(part, start, end))
+        docs.append(doc + lo)
+        lo = hi
+    return np.concatenate(hashes), np.concatenate(docs)
+
+
 class Chunk:
     """The distinct words and bigrams of a chunk and, per token, its bigram."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, parts: int):
-        data = LOWER[data]
-        start, end, doc = words(data, offsets)
         n_docs = len(offsets) - 1
-        h = hash_spans(data, start, end)
+        h, doc = word_hashes(data, offsets)
         per_doc = np.bincount(doc, minlength=n_docs)
         first = np.concatenate([[0], np.cumsum(per_doc + 1)])
         tokens = np.full(first[-1] + 1, END)
@@ -186,7 +234,9 @@ class Chunk:
         u = np.empty_like(w)
         u[1:] = w[:-1]
         u[first[:-1]] = code[-1]
+        del tokens, code, h, doc
         pair, self.token = np.unique(u << np.uint64(32) | w, return_inverse=True)
+        del u, w
         self.u = (pair >> np.uint64(32)).astype(np.int64)
         self.w = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
         self.key = bigram_key(self.vocab[self.u], self.vocab[self.w])
@@ -200,11 +250,11 @@ class Chunk:
             yield int(part), self.order[self.cuts[part]:self.cuts[part + 1]]
 
 
-def _chunks(batches, parts: int):
-    """(chunk number, rows, Chunk); the number names the scan task and counts its chunks, so a
-    second scan of the same files yields the same chunks (their keys are compared)."""
+def _chunks(batches):
+    """(chunk number, rows, bytes, offsets): small batches of a scan task put together to chunks of
+    CHUNK_BYTES.  The number names the task and counts its chunks, so another scan of the same files
+    yields the same chunks (their keys are compared)."""
     def gathered():
-        """Small batches of one task put together to chunks of CHUNK_BYTES."""
         held, size = [], 0
         for rows, data, _ in chunks(batches, size=CHUNK_BYTES):
             if held and size + len(data) > CHUNK_BYTES:
@@ -218,130 +268,207 @@ def _chunks(batches, parts: int):
     lead = TaskContext.get().partitionId() << 32
     for i, table in enumerate(gathered()):
         rows = table.combine_chunks().to_batches()[0]
-        for rows, data, offsets in chunks(iter([rows]), size=1 << 60):
-            yield lead + i, rows, Chunk(data, offsets, parts)
+        data, offsets = buffers(rows.column("text"))
+        yield lead + i, rows, data, offsets
+
+
+# ---- messages -----------------------------------------------------------------------------
+
+# A row: receiver, kind, sender, packed arrays, and sums for the driver.
+_ROW = "to bigint, kind int, frm bigint, body binary, sums array<bigint>"
+_ARROW = pa.schema([("to", pa.int64()), ("kind", pa.int32()), ("frm", pa.int64()),
+                    ("body", pa.binary()), ("sums", pa.list_(pa.int64()))])
+BLOB, REPLY, DISH, FIRST, ASK, WORD, ANSWER, TEXT, WANT, GIVE = range(10)
 
 
-_BLOB = "chunk bigint, part int, body binary"
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], t.type) for i, t in enumerate(_ARROW)], schema=_ARROW)
+
+
+def _receivers(kernel):
+    """mapInArrow: rows sorted by receiver -> kernel(receiver, {kind: [(sender, body)]}), which
+    yields rows.  A receiver's messages are one part's or owner's share of the data."""
+    def run(batches):
+        at, held = None, {}
+        for batch in batches:
+            for to, kind, frm, body in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if to != at:
+                    if held:
+                        yield from (_batch([r]) for r in kernel(at, held))
+                    at, held = to, {}
+                held.setdefault(kind, []).append((frm, body))
+        if held:
+            yield from (_batch([r]) for r in kernel(at, held))
+    return run
+
+
+def _step(rows: DataFrame, kernel, name: str) -> str:
+    """Deal the rows out to their receivers, run the kernel there, keep its rows as a table."""
+    dealt = rows.repartition("to").sortWithinPartitions("to", "kind", "frm")
+    path = storage.write_table(dealt.mapInArrow(_receivers(kernel), _ROW), name)
+    storage.release(rows.sparkSession)
+    return path
 
 
 def _send(parts: int):
-    """Each chunk's distinct bigrams with their training counts, one body per part."""
+    """Each chunk's distinct bigrams with their training counts, one row per part."""
     def run(batches):
-        for number, rows, c in _chunks(batches, parts):
+        for number, rows, data, offsets in _chunks(batches):
+            c = Chunk(data, offsets, parts)
             train = ~np.array(rows.column("held_out").to_pylist(), bool)
             count = np.bincount(c.token, weights=np.repeat(train, c.per_doc),
                                 minlength=len(c.u)).astype(np.int64)
-            out = ([], [], [])
+            out = []
             for part, at in c.segments():
                 u, w = c.u[at], c.w[at]
                 used = np.unique(np.concatenate([u, w]))
-                out[0].append(number)
-                out[1].append(part)
-                out[2].append(pack(c.vocab[used], small(np.searchsorted(used, u)),
-                                   small(np.searchsorted(used, w)), small(count[at])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
-                 pa.array(out[2], pa.binary())], names=["chunk", "part", "body"])
+                out.append((part, BLOB, number, pack(
+                    c.vocab[used], small(np.diff(np.searchsorted(used, u), prepend=0)),
+                    small(np.searchsorted(used, w)), small(count[at])), []))
+            yield _batch(out)
     return run
 
 
-_COUNTED = "kind int, a bigint, b bigint, c bigint, d bigint, body binary"
-_REPLY, _WORD, _DISH = 0, 1, 2
+def _by_owner(vocab: np.ndarray, owners: int):
+    """(owner, positions) of the words of each owner: the low bits of the hash."""
+    owner = (vocab & np.uint64(owners - 1)).astype(np.int64)
+    order = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[order], np.arange(owners + 1))
+    for o in np.flatnonzero(np.diff(cuts)):
+        yield int(o), order[cuts[o]:cuts[o + 1]]
 
 
-def _count(batches):
-    """Rows (chunk, part, body) sorted by part -> replies with the counts, per word sums
-    (word, count, once after, once before) and the bigrams seen more often (u, w, count)."""
-    schema = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
-                        ("c", pa.int64()), ("d", pa.int64()), ("body", pa.binary())])
+def _ask(part: int, vocab, u, w, t, owners: int):
+    """The tables of a part's dishes summed by word, as eaten and as context, to the owners."""
+    as_word = np.bincount(w, weights=t, minlength=len(vocab)).astype(np.int64)
+    as_context = np.bincount(u, weights=t, minlength=len(vocab)).astype(np.int64)
+    for o, at in _by_owner(vocab, owners):
+        yield o, ASK, part, pack(vocab[at], small(as_word[at]), small(as_context[at])), []
 
-    def rows(kind, n, a, b, c=None, d=None, body=None):
-        zero = np.zeros(n, np.int64)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, kind, np.int32)), pa.array(a), pa.array(b),
-             pa.array(zero if c is None else c), pa.array(zero if d is None else d),
-             pa.nulls(n, pa.binary()) if body is None else pa.array(body, pa.binary())],
-            schema=schema)
 
-    def solve(part, numbers, bodies):
-        sent = [unpack(b) for b in bodies]
+def _count(owners: int):
+    """A part adds up its bigrams: replies to the chunks, sums per word to the owners (count,
+    bigrams seen once after and before it), and the dishes seen more often, with one table each."""
+    def kernel(part, held):
+        numbers, sent = [f for f, _ in held[BLOB]], [unpack(b) for _, b in held[BLOB]]
         vocab, code = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
         lead = np.concatenate([[0], np.cumsum([len(s[0]) for s in sent])])
-        u = np.concatenate([code[a + s[1].astype(np.int64)] for a, s in zip(lead, sent)])
+        u = np.concatenate([code[a + np.cumsum(s[1], dtype=np.int64)] for a, s in zip(lead, sent)])
         w = np.concatenate([code[a + s[2].astype(np.int64)] for a, s in zip(lead, sent)])
         pair, at = np.unique(u.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64),
                              return_inverse=True)
         count = np.bincount(at, weights=np.concatenate([s[3] for s in sent])).astype(np.int64)
         u = (pair >> np.uint64(32)).astype(np.int64)
         w = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        n = len(vocab)
-        total = np.bincount(w, weights=count, minlength=n).astype(np.int64)
-        once = count == 1
-        after = np.bincount(w[once], minlength=n)
-        before = np.bincount(u[once], minlength=n)
-        seen = (total > 0) | (before > 0) | (np.bincount(u, weights=count, minlength=n) > 0)
-        ids = vocab.view(np.int64)
-        yield rows(_WORD, int(seen.sum()), ids[seen], total[seen], after[seen], before[seen])
-        more = np.flatnonzero(count > 1)
-        for lo in range(0, len(more), 100_000):
-            m = more[lo:lo + 100_000]
-            yield rows(_DISH, len(m), ids[u[m]], ids[w[m]], count[m])
         ends = np.cumsum([len(s[1]) for s in sent])
         keys = bigram_key(vocab[u], vocab[w])
-        replies = []
-        for a, b in zip(np.concatenate([[0], ends[:-1]]), ends):
+        for number, a, b in zip(numbers, np.concatenate([[0], ends[:-1]]), ends):
             with np.errstate(over="ignore"):
                 check = keys[at[a:b]].sum(dtype=np.uint64)
-            replies.append(pack(np.array([check], np.uint64), small(count[at[a:b]])))
-        yield rows(_REPLY, len(replies), np.array(numbers, np.int64),
-                   np.full(len(replies), part, np.int64), body=replies)
-
-    part, numbers, bodies = None, [], []
-    for batch in batches:
-        for chunk, p, body in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist()
-                                    for x in ("chunk", "part", "body"))):
-            if p != part:
-                if bodies:
-                    yield from solve(part, numbers, bodies)
-                part, numbers, bodies = p, [], []
-            numbers.append(chunk)
-            bodies.append(body)
-    if bodies:
-        yield from solve(part, numbers, bodies)
+            yield (number, REPLY, part,
+                   pack(np.array([check], np.uint64), small(count[at[a:b]])), [])
+        n, once = len(vocab), count == 1
+        total = np.bincount(w, weights=count, minlength=n).astype(np.int64)
+        after, before = np.bincount(w[once], minlength=n), np.bincount(u[once], minlength=n)
+        seen = np.flatnonzero((total > 0) | (before > 0)
+                              | (np.bincount(u, weights=count, minlength=n) > 0))
+        for o, i in _by_owner(vocab[seen], owners):
+            i = seen[i]
+            yield (o, FIRST, part, pack(vocab[i], small(total[i]), small(after[i]),
+                                        small(before[i])), [])
+        more = count > 1
+        if more.any():
+            used, code = np.unique(np.concatenate([u[more], w[more]]), return_inverse=True)
+            du, dw = code[:int(more.sum())], code[int(more.sum()):]
+            t = np.ones(len(du), np.int64)
+            yield (part, DISH, part, pack(vocab[used], small(du), small(dw), small(count[more]),
+                                          small(t)), [int((count == 2).sum())])
+            yield from _ask(part, vocab[used], du, dw, t, owners)
+    return kernel
 
 
 # ---- sweeps -------------------------------------------------------------------------------
 
-def _parent_kernel(base_p: float, strength: float, d: float, sweep: int, seed: int, before: int):
-    """Seats the parent's customers ``cust`` of every word; ``tables`` are those of last sweep."""
-    def run(batches):
-        for batch in batches:
-            cust = batch.column("cust").to_numpy()
-            last = batch.column("tables").to_numpy()
-            word = batch.column("w").to_numpy().view(np.uint64)
-            t = np.zeros(len(cust), np.int64)
-            at = cust > 0
-            t[at] = seat(cust[at], mix(word[at] ^ mix(np.array([seed], np.uint64))),
-                         np.maximum(before - last[at], 0), np.full(int(at.sum()), base_p),
-                         strength, d, sweep)
-            i = batch.schema.get_field_index("tables")
-            yield batch.set_column(i, "tables", pa.array(t))
-    return run
-
-
-def _dish_kernel(strength: float, d: float, sweep: int, seed: int):
-    """Seats the customers of every (u, w) seen more than once."""
-    def run(batches):
-        for batch in batches:
-            get = lambda name: batch.column(batch.schema.get_field_index(name)).to_numpy()
-            u, w = get("u").view(np.uint64), get("w").view(np.uint64)
-            t = dish_tables(u, w, get("c"), get("t"), get("rest"), get("p"), strength, d, sweep,
-                            seed)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(x)) for x in ("u", "w", "c")]
-                + [pa.array(t)], names=["u", "w", "c", "t"])
-    return run
+def _added(words: np.ndarray, asked) -> tuple[np.ndarray, np.ndarray]:
+    """The tables of the parts' dishes summed by the words of an owner."""
+    as_word, as_context = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+    for _, body in asked:
+        seg, a, b = unpack(body)
+        i = np.searchsorted(words, seg)
+        as_word[i] += a.astype(np.int64)
+        as_context[i] += b.astype(np.int64)
+    return as_word, as_context
+
+
+def _merge(owner, held):
+    """An owner's words: hash, count, bigrams seen once after and before, tables (one where there
+    is a customer); sums: tokens, words, seen-once bigrams, words of one, two and any customers."""
+    parts = [unpack(b) for _, b in held[FIRST]]
+    words, code = np.unique(np.concatenate([x[0] for x in parts]), return_inverse=True)
+    c, after, before = (np.bincount(code, weights=np.concatenate([x[i] for x in parts]),
+                                    minlength=len(words)).astype(np.int64) for i in (1, 2, 3))
+    cust = after + _added(words, held.get(ASK, []))[0]
+    yield (owner, WORD, owner, pack(words, c, after, before, (cust > 0).astype(np.int64)),
+           [int(c.sum()), int((c > 0).sum()), int(after.sum()), int((cust == 1).sum()),
+            int((cust == 2).sum()), int((cust > 0).sum())])
+
+
+def _parent(base_p: float, strength: float, d: float, sweep: int, seed: int, seats: int):
+    """An owner seats the parent's customers of its words (``seats``: all tables of the sweep
+    before) and answers the parts; its state grows by the words' tables as contexts and the mass
+    cust - d * tables.  Sums: customers, tables."""
+    def kernel(owner, held):
+        (_, body), = held[WORD]
+        words, c, after, before, last, *rest = unpack(body)
+        asked = held.get(ASK, [])
+        as_word, as_context = _added(words, asked)
+        cust, tables = after + as_word, before + as_context
+        t = np.zeros(len(words), np.int64)
+        at = cust > 0
+        t[at] = seat(cust[at], mix(words[at] ^ mix(np.array([seed], np.uint64))),
+                     np.maximum(seats - last[at], 0), np.full(int(at.sum()), base_p), strength, d,
+                     sweep)
+        mass = (cust - d * t).astype(np.float32)
+        yield (owner, WORD, owner, pack(words, c, after, before, t, *rest, tables, mass),
+               [int(cust.sum()), int(t.sum())])
+        for part, body in asked:
+            i = np.searchsorted(words, unpack(body)[0])
+            yield part, ANSWER, owner, pack(mass[i], small(tables[i])), []
+    return kernel
+
+
+def _dishes(base: tuple[float, float], strength: float, d: float, sweep: int, seed: int,
+            owners: int):
+    """A part seats the customers of its dishes and tells the owners."""
+    def kernel(part, held):
+        if DISH not in held:
+            return
+        (_, body), = held[DISH]
+        vocab, u, w, c, t = unpack(body)
+        u, w, c, t = (x.astype(np.int64) for x in (u, w, c, t))
+        mass, tables = np.zeros(len(vocab), np.float32), np.zeros(len(vocab), np.int64)
+        answers = dict(held[ANSWER])
+        for o, at in _by_owner(vocab, owners):
+            mass[at], tables[at] = unpack(answers[o])
+        t = dish_tables(vocab[u], vocab[w], c, t, tables[u], parent_p(mass[w], base), strength, d,
+                        sweep, seed)
+        yield part, DISH, part, pack(vocab, small(u), small(w), small(c), small(t)), []
+        yield from _ask(part, vocab, u, w, t, owners)
+    return kernel
+
+
+def _last(owner, held):
+    """The words' tables as contexts after the last sweep complete their state."""
+    (_, body), = held[WORD]
+    words, c, after, before, t, *rest = unpack(body)
+    tables = before + _added(words, held.get(ASK, []))[1]
+    yield owner, WORD, owner, pack(words, c, *rest, tables), []
+
+
+def parent_p(mass: np.ndarray, base: tuple[float, float]) -> np.ndarray:
+    """The parent's probability of words from their mass; an unseen word has mass 0."""
+    return (mass.astype(np.float64) + base[0]) / base[1]
 
 
 def dish_tables(u, w, c, t, rest, p, strength, d, sweep, seed):
@@ -354,16 +481,11 @@ def _discount(n1: int, n2: int) -> float:
     return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
 
 
-def _release(spark: SparkSession) -> None:
-    """Let go of shuffle files of finished stages: the cleaner follows the JVM's collector."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 @dataclass
 class Model:
-    """``words``: w, c, and per sweep the parent's probability p1.. and the tables t0.. of the word
-    as a context.  ``replies``: counts per (chunk, part).  The rest are sums."""
+    """``words``: the owners' rows (words, c, tables as context t0, mass m1, t1, m2, ... after each
+    sweep); ``replies``: counts per (chunk, part).  The rest are sums; ``bases`` turn a sweep's
+    masses into the parent's probabilities."""
     words: DataFrame
     replies: DataFrame
     parts: int
@@ -372,7 +494,7 @@ class Model:
     vocabulary: int
     documents: int
     discount: float
-    new_word: list[float]  # the parent's probability of an unseen word, per sweep
+    bases: list[tuple[float, float]]
     settings: Settings
 
 
@@ -380,138 +502,81 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
     """Train on the rows of ``docs(doc_id, text, held_out)`` that are not held out; the bigrams of
     the held-out rows take part in the exchange with count 0, so they are answered too."""
     spark = docs.sparkSession
-    n = storage.shuffle_partitions(spark)
-    parts = 2 * n
-    owners = 1 << max(2, (n - 1).bit_length())
-    blobs = docs.mapInArrow(_send(parts), _BLOB)
-    path = storage.write_table(
-        blobs.repartition(n, "part").sortWithinPartitions("part").mapInArrow(_count, _COUNTED),
-        "lm-counted", partition_by="kind")
-    counted = storage.read(spark, path)
-    replies = counted.where(F.col("kind") == _REPLY).select(
-        F.col("a").alias("chunk"), F.col("b").cast("int").alias("part"), "body")
-    _release(spark)
-    vocab = storage.materialize(
-        counted.where(F.col("kind") == _WORD).groupBy(F.col("a").alias("w"))
-        .agg(F.sum("b").alias("c"), F.sum("c").alias("after"), F.sum("d").alias("before")),
-        "lm-vocab")
-    dishes = counted.where(F.col("kind") == _DISH).select(
-        F.col("a").alias("u"), F.col("b").alias("w"), F.col("c").alias("c"), F.lit(1).cast("bigint")
-        .alias("t"))
-    sums = vocab.agg(F.sum("c").alias("tokens"), F.count_if(F.col("c") > 0).alias("v"),
-                     F.sum("after").alias("once")).first()
-    tokens, v, once = (int(x or 0) for x in sums)
-    twice = dishes.where("c = 2").count()
-    documents = docs.where("not held_out").count()
-    d1 = _discount(once, twice)
-    base_p = 1.0 / (v + 1)
-    s = settings
-    state, state_path, dish_path, old, new_word = vocab, None, None, [], []
+    n, s = storage.shuffle_partitions(spark), settings
+    parts, owners = n, 1 << max(2, ((n + 3) // 4 - 1).bit_length())
+
+    def rows(path, kind):
+        return (spark.read.schema(_ROW).parquet(path).where(F.col("kind") == kind)
+                .select("to", "kind", "frm", "body", "sums"))
+
+    def summed(df, size):
+        got = df.agg(*[F.sum(F.get("sums", i)) for i in range(size)]).first()
+        return [int(x or 0) for x in got]
+
+    counted = _step(docs.mapInArrow(_send(parts), _ROW), _count(owners), "lm-counted")
+    dish, asked = rows(counted, DISH), rows(counted, ASK)
+    merged = _step(rows(counted, FIRST).unionByName(asked), _merge, "lm-words")
+    word = rows(merged, WORD)
+    tokens, v, once, one, two, seats = summed(word, 6)
+    d1, d0 = _discount(once, *summed(dish, 1)), _discount(one, two)
+    base_p, bases, old = 1.0 / (v + 1), [], [merged]
     for sweep in range(1, s.sweeps + 1):
-        after = dishes.groupBy("w").agg(F.sum("t").alias("ta"))
-        before = dishes.groupBy(F.col("u").alias("w")).agg(F.sum("t").alias("tb"))
-        joined = (state.join(after, "w", "left").join(before, "w", "left")
-                  .withColumn("cust", F.col("after") + F.coalesce("ta", F.lit(0)))
-                  .withColumn(f"t{sweep - 1}", F.col("before") + F.coalesce("tb", F.lit(0)))
-                  .drop("ta", "tb"))
-        if sweep == 1:
-            joined = joined.withColumn("tables", F.least("cust", F.lit(1).cast("bigint")))
-            levels = joined.agg(F.count_if(F.col("cust") == 1), F.count_if(F.col("cust") == 2),
-                                F.count_if(F.col("cust") > 0)).first()
-            d0, seats = _discount(int(levels[0] or 0), int(levels[1] or 0)), int(levels[2] or 0)
-        seated_path = storage.write_table(
-            joined.mapInArrow(_parent_kernel(base_p, s.strength, d0, sweep, s.seed, seats),
-                              joined.schema), "lm-words")
-        seated = storage.read(spark, seated_path)
-        total = seated.agg(F.sum("cust"), F.sum("tables")).first()
-        cust, seats = int(total[0] or 0), int(total[1] or 0)
-        new_word.append((s.strength + d0 * seats) * base_p / (s.strength + cust))
-        p = ((F.col("cust") - d0 * F.col("tables") + (s.strength + d0 * seats) * base_p)
-             / (s.strength + cust)).cast("float")
-        state = seated.withColumn(f"p{sweep}", p)
-        rest = state.select(F.col("w").alias("cu"), F.col(f"t{sweep - 1}").alias("rest"))
-        prob = state.select(F.col("w").alias("cw"), F.col(f"p{sweep}").alias("p"))
-        asked = (dishes.join(rest, F.col("u") == F.col("cu")).join(prob, F.col("w") == F.col("cw"))
-                 .select("u", "w", "c", "t", "rest", "p"))
-        new_path = storage.write_table(
-            asked.mapInArrow(_dish_kernel(s.strength, d1, sweep, s.seed),
-                             "u bigint, w bigint, c bigint, t bigint"), "lm-dishes")
-        dishes = storage.read(spark, new_path)
-        old += [x for x in (state_path, dish_path) if x]
+        parent = _step(word.unionByName(asked),
+                       _parent(base_p, s.strength, d0, sweep, s.seed, seats), "lm-words")
+        word = rows(parent, WORD)
+        cust, seats = summed(word, 2)
+        bases.append(((s.strength + d0 * seats) * base_p, s.strength + cust))
+        seated = _step(dish.unionByName(rows(parent, ANSWER)),
+                       _dishes(bases[-1], s.strength, d1, sweep, s.seed, owners), "lm-dishes")
+        dish, asked = rows(seated, DISH), rows(seated, ASK)
         storage.drop_table(spark, *old)
-        old, state_path, dish_path = [], seated_path, new_path
-        _release(spark)
-    before = dishes.groupBy(F.col("u").alias("w")).agg(F.sum("t").alias("tb"))
-    last = (state.join(before, "w", "left")
-            .withColumn(f"t{s.sweeps}", F.col("before") + F.coalesce("tb", F.lit(0)))
-            .select("w", "c", *[f"t{i}" for i in range(s.sweeps + 1)],
-                    *[f"p{i}" for i in range(1, s.sweeps + 1)]))
-    final = storage.materialize(last, "lm-model")
-    storage.drop_table(spark, state_path, dish_path)
-    return Model(final, replies, parts, owners, tokens, v, documents, d1, new_word, s)
+        old = [parent, seated]
+    last = _step(word.unionByName(asked), _last, "lm-model")
+    storage.drop_table(spark, *old)
+    return Model(rows(last, WORD), rows(counted, REPLY), parts, owners, tokens, v,
+                 docs.where("not held_out").count(), d1, bases, s)
 
 
 # ---- scoring ------------------------------------------------------------------------------
 
-_MESSAGE = "chunk bigint, kind int, part int, body binary"
-_TEXTS, _COUNTS, _WORDS = 0, 1, 2
-
-
-def _texts(parts: int):
-    """One message per chunk: ids, held-out flags, tokens per document, words, bigrams and the
-    bigram of every token."""
-    def run(batches):
-        for number, rows, c in _chunks(batches, parts):
-            ids = rows.column("doc_id")
-            known = np.array([x is not None for x in ids.to_pylist()], bool)
-            body = pack(ids.fill_null(0).to_numpy(), known,
-                        np.array(rows.column("held_out").to_pylist(), bool), small(c.per_doc),
-                        c.vocab, small(c.u), small(c.w), small(c.token))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), pa.array([_TEXTS], pa.int32()),
-                 pa.array([0], pa.int32()), pa.array([body], pa.binary())],
-                names=["chunk", "kind", "part", "body"])
-    return run
+def _texts(batches):
+    """One row per chunk: ids, held-out flags and the texts themselves."""
+    for number, rows, data, offsets in _chunks(batches):
+        ids = rows.column("doc_id")
+        known = np.array([x is not None for x in ids.to_pylist()], bool)
+        yield _batch([(number, TEXT, 0, pack(
+            ids.fill_null(0).to_numpy(), known,
+            np.array(rows.column("held_out").to_pylist(), bool), offsets, data), [])])
 
 
-def _ask_words(owners: int):
-    """The words of each chunk, one message per owner (the low bits of the hash)."""
+def _want(owners: int):
+    """The words of each chunk, one row per owner."""
     def run(batches):
-        for batch in batches:
-            for number, body in zip(batch.column(0).to_pylist(), batch.column(3)):
-                vocab = unpack(body.as_py())[4]
-                owner = (vocab & np.uint64(owners - 1)).astype(np.int64)
-                out = [(o, pack(vocab[owner == o])) for o in np.unique(owner).tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number] * len(out), pa.int64()),
-                     pa.array([x[0] for x in out], pa.int32()),
-                     pa.array([x[1] for x in out], pa.binary())], names=["chunk", "owner", "body"])
+        for number, _, data, offsets in _chunks(batches):
+            vocab = np.unique(np.append(word_hashes(data, offsets)[0], [START, END]))
+            yield _batch([(o, WANT, number, pack(vocab[at]), [])
+                          for o, at in _by_owner(vocab, owners)])
     return run
 
 
-def _answer_words(sweeps: int):
-    """An owner's words against the requests of all chunks: count, tables and probabilities in the
-    order asked; zeros for words without training tokens."""
-    def run(state: pa.Table, asked: pa.Table) -> pa.Table:
-        ids = state.column("w").to_numpy().view(np.uint64)
-        order = np.argsort(ids)
-        ids = ids[order]
-        names = ["c"] + [f"t{i}" for i in range(sweeps + 1)] + [f"p{i}" for i in range(1, sweeps + 1)]
-        columns = [state.column(x).to_numpy()[order] for x in names]
-        bodies = []
-        for body in asked.column("body").to_pylist():
+def _give(sweeps: int):
+    """An owner answers the chunks: count, tables and masses of the words in the order asked; zeros
+    for words without training tokens."""
+    def kernel(owner, held):
+        state = unpack(held[WORD][0][1]) if WORD in held else None
+        for number, body in held.get(WANT, []):
             (want,) = unpack(body)
-            at = np.minimum(np.searchsorted(ids, want), max(len(ids) - 1, 0))
-            hit = ids[at] == want if len(ids) else np.zeros(len(want), bool)
-            values = [np.where(hit, col[at], 0) if len(ids) else np.zeros(len(want), col.dtype)
-                      for col in columns]
-            bodies.append(pack(*[small(v) if v.dtype == np.int64 else v.astype(np.float32)
-                                 for v in values]))
-        n = len(bodies)
-        return pa.table([asked.column("chunk"), pa.array(np.full(n, _WORDS, np.int32)),
-                         asked.column("owner"), pa.array(bodies, pa.binary())],
-                        names=["chunk", "kind", "part", "body"])
-    return run
+            if state is None:
+                columns = ([np.zeros(len(want), np.int64)] * 2
+                           + [np.zeros(len(want), np.float32), np.zeros(len(want), np.int64)] * sweeps)
+            else:
+                words = state[0]
+                at = np.minimum(np.searchsorted(words, want), len(words) - 1)
+                hit = words[at] == want
+                columns = [np.where(hit, x[at], x.dtype.type(0)) for x in state[1:]]
+            yield number, GIVE, owner, pack(*[x if x.dtype == np.float32 else small(x)
+                                              for x in columns]), []
+    return kernel
 
 
 _SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, "
@@ -523,28 +588,20 @@ class _Scorer:
 
     def __init__(self, m: Model):
         self.parts, self.owners, self.tokens, self.v = m.parts, m.owners, m.tokens, m.vocabulary
-        self.documents, self.d, self.s = m.documents, m.discount, m.settings
-        self.new_word = m.new_word
+        self.documents, self.d, self.s, self.bases = m.documents, m.discount, m.settings, m.bases
 
     def score(self, texts: bytes, counts: dict[int, bytes], answers: dict[int, bytes]):
-        ids, known, held, per_doc, vocab, u, w, token = unpack(texts)
-        u, w = u.astype(np.int64), w.astype(np.int64)
-        s, n = self.s, len(vocab)
-        values = [np.zeros(n, np.int64) for _ in range(s.sweeps + 2)] + [
-            np.zeros(n, np.float32) for _ in range(s.sweeps)]
-        owner = (vocab & np.uint64(self.owners - 1)).astype(np.int64)
-        for o, body in answers.items():
-            at = np.flatnonzero(owner == o)
-            for column, got in zip(values, unpack(body)):
+        ids, known, held, offsets, data = unpack(texts)
+        chunk = Chunk(data, offsets, self.parts)
+        vocab, u, w, key, s = chunk.vocab, chunk.u, chunk.w, chunk.key, self.s
+        values = [np.zeros(len(vocab), np.float32 if i > 1 and i % 2 == 0 else np.int64)
+                  for i in range(2 * s.sweeps + 2)]
+        for o, at in _by_owner(vocab, self.owners):
+            for column, got in zip(values, unpack(answers[o])):
                 column[at] = got
-        c_word, tables, prob = values[0], values[1:s.sweeps + 2], values[s.sweeps + 2:]
-        key = bigram_key(vocab[u], vocab[w])
+        c_word, tables, mass = values[0], values[1::2], values[2::2]
         count = np.zeros(len(u), np.int64)
-        part = (key % np.uint64(self.parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        cuts = np.searchsorted(part[order], np.arange(self.parts + 1))
-        for p in np.flatnonzero(np.diff(cuts)).tolist():
-            at = order[cuts[p]:cuts[p + 1]]
+        for p, at in chunk.segments():
             check, got = unpack(counts[p])
             with np.errstate(over="ignore"):
                 if len(got) != len(at) or check[0] != key[at].sum(dtype=np.uint64):
@@ -556,45 +613,42 @@ class _Scorer:
         t = np.ones(len(often), np.int64)
         average = np.zeros(len(u))
         for sweep in range(1, s.sweeps + 1):
-            p = prob[sweep - 1][w]
+            p = parent_p(mass[sweep - 1], self.bases[sweep - 1])[w]
             t = dish_tables(vocab[u[often]], vocab[w[often]], count[often], t,
                             tables[sweep - 1][u[often]], p[often], s.strength, self.d, sweep, s.seed)
             if sweep <= s.burn_in:
                 continue
-            p = np.where(p > 0, p.astype(float), self.new_word[sweep - 1])
             seated = (count > 0).astype(float)
             seated[often] = t
             average += ((count - self.d * seated
                          + (s.strength + self.d * tables[sweep][u]) * p) / (s.strength + total))
         average /= s.sweeps - s.burn_in
-        token = token.astype(np.int64)
-        first = np.concatenate([[0], np.cumsum(per_doc.astype(np.int64))])[:-1]
+        token, per_doc = chunk.token, chunk.per_doc
+        first = np.cumsum(per_doc) - per_doc
         base = np.log10((c_word + 1.0) / (self.tokens + (self.v + 1)))[w][token]
-        return [pa.array(ids, mask=~known), pa.array(held), pa.array(per_doc.astype(np.int64)),
+        return [pa.array(ids, mask=~known), pa.array(held), pa.array(per_doc),
                 pa.array(np.add.reduceat((c_word > 0)[w][token].astype(np.int64), first)),
                 pa.array(np.add.reduceat(base, first)),
                 pa.array(np.add.reduceat(np.log10(average)[token], first))]
 
 
 def _score(scorer: _Scorer):
-    """Messages sorted by (chunk, kind, part) -> one row per document."""
+    """Rows sorted by chunk -> one row per document."""
     names = [x.split()[0] for x in _SCORES.split(", ")]
 
     def run(batches):
-        chunk, texts, counts, answers = None, None, {}, {}
+        chunk, held = None, {}
         for batch in batches:
-            for number, kind, part, body in zip(*(c.to_pylist() for c in batch.columns)):
+            for number, kind, frm, body in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if number != chunk:
-                    if texts is not None:
-                        yield pa.RecordBatch.from_arrays(scorer.score(texts, counts, answers),
-                                                         names=names)
-                    chunk, texts, counts, answers = number, None, {}, {}
-                if kind == _TEXTS:
-                    texts = body
-                else:
-                    (counts if kind == _COUNTS else answers)[part] = body
-        if texts is not None:
-            yield pa.RecordBatch.from_arrays(scorer.score(texts, counts, answers), names=names)
+                    if TEXT in held:
+                        yield pa.RecordBatch.from_arrays(
+                            scorer.score(held[TEXT][0], held[REPLY], held[GIVE]), names=names)
+                    chunk, held = number, {}
+                held.setdefault(kind, {})[frm] = body
+        if TEXT in held:
+            yield pa.RecordBatch.from_arrays(
+                scorer.score(held[TEXT][0], held[REPLY], held[GIVE]), names=names)
     return run
 
 
@@ -606,16 +660,12 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     of log10 of the averaged predictive probability, ``base_score`` that of (c + 1) / (N + V + 1).
     A null text counts as empty and has the end only; repeated rows are scored each; a null doc_id
     is never held out; other columns are ignored; an empty table gives an empty result."""
-    n = storage.shuffle_partitions(docs.sparkSession)
-    texts = storage.materialize(docs.mapInArrow(_texts(model.parts), _MESSAGE), "lm-texts")
-    asked = texts.mapInArrow(_ask_words(model.owners), "chunk bigint, owner int, body binary")
-    owner = F.col("w").bitwiseAND(F.lit(model.owners - 1)).cast("int")
-    answers = (model.words.withColumn("owner", owner).groupBy("owner")
-               .cogroup(asked.groupBy("owner"))
-               .applyInArrow(_answer_words(model.settings.sweeps), _MESSAGE))
-    counts = model.replies.select("chunk", F.lit(_COUNTS).alias("kind"), "part", "body")
-    return (texts.unionByName(counts).unionByName(answers).repartition(n, "chunk")
-            .sortWithinPartitions("chunk", "kind", "part")
+    spark = docs.sparkSession
+    want = docs.mapInArrow(_want(model.owners), _ROW)
+    give = _step(want.unionByName(model.words), _give(model.settings.sweeps), "lm-given")
+    give = spark.read.schema(_ROW).parquet(give)
+    return (docs.mapInArrow(_texts, _ROW).unionByName(give).unionByName(model.replies)
+            .repartition("to").sortWithinPartitions("to", "kind", "frm")
             .mapInArrow(_score(_Scorer(model)), _SCORES))
 
 

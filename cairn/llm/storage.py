@@ -17,14 +17,14 @@ def _path(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> str:
+def write_table(df: DataFrame, name: str) -> str:
     """Write ``df`` once as Parquet under ``spark.checkpoint.dir`` and return the path.
 
     A later stage that loses an executor rereads the files instead of recomputing the lineage.
     The folder goes when the session's file system closes, or earlier by ``drop_table``."""
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path, partitionBy=partition_by)
+    df.write.parquet(path)
     p, fs = _path(spark, path)
     fs.deleteOnExit(p)
     return path
@@ -44,7 +44,9 @@ def drop_table(spark: SparkSession, *paths: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished stages: Spark's cleaner follows the collectors."""
+    """Let go of the shuffle files of finished stages: Spark's cleaner follows the collectors.  The
+    last execution stays referenced until another one, here an empty one, takes its place."""
+    spark.range(0).collect()
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

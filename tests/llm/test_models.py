@@ -134,11 +134,15 @@ def test_lm_columns_match_brute_force_on_edge_rows(clashing, empty):
 def test_lm_predicts_better_than_its_base_and_sums_to_one(spark):
     docs = lm_docs(spark.read.parquet(f"{SF001}/documents.parquet"))
     model = pitman_yor.fit(docs)
-    sums = model.words.agg(*[F.sum(F.col(f"p{i}").cast("double")) for i in (1, 2, 3)]).first()
-    assert all(abs(s - 1) < 1e-4 for s in sums)  # the start's row has the unknown word's share
-    # Every context's tables lie between its distinct followers' number and its customers.
-    bad = model.words.where("t3 < 0 or (c > 0 and t3 > c)")
-    assert bad.count() == 0
+    mass, words = np.zeros(3), 0
+    for row in model.words.collect():
+        hashes, c, t0, m1, t1, m2, t2, m3, t3 = pitman_yor.unpack(row.body)
+        mass += [m.sum(dtype=float) for m in (m1, m2, m3)]
+        words += int((c > 0).sum())
+        assert (t3 >= 0).all() and (t3 <= c)[c > 0].all()  # tables of a context, its customers
+    assert words == model.vocabulary
+    for m, (add, total) in zip(mass, model.bases):  # all words and the unknown one sum to 1
+        assert abs((m + (words + 1) * add) / total - 1) < 1e-4
     per = {r.held_out: r for r in pitman_yor.perplexity(pitman_yor.score_texts(docs, model))
            .collect()}
     assert per[True].perplexity < 0.6 * per[True].base_perplexity
