@@ -73,7 +73,7 @@ def superminhash(h: np.ndarray, bounds: np.ndarray, m: int = SLOTS) -> np.ndarra
 
 def band_keys(sig: np.ndarray, rows: int = BAND_ROWS) -> np.ndarray:
     """(sets, bands) 64-bit keys: equal keys mean equal signature values in the band."""
-    bits = sig.view(np.uint64).reshape(len(sig), -1, rows)
+    bits = sig.view(np.uint64).reshape(len(sig), sig.shape[1] // rows, rows)
     key = np.zeros(bits.shape[:2], np.uint64)
     for j in range(rows):
         key = mix(key ^ bits[:, :, j])
