@@ -134,6 +134,37 @@ def test_passages_are_found_wherever_they_stand(spark):
         assert cut[d] == left + text[d][at:]
 
 
+def removed_words(spark, docs, **settings):
+    """{doc_id: words of its removed spans, in order}"""
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    text, out = dict(docs), {}
+    for r in sorted(paragraph_dedup.repeated_spans(df, **settings).collect()):
+        assert len(text[r.doc_id][r.start:r.end].split()) == r.n_words
+        if r.removed:
+            out.setdefault(r.doc_id, []).extend(text[r.doc_id][r.start:r.end].split())
+    return out
+
+
+def test_passages_in_short_lines_are_found(spark):
+    words = PASSAGE.split()
+    verse = "\n".join(" ".join(words[i:i + 3]) for i in range(0, 55, 3))
+    code = "\n".join(words)
+    table, i = "", 0
+    for n in [7, 2, 5, 1, 9, 3, 6, 2, 8, 1, 7, 3, 1]:
+        table, i = table + " ".join(words[i:i + n]) + "\n", i + n
+    assert i == 55
+    for text in (verse, code, table):
+        assert removed_words(spark, [(1, text), (2, text)]) == {2: words}
+        assert removed_words(spark, [(1, "an end " + text), (2, "other words\n" + text + " x"),
+                                     (3, PASSAGE)]) == {2: words, 3: words}
+
+
+def test_short_near_equal_paragraphs_are_reported(spark):
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    docs = [(1, "some\n" + line), (2, "else here\n" + line + " fifteen\nend")]
+    assert removed_words(spark, docs) == {2: (line + " fifteen").split()}
+
+
 def test_edited_paragraphs_are_linked(spark):
     words = [f"word{i * 7 % 211}" for i in range(60)]
     edited = list(words)
