@@ -159,6 +159,53 @@ def test_passages_in_short_lines_are_found(spark):
                                      (3, PASSAGE)]) == {2: words, 3: words}
 
 
+def test_passages_are_covered_to_both_ends(spark):
+    rnd = random.Random(11)
+
+    def noise(n):
+        return " ".join(f"n{rnd.randrange(10 ** 6)}" for _ in range(n))
+
+    periodic = " ".join(["left right left step"] * 13)
+    for passage in (PASSAGE, periodic, " ".join(PASSAGE.split()[:16])):
+        docs = [(i, f"{noise(rnd.randrange(70))} {passage} {noise(rnd.randrange(70))}")
+                for i in range(1, 9)]
+        assert removed_words(spark, docs) == {i: passage.split() for i in range(2, 9)}
+
+
+def test_all_windows_that_repeat_are_covered(spark):
+    rnd = random.Random(12)
+    source = [f"s{i}" for i in range(120)]
+    docs = []
+    for d in range(40):
+        text = []
+        for _ in range(rnd.randrange(1, 6)):
+            a = rnd.randrange(120)
+            text += source[a:a + rnd.randrange(40)] if rnd.random() < .8 else source[:3] * 9
+            text += [f"n{rnd.randrange(10 ** 6)}" for _ in range(rnd.randrange(3))]
+        docs.append((d, "".join(w + rnd.choice([" ", " ", " ", "\n"]) for w in text)))
+    docs = [(d, t.rstrip()) for d, t in docs]
+    holders = {}
+    for d, t in docs:
+        w = t.split()
+        for i in range(len(w) - 15):
+            holders.setdefault(tuple(w[i:i + 16]), set()).add(d)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    spans = {}
+    for r in paragraph_dedup.repeated_spans(df).collect():
+        spans.setdefault(r.doc_id, []).append(r)
+    for d, t in docs:
+        w, gone, any_ = t.split(), set(), set()
+        for r in spans.get(d, []):
+            first = len(t[:r.start].split())
+            any_.update(range(first, first + r.n_words))
+            gone.update(range(first, first + r.n_words) if r.removed else ())
+        for i in range(len(w) - 15):
+            held = holders[tuple(w[i:i + 16])]
+            if len(held) > 1:
+                assert any_ >= set(range(i, i + 16))
+                assert min(held) == d or gone >= set(range(i, i + 16))
+
+
 def test_short_near_equal_paragraphs_are_reported(spark):
     line = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     docs = [(1, "some\n" + line), (2, "else here\n" + line + " fifteen\nend")]
