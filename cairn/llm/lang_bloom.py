@@ -8,10 +8,14 @@ prediction.
 
 N-grams are runs of four bytes of the text with A-Z lower-cased and white space and digits made
 one class, so a word's start and end count.  Which n-grams a language contains is decided by
-document frequency relative to its number of training documents: at least ``min_share`` of them,
-and at least ``min_ratio`` of the highest share in any language.  Both tests are shares, so the
-filter behaves alike at every corpus size, and its number of n-grams is bounded by the mean number
-of distinct n-grams of a document divided by ``min_share``, not by the corpus.
+their rates per n-gram occurrence, so documents of any length compare.  The rate of a language with
+few documents is shrunk towards the mean rate of all (a language weighs as many as it has documents),
+as if it had PRIOR_DOCS documents more of that kind: one long text, perhaps under a wrong label, neither claims its rare n-grams nor takes
+n-grams from others.  A language contains an n-gram if its shrunk rate gives at least ``min_share``
+occurrences in a text of mean length, and its own rate is at least ``min_ratio`` of the highest
+shrunk rate in any language.  Both tests are rates, so the filter behaves alike at every corpus
+size, and its number of n-grams per language is bounded by the mean number of n-grams of a document
+divided by ``min_share``, not by the corpus.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from cairn.llm.arrow_text import IS_SPACE, LOWER, chunks, mix
 
 MIN_SHARE, MIN_RATIO = 0.01, 0.3
+PRIOR_DOCS = 10
 CELLS_PER_GRAM, PROBES = 16, 3
 MAX_GRAMS = 1 << 22  # documented bound of the collected filter entries, 64 MB
 
@@ -64,8 +69,8 @@ def cells(gram: np.ndarray, n_cells: int, probes: int) -> list[np.ndarray]:
             for i in range(probes)]
 
 
-def _document_frequencies(batches):
-    """(lang, gram, docs): distinct grams per document, summed over a task's documents."""
+def _occurrences(batches):
+    """(lang, gram, n): occurrences of every gram in a task's documents."""
     held: dict[str, list[np.ndarray]] = {}
     size: dict[str, int] = {}
 
@@ -73,18 +78,19 @@ def _document_frequencies(batches):
         g = np.concatenate([p[0] for p in parts])
         c = np.concatenate([p[1] for p in parts])
         keys, inverse = np.unique(g, return_inverse=True)
-        return keys, np.bincount(inverse, weights=c).astype(np.uint32)
+        return keys, np.bincount(inverse, weights=c).astype(np.int64)
 
     for rows, data, offsets in chunks(batches):
         gram, doc = grams(data, offsets)
-        pair = np.unique((doc.astype(np.uint64) << np.uint64(32)) | gram)
         langs = rows.column("lang").to_pylist()
         names = sorted(set(langs))
-        code = np.array([names.index(x) for x in langs])
-        of = code[(pair >> np.uint64(32)).astype(np.int64)]
+        index = {x: i for i, x in enumerate(names)}
+        code = np.array([index[x] for x in langs], np.uint64)
+        pair, count = np.unique((code[doc] << np.uint64(32)) | gram, return_counts=True)
+        at = np.searchsorted(pair, np.arange(len(names) + 1, dtype=np.uint64) << np.uint64(32))
         for i, lang in enumerate(names):
-            keys, n = np.unique(pair[of == i].astype(np.uint32), return_counts=True)
-            held.setdefault(lang, []).append((keys, n.astype(np.uint32)))
+            keys, n = pair[at[i]:at[i + 1]].astype(np.uint32), count[at[i]:at[i + 1]]
+            held.setdefault(lang, []).append((keys, n))
             size[lang] = size.get(lang, 0) + len(keys)
             if size[lang] > _HELD + len(held[lang][0][0]):
                 held[lang] = [merged(held[lang])]
@@ -95,7 +101,22 @@ def _document_frequencies(batches):
             k = keys[lo:lo + 100_000]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(k)), pa.array(k.astype(np.int64)),
-                 pa.array(n[lo:lo + 100_000].astype(np.int64))], names=["lang", "gram", "docs"])
+                 pa.array(n[lo:lo + 100_000].astype(np.int64))], names=["lang", "gram", "n"])
+
+
+def _lengths(batches):
+    """(lang, docs, occ): documents and grams of every language of a chunk."""
+    for rows, data, offsets in chunks(batches):
+        _, doc = grams(data, offsets)
+        size = np.bincount(doc, minlength=len(offsets) - 1)
+        docs: dict[str, int] = {}
+        occ: dict[str, int] = {}
+        for lang, n in zip(rows.column("lang").to_pylist(), size.tolist()):
+            docs[lang] = docs.get(lang, 0) + 1
+            occ[lang] = occ.get(lang, 0) + n
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(docs), pa.string()), pa.array(list(docs.values()), pa.int64()),
+             pa.array(list(occ.values()), pa.int64())], names=["lang", "docs", "occ"])
 
 
 class LanguageFilter:
@@ -106,6 +127,7 @@ class LanguageFilter:
     def __init__(self, langs: list[str], totals: list[int], entries: list[np.ndarray],
                  probes: int = PROBES):
         self.langs, self.probes = langs, probes
+        self.totals = np.array(totals, np.int64)
         self.fallback = max(range(len(langs)), key=lambda i: (totals[i], -i)) if langs else -1
         total = max(1, sum(map(len, entries)))
         self.n_cells = 1 << max(6, int(total * CELLS_PER_GRAM - 1).bit_length())
@@ -134,26 +156,40 @@ class LanguageFilter:
             out[:, i] = np.maximum(0.0, (hits - q * n) / (1.0 - q)) if q < 1 else 0.0
         return out
 
+    def best(self, count: np.ndarray) -> np.ndarray:
+        """The language of each row of ``counts``: the highest, where counts less than one n-gram
+        apart are equal and go to the language with most training documents."""
+        near = (count > 0) & (count > count.max(axis=1, keepdims=True) - 1.0)
+        return np.where(near, self.totals, -1).argmax(axis=1)
+
 
 def train(docs: DataFrame, min_share: float = MIN_SHARE, min_ratio: float = MIN_RATIO,
           probes: int = PROBES) -> LanguageFilter:
     """Fit the filters on all rows of ``docs`` with a lang; a null text is an empty document."""
     labelled = docs.where("lang is not null").select("lang", "text")
-    totals = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n"))
-              .collect()}  # one row per language
-    freq = (labelled.mapInArrow(_document_frequencies, "lang string, gram bigint, docs bigint")
-            .groupBy("gram", "lang").agg(F.sum("docs").alias("docs")))
+    rows = (labelled.mapInArrow(_lengths, "lang string, docs bigint, occ bigint").groupBy("lang")
+            .agg(F.sum("docs").alias("docs"), F.sum("occ").alias("occ")).collect())  # one a language
+    totals, occ = {r["lang"]: r["docs"] for r in rows}, {r["lang"]: r["occ"] for r in rows}
+    freq = (labelled.mapInArrow(_occurrences, "lang string, gram bigint, n bigint")
+            .groupBy("gram", "lang").agg(F.sum("n").alias("n")))
     spark = docs.sparkSession
-    sizes = spark.createDataFrame(list(totals.items()) or [("", 1)], "lang string, total bigint")
-    share = (freq.join(F.broadcast(sizes), "lang")  # one row per language
-             .select("gram", "lang", (F.col("docs") / F.col("total")).alias("share"))
-             .where(F.col("share") >= min_share))
-    top = share.groupBy("gram").agg(F.max("share").alias("top"),
-                                    F.collect_list(F.struct("lang", "share")).alias("by"))
+    all_docs, all_occ = max(1, sum(totals.values())), max(1, sum(occ.values()))
+    sizes = spark.createDataFrame([(x, totals[x], occ[x]) for x in occ] or [("", 1, 1)],
+                                  "lang string, docs bigint, occ bigint")
+    by = (freq.join(F.broadcast(sizes), "lang")  # one row per language
+          .withColumn("rate", F.col("n") / F.col("occ")).groupBy("gram")
+          .agg((F.sum(F.col("docs") * F.col("rate")) / all_docs).alias("pooled"),
+               F.collect_list(F.struct("lang", "docs", "rate")).alias("by")))
+    shrunk = F.transform("by", lambda b: F.struct(
+        b["lang"].alias("lang"), b["rate"].alias("rate"),
+        ((b["docs"] * b["rate"] + PRIOR_DOCS * F.col("pooled")) / (b["docs"] + PRIOR_DOCS))
+        .alias("shrunk")))
+    top = by.select("gram", shrunk.alias("by")).withColumn("top", F.array_max(F.col("by.shrunk")))
     kept = (top.select("gram", "top", F.explode("by").alias("b"))
-            .where(F.col("b.share") >= min_ratio * F.col("top"))
+            .where((F.col("b.shrunk") * (all_occ / all_docs) >= min_share)
+                   & (F.col("b.rate") >= min_ratio * F.col("top")))
             .select(F.col("b.lang").alias("lang"), "gram"))
-    table = kept.toPandas()  # bounded by distinct n-grams per document / min_share
+    table = kept.toPandas()  # per language at most n-grams per document / min_share
     if len(table) > MAX_GRAMS:
         raise ValueError(f"{len(table)} filter entries; raise min_share")
     langs = sorted(totals)
@@ -172,8 +208,9 @@ def predict(docs: DataFrame, model: LanguageFilter, keep: tuple[str, ...] = ("do
 
     The score is the best language's part of all corrected counts.  A null text or one without a
     letter is ``und`` with score 0, as is every text if nothing was learned; a text whose n-grams
-    are in no filter gets the language with most training documents and score 0.  Equal counts go
-    to the first language by code point.  Rows that repeat an id each come back."""
+    are in no filter gets the language with most training documents and score 0, as do counts less
+    than one n-gram apart with their score; then the first language by code point.  Rows that repeat
+    an id each come back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_GRAMS
     text = docs["text"]
     rows = docs.select(*[docs[c] for c in keep], text.alias("__text"),
@@ -184,7 +221,7 @@ def predict(docs: DataFrame, model: LanguageFilter, keep: tuple[str, ...] = ("do
         for part, data, offsets in chunks(batches, "__text"):
             count = m.counts(data, offsets)
             total = count.sum(axis=1)
-            best = count.argmax(axis=1) if m.langs else np.zeros(len(count), int)
+            best = m.best(count) if m.langs else np.zeros(len(count), int)
             pred, score = [], []
             for ok, i, row, t in zip(part.column("__letter").to_pylist(), best, count, total):
                 if not ok or not m.langs:

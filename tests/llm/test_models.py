@@ -47,6 +47,29 @@ def test_many_languages_use_more_mask_words():
     assert all((model.masks[c, 1] >> np.uint64(5) & np.uint64(1)).all() for c in cell)
 
 
+def test_few_documents_and_long_ones_take_no_language_away(spark):
+    rnd = np.random.default_rng(9)
+
+    def vocabulary(letters):
+        return ["".join(rnd.choice(list(letters), rnd.integers(2, 9))) for _ in range(1500)]
+
+    def text(words, n):
+        return " ".join(words[int(1500 * u * u)] for u in rnd.random(n))
+
+    big, other = vocabulary("abcdefgh"), vocabulary("defghijk")
+    rows = [("big", text(big, 60)) for _ in range(400)] + [("wrong", text(big, 20_000))]
+    rows += [("long", text(other, 3000)) for _ in range(40)]
+    rows += [("one", text(vocabulary("mnopqrs"), 300))]
+    model = lang_bloom.train(spark.createDataFrame(rows, "lang string, text string"))
+    new = ([("big", text(big, 40)) for _ in range(100)]
+           + [("long", text(other, 40)) for _ in range(100)] + rows[-1:])
+    df = spark.createDataFrame(new, "lang string, text string")
+    found = lang_bloom.predict(df, model, ("lang",)).collect()
+    wrong = collections.Counter((r.lang, r.lang_pred) for r in found if r.lang != r.lang_pred)
+    assert sum(wrong.values()) <= 20, wrong
+    assert [r.lang_pred for r in found if r.lang == "one"] == ["one"]
+
+
 def test_language_edge_rows(clashing, empty):
     model = lang_bloom.train(clashing)
     rows = lang_bloom.predict(clashing, model).collect()
