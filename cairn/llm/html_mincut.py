@@ -47,6 +47,8 @@ _TOKEN = re.compile(
     r"|([^<]+|<)", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
+# Words after these in a name tell what the element has or lacks, not what it is.
+MODIFIERS = frozenset("has have with without no not hide".split())
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 
 
@@ -70,16 +72,48 @@ class Block:
     parent: int
     body: bool
     furniture: bool
+    why: set = field(default_factory=set)   # elements around it that a class word calls furniture
     parts: list = field(default_factory=list)
     linked: int = 0
     text: str = ""
 
 
+def _names(attributes: str) -> set[str]:
+    """The words of the class, id and role attributes, without what stands after a modifier."""
+    out: set[str] = set()
+    for a, b, c in _NAMES.findall(attributes):
+        for name in (a or b or c).lower().split():
+            for word in _WORD.findall(name):
+                if word in MODIFIERS:
+                    break
+                out.add(word)
+    return out
+
+
+def _wrappers(blocks: list[Block], around: set[int], any_body: bool) -> set[int]:
+    """Elements whose class words do not count: they hold the main part of the page.
+
+    Those are elements around an article or main (``around``) with half of the text in such
+    elements or, on a page without any, elements with three quarters of its text."""
+    held: dict[int, int] = {}
+    total = 0
+    for b in blocks:
+        if not b.furniture and (b.body or not any_body):
+            total += len(b.text)
+            for e in b.why:
+                held[e] = held.get(e, 0) + len(b.text)
+    if any_body:
+        return {e for e, n in held.items() if e in around and 2 * n >= total}
+    return {e for e, n in held.items() if 4 * n >= 3 * total}
+
+
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order; unclosed elements end with the element around them."""
     out: list[Block] = []
-    # Open elements: (name, number, in body, in furniture, hidden, in link)
-    stack = [("", 0, False, False, False, False)]
+    # Open elements: (name, number, in body, in furniture, hidden, in link, elements around it that
+    # a class word calls furniture)
+    stack = [("", 0, False, False, False, False, ())]
+    around, any_body = set(), False
     number, block, at, size = 0, None, 0, len(page)
 
     def close_to(i):
@@ -101,11 +135,12 @@ def blocks_of(page: str) -> list[Block]:
                     continue
                 home = next(e for e in reversed(stack) if e[0] not in INLINE)
                 parent = stack[stack.index(home) - 1][1] if len(stack) > 1 else 0
-                block = Block(parent, home[2], home[3])
+                block = Block(parent, home[2], home[3], set(home[6]))
                 out.append(block)
             run = html_lib.unescape(run) if "&" in run else run
             block.parts.append(run)
             block.furniture |= top[3]
+            block.why.update(top[6])
             if top[5]:
                 block.linked += len(run.strip())
             continue
@@ -141,11 +176,8 @@ def blocks_of(page: str) -> list[Block]:
                 if stack[i][0] not in INLINE:
                     break
         top = stack[-1]
-        body, furniture, hidden, link = top[2], top[3], top[4], top[5]
-        names: set[str] = set()
-        if m[3] and "=" in m[3]:
-            for a, b, c in _NAMES.findall(m[3]):
-                names.update(_WORD.findall((a or b or c).lower()))
+        body, furniture, hidden, link, why = top[2:]
+        names = _names(m[3]) if m[3] and "=" in m[3] else set()
         if name in BODY or (name not in INLINE and names & BODY_WORDS and name != "body"
                             and not names & FURNITURE_WORDS):
             body = True
@@ -153,15 +185,24 @@ def blocks_of(page: str) -> list[Block]:
             furniture = True
         elif names & FURNITURE_WORDS and name not in ("html", "body") and not (
                 top[2] and name in ("header", "h1", "h2")):
-            furniture = True
+            why += (number + 1,)
+            if name in BODY:
+                around.add(number + 1)
+        elif name in BODY:
+            around.update(why)
+        any_body |= name in BODY
         hidden = hidden or name in HIDDEN
         number += 1
-        stack.append((name, number, body, furniture, hidden, link or name == "a"))
+        stack.append((name, number, body, furniture, hidden, link or name == "a", why))
     kept = []
     for b in out:
         b.text = " ".join("".join(b.parts).split())
         if b.text:
             kept.append(b)
+    if any(b.why for b in kept):
+        wrappers = _wrappers(kept, around, any_body)
+        for b in kept:
+            b.furniture |= not b.why <= wrappers
     return kept
 
 

@@ -107,6 +107,37 @@ def test_page_furniture_is_left_out():
         "Second <paragraph> without an end tag", "Third paragraph, the last one of the article."]
 
 
+@pytest.mark.parametrize("before, after", [
+    ('<div class="layout with-sidebar"><article>', "</article></div>"),
+    ('<div class="content has-header"><p>', "</div>"), ('<div class="post no-ads"><p>', "</div>"),
+    ('<article class="post has-comments">', "</article>"),
+    ('<div class="layout sidebar-left"><article>', "</article></div>"),
+    ('<div id="banner-page"><div class="search-open"><main>', "</main></div></div>"),
+    ('<article class="post comments-open">', "</article>"),
+    ('<div class="header-fixed"><p>', "</div>")])
+def test_wrappers_with_furniture_words_keep_their_article(before, after):
+    first = "The first paragraph of this article is long enough to be one, and it ends here. " * 2
+    first = first.strip()
+    second = "The second paragraph goes on about the same, for some more words, and is the last. " * 2
+    second = second.strip()
+    page = (f'<body><nav><a href="/">Home</a></nav>{before}<p>{first}</p>'
+            f'<div class="ad">Buy this product today, it is the best you can get.</div>'
+            f'<p>{second}</p>{after}<div class="related"><article><p>Another story, read it now.'
+            f'</p></article></div><footer>Somebody</footer></body>')
+    if "article" not in before and "main" not in before:
+        page = page.replace('<div class="related"><article><p>Another story, read it now.'
+                            '</p></article></div>', "")
+    assert html_mincut.main_text(page).split("\n\n") == [first, second]
+
+
+def test_comments_stay_out_even_if_they_are_long():
+    long_ = "What a good article this was, thank you for writing it up, I will come again. " * 9
+    page = ("<article><p>A short article, of one paragraph with some words in it.</p>"
+            f'<section id="comments"><article class="comment"><p>{long_}</p></article>'
+            f"<p>{long_}</p></section></article>")
+    assert html_mincut.main_text(page) == "A short article, of one paragraph with some words in it."
+
+
 def test_pages_without_an_article_and_broken_markup():
     long_ = "This paragraph has many words, commas too, and is the content of a page. " * 2
     page = f"<body><p><a href=1>Home</a> <a href=2>News</a></p><p>{long_}</p><p>{long_}"
