@@ -25,10 +25,13 @@ from cairn.llm.arrow_text import chunks
 # HTML's element kinds.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-HIDDEN = frozenset("head noscript template svg math object canvas audio video".split())
+HIDDEN = frozenset("head noscript template svg canvas audio video annotation annotation-xml".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt "
-    "ruby s samp small span strike strong sub sup time tt u var wbr br".split())
+    "ruby s samp small span strike strong sub sup time tt u var wbr br "
+    "embed object param source track math semantics maction menclose merror "
+    "mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle "
+    "msub msubsup msup mtable mtd mtext mtr munder munderover none mprescripts".split())
 FURNITURE = frozenset("nav footer aside form button select option dialog menu".split())
 BODY = frozenset(("article", "main"))
 # Words of class, id and role attributes that name page furniture.
@@ -118,7 +121,7 @@ def blocks_of(page: str) -> list[Block]:
 
     def close_to(i):
         nonlocal block
-        if any(e[0] not in INLINE for e in stack[i:]):
+        if any(e[0] not in INLINE and not e[4] for e in stack[i:]):
             block = None
         del stack[i:]
 
@@ -153,20 +156,20 @@ def blocks_of(page: str) -> list[Block]:
                     close_to(i)
                     break
             else:
-                if name not in INLINE:
+                if name not in INLINE and not stack[-1][4]:
                     block = None
             continue
         if name in VOID:
-            if name == "br" and block is not None:
+            if name == "br" and block is not None and not stack[-1][4]:
                 block.parts.append(" ")
-            elif name not in INLINE:
+            elif name not in INLINE and not stack[-1][4]:
                 block = None
             continue
         if name in RAW:
             end = _RAW_END[name].search(page, at)
             at = size if end is None else page.find(">", end.end()) + 1 or size
             continue
-        if name not in INLINE:
+        if name not in INLINE and name not in HIDDEN and not stack[-1][4]:
             block = None
             for i in range(len(stack) - 1, 0, -1):  # an open p ends here; li ends li, and so on
                 if stack[i][0] == "p" or (stack[i][0] == name and name in ("li", "dt", "dd", "tr",

@@ -130,6 +130,16 @@ def test_wrappers_with_furniture_words_keep_their_article(before, after):
     assert html_mincut.main_text(page).split("\n\n") == [first, second]
 
 
+def test_formulas_and_hidden_elements_leave_their_paragraph_whole():
+    page = ("<article><p>The sum <math><semantics><mrow><mi>x</mi><mo>+</mo><mn>1</mn></mrow>"
+            "<annotation>x + 1</annotation></semantics></math> is shown<svg><g><path d='M0'/>"
+            "<text>no</text></g></svg> in <object data=f><param name=a>the fallback</object> and"
+            "<video><source src=v><p>no</p></video> it <canvas><br>no</canvas>ends<noscript><p>no"
+            "</p></noscript> here.</p><p>The next paragraph.</p></article>")
+    assert html_mincut.main_text(page).split("\n\n") == [
+        "The sum x+1 is shown in the fallback and it ends here.", "The next paragraph."]
+
+
 def test_comments_stay_out_even_if_they_are_long():
     long_ = "What a good article this was, thank you for writing it up, I will come again. " * 9
     page = ("<article><p>A short article, of one paragraph with some words in it.</p>"
