@@ -6,8 +6,9 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cairn.llm import (exact_dedup, html_mincut, lang_bloom, mixing, paragraph_dedup, piece_sampling,
-                       pitman_yor, secret_scan, superminhash, topk_nra)
+from cairn.llm import (exact_dedup, html_mincut, lang_bloom, mixing, orchard, paragraph_dedup,
+                       piece_sampling, pitman_yor, secret_scan, spelling, superminhash, topk_nra,
+                       url_rules)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +82,37 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+# Fixed values of the two queries below: centroids, rounds and url rules (host, path, verdict).
+CENTROIDS, CENTROID_ROUNDS, CENTROID_DIM = 40, 5, 64
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.sha2(F.concat(F.lit("2:"), F.coalesce(F.col("vec_id").cast("string"), F.lit("null"))),
+                 256)
+    found = orchard.cluster(table(spark, sf_dir, "embeddings"), key, CENTROIDS, CENTROID_ROUNDS,
+                            CENTROID_DIM)
+    text = F.array_join(F.col("centroid").cast("array<string>"), ",")
+    return found.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia",
+                        "inertia", F.sha2(text, 256).alias("centroid_sha256"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_rules.judge_urls(pages, url_rules.rule_frame(spark, URL_RULES))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_html_main_text": op2_html_main_text,
@@ -92,8 +124,103 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_passage_dedup": op9_passage_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_url_filter": op12_url_filter,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
+def _orchard_sql() -> str:
+    """Assign and move as plain minimum over all centroids, the rounds written out one by one."""
+    steps = []
+    for r in range(CENTROID_ROUNDS + 1):
+        steps.append(f"""
+             a{r} AS (SELECT rid, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+                          SELECT v.rid, m.c, list_sum(list_transform(list_zip(v.x, m.x),
+                                 lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+                          FROM v, m{r} m) GROUP BY rid)""")
+        if r < CENTROID_ROUNDS:
+            steps.append(f"""
+             t{r} AS (SELECT c, pos, sum(e)::HUGEINT AS s, count(*)::HUGEINT AS n FROM (
+                          SELECT a.c, unnest(v.x) AS e, unnest(range({CENTROID_DIM})) AS pos
+                          FROM a{r} a JOIN v USING (rid)) GROUP BY c, pos),
+             n{r} AS (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY pos) AS x
+                      FROM t{r} GROUP BY c),
+             m{r + 1} AS (SELECT m.c, coalesce(n.x, m.x) AS x FROM m{r} m LEFT JOIN n{r} n USING (c))""")
+    last = CENTROID_ROUNDS
+    return f"""
+        WITH v AS (SELECT row_number() OVER () AS rid, vec_id, embedding,
+                          list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x
+                   FROM embeddings WHERE len(embedding) = {CENTROID_DIM}
+                   AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+             m0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, 'null')),
+                                              embedding) - 1 AS c, x
+                    FROM v ORDER BY c LIMIT {CENTROIDS}),{",".join(steps)}
+        SELECT v.vec_id, a.c::INTEGER AS cluster, a.d AS distance,
+               sum(a.d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+               sum(a.d) OVER ()::BIGINT AS inertia,
+               sha256(array_to_string(m.x, ',')) AS centroid_sha256
+        FROM a{last} a JOIN v USING (rid) JOIN m{last} m ON m.c = a.c"""
+
+
+def _url_sql() -> str:
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+    return f"""
+        WITH r(rhost, rpath, rverdict) AS (VALUES {rules}),
+             u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0
+                          THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+             h AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS host, rest FROM u),
+             p AS (SELECT row_number() OVER () AS rid, page_id,
+                          translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+                              AS host,
+                          regexp_extract(substr(rest, length(host) + 1), '^[^?#]*') AS path FROM h),
+             b AS (SELECT rid, rhost || rpath AS rule, rverdict FROM p JOIN r
+                   ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+                   QUALIFY row_number() OVER (PARTITION BY rid
+                                              ORDER BY length(rhost || rpath) DESC, rule) = 1)
+        SELECT page_id, host, path, rule, coalesce(rverdict, '{url_rules.DEFAULT_VERDICT}') AS verdict
+        FROM p LEFT JOIN b USING (rid)"""
+
+
+_SPELLING_SQL = f"""
+        WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+                 lambda s, i: CASE WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END, n))
+                 AS crc),
+             r AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS w
+                   FROM documents),
+             o AS (SELECT coalesce(doc_id::VARCHAR, 'null') AS id, count(*) AS k,
+                          translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w
+                   FROM r GROUP BY ALL),
+             h AS (SELECT w, k, xor(list_reduce(list_transform(flatten(list_transform(
+                              string_split(id || ':' || w, ''), lambda c: CASE WHEN ord(c) < 128
+                              THEN [ord(c)] ELSE [195, ord(c) - 64] END)), lambda b: b::BIGINT),
+                          lambda s, b: xor(s // 256, t.crc[1 + xor(s % 256, b)]), 4294967295),
+                          4294967295) AS h
+                   FROM o, t WHERE length(w) >= {spelling.MIN_LENGTH}),
+             x AS (SELECT k, CASE WHEN h % {spelling.MISSPELT_OF} = 0 THEN
+                          substr(w, 1, (h % length(w))::INTEGER)
+                          || substr(w, (h % length(w))::INTEGER + 2) ELSE w END AS word FROM h),
+             w AS (SELECT word, sum(k)::BIGINT AS n FROM x WHERE length(word) >= {spelling.MIN_LENGTH}
+                   GROUP BY word HAVING sum(k) >= {spelling.MIN_COUNT}),
+             d AS (SELECT word, n, i, substr(word, 1, i::INTEGER) || substr(word, i::INTEGER + 2)
+                          AS rest
+                   FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+             p AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n
+                   FROM d a JOIN d b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+                   UNION SELECT d.word, d.n, w.word, w.n FROM d JOIN w ON d.rest = w.word
+                   UNION SELECT w.word, w.n, d.word, d.n FROM d JOIN w ON d.rest = w.word),
+             b AS (SELECT word, n, count(*) AS n_near, arg_min(near, (-near_n, near)) AS near,
+                          max(near_n) AS near_n FROM p GROUP BY word, n),
+             f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+                          CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+                          CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+                   FROM w LEFT JOIN b USING (word)),
+             c AS (SELECT word, word AS at FROM f
+                   UNION ALL SELECT c.word, f.form FROM c JOIN f ON c.at = f.word
+                   WHERE f.form IS NOT NULL),
+             e AS (SELECT c.word, c.at AS root FROM c JOIN f ON c.at = f.word WHERE f.form IS NULL)
+        SELECT word, form, root, n, n_near, form_n FROM f JOIN e USING (word)"""
+
+
 ORACLE_SQL = {
     "op1_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(
@@ -138,4 +265,7 @@ ORACLE_SQL = {
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id
                                                 ORDER BY score DESC, vec_id)::INTEGER AS rank FROM p)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_centroid_clustering": _orchard_sql(),
+    "op12_url_filter": _url_sql(),
+    "op13_spelling_variants": _SPELLING_SQL,
 }
