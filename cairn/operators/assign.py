@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from cairn.functions.vectors import checked_vector, euclidean
 from cairn.operators import kernels
@@ -37,7 +37,7 @@ STATS_SCHEMA = "part int, cid int, pos int, val double"
 RACE_SCHEMA = "part int, key double, id bigint, v array<double>"
 ROWS_SCHEMA = "id bigint, part int, cid int, d double, w bigint"
 PAIRS_SCHEMA = "id bigint, cid int, d double"
-OBJECTIVE_SCHEMA = "n bigint, sum_d double, sum_wd double"
+OBJECTIVE_SCHEMA = "n bigint, sum_w bigint, sum_d double, sum_wd double"
 
 
 def max_centre_bytes(spark: SparkSession) -> int:
@@ -261,6 +261,25 @@ def kmedian_objective(points: DataFrame, centres_df: DataFrame | Centres) -> Dat
                     F.try_divide(F.sum("sum_d"), F.sum("n")).alias("objective"))
 
 
+def observed_objective(points: DataFrame, centres: Centres) -> tuple[int, int, float | None]:
+    """``(n, total weight, objective)`` of one pass over the points, taken as observed metrics: the
+    tasks' partial sums ride on their results, so there is no aggregate after the pass.  The pass
+    is a single stage, whose tasks each count once however often they are tried."""
+    held: list = []
+    partial = apply_kernel(points, centres, lambda b: objective_kernel(b, False), OBJECTIVE_SCHEMA,
+                           use_part=False, broadcasts=held)
+    seen = Observation()
+    try:
+        (partial.observe(seen, F.sum("n").alias("n"), F.sum("sum_w").alias("w"),
+                         F.sum("sum_d").alias("d"))
+         .write.format("noop").mode("overwrite").save())
+    finally:
+        release(held)
+    got = seen.get
+    n = int(got["n"] or 0)
+    return n, int(got["w"] or 0), got["d"] / n if n else None
+
+
 def weighted_distance_total(points: DataFrame, centres_df: DataFrame) -> DataFrame:
     """``(total)``: sum of w * closest distance, the normaliser of a weighted draw (AGG17)."""
     c = centres_of(centres_df)

@@ -263,11 +263,11 @@ def pairs_kernel(bcs):
 
 
 def objective_kernel(bcs, use_part: bool = False):
-    """Per batch: number of points, sum of closest distances and of w * distance."""
+    """Per task: number of points, their weight, sum of closest distances and of w * distance."""
 
     def run(batches):
         table = pieces(bcs)
-        n, sd, swd = 0, 0.0, 0.0
+        n, sw, sd, swd = 0, 0, 0.0, 0.0
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -276,11 +276,53 @@ def objective_kernel(bcs, use_part: bool = False):
             w = weights(batch)
             d, _ = nearest(X, parts, table)
             n += batch.num_rows
+            sw += pc.sum(batch.column("w")).as_py()
             sd += float(d.sum())
             swd += float((w * d).sum())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([n], pa.int64()), pa.array([sd]), pa.array([swd])],
-            names=["n", "sum_d", "sum_wd"])
+            [pa.array([n], pa.int64()), pa.array([sw], pa.int64()), pa.array([sd]),
+             pa.array([swd])], names=["n", "sum_w", "sum_d", "sum_wd"])
+
+    return run
+
+
+def whole_table_kernel(k: int, iters: int):
+    """Seeding and Lloyd steps of one whole weighted table of bounded size, inside one task.
+
+    Batch columns ``id, v, w, u`` with ``u`` the uniforms of rounds 0 .. k-1.  The draws and
+    steps are those of the passes over a distributed table: the first centre races on
+    ``-ln(u)``, later ones on ``-ln(u) / (w * d)`` over the running minimum ``d``, ties by id;
+    a step moves every centre to the weighted mean of its points and drops empty clusters.
+    Output rows: ``(cid, v)``."""
+
+    def run(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        X = np.vstack([vector_matrix(b.column("v")) for b in held])
+        ids = np.concatenate([b.column("id").to_numpy(zero_copy_only=False) for b in held])
+        w = np.concatenate([weights(b) for b in held])
+        e = -np.log(np.vstack([vector_matrix(b.column("u")) for b in held]))
+        zero = np.zeros(len(ids), dtype=np.int64)
+        M = np.empty((0, X.shape[1]))
+        d = np.full(len(ids), np.inf)
+        for i in range(k):
+            if i == 0:
+                rows, key = np.arange(len(ids)), e[:, 0]
+            else:
+                d = np.minimum(d, nearest(X, zero, [{0: (np.zeros(1, np.int32), M[-1:])}])[0])
+                wd = w * d
+                rows = np.flatnonzero((wd > 0) & np.isfinite(wd))
+                key = e[rows, i] / wd[rows]
+            if len(rows) == 0:
+                break
+            M = np.vstack((M, X[rows[np.lexsort((ids[rows], key))[0]]]))
+        for _ in range(iters):
+            near, cid = nearest(X, zero, [{0: (np.arange(len(M), dtype=np.int32), M)}])
+            _, _, _, sw, _, swv = _group_sums(zero, cid, w, near, X)
+            M = swv[sw > 0] / sw[sw > 0][:, None]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(M), dtype=np.int32)), list_array(M)], names=["cid", "v"])
 
     return run
 
@@ -297,7 +339,7 @@ def lookahead_kernel(bcs, rounds: int, keep: int):
 
     def run(batches):
         table = pieces(bcs)
-        best = None  # [part, t, lb, id, e, w, d, X] of the kept rows
+        best = limit = None  # [part, t, lb, id, e, w, d, X] of the kept rows; their bounds
         for batch in batches:
             if batch.num_rows == 0:
                 continue
@@ -313,10 +355,15 @@ def lookahead_kernel(bcs, rounds: int, keep: int):
             p, i, wdo = parts[rows], ids[rows], wd[rows]
             picked = []
             for t in range(rounds):  # select on the small key arrays, gather vectors once
-                e = -np.log(batch.column(f"u{t}").to_numpy(zero_copy_only=False)[rows])
-                lb = e / wdo
-                sel = _smallest_per_group(p, lb, i, keep)
-                picked.append((np.full(len(sel), t), lb[sel], e[sel], rows[sel]))
+                u = batch.column(f"u{t}").to_numpy(zero_copy_only=False)[rows]
+                if best is None:
+                    near = np.arange(len(rows))
+                else:  # -ln(u) >= 1 - u: most rows cannot pass the kept bounds, without a logarithm
+                    near = np.flatnonzero(1.0 - u <= limit[p, t] * wdo * (1 + 1e-9))
+                e = -np.log(u[near])
+                lb = e / wdo[near]
+                sel = _smallest_per_group(p[near], lb, i[near], keep)
+                picked.append((np.full(len(sel), t), lb[sel], e[sel], rows[near[sel]]))
             r = np.concatenate([x[3] for x in picked])
             new = [parts[r], np.concatenate([x[0] for x in picked]),
                    np.concatenate([x[1] for x in picked]), ids[r],
@@ -326,6 +373,7 @@ def lookahead_kernel(bcs, rounds: int, keep: int):
             group = new[0].astype(np.int64) * rounds + new[1]
             sel = _smallest_per_group(group, new[2], new[3], keep)
             best = [a[sel] for a in new]
+            limit = _kept_limits(best, rounds, keep)
         if best is not None:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(best[0].astype(np.int32)), pa.array(best[1].astype(np.int32)),
@@ -336,6 +384,32 @@ def lookahead_kernel(bcs, rounds: int, keep: int):
     return run
 
 
+def _kept_limits(best: list, rounds: int, keep: int) -> "_Limits":
+    """The largest kept bound of every full (part, t) group."""
+    group = best[0].astype(np.int64) * rounds + best[1]
+    starts = np.flatnonzero(np.concatenate(([True], np.diff(group) != 0)))
+    sizes = np.diff(np.concatenate((starts, [len(group)])))
+    full = sizes >= keep
+    return _Limits(group[starts[full]], np.maximum.reduceat(best[2], starts)[full], rounds)
+
+
+class _Limits:
+    """Bounds by (part, t), infinite where a group is not full."""
+
+    def __init__(self, groups: np.ndarray, bounds: np.ndarray, rounds: int):
+        self.groups, self.bounds, self.rounds = groups, bounds, rounds
+
+    def __getitem__(self, at) -> np.ndarray:
+        part, t = at
+        out = np.full(len(part), np.inf)
+        if len(self.groups):
+            group = part * self.rounds + t
+            j = np.minimum(np.searchsorted(self.groups, group), len(self.groups) - 1)
+            held = self.groups[j] == group
+            out[held] = self.bounds[j[held]]
+        return out
+
+
 def _smallest_per_group(group: np.ndarray, key: np.ndarray, ids: np.ndarray,
                         keep: int) -> np.ndarray:
     """Indices of the ``keep`` rows with the smallest ``(key, id)`` in each group."""

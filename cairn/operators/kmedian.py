@@ -27,13 +27,15 @@ import uuid
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cairn.functions.random import hashed_bucket, hashed_uniform, race_key
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
-                                    kmedian_objective, release)
-from cairn.operators.kernels import lookahead_kernel, nearest, race_kernel, vector_matrix
+                                    observed_objective, release)
+from cairn.operators.kernels import (list_array, lookahead_kernel, nearest, race_kernel,
+                                     vector_matrix, whole_table_kernel)
 from cairn.session import delete_folder, tag_dir
 
 
@@ -178,12 +180,13 @@ def _seed_lookahead(pts: DataFrame, src: DataFrame, k: int, seed: int, tag: str,
     best = _first_draw(src, seed, tag)
     rows = {r.part: [(0, r.v)] for r in best}
     chosen = [(r.part, 0, r.id) for r in best]
-    keep, rounds = candidates + 1, lookahead + 1
+    keep = candidates + 1
     todo = sorted(rows) if k > 1 else []
     spark = pts.sparkSession
     passes = 1
     while todo:
         passes += 1
+        rounds = min(lookahead + 1, k - min(len(rows[p]) for p in todo))  # no further than k
         table = Centres.from_rows((p, i, v) for p in todo for i, v in rows[p])
         at = spark.createDataFrame([(p, len(rows[p])) for p in todo], "part int, rnd int")
         src_at = src.join(F.broadcast(at), "part")  # one row per part
@@ -311,6 +314,7 @@ class KMedianResult:
     k: int
     parts: int
     iters: int
+    weight: int = 0          # total weight of the points, equal to the coreset's
 
     def summary(self, spark: SparkSession) -> DataFrame:
         """One row ``(n, k, parts, iter, objective)`` (SNK2)."""
@@ -340,18 +344,37 @@ def coreset(pts: DataFrame, k: int, iters: int, seed: int,
 
 def coreset_frame(spark: SparkSession, rows: list, k: int) -> DataFrame:
     """The coreset as weighted points: ``id = part * k + cid`` is unique and reproducible."""
-    data = [(int(p) * k + int(c), [float(x) for x in v], int(w), int(p), int(c))
-            for p, c, v, w in rows]
-    return spark.createDataFrame(data, "id bigint, v array<double>, w bigint, part int, cid int")
+    part, cid, v, w = zip(*rows) if rows else ((), (), (), ())
+    part, cid = np.array(part, dtype=np.int64), np.array(cid, dtype=np.int64)
+    table = pa.table({"id": pa.array(part * k + cid, pa.int64()),
+                      "v": list_array(np.array(v, dtype=np.float64)),
+                      "w": pa.array(w, pa.int64()), "part": pa.array(part, pa.int32()),
+                      "cid": pa.array(cid, pa.int32())})
+    return spark.createDataFrame(table)
 
 
-def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int) -> Centres:
-    """Round 2 (KM5): cluster the <= k*L weighted coreset centres into k (tags ``m<i>``), as
-    Spark jobs like every other round."""
+# Largest coreset (vectors and uniforms, 8 bytes each) that one task clusters as a whole.
+WHOLE_TABLE_BYTES = 64 << 20
+
+
+def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int,
+                  whole_bytes: int = WHOLE_TABLE_BYTES) -> Centres:
+    """Round 2 (KM5): cluster the <= k*L weighted coreset centres into k (tags ``m<i>``).
+
+    The table's size is set by the parameters.  Up to ``whole_bytes`` all seeding rounds and
+    Lloyd steps run inside one task of one job; a larger one goes through the same passes as a
+    table of points.  Draws and steps are the same either way."""
     if not rows:
         return Centres({})
+    check_params(k, 1, iters)
     cs = coreset_frame(spark, rows, k).select("id", "v", "w")
-    return weighted_kmedian(cs, k, iters, seed, tag="m")
+    if len(rows) * (len(rows[0][2]) + k) * 8 > whole_bytes:
+        return weighted_kmedian(cs, k, iters, seed, tag="m")
+    u = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: hashed_uniform(
+        seed, F.concat(F.lit("m"), i.cast("string")), F.col("id")))
+    got = (cs.withColumn("u", u).coalesce(1)
+           .mapInArrow(whole_table_kernel(k, iters), "cid int, v array<double>").collect())
+    return Centres.from_rows((0, r.cid, r.v) for r in got)
 
 
 def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
@@ -363,7 +386,10 @@ def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int
     ``persist`` chooses how the prepared points are kept for their passes
     (``True``/``'memory'``, ``'checkpoint'`` into the shared checkpoint dir, or
     ``False``/``'none'`` to re-read the source each pass); ``lookahead`` and
-    ``candidates`` tune the seeding passes of round 1 (``lookahead=0``: one per round)."""
+    ``candidates`` tune the seeding passes of round 1 (``lookahead=0``: one per round).
+
+    Number and weight of the points are metrics of round 3's pass; the coreset's weight must
+    equal the points' (C19), or the input changed between the passes."""
     check_params(k, parts, iters)
     spark = points.sparkSession
     pts = prepare_points(points, parts, seed, persist, min_partitions)
@@ -373,14 +399,17 @@ def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int
         t1 = time.perf_counter()
         centres = coreset_merge(spark, rows, k, iters, seed)
         t2 = time.perf_counter()
-        res = kmedian_objective(pts, centres).collect()[0]
+        n, weight, objective = observed_objective(pts, centres)
         t3 = time.perf_counter()
     finally:
         drop_points(pts)
-    return KMedianResult(centres, rows, int(res.n or 0),
-                         float(res.objective) if res.objective is not None else None,
+    # sums of weights are exact in the kernels up to 2**53
+    if weight < 1 << 53 and weight != sum(w for _, _, _, w in rows):
+        raise RuntimeError("the coreset's weight differs from the points': the input changed "
+                           "between two passes")
+    return KMedianResult(centres, rows, n, objective,
                          {"round1": t1 - t0, "round2": t2 - t1, "round3": t3 - t2},
-                         k, parts, iters)
+                         k, parts, iters, weight)
 
 
 def centres_long(spark: SparkSession, centres: Centres, with_part: bool = False) -> DataFrame:

@@ -75,8 +75,8 @@ def sequential_kmedian_report(points: DataFrame, k: int = 25, iters: int = 3,
     pts = kmedian.prepare_points(points, 1, seed)
     try:
         centres = kmedian.weighted_kmedian(pts, k, iters, seed, prepared=True)
-        o = assign.kmedian_objective(pts, centres).collect()[0]
+        n, _, objective = assign.observed_objective(pts, centres)
     finally:
         kmedian.drop_points(pts)
     return points.sparkSession.createDataFrame(
-        [(o.n, k, iters, o.objective)], "n bigint, k int, iter int, objective double")
+        [(n, k, iters, objective)], "n bigint, k int, iter int, objective double")

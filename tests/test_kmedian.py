@@ -339,3 +339,57 @@ def test_lookahead_pass_ships_a_bounded_candidate_table(spark, monkeypatch):
     finally:
         pts.unpersist()
     assert sizes and all(n <= 3 * 4 * 3 for n in sizes)
+
+
+def coreset_rows(n=40, dim=3, parts=4, seed=5):
+    rng = np.random.default_rng(seed)
+    return [(i % parts, i // parts, [float(x) for x in rng.normal(size=dim)], int(rng.integers(1, 9)))
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("k,iters", [(1, 0), (5, 2), (12, 3), (60, 1)])
+def test_merge_in_one_task_draws_and_moves_like_the_passes(spark, k, iters):
+    rows = coreset_rows()
+    rows[7] = (*rows[7][:2], rows[3][2], rows[7][3])  # two equal centres
+    whole = kmedian.coreset_merge(spark, rows, 60, iters, 9) if k == 60 else \
+        kmedian.coreset_merge(spark, rows, k, iters, 9)
+    passes = kmedian.coreset_merge(spark, rows, k, iters, 9, whole_bytes=0)
+    assert whole.size == passes.size == min(k, 39)
+    for (p, c, v), (q, d, u) in zip(whole.rows(), passes.rows()):
+        assert (p, c) == (q, d) and v == pytest.approx(u, rel=1e-12)
+
+
+def test_merge_is_one_job(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("merge", "round 2")
+    try:
+        kmedian.coreset_merge(spark, coreset_rows(), 5, 2, 9)
+        jobs = sc.statusTracker().getJobIdsForGroup("merge")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1
+
+
+def test_round_three_is_one_stage_and_counts_the_points(spark):
+    sc = spark.sparkContext
+    pts = points_df(spark, np.random.default_rng(1).normal(size=(300, 2)), [1 + i % 3 for i in range(300)])
+    res = kmedian.coreset_kmedian(pts, 4, 3, 1, 7, persist=False)
+    assert res.n == 300 and res.weight == 600 == sum(w for _, _, _, w in res.coreset)
+    want = assign.kmedian_objective(pts, res.centres).collect()[0]
+    assert want.n == 300 and res.objective == pytest.approx(want.objective, rel=1e-12)
+    sc.setJobGroup("objective", "round 3")
+    try:
+        assert assign.observed_objective(pts, res.centres)[:2] == (300, 600)
+        tracker = sc.statusTracker()
+        jobs = tracker.getJobIdsForGroup("objective")
+        assert len(jobs) == 1 and len(tracker.getJobInfo(jobs[0]).stageIds) == 1
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_an_input_that_changes_between_passes_is_noticed(spark, monkeypatch):
+    pts = points_df(spark, np.random.default_rng(1).normal(size=(50, 2)))
+    whole = kmedian.coreset
+    monkeypatch.setattr(kmedian, "coreset", lambda *a: whole(*a)[1:])
+    with pytest.raises(RuntimeError, match="changed"):
+        kmedian.coreset_kmedian(pts, 3, 2, 1, 7)
