@@ -277,20 +277,36 @@ def test_runs_and_checksums():
         zlib.crc32(f"12:{r}".encode()) for r in runs]
 
 
-def test_pivots_are_disjoint_and_rare():
-    frequency = {"ab": 9, "bc": 1, "cd": 2, "de": 3, "ef": 50}
-    prefix, pivots, last = spelling.prefix_and_pivots("abcdef", frequency)
-    assert prefix == [1, 2, 3] and pivots == [1, 3] and last == (3, "de")
-    prefix, pivots, _ = spelling.prefix_and_pivots("aaaaaaa", {"aa": 5})
-    assert prefix == list(range(6)) and pivots[1] - pivots[0] >= 2
+def tables_of(words):
+    counted = Counter(g for w in words for g in {w[i:i + 2] for i in range(len(w) - 1)})
+    order, often = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
+    for rank, (n, g) in enumerate(sorted((n, g) for g, n in counted.items())):
+        order[ord(g[0]) * 256 + ord(g[1])], often[ord(g[0]) * 256 + ord(g[1])] = rank, n
+    return order, often
+
+
+def test_pivots_are_disjoint_and_least_frequent_in_the_prefix():
+    rnd = random.Random(9)
+    words = sorted({"".join(rnd.choices("abcé", k=7)) for _ in range(400)})
+    order, often = tables_of(words)
+    codes = np.frombuffer("".join(words).encode("latin-1"), np.uint8).reshape(-1, 7)
+    two, prefix, last = spelling.pivots_and_prefix(codes, order, often)
+    for i, w in enumerate(words):
+        grams = [ord(w[j]) * 256 + ord(w[j + 1]) for j in range(6)]
+        ranks = [order[g] for g in grams]
+        assert last[i] == sorted(ranks)[2]
+        held = [j for j in range(6) if ranks[j] <= last[i]]
+        assert np.flatnonzero(prefix[i]).tolist() == held
+        least = min(often[grams[a]] + often[grams[b]] for a in held for b in held if b - a >= 2)
+        a, b = two[i]
+        assert a in held and b in held and b - a >= 2 and often[grams[a]] + often[grams[b]] == least
 
 
 def test_candidates_do_not_grow_with_a_common_pivot(spark):
     rnd = random.Random(6)
     words = sorted({"zq" + "".join(rnd.choices("abcdefghij", k=8)) for _ in range(4000)})
     df = spark.createDataFrame([(w, 3) for w in words], "word string, n bigint")
-    sent = spark.sparkContext.broadcast(
-        Counter(g for w in words for g in {w[i:i + 2] for i in range(len(w) - 1)}))
+    sent = spark.sparkContext.broadcast(tables_of(words))
     pivots = df.mapInArrow(spelling._key_kernel(sent, True), spelling.KEYS).select("key")
     prefixes = df.mapInArrow(spelling._key_kernel(sent, False), spelling.KEYS).select("key")
     assert pivots.join(prefixes, "key").count() < 60 * len(words)
