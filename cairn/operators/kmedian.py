@@ -36,6 +36,7 @@ from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_
                                     observed_objective, release)
 from cairn.operators.kernels import (list_array, lookahead_kernel, nearest, race_kernel,
                                      vector_matrix, whole_table_kernel)
+from cairn.operators.placement import equal_parts
 from cairn.session import delete_folder, tag_dir
 
 
@@ -50,15 +51,20 @@ def check_params(k: int, parts: int = 1, iters: int = 0) -> None:
 
 
 def prepare_points(points: DataFrame, parts: int = 1, seed: int = 0,
-                   persist: bool | str = True, min_partitions: int | None = None) -> DataFrame:
+                   persist: bool | str = True, min_partitions: int | None = None,
+                   equal: bool = False) -> DataFrame:
     """``(id, v, w, part)``: ``part`` is a hash of (seed, id) in [0, parts), balanced
-    whatever the ids look like and independent of the physical layout (PHY2 as a column).
+    whatever the ids look like and independent of the physical layout (PHY2 as a column); with
+    ``equal`` the parts are cut in id order and their sizes differ by at most one.
     Rows stay where they are: the kernels group each Arrow batch by part themselves, so no
     sort or shuffle by part is needed.  ``min_partitions`` deals the points out to that many
     partitions by id once, for inputs known to have too few (C24); nothing is probed."""
     w = F.col("w").cast("bigint") if "w" in points.columns else F.lit(1).cast("bigint")
-    part = F.lit(0) if parts == 1 else hashed_bucket(seed, F.col("id"), parts)
-    pts = points.select("id", "v", w.alias("w"), part.cast("int").alias("part"))
+    if equal and parts > 1:
+        pts = equal_parts(points.select("id", "v", w.alias("w")), parts)
+    else:
+        part = F.lit(0) if parts == 1 else hashed_bucket(seed, F.col("id"), parts)
+        pts = points.select("id", "v", w.alias("w"), part.cast("int").alias("part"))
     if min_partitions:
         pts = pts.repartition(min_partitions, "id")
     return _store(pts, persist)
@@ -380,7 +386,7 @@ def coreset_merge(spark: SparkSession, rows: list, k: int, iters: int, seed: int
 def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int = 0,
                     persist: bool | str = True, lookahead: int = DEFAULT_LOOKAHEAD,
                     candidates: int = DEFAULT_CANDIDATES,
-                    min_partitions: int | None = None) -> KMedianResult:
+                    min_partitions: int | None = None, equal: bool = False) -> KMedianResult:
     """3-round k-median (KM6): coreset of each part, merge, objective over all points.
 
     ``persist`` chooses how the prepared points are kept for their passes
@@ -392,7 +398,7 @@ def coreset_kmedian(points: DataFrame, k: int, parts: int, iters: int, seed: int
     equal the points' (C19), or the input changed between the passes."""
     check_params(k, parts, iters)
     spark = points.sparkSession
-    pts = prepare_points(points, parts, seed, persist, min_partitions)
+    pts = prepare_points(points, parts, seed, persist, min_partitions, equal)
     try:
         t0 = time.perf_counter()
         rows = coreset(pts, k, iters, seed, lookahead, candidates)

@@ -8,15 +8,21 @@ reference are kept as distinct physical plans:
 * ``word_count_salted``: two aggregation levels keyed by a salt, so that a word holding a
   third of all occurrences is summed by ``k`` tasks before its final merge.  The salt is a
   hash of (seed, doc_id), not ``rand()``: a re-run task sends rows to the same place.
-* ``word_count_partitioned``: a count inside each physical partition of the input, then one
-  exchange by word.
+* ``word_count_partitioned``: every task counts its whole partition in one Arrow pass and sends
+  (word, n) pairs, then one exchange by word.
 """
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from cairn.functions.tokens import space_tokens, utf16_length
+from cairn.operators import token_kernels
+from cairn.operators.token_kernels import word_count_kernel
+
+# Ship the kernel with the task closures instead of requiring the package on executors.
+cloudpickle.register_pickle_by_value(token_kernels)
 
 
 def tokenize(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -57,18 +63,27 @@ def word_count_salted(docs: DataFrame, k: int, seed: int = 0, text_col: str = "t
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
-def word_count_partitioned(docs: DataFrame, parts: int | None = None,
-                           text_col: str = "text") -> DataFrame:
+# Counts a task of ``word_count_partitioned`` holds before it sends them on.
+DEFAULT_HOLD_BYTES = 32 << 20
+
+
+def word_count_partitioned(docs: DataFrame, parts: int | None = None, text_col: str = "text",
+                           hold_bytes: int = DEFAULT_HOLD_BYTES) -> DataFrame:
     """Count inside each partition of the input, then by word: one exchange (AGG11, UDF3).
 
-    The partial aggregate that Spark runs in every task is the per-partition count, its output
-    rows are (partition, word) pairs, and only they are exchanged, by word.  ``parts`` merges
-    the input's partitions into at most that many without a shuffle."""
+    A task reads its partition as Arrow batches and keeps one table of its words' counts, each
+    word coded once; past ``hold_bytes`` the table is sent on and begun anew, so a task needs
+    about twice that, whatever its partition holds.  Only its (word, n) rows are exchanged.
+    ``parts`` merges the input's partitions into at most that many without a shuffle."""
     if parts is not None and parts < 1:
         raise ValueError("parts must be >= 1")
+    if hold_bytes < 1:
+        raise ValueError("hold_bytes must be >= 1")
     if parts:
         docs = docs.coalesce(parts)
-    return _words(docs, text_col).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = docs.select(text_col).mapInArrow(word_count_kernel(hold_bytes),
+                                              "word string, n bigint")
+    return counts.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def distinct_words(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -238,6 +238,19 @@ def oracle_sql() -> dict[str, str]:
                       CASE WHEN o_orderkey % 2 = 0 THEN ' ' ELSE '' END AS line FROM orders))""",
         "repartition_balance": f"""SELECT {_part('vec_id', L)} AS part, count(*)::BIGINT AS n
             FROM embeddings GROUP BY 1""",
+        "repartition_exact": f"""SELECT vec_id AS id, (ntile({L}) OVER (ORDER BY vec_id) - 1)::INT
+            AS part FROM embeddings""",
+        "file_numbers": """SELECT x, count(*)::BIGINT AS n FROM
+            (SELECT o_orderkey::DOUBLE AS x FROM orders UNION ALL SELECT o_totalprice FROM orders)
+            GROUP BY x""",
+        "file_lines": r"""
+            WITH f AS (SELECT coalesce(text, '') || CASE doc_id % 3 WHEN 0 THEN chr(10)
+                       WHEN 1 THEN chr(13) ELSE chr(13) || chr(10) END AS t FROM documents),
+                 l AS (SELECT unnest(regexp_split_to_array(t, '\r\n|\r|\n')[:-2]) AS line FROM f
+                       UNION ALL SELECT unnest(['', '', '']))
+            SELECT line, count(*)::BIGINT AS n FROM l GROUP BY line""",
+        "file_vectors": """SELECT vec_id AS id, generate_subscripts(embedding, 1)::INT AS pos,
+            unnest(embedding)::DOUBLE AS x FROM embeddings""",
         "unit_weights": "SELECT vec_id AS id, 1::BIGINT AS w FROM embeddings",
         "pairwise_distance": f"""WITH {_POINTS}, {first}
             SELECT p.id, c.cid, round(list_distance(p.v, c.cv), {DIGITS}) AS d FROM pts p, c""",

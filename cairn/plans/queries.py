@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cairn.functions.random import hashed_bucket
 from cairn.functions.vectors import parse_vector
-from cairn.operators import assign, kmedian, sampling, stats, wordcount
+from cairn.operators import assign, kmedian, placement, sampling, stats, wordcount
 from cairn.operators.assign import Centres
 from cairn.plans import programs
 from cairn.plans.params import (CDF_X, DIGITS, ITER, K, L, N_CENTRES, NORM_DIGITS, SALT_K,
                                 SEED, SEQ_ITER, SEQ_K)
+from cairn.session import scratch_folder
 from cairn.sources import tables
-from cairn.sources.text import parse_numbers, text_lines
+from cairn.sources.text import (parse_numbers, read_lines, read_numbers, read_vectors, text_lines,
+                                write_lines)
 
 
 def _r(c, digits: int = DIGITS):
@@ -103,6 +105,56 @@ def q_normalized_variance(spark, sf):
                     _r("var_norm", NORM_DIGITS).alias("var_norm"))
 
 
+# ----------------------------------------------------------------------------- text files
+
+# Line ends of the files that the file queries write: a third of the rows each.
+LINE_ENDS = {"lf": "\n", "cr": "\r", "crlf": "\r\n"}
+
+
+def _written(spark, lines: DataFrame, number, name: str) -> list[str]:
+    """``lines`` (value) as text in the shared folder: by the remainder of ``number``, three folders
+    with different line ends, each with a blank line at its end."""
+    folders = []
+    blank = spark.createDataFrame([("",)], "value string")
+    for i, (kind, end) in enumerate(LINE_ENDS.items()):
+        at = F.coalesce(F.pmod(number, F.lit(len(LINE_ENDS))), F.lit(len(LINE_ENDS) - 1))
+        rows = lines.where(at == i).select("value")
+        folders.append(write_lines(rows.unionByName(blank), scratch_folder(spark, f"{name}-{kind}"),
+                                   end))
+    return folders
+
+
+def q_file_numbers(spark, sf):
+    """Numbers written as text with mixed white space and read back from the files."""
+    o = tables.table(spark, sf, "orders")
+    line = F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit("\t "),
+                    F.col("o_totalprice").cast("string"), F.lit("  "))
+    rows = o.select(line.alias("value"), "o_orderkey")
+    nums = read_numbers(spark, _written(spark, rows, F.col("o_orderkey"), "numbers"))
+    return nums.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_file_lines(spark, sf):
+    """The documents written as text and read back line by line, in at least L splits."""
+    docs = tables.table(spark, sf, "documents").select(F.col("text").alias("value"), "doc_id")
+    lines = read_lines(spark, _written(spark, docs, F.col("doc_id"), "lines"), min_partitions=L)
+    return lines.groupBy(F.col("value").alias("line")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_file_vectors(spark, sf):
+    """Vectors written one per line, their id first, and read back from the files."""
+    e = tables.table(spark, sf, "embeddings")
+    items = F.transform(F.col("embedding").cast("array<double>"), lambda x: x.cast("string"))
+    line = F.concat_ws(" ", F.col("vec_id").cast("string"), F.array_join(items, " "))
+    rows = e.select(line.alias("value"), "vec_id")
+    files = _written(spark, rows, F.col("vec_id"), "vectors")
+    # a blank line is no vector (C9): its only token reads as NULL
+    vec = read_vectors(spark, files, on_error="null").where(F.col("v")[0].isNotNull())
+    return vec.select(F.col("v")[0].cast("bigint").alias("id"),
+                      F.posexplode(F.slice("v", F.lit(2), F.size("v") - 1)).alias("p", "x")).select(
+        "id", (F.col("p") + 1).cast("int").alias("pos"), "x")
+
+
 # ----------------------------------------------------------------------------- text
 
 def q_lines(spark, sf):
@@ -156,6 +208,12 @@ def q_repartition_balance(spark, sf):
             .agg(F.count(F.lit(1)).alias("n")))
 
 
+def q_repartition_exact(spark, sf):
+    """Every point's partition after an exact redistribution into L equal parts."""
+    placed = placement.repartition_exact(_points(spark, sf).select("id"), L)
+    return placed.select("id", F.spark_partition_id().alias("part"))
+
+
 def q_unit_weights(spark, sf):
     return _points(spark, sf).select("id", "w")
 
@@ -352,6 +410,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "avg_distinct_word_length": q_avg_distinct_word_length,
     "vector_parse": q_vector_parse,
     "repartition_balance": q_repartition_balance,
+    "repartition_exact": q_repartition_exact,
+    "file_numbers": q_file_numbers,
+    "file_lines": q_file_lines,
+    "file_vectors": q_file_vectors,
     "unit_weights": q_unit_weights,
     "pairwise_distance": q_pairwise_distance,
     "closest_center": q_closest_center,

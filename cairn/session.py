@@ -6,6 +6,7 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +68,11 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote, through the file system it is on."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint dir, deleted when the session's file system closes."""
+    path = tag_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    return path

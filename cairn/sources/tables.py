@@ -12,24 +12,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def scan_partitions(df: DataFrame) -> int | None:
+    """Number of splits of a file scan with nothing but projections and filters above it, as the
+    scan node of its physical plan has them from the files; None for any other plan, whose
+    partitions may only be known by running it."""
+    node = df._jdf.queryExecution().sparkPlan()
+    while node.getClass().getSimpleName() in ("ProjectExec", "FilterExec"):
+        node = node.children().apply(0)
+    if node.getClass().getSimpleName() != "FileSourceScanExec":
+        return None
+    return node.inputRDDs().apply(0).getNumPartitions()
+
+
 def spread(scan: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
     """Minimum-partitions hint (C24, as ``textFile(path, n)``): a table scan read in fewer
     partitions than ``min_partitions`` (default: the session's parallelism), e.g. a small
     file in one row group, is hash-partitioned by ``key`` once, so every core gets a share.
     A large table already has more splits than task slots and is left as it is (no shuffle).
 
-    Only for scans with projections and filters, whose partitions are known from the files; any
-    other input is left as it is, since counting its partitions would run it."""
+    Only for scans with projections and filters, whose splits the scan node has; any other input
+    is left as it is, since counting its partitions would run it."""
     n = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-    plan = scan._jdf.queryExecution().optimizedPlan().toString()
-    if any(op in plan for op in _NOT_A_SCAN):
-        return scan
-    return scan.repartition(n, key) if scan.rdd.getNumPartitions() < n else scan
-
-
-# Names of plan nodes under which counting partitions may start a job.
-_NOT_A_SCAN = ("Join", "Aggregate", "Repartition", "Sort", "Window", "Distinct", "Limit",
-               "InMemoryRelation", "Union", "Intersect", "Except")
+    have = scan_partitions(scan)
+    return scan if have is None or have >= n else scan.repartition(n, key)
 
 
 def documents(spark: SparkSession, sf_dir: str, min_partitions: int | None = None) -> DataFrame:

@@ -24,17 +24,34 @@ def parse_numbers(lines: DataFrame, col: str = "value", on_error: str = "raise")
     return lines.select(tok).select(x.alias("x"))
 
 
-def read_lines(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
-    """One row per text line (SRC3).  ``min_partitions`` is a hint, as for ``textFile``
-    (C24): the scan is only split finer when it has fewer partitions than asked, which a file
-    scan tells without a job."""
-    df = spark.read.text(path)
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
-        df = df.repartition(min_partitions)
-    return df
-
-
-def read_numbers(spark: SparkSession, path: str, on_error: str = "raise",
+def finer_scans(spark: SparkSession, min_partitions: int) -> SparkSession:
+    """A session beside ``spark`` (same context, tables and settings) whose file scans are cut into
+    at least ``min_partitions`` splits: the split size is the files' bytes over that number, with
+    no allowance for opening a file."""
+    finer = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if finer.conf.isModifiable(key):
+            finer.conf.set(key, value)
+    finer.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
+    finer.conf.set("spark.sql.files.openCostInBytes", "1")
+    return finer
+
+
+def read_lines(spark: SparkSession, path: str | list[str],
+               min_partitions: int | None = None) -> DataFrame:
+    """One row per text line of a file, folder or list of them (SRC3).
+
+    ``min_partitions`` is a hint as for ``textFile`` (C24): the files are cut into at least that
+    many splits where they are read, with no shuffle.  A file in a format that cannot be cut stays
+    whole, and a split inside a long line has no row."""
+    if min_partitions is None:
+        return spark.read.text(path)
+    if min_partitions < 1:
+        raise ValueError("min_partitions must be >= 1")
+    return finer_scans(spark, min_partitions).read.text(path)
+
+
+def read_numbers(spark: SparkSession, path: str | list[str], on_error: str = "raise",
                  min_partitions: int | None = None) -> DataFrame:
     return parse_numbers(read_lines(spark, path, min_partitions), "value", on_error)
 
@@ -47,7 +64,7 @@ def text_lines(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
              .select(id_col, (F.col("pos") + 1).cast("int").alias("line_no"), "line")
 
 
-def read_documents(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, path: str | list[str], min_partitions: int | None = None) -> DataFrame:
     """A text file with one document per line as ``(doc_id, text)``.
 
     ``doc_id`` is a generated increasing id, the same for a fixed layout of the input."""
@@ -62,7 +79,14 @@ def parse_vectors(lines: DataFrame, col: str = "value", on_error: str = "raise",
     return lines.select(ident.alias("id"), parse_vector(F.col(col), on_error).alias("v"))
 
 
-def read_vectors(spark: SparkSession, path: str, on_error: str = "raise",
+def read_vectors(spark: SparkSession, path: str | list[str], on_error: str = "raise",
                  min_partitions: int | None = None) -> DataFrame:
     """Read a vector file (SRC5) as ``(id bigint, v array<double>)``; directories allowed."""
     return parse_vectors(read_lines(spark, path, min_partitions), "value", on_error)
+
+
+def write_lines(df: DataFrame, path: str, line_sep: str = "\n", col: str = "value") -> str:
+    """Write a text column as the lines of part files in the folder ``path``, which is returned; a
+    NULL is an empty line."""
+    df.select(F.col(col).cast("string").alias("value")).write.option("lineSep", line_sep).text(path)
+    return path
