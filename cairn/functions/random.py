@@ -16,9 +16,11 @@ _SCALE = 4503599627370496.0
 
 
 def _key(seed: int, tag: str | Column, key: Column) -> Column:
+    """The text that is hashed; a NULL row key is an error, as it would win every draw."""
+    text = F.coalesce(key.cast("string"), F.raise_error(F.lit("NULL id in a draw")).cast("string"))
     if isinstance(tag, str):
-        return F.concat(F.lit(f"{seed}:{tag}:"), key.cast("string"))
-    return F.concat(F.lit(f"{seed}:"), tag, F.lit(":"), key.cast("string"))
+        return F.concat(F.lit(f"{seed}:{tag}:"), text)
+    return F.concat(F.lit(f"{seed}:"), tag, F.lit(":"), text)
 
 
 def hashed_uniform(seed: int, tag: str | Column, key: Column | str) -> Column:
@@ -29,6 +31,12 @@ def hashed_uniform(seed: int, tag: str | Column, key: Column | str) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + F.lit(0.5)) / F.lit(_SCALE)
 
 
+def hashed_digits(seed: int, tags: list[str | Column], key: Column) -> Column:
+    """The hexadecimal digits of the uniforms of several rounds, one after the other, for a kernel
+    that makes the numbers itself (``kernels.uniforms``): text is cheaper than ``conv``."""
+    return F.concat(*[F.substring(F.md5(_key(seed, t, key)), 1, _HEX_DIGITS) for t in tags])
+
+
 def hashed_bucket(seed: int, key: Column | str, buckets: int, tag: str = "part") -> Column:
     """Integer in [0, buckets) from the first 32 bits of the same digest (balanced parts)."""
     k = F.col(key) if isinstance(key, str) else key

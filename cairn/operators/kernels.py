@@ -52,6 +52,24 @@ def weights(batch: pa.RecordBatch) -> np.ndarray:
     return w
 
 
+# 13 hex digits = 52 bits a uniform, as in the SQL form of the draws.
+_HEX_DIGITS = 13
+_NIBBLE = np.zeros(256, dtype=np.float64)
+_NIBBLE[np.frombuffer(b"0123456789abcdef", dtype=np.uint8)] = np.arange(16)
+_PLACES = 16.0 ** np.arange(_HEX_DIGITS - 1, -1, -1)
+
+
+def uniforms(col: pa.Array, rows: np.ndarray, rounds: int) -> np.ndarray:
+    """(rows, rounds) uniforms from a column of ``rounds`` * 13 hex digits; every sum is below
+    2**52, so the doubles are those of the integer computation."""
+    width = rounds * _HEX_DIGITS
+    _, offset, data = col.buffers()
+    first = np.frombuffer(offset, dtype=np.int32)[col.offset]
+    text = np.frombuffer(data, dtype=np.uint8)[first:first + len(col) * width]
+    digits = text.reshape(len(col), rounds, _HEX_DIGITS)[rows]
+    return (_NIBBLE[digits] @ _PLACES + 0.5) / 4503599627370496.0
+
+
 def pieces(broadcasts) -> list:
     return [b.value for b in broadcasts]
 
@@ -330,7 +348,7 @@ def whole_table_kernel(k: int, iters: int):
 def lookahead_kernel(bcs, rounds: int, keep: int):
     """Race of the current seeding round plus lower bounds for the next ones, one pass.
 
-    Batch columns ``id, v, w, part, u0 .. u{rounds-1}`` with ``u_t`` the uniform of round
+    Batch columns ``id, v, w, part, u`` with ``u`` the digits of the uniforms ``u_t`` of rounds
     ``j + t`` and ``e_t = -ln(u_t)``.  With ``d`` the distance to the closest chosen centre, ``e_t / (w * d)`` is the
     exact race key of round ``j`` (t = 0) and a lower bound of the key of round ``j + t``
     (distances only shrink as centres are added).  Per (part, t) the task keeps the
@@ -353,9 +371,10 @@ def lookahead_kernel(bcs, rounds: int, keep: int):
             if len(rows) == 0:
                 continue
             p, i, wdo = parts[rows], ids[rows], wd[rows]
+            us = uniforms(batch.column("u"), rows, rounds)
             picked = []
             for t in range(rounds):  # select on the small key arrays, gather vectors once
-                u = batch.column(f"u{t}").to_numpy(zero_copy_only=False)[rows]
+                u = us[:, t]
                 if best is None:
                     near = np.arange(len(rows))
                 else:  # -ln(u) >= 1 - u: most rows cannot pass the kept bounds, without a logarithm

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from cairn.functions.random import hashed_bucket, hashed_uniform, race_key
+from cairn.functions.random import hashed_bucket, hashed_digits, hashed_uniform, race_key
 from cairn.operators.assign import (RACE_SCHEMA, Centres, apply_kernel, cluster_stats,
                                     observed_objective, release)
 from cairn.operators.kernels import (list_array, lookahead_kernel, nearest, race_kernel,
@@ -196,9 +196,9 @@ def _seed_lookahead(pts: DataFrame, src: DataFrame, k: int, seed: int, tag: str,
         table = Centres.from_rows((p, i, v) for p in todo for i, v in rows[p])
         at = spark.createDataFrame([(p, len(rows[p])) for p in todo], "part int, rnd int")
         src_at = src.join(F.broadcast(at), "part")  # one row per part
-        extra = {f"u{t}": hashed_uniform(
-            seed, F.concat(F.lit(tag), (F.col("rnd") + t).cast("string")), F.col("id"))
-            for t in range(rounds)}
+        extra = {"u": hashed_digits(seed, [
+            F.concat(F.lit(tag), (F.col("rnd") + t).cast("string")) for t in range(rounds)],
+            F.col("id"))}
         held: list = []
         partial = apply_kernel(src_at, table, lambda b: lookahead_kernel(b, rounds, keep),
                                LOOKAHEAD_SCHEMA, use_part=True, extra=extra, broadcasts=held)

@@ -33,34 +33,52 @@ def weighted_race_draw(df: DataFrame, weight: Column, seed: int, tag: str = "r",
     return df.where(weight > 0).orderBy(key, F.col(id_col)).limit(1)
 
 
-# Accuracy of the percentile_approx that finds the range cuts: a rank error of N / accuracy only
+# Accuracy of the quantiles that are the range cuts: a rank error of N / accuracy only
 # makes ranges a little uneven.
 QUANTILE_ACCURACY = 10_000
 
 
+# Up to so many ranges a row's range is found by comparisons with the cuts as literals.
+MAX_LITERAL_CUTS = 256
+
+
+def _range_of(key: Column, cuts: list[float]) -> Column:
+    """The number of ``cuts`` not above ``key`` (0 for NULL), searched in two steps: the last block
+    of cuts that begins not above it, then the place inside, about the square root of their number
+    of comparisons each."""
+    step = max(1, round(len(cuts) ** 0.5))
+    blocks = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    begin = F.array(*[F.lit(b[0]) for b in blocks])
+    block = F.size(F.filter(begin, lambda c: c <= key))
+    table = F.array(*[F.array(*[F.lit(c) for c in b]) for b in blocks])
+    inside = F.size(F.filter(F.get(table, block - 1), lambda c: c <= key))
+    return F.when(block > 0, (block - 1) * step + inside).otherwise(F.lit(0))
+
+
 def _with_range_bucket(rows: DataFrame, keys: DataFrame, order_col: str,
                        buckets: int) -> DataFrame:
     """``rows`` plus ``bucket``: the index of the key range holding each row.
 
     The B - 1 cut points are approximate quantiles of the key (one aggregate over the key
-    column; B numbers reach the driver, a size set by the parameter).  Spark ML's
-    ``Bucketizer`` then finds each row's range by binary search inside the JVM, so the cost
-    per row is O(log B) and the plan does not grow with B.  Any increasing cuts give the
-    same result; the quantiles only balance the ranges."""
+    column; B numbers reach the driver, a size set by the parameter).  Few cuts are
+    literals of the plan; beyond ``MAX_LITERAL_CUTS`` Spark ML's ``Bucketizer`` finds each row's range
+    by binary search inside the JVM, so the cost per row is O(log B) and the plan does not grow
+    with B.  Any increasing cuts give the same result; the quantiles only balance the ranges."""
     if buckets <= 1:
         return rows.withColumn("bucket", F.lit(0))
-    from pyspark.ml.feature import Bucketizer
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = keys.select(F.percentile_approx(F.col(order_col).cast("double"), probs,
-                                           QUANTILE_ACCURACY)
-                       .alias("c")).first().c or []
-    inner = sorted({float(c) for c in cuts if c is not None})
+    key = F.col(order_col).cast("double")
+    cuts = keys.select(F.percentile_approx(key, probs, QUANTILE_ACCURACY).alias("c")).first().c
+    inner = sorted({float(c) for c in cuts or [] if c is not None})
     if not inner:
         return rows.withColumn("bucket", F.lit(0))
+    if len(inner) < MAX_LITERAL_CUTS:
+        return rows.withColumn("bucket", _range_of(key, inner))
+    from pyspark.ml.feature import Bucketizer
     splits = [float("-inf")] + inner + [float("inf")]
     tmp_key, tmp_bucket = "__cairn_key", "__cairn_bucket"
     b = Bucketizer(splits=splits, inputCol=tmp_key, outputCol=tmp_bucket)
-    out = b.transform(rows.withColumn(tmp_key, F.col(order_col).cast("double")))
+    out = b.transform(rows.withColumn(tmp_key, key))
     return out.withColumn("bucket", F.col(tmp_bucket).cast("int")).drop(tmp_key, tmp_bucket)
 
 

@@ -105,3 +105,44 @@ def test_running_share_computes_and_exchanges_rows_once(spark):
     plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("MapInArrow") == 1 and plan.count("+- ReusedExchange") == 1
     assert plan.count("+- Exchange hashpartitioning(bucket") == 1
+
+
+@pytest.mark.parametrize("buckets", [2, 5, 16, 256, 300])
+def test_ranges_are_even_and_in_order(spark, buckets):
+    rng = np.random.default_rng(buckets)
+    ws, ids = rng.random(3000), rng.permutation(3000).tolist()
+    df = spark.createDataFrame([(int(i) - 1500, float(w)) for i, w in zip(ids, ws)],
+                               "id bigint, w double").repartition(4)
+    out = sampling.cumulative_share(df, F.col("w"), "id", buckets)
+    got = {r.id: r.cum for r in out.collect()}
+    order = np.argsort(ids)
+    cum = np.cumsum(ws[order]) / ws.sum()
+    assert all(got[i - 1500] == pytest.approx(cum[i], rel=1e-9) for i in range(3000))
+    ranged = sampling._with_range_bucket(df, df, "id", buckets).groupBy("bucket").agg(
+        F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n")).orderBy("bucket")
+    rows = ranged.collect()
+    assert [r.bucket for r in rows] == list(range(buckets))
+    assert all(a.hi < b.lo for a, b in zip(rows, rows[1:]))
+    assert max(r.n for r in rows) <= 3 * 3000 / buckets
+
+
+def test_running_share_of_few_distinct_and_no_rows(spark):
+    df = weights(spark, [2.0])
+    assert [(r.p, r.cum) for r in sampling.cumulative_share(df, F.col("w"), "id", 9).collect()] == [(1.0, 1.0)]
+    assert sampling.cumulative_share(df.where("false"), F.col("w"), "id", 9).count() == 0
+
+
+def test_null_ids_are_refused_in_draws(spark):
+    from cairn.operators import kmedian
+    df = spark.createDataFrame([(i, 1.0) for i in range(5)] + [(None, 1.0)], "id bigint, w double")
+    pts = spark.createDataFrame([(i, [float(i)], 1) for i in range(5)] + [(None, [9.0], 1)],
+                                "id bigint, v array<double>, w bigint")
+    calls = [lambda: sampling.uniform_draw(df, 1).collect(),
+             lambda: sampling.weighted_race_draw(df, F.col("w"), 1).collect(),
+             lambda: kmedian.weighted_kmedian(pts, 2, 1, 1),
+             lambda: kmedian.coreset_kmedian(pts, 2, 2, 1, 1),
+             lambda: kmedian.seed_centres(kmedian.prepare_points(pts, 1, 1, False), 3, 1,
+                                          use_part=False, lookahead=0)]
+    for call in calls:
+        with pytest.raises(Exception, match="NULL id"):
+            call()
