@@ -37,7 +37,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cairn.llm import storage
-from cairn.llm.arrow_text import LOWER, buffers, chunks, hash_spans, mix, uniform, words
+from cairn.llm.arrow_text import (LOWER, buffers, chunks, hash_spans, mix, trimmed, uniform,
+                                  words)
 
 CHUNK_BYTES, PIECE_BYTES = 8 << 20, 1 << 18
 # Two values no word hash is expected to take: the context before the first word, and the end.
@@ -179,8 +180,9 @@ _TYPES = {np.dtype(t).num: np.dtype(t) for t in (np.uint8, np.uint16, np.uint32,
                                                  np.float32, np.float64, np.bool_)}
 
 
-def unpack(body: bytes) -> list[np.ndarray]:
-    raw = pa.decompress(body[8:], decompressed_size=int.from_bytes(body[:8], "little"),
+def unpack(body: bytes | pa.Buffer) -> list[np.ndarray]:
+    body = memoryview(body)
+    raw = pa.decompress(pa.py_buffer(body[8:]), decompressed_size=int.from_bytes(body[:8], "little"),
                         codec="zstd", asbytes=True)
     n = int(np.frombuffer(raw, np.int64, 1)[0])
     head = np.frombuffer(raw, np.int64, 2 * n, 8)
@@ -288,19 +290,23 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _receivers(kernel):
     """mapInArrow: rows sorted by receiver -> kernel(receiver, {kind: [(sender, body)]}), which
-    yields rows.  A receiver's messages are one part's or owner's share of the data."""
+    yields rows.  A receiver's messages are one part's or owner's share of the data; their bodies
+    stay packed in the batches they came in."""
     def run(batches):
         at, held = None, {}
         for batch in batches:
-            for to, kind, frm, body in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            bodies = batch.column(3)
+            for i, (to, kind, frm) in enumerate(zip(*(batch.column(i).to_pylist()
+                                                      for i in range(3)))):
                 if to != at:
                     if held:
                         yield from (_batch([r]) for r in kernel(at, held))
                     at, held = to, {}
-                held.setdefault(kind, []).append((frm, body))
+                held.setdefault(kind, []).append((frm, bodies[i].as_buffer()))
+            del batch, bodies
         if held:
             yield from (_batch([r]) for r in kernel(at, held))
-    return run
+    return trimmed(run)
 
 
 def _step(rows: DataFrame, kernel, name: str) -> str:
@@ -311,10 +317,14 @@ def _step(rows: DataFrame, kernel, name: str) -> str:
     return path
 
 
-def _send(parts: int):
+_TRAINING = 1 << 62  # chunk numbers of training texts beside those of texts to score
+
+
+def _send(parts: int, lead: int = 0):
     """Each chunk's distinct bigrams with their training counts, one row per part."""
     def run(batches):
         for number, rows, data, offsets in _chunks(batches):
+            number += lead
             c = Chunk(data, offsets, parts)
             train = ~np.array(rows.column("held_out").to_pylist(), bool)
             count = np.bincount(c.token, weights=np.repeat(train, c.per_doc),
@@ -351,23 +361,44 @@ def _count(owners: int):
     """A part adds up its bigrams: replies to the chunks, sums per word to the owners (count,
     bigrams seen once after and before it), and the dishes seen more often, with one table each."""
     def kernel(part, held):
-        numbers, sent = [f for f, _ in held[BLOB]], [unpack(b) for _, b in held[BLOB]]
-        vocab, code = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
-        lead = np.concatenate([[0], np.cumsum([len(s[0]) for s in sent])])
-        u = np.concatenate([code[a + np.cumsum(s[1], dtype=np.int64)] for a, s in zip(lead, sent)])
-        w = np.concatenate([code[a + s[2].astype(np.int64)] for a, s in zip(lead, sent)])
-        pair, at = np.unique(u.astype(np.uint64) << np.uint64(32) | w.astype(np.uint64),
-                             return_inverse=True)
-        count = np.bincount(at, weights=np.concatenate([s[3] for s in sent])).astype(np.int64)
-        u = (pair >> np.uint64(32)).astype(np.int64)
-        w = (pair & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        ends = np.cumsum([len(s[1]) for s in sent])
-        keys = bigram_key(vocab[u], vocab[w])
-        for number, a, b in zip(numbers, np.concatenate([[0], ends[:-1]]), ends):
+        # Messages are unpacked one at a time: first for the keys of their bigrams, then for the
+        # words of those that occur in them for the first time.
+        keys, counts = [], []
+        for _, body in held[BLOB]:
+            vocab, du, w, c = unpack(body)
+            keys.append(bigram_key(vocab[np.cumsum(du, dtype=np.int64)], vocab[w]))
+            counts.append(c)
+        ends = np.cumsum([len(k) for k in keys])
+        keys = np.concatenate(keys)
+        order = np.argsort(keys, kind="stable")
+        new = np.ones(len(order), bool)
+        new[1:] = np.diff(keys[order]) != 0
+        at = np.empty(len(order), np.uint32)
+        at[order] = np.cumsum(new) - 1
+        first = order[new]
+        del order, new
+        count = np.zeros(len(first), np.int64)
+        for a, c in zip(np.concatenate([[0], ends[:-1]]), counts):
+            here = at[a:a + len(c)]  # a message names a bigram once
+            count[here] += c.astype(np.int64)
+        for (number, _), a, b in zip(held[BLOB], np.concatenate([[0], ends[:-1]]), ends):
             with np.errstate(over="ignore"):
-                check = keys[at[a:b]].sum(dtype=np.uint64)
+                check = keys[a:b].sum(dtype=np.uint64)
             yield (number, REPLY, part,
                    pack(np.array([check], np.uint64), small(count[at[a:b]])), [])
+        del keys, at, counts
+        by_place = np.argsort(first)
+        cuts = np.searchsorted(first[by_place], np.concatenate([[0], ends]))
+        u, w = np.empty(len(first), np.uint64), np.empty(len(first), np.uint64)
+        for (_, body), a, lo, hi in zip(held[BLOB], np.concatenate([[0], ends[:-1]]), cuts, cuts[1:]):
+            if lo < hi:
+                vocab, du, dw, _ = unpack(body)
+                g = by_place[lo:hi]
+                i = first[g] - a
+                u[g], w[g] = vocab[np.cumsum(du, dtype=np.int64)[i]], vocab[dw[i]]
+        del first, by_place
+        vocab, code = np.unique(np.concatenate([u, w]), return_inverse=True)
+        u, w = code[:len(u)], code[len(u):]
         n, once = len(vocab), count == 1
         total = np.bincount(w, weights=count, minlength=n).astype(np.int64)
         after, before = np.bincount(w[once], minlength=n), np.bincount(u[once], minlength=n)
@@ -484,10 +515,12 @@ def _discount(n1: int, n2: int) -> float:
 @dataclass
 class Model:
     """``words``: the owners' rows (words, c, tables as context t0, mass m1, t1, m2, ... after each
-    sweep); ``replies``: counts per (chunk, part).  The rest are sums; ``bases`` turn a sweep's
+    sweep); ``replies``: counts per (chunk, part) of ``docs``, the rows the model was fitted on.
+    The rest are sums; ``bases`` turn a sweep's
     masses into the parent's probabilities."""
     words: DataFrame
     replies: DataFrame
+    docs: DataFrame
     parts: int
     owners: int
     tokens: int
@@ -513,7 +546,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
         got = df.agg(*[F.sum(F.get("sums", i)) for i in range(size)]).first()
         return [int(x or 0) for x in got]
 
-    counted = _step(docs.mapInArrow(_send(parts), _ROW), _count(owners), "lm-counted")
+    counted = _step(docs.mapInArrow(trimmed(_send(parts)), _ROW), _count(owners), "lm-counted")
     dish, asked = rows(counted, DISH), rows(counted, ASK)
     merged = _step(rows(counted, FIRST).unionByName(asked), _merge, "lm-words")
     word = rows(merged, WORD)
@@ -533,7 +566,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
         old = [parent, seated]
     last = _step(word.unionByName(asked), _last, "lm-model")
     storage.drop_table(spark, *old)
-    return Model(rows(last, WORD), rows(counted, REPLY), parts, owners, tokens, v,
+    return Model(rows(last, WORD), rows(counted, REPLY), docs, parts, owners, tokens, v,
                  docs.where("not held_out").count(), d1, bases, s)
 
 
@@ -639,34 +672,55 @@ def _score(scorer: _Scorer):
     def run(batches):
         chunk, held = None, {}
         for batch in batches:
-            for number, kind, frm, body in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            bodies = batch.column(3)
+            for i, (number, kind, frm) in enumerate(zip(*(batch.column(i).to_pylist()
+                                                          for i in range(3)))):
                 if number != chunk:
                     if TEXT in held:
                         yield pa.RecordBatch.from_arrays(
                             scorer.score(held[TEXT][0], held[REPLY], held[GIVE]), names=names)
                     chunk, held = number, {}
-                held.setdefault(kind, {})[frm] = body
+                held.setdefault(kind, {})[frm] = bodies[i].as_buffer()
+            del batch, bodies
         if TEXT in held:
             yield pa.RecordBatch.from_arrays(
                 scorer.score(held[TEXT][0], held[REPLY], held[GIVE]), names=names)
     return run
 
 
+def _counts_for(docs: DataFrame, model: Model) -> DataFrame:
+    """The counts of the bigrams of other texts: these and the training texts once more to the
+    parts, which reply to both."""
+    spark = docs.sparkSession
+    train = model.docs.where("not held_out").select("text", F.lit(False).alias("held_out"))
+    asking = docs.select("text", F.lit(True).alias("held_out"))
+    sent = (asking.mapInArrow(trimmed(_send(model.parts)), _ROW)
+            .unionByName(train.mapInArrow(trimmed(_send(model.parts, _TRAINING)), _ROW)))
+    path = _step(sent, _count(model.owners), "lm-asked")
+    return (spark.read.schema(_ROW).parquet(path)
+            .where((F.col("kind") == REPLY) & (F.col("to") < _TRAINING)))
+
+
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, held_out, n_tokens, n_known, base_score, score`` for every row of ``docs``, which
-    must be the rows that ``fit`` saw (their chunks are matched with the counts kept there).
+    """``doc_id, held_out, n_tokens, n_known, base_score, score`` for every row of
+    ``docs(doc_id, text[, held_out])``.  The table the model was fitted on finds its bigrams'
+    counts kept by ``fit``; any other table has them counted (one exchange more).
 
     A text's tokens are its words with A-Z lower-cased and one end.  ``score`` is the sum over them
     of log10 of the averaged predictive probability, ``base_score`` that of (c + 1) / (N + V + 1).
     A null text counts as empty and has the end only; repeated rows are scored each; a null doc_id
     is never held out; other columns are ignored; an empty table gives an empty result."""
     spark = docs.sparkSession
-    want = docs.mapInArrow(_want(model.owners), _ROW)
+    replies = model.replies if docs is model.docs else _counts_for(docs, model)
+    if "held_out" not in docs.columns:
+        docs = docs.withColumn("held_out", F.lit(True))
+    docs = docs.select("doc_id", "text", "held_out")
+    want = docs.mapInArrow(trimmed(_want(model.owners)), _ROW)
     give = _step(want.unionByName(model.words), _give(model.settings.sweeps), "lm-given")
     give = spark.read.schema(_ROW).parquet(give)
-    return (docs.mapInArrow(_texts, _ROW).unionByName(give).unionByName(model.replies)
+    return (docs.mapInArrow(trimmed(_texts), _ROW).unionByName(give).unionByName(replies)
             .repartition("to").sortWithinPartitions("to", "kind", "frm")
-            .mapInArrow(_score(_Scorer(model)), _SCORES))
+            .mapInArrow(trimmed(_score(_Scorer(model))), _SCORES))
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

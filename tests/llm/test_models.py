@@ -2,6 +2,7 @@
 
 import collections
 import math
+import random
 import zlib
 
 import numpy as np
@@ -174,6 +175,84 @@ def test_lm_predicts_better_than_its_base_and_sums_to_one(spark):
     assert again == pytest.approx(first, rel=1e-12)
 
 
+def plain_scores(train, texts, s=pitman_yor.Settings()):
+    """One restaurant per context seated dish by dish, without chunks, parts and owners."""
+    def hash_of(w):
+        return pitman_yor.word_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0, len(w.encode())]))[0][0]
+
+    def sentence(t):
+        return [pitman_yor.START] + [hash_of(w) for w in brute.WORD.findall(brute.fold(t))] + [pitman_yor.END]
+
+    def one(c, key, base, p, d, sweep):
+        return int(pitman_yor.seat(np.array([c]), np.array([key], np.uint64), np.array([max(base, 0)]),
+                                   np.array([p]), s.strength, d, sweep)[0])
+
+    def share(items):
+        n1, n2 = sum(n == 1 for n in items), sum(n == 2 for n in items)
+        return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 + n2 else 0.5
+
+    pairs = collections.Counter(p for t in train for p in zip(sentence(t), sentence(t)[1:]))
+    count = collections.Counter(w for t in train for w in sentence(t)[1:])
+    t = dict.fromkeys(pairs, 1)
+    seed = mix(np.array([s.seed], np.uint64))[0]
+    d1, base_p = share(list(pairs.values())), 1 / (len(count) + 1)
+    eaten = collections.Counter(w for _, w in t)
+    parent = dict.fromkeys(eaten, 1)
+    d0 = share(list(eaten.values()))
+    total = collections.Counter()
+    for sweep in range(1, s.sweeps + 1):
+        eaten, context = collections.Counter(), collections.Counter()
+        for (u, w), k in t.items():
+            eaten[w] += k
+            context[u] += k
+        seats = sum(parent.values())
+        parent = {w: one(k, mix(np.array([w ^ seed]))[0], seats - parent[w], base_p, d0, sweep)
+                  for w, k in eaten.items()}
+        add = (s.strength + d0 * sum(parent.values())) * base_p
+        mass = {w: float(np.float32(k - d0 * parent[w])) for w, k in eaten.items()}
+        p = collections.defaultdict(lambda: add / (s.strength + sum(eaten.values())),
+                                    {w: (m + add) / (s.strength + sum(eaten.values()))
+                                     for w, m in mass.items()})
+        t = {(u, w): one(c, mix(np.array([pitman_yor.bigram_key(np.array([u]), np.array([w]))[0] ^ seed]))[0],
+                         context[u] - t[u, w], p[w], d1, sweep) if (c := pairs[u, w]) > 1 else 1
+             for u, w in t}
+        context = collections.Counter()
+        for (u, w), k in t.items():
+            context[u] += k
+        if sweep > s.burn_in:
+            for i, text in enumerate(texts):
+                for j, (u, w) in enumerate(zip(sentence(text), sentence(text)[1:])):
+                    customers = len(train) if u == pitman_yor.START else count[u]
+                    total[i, j] += ((pairs[u, w] - d1 * t.get((u, w), 0)
+                                     + (s.strength + d1 * context[u]) * p[w]) / (s.strength + customers))
+    out = [0.0] * len(texts)
+    for (i, _), x in total.items():
+        out[i] += math.log10(x / (s.sweeps - s.burn_in))
+    return out
+
+
+def test_lm_scores_match_a_plain_sampler_and_any_table_can_be_scored(spark, clashing):
+    rnd = random.Random(2)
+    words = [f"w{i}" for i in range(12)]
+    train = [" ".join(rnd.choices(words, weights=range(12, 0, -1), k=rnd.randrange(1, 30)))
+             for _ in range(60)] + ["", "W1 w2"]
+    other = ["w1 w2 w3", "", "never seen w1", train[5]]
+    docs = spark.createDataFrame(
+        [(i, t, False) for i, t in enumerate(train)] + [(100 + i, t, True) for i, t in enumerate(other)],
+        "doc_id bigint, text string, held_out boolean").repartition(4, "doc_id")
+    model = pitman_yor.fit(docs)
+    want = plain_scores(train, train + other)
+    own = {r.doc_id: r.score for r in pitman_yor.score_texts(docs, model).collect()}
+    assert [own[i] for i in [*range(62), 100, 101, 102, 103]] == pytest.approx(want, rel=1e-6)
+    # another table, without held_out, with other partitions and columns
+    new = spark.createDataFrame([(i, t, "x") for i, t in enumerate(other * 30)],
+                                "doc_id bigint, text string, frm string").repartition(3)
+    got = pitman_yor.score_texts(new, model).collect()
+    assert len(got) == 120 and all(r.held_out for r in got)
+    assert [r.score for r in sorted(got, key=lambda r: r.doc_id)[:4]] == pytest.approx(want[62:], rel=1e-6)
+    assert pitman_yor.score_texts(new.limit(0), model).count() == 0
+
+
 # ---- sampled segmentations ----
 
 PIECES = [b"a", b"b", b" ", b"ab", b" a", b"ba", b"aba", b" ab"]
