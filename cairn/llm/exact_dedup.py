@@ -114,7 +114,7 @@ def build_index(docs: DataFrame, bucket_records: int = 512, key_bits: int = 64):
     spark = docs.sparkSession
     src = docs.select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("bigint")
                       .alias("n_chars"), "text")
-    entries = storage.materialize(src.mapInArrow(_entries(key_bits), _ENTRY), "dedup-entries")
+    entries = storage.materialize(storage.arrow(src, _entries(key_bits), _ENTRY), "dedup-entries")
     records = entries.where(F.col("body").isNotNull())
     n = records.count()
     capacity = max(bucket_records, n >> 16)
@@ -131,7 +131,7 @@ def build_index(docs: DataFrame, bucket_records: int = 512, key_bits: int = 64):
              .select("bucket", "key", "sha", "body")
              .repartition(storage.shuffle_partitions(spark), "bucket")
              .sortWithinPartitions("bucket", "key"))
-    return entries, storage.materialize(owned.mapInArrow(_owner, _INDEX), "dedup-index")
+    return entries, storage.materialize(storage.arrow(owned, _owner, _INDEX), "dedup-index")
 
 
 def exact_groups(docs: DataFrame, bucket_records: int = 512, key_bits: int = 64) -> DataFrame:
@@ -161,10 +161,11 @@ def exact_dedup(docs: DataFrame, bucket_records: int = 512) -> DataFrame:
 
     Rows that share both doc_id and text are one document, of which one row stays; a null doc_id
     counts as one id."""
-    ident = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    by = storage.fresh_names(docs, "dedup_id", "dedup_sha")
+    ident = F.coalesce(docs["doc_id"], F.lit(-(1 << 63)))
     keep = (exact_groups(docs, bucket_records).where("kept")
-            .select(ident.alias("__dedup_id"), F.col("text_sha256").alias("__dedup_sha")).distinct())
-    body = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
-    keyed = docs.withColumns({"__dedup_id": ident, "__dedup_sha": F.sha2(body, 256)})
-    return (keyed.join(keep, ["__dedup_id", "__dedup_sha"], "left_semi")
-            .dropDuplicates(["__dedup_id", "__dedup_sha"]).drop("__dedup_id", "__dedup_sha"))
+            .select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias(by[0]),
+                    F.col("text_sha256").alias(by[1])).distinct())
+    body = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]", "")
+    keyed = docs.withColumns({by[0]: ident, by[1]: F.sha2(body, 256)})
+    return keyed.join(keep, by, "left_semi").dropDuplicates(by).drop(*by)

@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cairn.llm import storage
 from cairn.llm.arrow_text import chunks
 
 # HTML's element kinds.
@@ -327,5 +328,6 @@ def extract_pages(pages: DataFrame, w: Weights = Weights()) -> DataFrame:
                 [rows.column("page_id"), rows.column("url"), pa.array(texts, pa.string()),
                  pa.array([len(x) for x in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
-    return pages.select("page_id", "url", "html").mapInArrow(
-        run, "page_id bigint, url string, text string, n_chars bigint")
+    return storage.arrow(
+        pages.select("page_id", "url", "html"), run,
+        "page_id bigint, url string, text string, n_chars bigint")

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from cairn.llm import storage
 from cairn.llm.arrow_text import IS_SPACE, LOWER, chunks, mix
 
 MIN_SHARE, MIN_RATIO = 0.01, 0.3
@@ -167,10 +168,10 @@ def train(docs: DataFrame, min_share: float = MIN_SHARE, min_ratio: float = MIN_
           probes: int = PROBES) -> LanguageFilter:
     """Fit the filters on all rows of ``docs`` with a lang; a null text is an empty document."""
     labelled = docs.where("lang is not null").select("lang", "text")
-    rows = (labelled.mapInArrow(_lengths, "lang string, docs bigint, occ bigint").groupBy("lang")
+    rows = (storage.arrow(labelled, _lengths, "lang string, docs bigint, occ bigint").groupBy("lang")
             .agg(F.sum("docs").alias("docs"), F.sum("occ").alias("occ")).collect())  # one a language
     totals, occ = {r["lang"]: r["docs"] for r in rows}, {r["lang"]: r["occ"] for r in rows}
-    freq = (labelled.mapInArrow(_occurrences, "lang string, gram bigint, n bigint")
+    freq = (storage.arrow(labelled, _occurrences, "lang string, gram bigint, n bigint")
             .groupBy("gram", "lang").agg(F.sum("n").alias("n")))
     spark = docs.sparkSession
     all_docs, all_occ = max(1, sum(totals.values())), max(1, sum(occ.values()))
@@ -213,17 +214,18 @@ def predict(docs: DataFrame, model: LanguageFilter, keep: tuple[str, ...] = ("do
     an id each come back."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_GRAMS
     text = docs["text"]
-    rows = docs.select(*[docs[c] for c in keep], text.alias("__text"),
-                       has_letter(text).alias("__letter"))
+    text_name, letter_name = storage.fresh_names(docs, "lang_text", "lang_letter")
+    rows = docs.select(*[docs[c] for c in keep], text.alias(text_name),
+                       has_letter(text).alias(letter_name))
 
     def run(batches):
         m = shared.value
-        for part, data, offsets in chunks(batches, "__text"):
+        for part, data, offsets in chunks(batches, text_name):
             count = m.counts(data, offsets)
             total = count.sum(axis=1)
             best = m.best(count) if m.langs else np.zeros(len(count), int)
             pred, score = [], []
-            for ok, i, row, t in zip(part.column("__letter").to_pylist(), best, count, total):
+            for ok, i, row, t in zip(part.column(letter_name).to_pylist(), best, count, total):
                 if not ok or not m.langs:
                     pred.append("und")
                     score.append(0.0)
@@ -236,7 +238,7 @@ def predict(docs: DataFrame, model: LanguageFilter, keep: tuple[str, ...] = ("do
 
     schema = T.StructType([*rows.schema.fields[:len(keep)], T.StructField(names[0], T.StringType()),
                            T.StructField(names[1], T.DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return storage.arrow(rows, run, schema)
 
 
 def is_held_out(doc_id: Column | str, modulus: int, remainder: int) -> Column:

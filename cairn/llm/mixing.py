@@ -85,16 +85,17 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int
     The rates, one row per source, are computed first; up to MAX_BROADCAST_SOURCES of them are sent
     to every task, so no text is shuffled, and more are joined by source."""
     sizes = docs.select("source", word_count("text").alias("size"))
+    of, by, copies_name, copy = storage.fresh_names(docs, "mix_source", "mix_rate", "mix_copies",
+                                                    "mix_copy")
     rate = storage.materialize(
         source_targets(sizes, weights, cap).where(F.col("source_size") > 0)
-        .select(F.col("source").alias("__mix_source"),
-                (F.col("target") / F.col("source_size")).alias("__mix_rate")), "mix-rates")
+        .select(F.col("source").alias(of), (F.col("target") / F.col("source_size")).alias(by)),
+        "mix-rates")
     if rate.count() <= MAX_BROADCAST_SOURCES:
         rate = F.broadcast(rate)
     drawn = hashed_uniform(seed, "mix", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    rows = docs.join(rate, docs["source"].eqNullSafe(F.col("__mix_source")))
-    copies = (F.floor("__mix_rate")
-              + (drawn < F.col("__mix_rate") - F.floor("__mix_rate")).cast("bigint"))
-    return (rows.withColumn("__mix_copies", copies.cast("int")).where("__mix_copies > 0")
-            .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
-            .select(*[F.col(c) for c in docs.columns]))
+    rows = docs.join(rate, docs["source"].eqNullSafe(F.col(of)))
+    copies = F.floor(by) + (drawn < F.col(by) - F.floor(by)).cast("bigint")
+    return (rows.withColumn(copies_name, copies.cast("int")).where(F.col(copies_name) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies_name))))
+            .select(*[docs[c] for c in docs.columns]))

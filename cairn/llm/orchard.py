@@ -21,16 +21,14 @@ squared distances are returned as 64-bit integers.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from cairn.llm import storage
 
 MAX_COMPONENT = 1 << 26  # 64 squares of twice that, times 4, still fit 63 bits
 BLOCK_CELLS = 1 << 21    # marks of a block of points, and components gathered at once
@@ -173,7 +171,7 @@ def _round(points: DataFrame, lists: Lists, dim: int, scale: float):
     """{number: (points, sum of distances, component sums)} after assigning every vector."""
     sent = points.sparkSession.sparkContext.broadcast(lists)
     try:
-        part = points.select("x").mapInArrow(_sums_kernel(sent, dim, scale), SUMS)
+        part = storage.arrow(points.select("x"), _sums_kernel(sent, dim, scale), SUMS)
         summed = (part.select("number", "n", "apart", F.posexplode("total").alias("pos", "v"))
                   .groupBy("number", "pos")
                   .agg(F.sum("n").alias("n"), F.sum("apart").alias("apart"),
@@ -219,7 +217,7 @@ def cluster(vectors: DataFrame, key: Column, k: int, rounds: int, dim: int, scal
     table = spark.createDataFrame([(c, apart, inertia, now[c].tolist())
                                    for c, (_, apart, _) in last.items()], schema)
     sent = spark.sparkContext.broadcast(lists)  # lives as long as the returned plan
-    rows = points.mapInArrow(_assign_kernel(sent, dim, scale),
-                             f"id {ident_type}, cluster int, distance bigint")
+    rows = storage.arrow(points, _assign_kernel(sent, dim, scale),
+                         f"id {ident_type}, cluster int, distance bigint")
     return rows.join(F.broadcast(table), "cluster").select(  # k rows
         "id", "cluster", "distance", "cluster_inertia", "inertia", "centroid")

@@ -320,7 +320,7 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     spark = docs.sparkSession
     n = storage.shuffle_partitions(spark)
     docs = docs.select("doc_id", "text").where("doc_id is not null")
-    lines = storage.materialize(docs.mapInArrow(_lines(bands, k), _LINES), "passage-lines")
+    lines = storage.materialize(storage.arrow(docs, _lines(bands, k), _LINES), "passage-lines")
 
     # Paragraph classes: colliding ones verified, components over the links.
     classes = storage.materialize(
@@ -334,12 +334,12 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     wanted = None
     if ids.count() <= MAX_BROADCAST_IDS:
         wanted = np.sort(ids.toPandas()["node"].to_numpy(np.int64))  # at most 8 MB
-    sets = (docs.mapInArrow(_line_sets(k, wanted), "node bigint, items binary")
+    sets = (storage.arrow(docs, _line_sets(k, wanted), "node bigint, items binary")
             .join(ids, "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")))
-    links = (sets.join(units, "node").repartition(n, "unit").sortWithinPartitions("unit")
-             .select("unit", "node", "items")
-             .mapInArrow(similarity.unit_links(percent), "a bigint, b bigint"))
-    comps = connected_components(links)
+    dealt = (sets.join(units, "node").repartition(n, "unit").sortWithinPartitions("unit")
+             .select("unit", "node", "items"))
+    comps = connected_components(
+        storage.arrow(dealt, similarity.unit_links(percent), "a bigint, b bigint"))
     storage.release(spark)
     per = classes.select("node", "lo", "hi").join(comps, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
@@ -352,7 +352,8 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     if min_words < 1:
         raise ValueError("min_words must be positive")
     seed = min(SEED_WORDS, min_words)
-    seeds = docs.mapInArrow(_seeds(seed, min_words, True), _SEEDS + ", prev bigint, next bigint")
+    seeds = storage.arrow(docs, _seeds(seed, min_words, True),
+                          _SEEDS + ", prev bigint, next bigint")
     shared = storage.materialize(
         seeds.groupBy("fp").agg(
             F.min("doc_id").alias("seed_keep"), F.max("doc_id").alias("hi"),
@@ -362,12 +363,12 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
         .select("fp", "seed_keep", F.expr("p = q and p <> 0").alias("left"),
                 F.expr("r = s and r <> 0").alias("right")), "passage-seeds")
     storage.release(spark)
-    found = (docs.mapInArrow(_seeds(seed, min_words, False), _SEEDS).join(shared, "fp")
+    found = (storage.arrow(docs, _seeds(seed, min_words, False), _SEEDS).join(shared, "fp")
              .groupBy("doc_id").agg(F.collect_list(F.struct("fp", "seed_keep", "left", "right"))
                                     .alias("found")))
     cover = storage.materialize(
-        docs.join(found, "doc_id").select("doc_id", "text", "found")
-        .mapInArrow(_cover(seed, min_words), _COVER), "passage-cover")
+        storage.arrow(docs.join(found, "doc_id").select("doc_id", "text", "found"),
+                      _cover(seed, min_words), _COVER), "passage-cover")
     storage.release(spark)
     window_keep = (cover.where("class is not null").groupBy("class")
                    .agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("hi"))
@@ -378,22 +379,24 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
                .withColumn("whole", F.lit(False))
                .unionByName(lines.join(line_keep, "line").select(*at)
                             .withColumn("whole", F.lit(True))))
-    return (repeats.groupBy("doc_id", "body")
-            .agg(F.collect_list(F.struct(*_AT[2:], "keep", "whole")).alias("spans"))
-            .select("doc_id", "spans").mapInArrow(_report(min_words), _RESULT).distinct())
+    spans = (repeats.groupBy("doc_id", "body")
+             .agg(F.collect_list(F.struct(*_AT[2:], "keep", "whole")).alias("spans"))
+             .select("doc_id", "spans"))
+    return storage.arrow(spans, _report(min_words), _RESULT).distinct()
 
 
 def drop_repeats(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with the removed spans cut out of their texts (the white space around a span stays);
     other columns and documents without removed spans are unchanged."""
-    spans = (repeated_spans(docs, **settings).where("removed").groupBy(F.col("doc_id").alias("__id"))
-             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans")))
-    joined = docs.join(spans, docs["doc_id"] == spans["__id"], "left")
+    ident, held, cut_text = storage.fresh_names(docs, "span_id", "spans", "cut_text")
+    spans = (repeated_spans(docs, **settings).where("removed").groupBy(F.col("doc_id").alias(ident))
+             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(held)))
+    joined = docs.join(spans, docs["doc_id"] == spans[ident], "left")
     text = docs["text"]
-    edges = F.concat(F.array(F.lit(0)), F.transform("__spans", lambda s: s["end"]))
-    pieces = F.zip_with(edges, F.concat(F.transform("__spans", lambda s: s["start"]),
+    edges = F.concat(F.array(F.lit(0)), F.transform(held, lambda s: s["end"]))
+    pieces = F.zip_with(edges, F.concat(F.transform(held, lambda s: s["start"]),
                                         F.array(F.length(text))),
                         lambda a, b: F.substring(text, a + 1, b - a))
-    cut = F.when(F.col("__spans").isNull(), text).otherwise(F.array_join(pieces, ""))
-    return joined.withColumn("__text", cut).select(
-        *[F.col("__text").alias("text") if c == "text" else docs[c] for c in docs.columns])
+    cut = F.when(F.col(held).isNull(), text).otherwise(F.array_join(pieces, ""))
+    return joined.withColumn(cut_text, cut).select(
+        *[F.col(cut_text).alias("text") if c == "text" else docs[c] for c in docs.columns])

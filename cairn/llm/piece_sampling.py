@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from cairn.llm import storage
 from cairn.llm.arrow_text import SpanHasher, chunks, hash_spans, mix, uniform
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
@@ -481,16 +482,17 @@ def sample_pieces(docs: DataFrame, vocabulary: Vocabulary, k: int = SAMPLES, see
     without pieces.  Rows are keyed by doc_id, so rows that repeat an id and text sample alike; a
     null doc_id is one key."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)  # the vocabulary's size
-    rows = docs.select(*[docs[c] for c in keep], docs["text"].alias("__text"),
-                       F.xxhash64(F.lit(seed), docs["doc_id"]).alias("__key"))
+    text_name, key_name = storage.fresh_names(docs, "piece_text", "piece_key")
+    rows = docs.select(*[docs[c] for c in keep], docs["text"].alias(text_name),
+                       F.xxhash64(F.lit(seed), docs["doc_id"]).alias(key_name))
     schema = T.StructType([*rows.schema.fields[:len(keep)], *_OUT])
 
     def run(batches):
         v = shared.value
         lattice = Lattice(v)
-        for part, data, offsets in chunks(batches, "__text", CHUNK_BYTES):
+        for part, data, offsets in chunks(batches, text_name, CHUNK_BYTES):
             text, bounds, which = with_space(data, offsets)
-            key = part.column("__key").to_numpy().view(np.uint64)[which]
+            key = part.column(key_name).to_numpy().view(np.uint64)[which]
             empty = np.flatnonzero(np.diff(offsets) == 0)
             found = sample_chunk(lattice, text, bounds, key, k) if len(which) else []
             if len(empty):
@@ -507,7 +509,7 @@ def sample_pieces(docs: DataFrame, vocabulary: Vocabulary, k: int = SAMPLES, see
                     exact = np.logical_and.reduceat(same, np.cumsum(size) - size)
                 yield _rows(part, keep, schema, which[here], i + 1, pieces, cuts, phi, inclusion,
                             exact)
-    return rows.mapInArrow(run, schema)
+    return storage.arrow(rows, run, schema)
 
 
 def _rows(part, keep, schema, at, sample, pieces, cuts, phi, inclusion, exact):
@@ -536,4 +538,4 @@ def decode_pieces(rows: DataFrame, vocabulary: Vocabulary, keep: tuple[str, ...]
                      for ids in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(texts, pa.string())],
                                              names=[f.name for f in schema.fields])
-    return cols.mapInArrow(run, schema)
+    return storage.arrow(cols, run, schema)

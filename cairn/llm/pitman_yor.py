@@ -37,8 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from cairn.llm import storage
-from cairn.llm.arrow_text import (LOWER, buffers, chunks, hash_spans, mix, trimmed, uniform,
-                                  words)
+from cairn.llm.arrow_text import LOWER, buffers, chunks, hash_spans, mix, uniform, words
 
 CHUNK_BYTES, PIECE_BYTES = 8 << 20, 1 << 18
 # Two values no word hash is expected to take: the context before the first word, and the end.
@@ -306,13 +305,13 @@ def _receivers(kernel):
             del batch, bodies
         if held:
             yield from (_batch([r]) for r in kernel(at, held))
-    return trimmed(run)
+    return run
 
 
 def _step(rows: DataFrame, kernel, name: str) -> str:
     """Deal the rows out to their receivers, run the kernel there, keep its rows as a table."""
     dealt = rows.repartition("to").sortWithinPartitions("to", "kind", "frm")
-    path = storage.write_table(dealt.mapInArrow(_receivers(kernel), _ROW), name)
+    path = storage.write_table(storage.arrow(dealt, _receivers(kernel), _ROW), name)
     storage.release(rows.sparkSession)
     return path
 
@@ -546,7 +545,7 @@ def fit(docs: DataFrame, settings: Settings = Settings()) -> Model:
         got = df.agg(*[F.sum(F.get("sums", i)) for i in range(size)]).first()
         return [int(x or 0) for x in got]
 
-    counted = _step(docs.mapInArrow(trimmed(_send(parts)), _ROW), _count(owners), "lm-counted")
+    counted = _step(storage.arrow(docs, _send(parts), _ROW), _count(owners), "lm-counted")
     dish, asked = rows(counted, DISH), rows(counted, ASK)
     merged = _step(rows(counted, FIRST).unionByName(asked), _merge, "lm-words")
     word = rows(merged, WORD)
@@ -694,8 +693,8 @@ def _counts_for(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     train = model.docs.where("not held_out").select("text", F.lit(False).alias("held_out"))
     asking = docs.select("text", F.lit(True).alias("held_out"))
-    sent = (asking.mapInArrow(trimmed(_send(model.parts)), _ROW)
-            .unionByName(train.mapInArrow(trimmed(_send(model.parts, _TRAINING)), _ROW)))
+    sent = storage.arrow(asking, _send(model.parts), _ROW).unionByName(
+        storage.arrow(train, _send(model.parts, _TRAINING), _ROW))
     path = _step(sent, _count(model.owners), "lm-asked")
     return (spark.read.schema(_ROW).parquet(path)
             .where((F.col("kind") == REPLY) & (F.col("to") < _TRAINING)))
@@ -715,12 +714,12 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     if "held_out" not in docs.columns:
         docs = docs.withColumn("held_out", F.lit(True))
     docs = docs.select("doc_id", "text", "held_out")
-    want = docs.mapInArrow(trimmed(_want(model.owners)), _ROW)
+    want = storage.arrow(docs, _want(model.owners), _ROW)
     give = _step(want.unionByName(model.words), _give(model.settings.sweeps), "lm-given")
     give = spark.read.schema(_ROW).parquet(give)
-    return (docs.mapInArrow(trimmed(_texts), _ROW).unionByName(give).unionByName(replies)
-            .repartition("to").sortWithinPartitions("to", "kind", "frm")
-            .mapInArrow(trimmed(_score(_Scorer(model))), _SCORES))
+    dealt = (storage.arrow(docs, _texts, _ROW).unionByName(give).unionByName(replies)
+             .repartition("to").sortWithinPartitions("to", "kind", "frm"))
+    return storage.arrow(dealt, _score(_Scorer(model)), _SCORES)
 
 
 def perplexity(scored: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from cairn.llm import storage
 from cairn.llm.arrow_text import chunks
 
 _FEW = 24  # segments still running when the lock step gives way to a loop per segment
@@ -329,6 +330,7 @@ def scan_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
                             for p, r, e in scan.spans(raw, at[a:b] - offsets[i], bits[a:b])])
             yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(out, pa.list_(kind))],
                                              names=["doc_id", "spans"])
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,text:string>>")
+    return storage.arrow(
+        docs.select("doc_id", "text"), run,
+        "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,text:string>>")
 

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import gc
+import io
 import os
 import uuid
+import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import cairn
+from cairn.llm.arrow_text import trimmed
 from cairn.session import checkpoint_dir
 
+_shipped: set[str] = set()  # applications whose workers have the package
+
 
 def _path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -51,9 +58,51 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable on the workers, once per application: its sources as a zip file in
+    the shared folder, given to Spark as a Python file."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root, held = os.path.dirname(os.path.abspath(cairn.__file__)), io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in sorted(os.walk(root)):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    path = os.path.join(checkpoint_dir(spark), f"cairn-{sc.applicationId}.zip")
+    p, fs = _path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(held.getvalue()))
+    out.close()
+    fs.deleteOnExit(p)
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
+def arrow(df: DataFrame, kernel: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with a kernel of this package: shipped to the workers, which give their
+    memory back when its task ends."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(trimmed(kernel), schema)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """The names with underscores before them until no column of ``df`` is called so (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -32,7 +32,7 @@ TILE = 256
 MAX_BROADCAST_IDS = 1 << 20  # 8 MB
 
 _LEVEL = np.uint64(0xD1B54A32D192ED03)
-_SIG = "doc_id bigint, n bigint, fa bigint, fb bigint, bands array<bigint>"
+_SIG = "doc_id bigint, print bigint, n bigint, fa bigint, fb bigint, bands array<bigint>"
 
 
 def superminhash(h: np.ndarray, bounds: np.ndarray, m: int = SLOTS) -> np.ndarray:
@@ -91,27 +91,33 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE_WORDS):
     return (np.concatenate(sets) if sets else flat), np.concatenate([[0], np.cumsum(size)])
 
 
+def set_prints(flat: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums over each set's elements that tell sets apart; 0 for empty ones."""
+    filled = np.diff(bounds) > 0
+    fa, fb = np.zeros(len(filled), np.uint64), np.zeros(len(filled), np.uint64)
+    if filled.any():
+        at = bounds[:-1][filled]
+        with np.errstate(over="ignore"):
+            fa[filled] = np.add.reduceat(mix(flat), at)
+            fb[filled] = np.add.reduceat(mix(flat ^ _LEVEL), at)
+    return fa, fb
+
+
 def _signatures(slots: int, rows_per_band: int, k: int):
     def run(batches):
         for rows, data, offsets in chunks(batches):
             flat, bounds = shingle_sets(data, offsets, k)
             size = np.diff(bounds)
-            filled = size > 0
-            fa, fb = np.zeros(len(size), np.uint64), np.zeros(len(size), np.uint64)
-            if filled.any():
-                at = bounds[:-1][filled]
-                with np.errstate(over="ignore"):
-                    fa[filled] = np.add.reduceat(mix(flat), at)
-                    fb[filled] = np.add.reduceat(mix(flat ^ _LEVEL), at)
+            fa, fb = set_prints(flat, bounds)
             keys = band_keys(superminhash(flat, bounds, slots), rows_per_band)
             width = keys.shape[1]
             bands = pa.ListArray.from_arrays(
                 pa.array(np.arange(len(size) + 1, dtype=np.int32) * width),
                 pa.array(keys.view(np.int64).ravel()))
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array(size), pa.array(fa.view(np.int64)),
-                 pa.array(fb.view(np.int64)), bands],
-                names=["doc_id", "n", "fa", "fb", "bands"])
+                [rows.column("doc_id"), rows.column("print"), pa.array(size),
+                 pa.array(fa.view(np.int64)), pa.array(fb.view(np.int64)), bands],
+                names=["doc_id", "print", "n", "fa", "fb", "bands"])
     return run
 
 
@@ -119,10 +125,11 @@ def _sets(k: int):
     def run(batches):
         for rows, data, offsets in chunks(batches):
             flat, bounds = shingle_sets(data, offsets, k)
+            fa, fb = set_prints(flat, bounds)
             yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"),
+                [pa.array(np.diff(bounds)), pa.array(fa.view(np.int64)), pa.array(fb.view(np.int64)),
                  pa.array([flat[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])],
-                          pa.binary())], names=["node", "items"])
+                          pa.binary())], names=["n", "fa", "fb", "items"])
     return run
 
 
@@ -149,48 +156,80 @@ def candidate_units(classes: DataFrame, tile: int) -> DataFrame:
                                   F.greatest("mine", "other")).alias("unit"), "node")
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS,
-                slots: int = SLOTS, band_rows: int = BAND_ROWS, tile: int = TILE) -> DataFrame:
-    """One row per document: ``doc_id, n_shingles, component_id, kept``.
-
-    Documents whose sets have 100 * |A & B| >= percent * |A | B| are linked, ``component_id`` is
-    the least doc_id reachable.  Fewer than ``k`` words are one shingle; a null text or one without
-    words has an empty set and no link.  Rows that repeat a doc_id count as one document; a row
-    with a null doc_id makes no link and takes the component of an equal set, if any.  At the
-    defaults a pair at the threshold shares a band with probability 1 - (1 - .85**4)**16 = .999993.
-    """
+def _grouped(docs: DataFrame, percent: int, k: int, slots: int, band_rows: int,
+             tile: int) -> DataFrame:
+    """Per row ``doc_id, print, n, group, component``: ``print`` hashes the text, ``group`` names the
+    component of the row's set (null for an empty one, and where only null ids have the set), and
+    ``component`` is its least doc_id.  Nodes are the distinct sets, not the ids: a doc_id that
+    recurs with another text is another node."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    sigs = storage.materialize(docs.mapInArrow(_signatures(slots, band_rows, k), _SIG), "near-sigs")
+    printed = docs.withColumn("print", F.xxhash64(F.coalesce("text", F.lit(""))))
+    sigs = storage.materialize(storage.arrow(printed, _signatures(slots, band_rows, k), _SIG),
+                               "near-sigs")
+    node = F.xxhash64("n", "fa", "fb")
     classes = storage.materialize(
         sigs.where("n > 0 and doc_id is not null").groupBy("n", "fa", "fb")
         .agg(F.min(F.struct("doc_id", "bands")).alias("r"))
-        .select("n", "fa", "fb", F.col("r.doc_id").alias("node"), F.col("r.bands").alias("bands")),
-        "near-classes")
+        .select(node.alias("node"), F.col("r.doc_id").alias("least"),
+                F.col("r.bands").alias("bands")), "near-classes")
     units = storage.materialize(candidate_units(classes, tile), "near-units")
-    wanted = storage.materialize(units.select(F.col("node").alias("doc_id")).distinct(), "near-ids")
+    wanted = storage.materialize(
+        classes.join(units.select("node").distinct(), "node", "left_semi")
+        .select(F.col("least").alias("doc_id")).distinct(), "near-ids")
     if wanted.count() <= MAX_BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = docs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), "node bigint, items binary")
-    links = (sets.join(units, "node")
+    sets = storage.arrow(docs.join(wanted, "doc_id", "left_semi"), _sets(k),
+                         "n bigint, fa bigint, fb bigint, items binary")
+    dealt = (sets.where("n > 0").select(node.alias("node"), "items").join(units, "node")
              .repartition(storage.shuffle_partitions(spark), "unit").sortWithinPartitions("unit")
-             .select("unit", "node", "items")
-             .mapInArrow(similarity.unit_links(percent), "a bigint, b bigint"))
-    comps = connected_components(links)
-    grouped = classes.select("n", "fa", "fb", "node").join(comps, "node", "left").select(
-        F.col("n").alias("gn"), F.col("fa").alias("ga"), F.col("fb").alias("gb"),
-        F.coalesce("component", "node").alias("component"))
-    out = sigs.select("doc_id", "n", "fa", "fb").join(
-        grouped, (F.col("n") == F.col("gn")) & (F.col("fa") == F.col("ga"))
-        & (F.col("fb") == F.col("gb")), "left")
-    comp = F.coalesce("component", "doc_id")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(comp).alias("kept"))
-
-
-def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with the least doc_id.
-    Documents with a null doc_id stay."""
-    drop = near_groups(docs, percent).where("not kept").select(
-        F.col("doc_id").alias("__near_id")).distinct()
-    return docs.join(drop, docs["doc_id"] == drop["__near_id"], "left_anti")
+             .select("unit", "node", "items"))
+    comps = connected_components(
+        storage.arrow(dealt, similarity.unit_links(percent), "a bigint, b bigint"))
+    member = classes.select("node", "least").join(comps, "node", "left").select(
+        "node", "least", F.col("component").alias("group"))
+    linked = member.where(F.col("group").isNotNull())
+    first = linked.groupBy("group").agg(F.min("least").alias("component"))
+    grouped = (linked.join(first, "group").select("node", "group", "component")
+               .unionByName(member.where(F.col("group").isNull()).select(
+                   "node", F.col("node").alias("group"), F.col("least").alias("component"))))
+    rows = sigs.select("doc_id", "print", "n", F.when(F.col("n") > 0, node).alias("at"))
+    return rows.join(grouped, rows["at"] == grouped["node"], "left").select(
+        "doc_id", "print", "n", "group", F.coalesce("component", "doc_id").alias("component"))
+
+
+def near_groups(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS,
+                slots: int = SLOTS, band_rows: int = BAND_ROWS, tile: int = TILE) -> DataFrame:
+    """One row per document: ``doc_id, n_shingles, component_id, kept``.
+
+    Documents whose sets have 100 * |A & B| >= percent * |A | B| are linked, ``component_id`` is
+    the least doc_id reachable.  Fewer than ``k`` words are one shingle; a null text or one without
+    words has an empty set and no link.  Every row of a doc_id that recurs is linked by its own
+    text; a row with a null doc_id makes no link and takes the component of an equal set, if any.
+    At the defaults a pair at the threshold shares a band with probability 1 - (1 - .85**4)**16 =
+    .999993, at 80 percent .9998."""
+    return _grouped(docs, percent, k, slots, band_rows, tile).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
+
+
+def near_dedup(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS,
+               slots: int = SLOTS, band_rows: int = BAND_ROWS, tile: int = TILE) -> DataFrame:
+    """``docs`` with one document of each near-duplicate group: the one with the least doc_id, and of
+    several texts under that id the one whose hash is least.  Rows are told apart by doc_id and
+    text, so a text that is near no other stays whatever its id; documents with a null doc_id
+    stay."""
+    found = _grouped(docs, percent, k, slots, band_rows, tile).where(
+        "doc_id is not null and group is not null")
+    found = storage.materialize(found.select("doc_id", "print", "group", "component").distinct(),
+                                "near-groups")
+    first = found.where("doc_id = component")
+    several = (first.groupBy("group").agg(F.min("print").alias("keep"), F.max("print").alias("last"))
+               .where("keep <> last").select("group", "keep"))
+    drop = (found.where("doc_id <> component").select("doc_id", "print")
+            .unionByName(first.join(several, "group").where("print <> keep")
+                         .select("doc_id", "print")).distinct())
+    drop = drop.toDF(*storage.fresh_names(docs, "near_id", "near_print"))
+    ident, text = (F.col(c) for c in drop.columns)
+    mine = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(drop, (docs["doc_id"] == ident) & (mine == text), "left_anti")

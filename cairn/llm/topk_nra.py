@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cairn.llm import storage
+
 SCALE = 1024
 BLOCK = 4096
 _QUERIES_AT_ONCE = 256
@@ -136,6 +138,7 @@ def topk(queries: DataFrame, candidates: DataFrame, k: int, block: int = BLOCK)
         return pa.table([pa.array(x, pa.int64()) for x in cols],
                         names=["query_id", "vec_id", "score"])
 
+    storage.ship_package(queries.sparkSession)
     keys = ["dim", "qb", "cb"]
     found = q.groupBy(*keys).cogroup(c.groupBy(*keys)).applyInArrow(
         pair, "query_id bigint, vec_id bigint, score bigint")

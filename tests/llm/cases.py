@@ -5,7 +5,11 @@ import pytest
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Columns whose names the operators use themselves.
 CLASHING = ("n", "size", "key", "node", "component", "kept", "rank", "score", "bands", "held_out",
-            "target", "rate", "copies", "unit", "sha", "lang_pred", "sample", "pieces", "keep_id")
+            "target", "rate", "copies", "unit", "sha", "lang_pred", "sample", "pieces", "keep_id",
+            "mix_source", "Mix_Rate", "mix_copies", "mix_copy", "dedup_id", "DEDUP_SHA", "lang_text",
+            "lang_letter", "lang_found", "lang_score", "piece_text", "piece_key", "near_id",
+            "near_print", "print", "group", "span_id", "spans", "cut_text", "__text", "__spans",
+            "__lang", "__mix_rate", "__dedup_id")
 
 LONG = " ".join(f"word{i % 977} the{i % 13}" for i in range(30_000))
 PROSE = ("the quick brown fox jumps over the lazy dog while many other animals look on from the "

@@ -66,6 +66,31 @@ def test_edge_rows(clashing, empty):
     assert superminhash.near_dedup(empty).count() == 0
 
 
+def test_a_recurring_id_loses_only_its_near_copy(spark):
+    a = " ".join(f"w{i}" for i in range(80))
+    clean = " ".join(f"v{i}" for i in range(80))
+    rows = [(1, a), (5, a + " now"), (5, clean), (5, clean), (None, a + " too"), (7, None), (7, ""),
+            (8, "x y"), (8, "z"), (3, clean + " q")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in superminhash.near_dedup(df).collect()), key=repr)
+    want = [r for r in rows if r not in [(5, a + " now"), (5, clean)]]  # 3 keeps the second group
+    assert got == sorted(want, key=repr)
+    found = {(r.doc_id, r.component_id) for r in superminhash.near_groups(df).collect()}
+    assert found == {(1, 1), (5, 1), (5, 3), (None, None), (7, 7), (8, 8), (3, 3)}
+    # two near texts under the least id itself: one of them stays
+    df = spark.createDataFrame([(1, a), (1, a + " now"), (2, a + " then")], "doc_id bigint, text string")
+    left = superminhash.near_dedup(df).collect()
+    assert len(left) == 1 and left[0].doc_id == 1
+
+
+def test_stage_similarity_is_eighty_percent(spark):
+    base = [f"w{i}" for i in range(60)]
+    other = base[:30] + ["changed"] + base[31:]  # 51 of 61 shingles: 0.836
+    df = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(other))], "doc_id bigint, text string")
+    assert superminhash.near_dedup(df, percent=80).count() == 1
+    assert superminhash.near_dedup(df).count() == 2
+
+
 def test_signature_estimates_jaccard():
     rng = np.random.default_rng(5)
     both = rng.integers(0, 1 << 63, 900, dtype=np.uint64)
