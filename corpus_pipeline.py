@@ -16,9 +16,9 @@ from cairn.llm.queries import table
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: a document whose language it cannot tell (``und``: no text or no letter) goes; a
     null lang becomes the predicted one.  The filters are learned from the rows with a lang."""
-    found = lang_bloom.predict(docs, lang_bloom.train(docs), tuple(docs.columns),
-                               ("__lang", "__score"))
-    return (found.where("__lang <> 'und'").withColumn("lang", F.coalesce("lang", "__lang"))
+    lang, score = storage.fresh_names(docs, "lang_found", "lang_score")
+    found = lang_bloom.predict(docs, lang_bloom.train(docs), tuple(docs.columns), (lang, score))
+    return (found.where(F.col(lang) != "und").withColumn("lang", F.coalesce("lang", lang))
             .select(*docs.columns))
 
 
@@ -28,8 +28,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: the document with the least doc_id of each near-duplicate group stays."""
-    return superminhash.near_dedup(docs)
+    """Operator 8, five words and a similarity of 0.8: the document with the least doc_id of each
+    near-duplicate group stays."""
+    return superminhash.near_dedup(docs, percent=80)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
