@@ -33,7 +33,9 @@ INLINE = frozenset(
     "embed object param source track math semantics maction menclose merror "
     "mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle "
     "msub msubsup msup mtable mtd mtext mtr munder munderover none mprescripts".split())
-FURNITURE = frozenset("nav footer aside form button select option dialog menu".split())
+FURNITURE = frozenset("nav footer aside button select option dialog menu".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p blockquote pre".split())
 BODY = frozenset(("article", "main"))
 # Words of class, id and role attributes that name page furniture.
 FURNITURE_WORDS = frozenset(
@@ -42,6 +44,18 @@ FURNITURE_WORDS = frozenset(
     "nav navbar navigation newsletter notice notices pagination popup privacy promo promoted related "
     "replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe "
     "tagcloud toolbar widget complementary contentinfo".split())
+# Furniture words that are also subjects of articles, and the words beside which they are furniture:
+# places, shapes and parts of a page, what it offers.
+SUBJECTS = frozenset(
+    "ad ads banner copyright disclaimer header menu notice notices privacy promo related search share "
+    "sharing social toolbar widget".split())
+PLACES = frozenset(
+    "area article articles back bar block body border bottom box button buttons card cards center "
+    "close col column component container content count desktop entry field fixed form global grid "
+    "group heading icon icons image img inline inner input item items label large left link links list "
+    "logo main me media mobile module more news on open outer page panel photo policy post posts primary "
+    "products reading region results right row secondary section set site slot small space sticky "
+    "stories story tab tag tags text this title tools top topics unit us wrap wrapper you zone".split())
 BODY_WORDS = frozenset("article content main post story entry".split())
 
 _TOKEN = re.compile(
@@ -67,7 +81,10 @@ class Weights:
     words: int = 30
     sentence: float = 0.5       # ends as a sentence does
     prior: float = 1.0          # against a block that shows nothing else
+    paragraph: float = 1.0      # stands in an element for running text
     neighbour: float = 0.6      # smoothness: next to each other on the page
+    heading: float = 1.5        # smoothness: a heading and what follows it, besides
+    border: float = 0.25        # share of an edge between furniture and what is none
     sibling: float = 0.6        # smoothness: next child with text of the same parent
 
 
@@ -78,6 +95,9 @@ class Block:
     furniture: bool
     why: set = field(default_factory=set)   # elements around it that a class word calls furniture
     parts: list = field(default_factory=list)
+    heading: bool = False
+    paragraph: bool = False
+    soft: set = field(default_factory=set)  # those of ``why`` whose words are also subjects
     linked: int = 0
     text: str = ""
 
@@ -94,20 +114,33 @@ def _names(attributes: str) -> set[str]:
     return out
 
 
+def _furniture_words(names: set[str], in_body: bool) -> set[str]:
+    """The words of ``names`` that call an element furniture.  Inside an article a word that may be
+    its subject does only alone or beside words of PLACES: ``related-posts`` is furniture,
+    ``related-work`` is not."""
+    found = names & FURNITURE_WORDS
+    if in_body and found <= SUBJECTS and names - found - PLACES:
+        return set()
+    return found
+
+
 def _wrappers(blocks: list[Block], around: set[int], any_body: bool) -> set[int]:
-    """Elements whose class words do not count: they hold the main part of the page.
+    """Elements whose class words, or whose being a form, do not count: they hold the main part of
+    the page.
 
     Those are elements around an article or main (``around``) with half of the text in such
-    elements or, on a page without any, elements with three quarters of its text."""
+    elements, elements inside one named by subjects alone with half of it or, on a page without any,
+    elements with three quarters of its text."""
     held: dict[int, int] = {}
-    total = 0
+    total, soft = 0, set()
     for b in blocks:
         if not b.furniture and (b.body or not any_body):
             total += len(b.text)
+            soft |= b.soft
             for e in b.why:
                 held[e] = held.get(e, 0) + len(b.text)
     if any_body:
-        return {e for e, n in held.items() if e in around and 2 * n >= total}
+        return {e for e, n in held.items() if (e in around or e in soft) and 2 * n >= total}
     return {e for e, n in held.items() if 4 * n >= 3 * total}
 
 
@@ -117,6 +150,7 @@ def blocks_of(page: str) -> list[Block]:
     # Open elements: (name, number, in body, in furniture, hidden, in link, elements around it that
     # a class word calls furniture)
     stack = [("", 0, False, False, False, False, ())]
+    subjects: set[int] = set()
     around, any_body = set(), False
     number, block, at, size = 0, None, 0, len(page)
 
@@ -139,7 +173,8 @@ def blocks_of(page: str) -> list[Block]:
                     continue
                 home = next(e for e in reversed(stack) if e[0] not in INLINE)
                 parent = stack[stack.index(home) - 1][1] if len(stack) > 1 else 0
-                block = Block(parent, home[2], home[3], set(home[6]))
+                block = Block(parent, home[2], home[3], set(home[6]), heading=home[0] in HEADINGS,
+                              paragraph=home[0] in PARAGRAPHS)
                 out.append(block)
             run = html_lib.unescape(run) if "&" in run else run
             block.parts.append(run)
@@ -187,11 +222,13 @@ def blocks_of(page: str) -> list[Block]:
             body = True
         if name in FURNITURE or (name == "header" and not body):
             furniture = True
-        elif names & FURNITURE_WORDS and name not in ("html", "body") and not (
-                top[2] and name in ("header", "h1", "h2")):
+        elif (name == "form" or _furniture_words(names, top[2])) and name not in (
+                "html", "body") and not (top[2] and name in ("header", "h1", "h2")):
             why += (number + 1,)
             if name in BODY:
                 around.add(number + 1)
+            elif name != "form" and names & FURNITURE_WORDS <= SUBJECTS:
+                subjects.add(number + 1)
         elif name in BODY:
             around.update(why)
         any_body |= name in BODY
@@ -201,6 +238,7 @@ def blocks_of(page: str) -> list[Block]:
     kept = []
     for b in out:
         b.text = " ".join("".join(b.parts).split())
+        b.soft = b.why & subjects
         if b.text:
             kept.append(b)
     if any(b.why for b in kept):
@@ -289,6 +327,8 @@ def label(blocks: list[Block], w: Weights = Weights()) -> list[bool]:
         bad = w.prior + w.link * min(1.0, b.linked / len(b.text))
         if b.text.endswith(_SENTENCE_END):
             good += w.sentence
+        if b.paragraph:
+            good += w.paragraph
         if b.body:
             good += w.body
         elif any_body:
@@ -299,10 +339,14 @@ def label(blocks: list[Block], w: Weights = Weights()) -> list[bool]:
         plain.append(bad)
     edges, last = [], {}
     for i, b in enumerate(blocks):
+        def joined(j, price):
+            share = 1.0 if blocks[j].furniture == b.furniture else w.border
+            edges.append((j, i, price * share))
+
         if i:
-            edges.append((i - 1, i, w.neighbour))
+            joined(i - 1, w.neighbour + w.heading * blocks[i - 1].heading)
         if b.parent in last:
-            edges.append((last[b.parent], i, w.sibling))
+            joined(last[b.parent], w.sibling)
         last[b.parent] = i
     return max_flow_side(n, content, plain, edges)
 

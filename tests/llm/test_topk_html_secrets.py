@@ -148,6 +148,46 @@ def test_comments_stay_out_even_if_they_are_long():
     assert html_mincut.main_text(page) == "A short article, of one paragraph with some words in it."
 
 
+FIRST = "The first paragraph of this article is long enough to be one, and it ends here."
+SECOND = "The second paragraph goes on about the same, for some more words, and is the last."
+
+
+@pytest.mark.parametrize("before, after", [
+    ("<form><article>", "</article></form>"), ("<form action=x><div><main>", "</main></div></form>"),
+    ('<form class="page"><div>', "</div></form>"), ("<form>", "</form>"),
+    ('<article><section class="related-work">', "</section></article>"),
+    ('<article><section class="related">', "</section></article>"),
+    ('<article><div id="privacy">', "</div></article>")])
+def test_articles_inside_forms_and_sections_stay(before, after):
+    page = (f'<body><nav><a href="/">Home</a></nav>{before}<h1>A headline</h1><p>{FIRST}</p>'
+            f'<form id=mail>Your mail <input name=m></form><div class="ad">Buy this product today.</div>'
+            f'<p>{SECOND}</p>{after}<form class="search"><p>Search this site, then press enter.</p></form>'
+            f'<footer>Somebody</footer></body>')
+    assert html_mincut.main_text(page).split("\n\n") == ["A headline", FIRST, SECOND]
+
+
+def test_subjects_in_class_words_do_not_tear_an_article():
+    page = (f'<article><h1>Sorting</h1><p>{FIRST}</p><div class="search-algorithms"><p>{SECOND}</p></div>'
+            f'<div class="social-history"><p>{FIRST}</p></div>'
+            '<div class="search-box"><p>Search this site, then press the button.</p></div>'
+            '<div class="related-posts"><p>Another story, which is about something else.</p></div>'
+            '<div class="share"><p>Share this with all of your friends, please.</p></div>'
+            '<div class="newsletter-archive"><p>Subscribe to our letter, it comes every day.</p></div>'
+            '</article>')
+    assert html_mincut.main_text(page).split("\n\n") == ["Sorting", FIRST, SECOND, FIRST]
+
+
+def test_headings_and_short_paragraphs_without_an_article():
+    page = f"<body><h1>A headline</h1><div><div><p>{FIRST}</p><p>{SECOND}</p></div></div></body>"
+    assert html_mincut.main_text(page).split("\n\n") == ["A headline", FIRST, SECOND]
+    page = ("<body><nav><a href=/>Home</a></nav><p>It rains.</p><p>We stay in.</p><p>Tea, then.</p>"
+            "<p><a href=1>One</a> <a href=2>Two</a></p><footer><p>Somebody made this.</p></footer></body>")
+    assert html_mincut.main_text(page).split("\n\n") == ["It rains.", "We stay in.", "Tea, then."]
+    page = (f"<body><div><p>{FIRST}</p><p>{SECOND}</p></div><h2>Elsewhere</h2>"
+            "<ul><li><a href=1>Some other page</a></li><li><a href=2>And one more</a></li></ul></body>")
+    assert html_mincut.main_text(page).split("\n\n") == [FIRST, SECOND]
+
+
 def test_pages_without_an_article_and_broken_markup():
     long_ = "This paragraph has many words, commas too, and is the content of a page. " * 2
     page = f"<body><p><a href=1>Home</a> <a href=2>News</a></p><p>{long_}</p><p>{long_}"
