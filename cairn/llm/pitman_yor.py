@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from cairn.llm import storage
 from cairn.llm.arrow_text import LOWER, buffers, chunks, hash_spans, mix, uniform, words
 
-CHUNK_BYTES, PIECE_BYTES = 8 << 20, 1 << 18
+CHUNK_BYTES, PIECE_BYTES = 4 << 20, 1 << 18
 # Two values no word hash is expected to take: the context before the first word, and the end.
 START, END = np.uint64(0x5354415254000001), np.uint64(0x454E44454E440001)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
