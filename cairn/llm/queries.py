@@ -248,12 +248,26 @@ ORACLE_SQL = {
                        (SELECT open FROM o) * weight, cap::DOUBLE)) AS target FROM l),
              r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END
                        AS rate FROM t),
-             u AS (SELECT d.doc_id, d.size, r.source_size, r.target, r.rate,
+             u AS (SELECT d.doc_id, d.size, r.source, r.source_size, r.target, r.rate,
                           (('0x' || substr(md5('17:mix:' || coalesce(d.doc_id::VARCHAR, 'null')),
-                            1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
-                   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
-        SELECT doc_id, size, source_size, target,
-               (floor(rate)::BIGINT + (u < rate - floor(rate))::BIGINT) * size AS taken FROM u""",
+                            1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u,
+                          (('0x' || substr(md5('17:mix-start:' || coalesce(r.source, '')), 1, 13))
+                            ::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS start
+                   FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
+             c AS (SELECT source, size, count(*) AS n, any_value(rate - floor(rate)) AS part,
+                          any_value(start) AS start FROM u GROUP BY source, size),
+             k AS (SELECT source, size, floor(upto * part + start)
+                          - floor((upto - n) * part + start) AS k
+                   FROM (SELECT *, sum(n) OVER (PARTITION BY source ORDER BY size)::BIGINT AS upto
+                         FROM c)),
+             p AS (SELECT *, row_number() OVER (PARTITION BY source, size ORDER BY u) AS place
+                   FROM u),
+             h AS (SELECT p.source, p.size, max(p.u) AS threshold FROM p JOIN k
+                   ON p.source IS NOT DISTINCT FROM k.source AND p.size = k.size
+                   WHERE place <= k GROUP BY p.source, p.size)
+        SELECT u.doc_id, u.size, u.source_size, u.target, (floor(u.rate)::BIGINT
+               + coalesce(u.u <= h.threshold, false)::BIGINT) * u.size AS taken
+        FROM u LEFT JOIN h ON u.source IS NOT DISTINCT FROM h.source AND u.size = h.size""",
     "op4_exact_topk": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)) AS x
                    FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0

@@ -104,10 +104,24 @@ def mix_targets(sizes, weights=(5, 2, 1), cap=3):
     return target
 
 
-def mix_copies(doc_id, rate, seed=17):
-    key = "null" if doc_id is None else str(doc_id)
-    u = (int(hashlib.md5(f"{seed}:mix:{key}".encode()).hexdigest()[:13], 16) + 0.5) / 2.0 ** 52
-    return int(rate) + (u < rate - int(rate))
+def mix_copies(rows, rates, seed=17):
+    """rows: [(doc_id, source, size)], rates: {source: rate} -> copies of each row: along the sizes of
+    a source as many extra copies as the running count times the fraction, the least hashes first."""
+    def uniform(tag, key):
+        return (int(hashlib.md5(f"{seed}:{tag}:{key}".encode()).hexdigest()[:13], 16) + 0.5) / 2.0 ** 52
+
+    held = defaultdict(list)
+    u = [uniform("mix", "null" if d is None else d) for d, _, _ in rows]
+    for (_, source, size), x in zip(rows, u):
+        held[source, size].append(x)
+    limit, below = {}, defaultdict(int)
+    for source, size in sorted(held, key=lambda c: c[1]):
+        xs, part = sorted(held[source, size]), rates[source] % 1
+        start = uniform("mix-start", source or "")
+        k = int((below[source] + len(xs)) * part + start) - int(below[source] * part + start)
+        below[source] += len(xs)
+        limit[source, size] = xs[k - 1] if k else -1.0
+    return [int(rates[s]) + (x <= limit[s, n]) for (_, s, n), x in zip(rows, u)]
 
 
 def topk(vectors, k, every=100):

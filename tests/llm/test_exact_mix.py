@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from cairn.llm import exact_dedup, mixing
@@ -56,11 +57,11 @@ def test_mix_plan_matches_brute_force(clashing, empty):
     target = brute.mix_targets(sizes)
     got = mixing.mix_plan(clashing).collect()
     assert len(got) == len(EDGE)
-    for r in got:
+    rates = {r.source: r.target / r.source_size if r.source_size else 0.0 for r in got}
+    want = brute.mix_copies([(r.doc_id, r.source, r.size) for r in got], rates)
+    for r, copies in zip(got, want):
         assert r.target == pytest.approx(target[r.source]) and r.source_size == sizes[r.source]
-        rate = r.target / r.source_size if r.source_size else 0.0
-        assert r.copies == brute.mix_copies(r.doc_id, rate) and r.taken == r.copies * r.size
-        assert r.taken <= 3 * r.size
+        assert r.copies == copies and r.taken == r.copies * r.size and r.taken <= 3 * r.size
     assert mixing.mix_plan(empty).count() == 0 and mixing.mix_documents(empty).count() == 0
 
 
@@ -76,6 +77,30 @@ def test_mix_documents_repeat_rows_as_planned(clashing):
     assert got == {d: n for d, n in plan.items() if n}
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_words_taken_miss_the_target_by_one_document_at_most(spark, sf):
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet")
+    rows = mixing.mix_plan(docs).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.max("target").alias("target"), F.max("size").alias("largest"),
+        F.max(F.when(F.col("taken") > 3 * F.col("size"), 1).otherwise(0)).alias("above")).collect()
+    assert len(rows) > 3
+    for r in rows:
+        assert abs(r.taken - r.target) <= r.largest and not r.above
+
+
+@pytest.mark.parametrize("ranges", [1, 4, 1 << 16])
+def test_draws_do_not_depend_on_hash_ranges_or_partitions(spark, monkeypatch, ranges):
+    monkeypatch.setattr(mixing, "RANGES", ranges)
+    rows = [(i % 900, "hot" if i % 3 else f"s{i % 5}", "w " * (i % 4)) for i in range(1000)]
+    rows += [(None, None, "a b"), (1, None, None), (2, "", "x"), (3, "", "x y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(5)
+    got = mixing.mix_plan(df).collect()
+    rates = {r.source: r.rate for r in got}
+    assert [r.copies for r in got] == brute.mix_copies([(r.doc_id, r.source, r.size) for r in got], rates)
+    monkeypatch.setattr(mixing, "MAX_SENT_DRAWS", 0)
+    assert mixing.mix_documents(df).count() == sum(r.copies for r in got)
+
+
 def test_targets_reshare_until_none_is_above(spark):
     sizes = {"a": 1, "b": 10, "c": 500, "d": 0, None: 7, "é": 1000}
     df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, size bigint")

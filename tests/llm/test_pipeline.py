@@ -70,8 +70,9 @@ def check_stages(spark, docs, sf_dir):
     for r in got:
         sizes[r[3]] = sizes.get(r[3], 0) + len(brute.WORD.findall(r[1] or ""))
     target = brute.mix_targets(sizes)
-    want = [r for r in got for _ in range(
-        brute.mix_copies(r[0], target[r[3]] / sizes[r[3]] if sizes[r[3]] else 0.0))]
+    copies = brute.mix_copies([(r[0], r[3], len(brute.WORD.findall(r[1] or ""))) for r in got],
+                              {s: target[s] / n if n else 0.0 for s, n in sizes.items()})
+    want = [r for r, n in zip(got, copies) for _ in range(n)]
     assert mixed.columns == COLUMNS and sorted(rows(mixed), key=repr) == sorted(want, key=repr)
 
     pieces = run("piece sampling", mixed)
