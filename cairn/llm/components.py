@@ -46,5 +46,7 @@ def connected_components(links: DataFrame) -> DataFrame:
             break
         state = now
     nodes = storage.read(spark, edges_path)
-    return nodes.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+    out = nodes.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         nodes.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    out._table_path = edges_path
+    return out

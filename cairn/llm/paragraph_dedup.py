@@ -309,11 +309,13 @@ def _line_sets(k: int, wanted: np.ndarray | None):
 
 
 def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
-                   k: int = SHINGLE_WORDS, min_words: int = MIN_WORDS, tile: int = TILE) -> DataFrame:
+                   k: int = SHINGLE_WORDS, min_words: int = MIN_WORDS, tile: int = TILE,
+                   whole_words: int = LINE_WORDS) -> DataFrame:
     """``doc_id, start, end, n_words, removed, keep_doc_id``: the repeated spans of all documents,
     in code points, end exclusive.
 
-    ``keep_doc_id`` is the least document that a part of the span stays in, ``removed`` is false in
+    Spans have at least ``min_words`` words, whole paragraphs near-equal to another document's at
+    least ``whole_words``.  ``keep_doc_id`` is the least document that a part of the span stays in, ``removed`` is false in
     that document itself.  Documents without repeats have no row, nor have null and empty texts and
     rows with a null doc_id; rows that share a doc_id are one document, whose equal spans come back
     once.  Letters A-Z compare without case."""
@@ -326,7 +328,7 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     classes = storage.materialize(
         lines.groupBy(F.col("line").alias("node"))
         .agg(F.first("bands").alias("bands"), F.min("doc_id").alias("lo"),
-             F.max("doc_id").alias("hi")), "passage-classes")
+             F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n")), "passage-classes")
     units = storage.materialize(candidate_units(classes.select("node", "bands"), tile),
                                 "passage-units")
     ids = storage.materialize(units.select("node").distinct(), "passage-ids")
@@ -341,12 +343,14 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     comps = connected_components(
         storage.arrow(dealt, similarity.unit_links(percent), "a bigint, b bigint"))
     storage.release(spark)
-    per = classes.select("node", "lo", "hi").join(comps, "node", "left").withColumn(
+    per = classes.select("node", "lo", "hi", "n").join(comps, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     groups = per.groupBy("component").agg(F.min("lo").alias("keep"), F.max("hi").alias("hi")).where(
         "keep < hi").select("component", "keep")
-    line_keep = storage.materialize(per.select("node", "component").join(groups, "component").select(
-        F.col("node").alias("line"), "keep"), "passage-line-keep")
+    line_keep = storage.materialize(
+        per.select("node", "component", "n").join(groups, "component").select(
+            F.col("node").alias("line"), "keep", "n"), "passage-line-keep")
+    storage.drop(units, ids, classes, comps)
 
     # Seeds in at least two documents, and whether all their occurrences go on alike.
     if min_words < 1:
@@ -369,16 +373,21 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     cover = storage.materialize(
         storage.arrow(docs.join(found, "doc_id").select("doc_id", "text", "found"),
                       _cover(seed, min_words), _COVER), "passage-cover")
+    storage.drop(shared)
     storage.release(spark)
-    window_keep = (cover.where("class is not null").groupBy("class")
-                   .agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("hi"))
-                   .where("keep < hi").select("class", "keep"))
+    window_keep = storage.materialize(
+        cover.where("class is not null").groupBy("class")
+        .agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("hi"),
+             F.count(F.lit(1)).alias("n"))
+        .where("keep < hi").select("class", "keep", "n"), "passage-window-keep")
     at = [*_AT, "keep"]
     repeats = (cover.where("class is null").select(*at)
-               .unionByName(cover.drop("keep").join(window_keep, "class").select(*at))
+               .unionByName(storage.spread_join(cover.where("class is not null").drop("keep"),
+                                                window_keep, "class", "doc_id").select(*at))
                .withColumn("whole", F.lit(False))
-               .unionByName(lines.join(line_keep, "line").select(*at)
-                            .withColumn("whole", F.lit(True))))
+               .unionByName(storage.spread_join(lines.drop("bands"), line_keep, "line", "doc_id")
+                            .select(*at).withColumn("whole", F.col("hi") - F.col("lo")
+                                                    >= whole_words)))
     spans = (repeats.groupBy("doc_id", "body")
              .agg(F.collect_list(F.struct(*_AT[2:], "keep", "whole")).alias("spans"))
              .select("doc_id", "spans"))

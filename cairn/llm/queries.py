@@ -63,7 +63,8 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return paragraph_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+    return paragraph_dedup.repeated_spans(table(spark, sf_dir, "documents"),
+                                          whole_words=paragraph_dedup.MIN_WORDS)
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import uuid
 import zipfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import cairn
 from cairn.llm.arrow_text import trimmed
@@ -38,9 +38,34 @@ def write_table(df: DataFrame, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back."""
-    schema = df.schema
-    return df.sparkSession.read.schema(schema).parquet(write_table(df, name))
+    """``df`` written once to the shared folder and read back; ``drop`` deletes it."""
+    path = write_table(df, name)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept._table_path = path
+    return kept
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete materialised tables that no later step reads."""
+    for df in tables:
+        drop_table(df.sparkSession, df._table_path)
+
+
+def spread_join(rows: DataFrame, side: DataFrame, key: str, by: str) -> DataFrame:
+    """``rows`` joined with the one row that ``side`` has for its key, frequent keys over many tasks.
+
+    ``side`` (materialised) has ``n``, the number of ``rows`` with the key.  A key with more than its
+    share, all rows over four times the shuffle partitions, is dealt out over as many slots as it has
+    shares, by a hash of the column ``by``; only its row of ``side`` is repeated.  At most four keys
+    a partition can have more than a share, so these few are sent to every task."""
+    total = side.agg(F.sum("n")).first()[0] or 0
+    share = max(1000, total // (4 * shuffle_partitions(rows.sparkSession)))
+    slots = F.ceil(F.col("n") / share).cast("int")
+    hot = side.where(F.col("n") > share).select(key, slots.alias("slots"))
+    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("slot", F.pmod(
+        F.xxhash64(by), F.coalesce("slots", F.lit(1))).cast("int")).drop("slots")
+    side = side.withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop("n")
+    return dealt.join(side, [key, "slot"]).drop("slot")
 
 
 def drop_table(spark: SparkSession, *paths: str) -> None:

@@ -6,7 +6,9 @@ import numpy as np
 import pytest
 
 import brute
-from cairn.llm import paragraph_dedup, superminhash
+from pyspark.sql import functions as F
+
+from cairn.llm import paragraph_dedup, storage, superminhash
 from cairn.llm.components import connected_components
 from cairn.llm.similarity import forest, link_matrix
 from cases import EDGE, PROSE, clashing, empty, load  # noqa: F401
@@ -237,6 +239,29 @@ def test_short_near_equal_paragraphs_are_reported(spark):
     assert removed_words(spark, docs) == {2: (line + " fifteen").split()}
 
 
+def test_short_whole_paragraphs_are_a_parameter(spark):
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
+    docs = [(1, "some\n" + line), (2, "else here\n" + line + " fifteen\nend")]
+    assert removed_words(spark, docs, whole_words=16) == {}
+    long_ = line + " fifteen sixteen seventeen"
+    docs = [(1, "some\n" + long_), (2, "else here\n" + long_ + " eighteen\nend")]
+    assert removed_words(spark, docs, whole_words=16) == {2: (long_ + " eighteen").split()}
+
+
+def test_a_line_that_many_documents_have_is_dealt_over_tasks(spark):
+    line = " ".join(f"l{i}" for i in range(20))
+    docs = [(i, f"{line}\n" + " ".join(f"n{i}x{j}" for j in range(12))) for i in range(6000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(8)
+    rows = paragraph_dedup.repeated_spans(df).collect()
+    assert len(rows) == 6000 and all(r.n_words == 20 and r.keep_doc_id == 0 for r in rows)
+    side = storage.materialize(df.select(F.lit(1).alias("key"), F.lit(7).alias("v"),
+                                         F.lit(6000).cast("bigint").alias("n")).limit(1), "test-side")
+    joined = storage.spread_join(df.withColumn("key", F.lit(1)), side, "key", "doc_id")
+    assert joined.count() == 6000 and joined.select("v").distinct().collect()[0].v == 7
+    tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in tasks) < 3000
+
+
 def test_edited_paragraphs_are_linked(spark):
     words = [f"word{i * 7 % 211}" for i in range(60)]
     edited = list(words)
