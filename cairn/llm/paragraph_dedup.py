@@ -383,9 +383,9 @@ def repeated_spans(docs: DataFrame, percent: int = PERCENT, bands: int = BANDS,
     at = [*_AT, "keep"]
     repeats = (cover.where("class is null").select(*at)
                .unionByName(storage.spread_join(cover.where("class is not null").drop("keep"),
-                                                window_keep, "class", "doc_id").select(*at))
+                                                window_keep, "class").select(*at))
                .withColumn("whole", F.lit(False))
-               .unionByName(storage.spread_join(lines.drop("bands"), line_keep, "line", "doc_id")
+               .unionByName(storage.spread_join(lines.drop("bands"), line_keep, "line")
                             .select(*at).withColumn("whole", F.col("hi") - F.col("lo")
                                                     >= whole_words)))
     spans = (repeats.groupBy("doc_id", "body")

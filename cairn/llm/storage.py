@@ -51,21 +51,20 @@ def drop(*tables: DataFrame) -> None:
         drop_table(df.sparkSession, df._table_path)
 
 
-def spread_join(rows: DataFrame, side: DataFrame, key: str, by: str) -> DataFrame:
-    """``rows`` joined with the one row that ``side`` has for its key, frequent keys over many tasks.
-
-    ``side`` (materialised) has ``n``, the number of ``rows`` with the key.  A key with more than its
-    share, all rows over four times the shuffle partitions, is dealt out over as many slots as it has
-    shares, by a hash of the column ``by``; only its row of ``side`` is repeated.  At most four keys
-    a partition can have more than a share, so these few are sent to every task."""
+def spread_join(rows: DataFrame, side: DataFrame, key: str) -> DataFrame:
+    """``rows`` joined with the one row that ``side`` has for its key, without a task for any frequent
+    key.
+
+    ``side`` (materialised) has ``n``, the number of ``rows`` with the key.  At most four keys a
+    shuffle partition can have more than their share, all rows over four times the partitions: these
+    few rows of ``side`` are sent to every task, so rows of frequent keys are not shuffled at all, and
+    the others are joined by key.  ``rows`` is read twice."""
     total = side.agg(F.sum("n")).first()[0] or 0
     share = max(1000, total // (4 * shuffle_partitions(rows.sparkSession)))
-    slots = F.ceil(F.col("n") / share).cast("int")
-    hot = side.where(F.col("n") > share).select(key, slots.alias("slots"))
-    dealt = rows.join(F.broadcast(hot), key, "left").withColumn("slot", F.pmod(
-        F.xxhash64(by), F.coalesce("slots", F.lit(1))).cast("int")).drop("slots")
-    side = side.withColumn("slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop("n")
-    return dealt.join(side, [key, "slot"]).drop("slot")
+    hot = F.broadcast(side.where(F.col("n") > share).drop("n"))
+    cold = rows.join(hot.select(key), key, "left_anti").join(
+        side.where(F.col("n") <= share).drop("n"), key)
+    return rows.join(hot, key).unionByName(cold)
 
 
 def drop_table(spark: SparkSession, *paths: str) -> None:

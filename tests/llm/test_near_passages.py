@@ -256,7 +256,7 @@ def test_a_line_that_many_documents_have_is_dealt_over_tasks(spark):
     assert len(rows) == 6000 and all(r.n_words == 20 and r.keep_doc_id == 0 for r in rows)
     side = storage.materialize(df.select(F.lit(1).alias("key"), F.lit(7).alias("v"),
                                          F.lit(6000).cast("bigint").alias("n")).limit(1), "test-side")
-    joined = storage.spread_join(df.withColumn("key", F.lit(1)), side, "key", "doc_id")
+    joined = storage.spread_join(df.withColumn("key", F.lit(1)), side, "key")
     assert joined.count() == 6000 and joined.select("v").distinct().collect()[0].v == 7
     tasks = joined.groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in tasks) < 3000
